@@ -28,6 +28,11 @@ class CleanCounts:
     def rows_after(self) -> int:
         return int(self.after.get["rows"])
 
+    @property
+    def max_time(self):
+        """Max event time over the rows in (nulls ignored)."""
+        return self.before.get["max_time"]
+
 
 def clean_events(
     df: DataFrame,
@@ -49,7 +54,9 @@ def clean_events(
     """
     source = df
     if counts is not None:
-        source = df.observe(counts.before, F.count(F.lit(1)).alias("rows"))
+        source = df.observe(
+            counts.before, F.count(F.lit(1)).alias("rows"), F.max("event_time").alias("max_time")
+        )
     kept = cap_traffic(
         require_columns(source),
         caps,

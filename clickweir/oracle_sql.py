@@ -125,4 +125,170 @@ def oracle_queries() -> dict[str, str]:
         "count_if(abs(price) >= 1000000000000) AS price_out_of_range "
         f"FROM ({clean_sql(30, 500)})"
     )
+    q.update(_increment_queries())
+    q.update(_job_queries())
+    q.update(_ingest_queries())
+    q.update(_mart_queries())
+    return q
+
+
+def _ledger_row(seq: int, job: str, low: str, high: str, rows: str | None, per_minute: int, per_session: int) -> str:
+    """One ledger row; ``rows`` is the batch relation, None for an empty run."""
+    if rows is None:
+        counts = "0 AS rows_read, 0 AS rows_before_filtering, 0 AS rows_after_filtering, 0 AS rows_written"
+    else:
+        filt = f"(SELECT * FROM {rows} WHERE event_time IS NOT NULL AND product_id IS NOT NULL)"
+        kept = f"(SELECT count(*) FROM {_capped(filt, per_minute, per_session)})"
+        counts = (
+            f"(SELECT count(*) FROM {rows}) AS rows_read, (SELECT count(*) FROM {rows}) AS rows_before_filtering, "
+            f"{kept} AS rows_after_filtering, {kept} AS rows_written"
+        )
+    return (
+        f"SELECT CAST({seq} AS BIGINT) AS seq, '{job}' AS job_type, 'success' AS status, "
+        f"CAST({low} AS TIMESTAMP) AS hwm_low, CAST({high} AS TIMESTAMP) AS hwm_high, {counts}"
+    )
+
+
+# Batches of the arrival scenario: the source as of SPLIT, then the rest.
+SCENARIO_CTES = f"""
+b1 AS (SELECT * FROM src WHERE event_time <= {SPLIT}),
+h1 AS (SELECT max(event_time) AS t FROM b1),
+b2 AS (SELECT * FROM src WHERE event_time > (SELECT t FROM h1)),
+h2 AS (SELECT max(event_time) AS t FROM src)"""
+
+H1 = "(SELECT t FROM h1)"
+H2 = "(SELECT t FROM h2)"
+
+
+def _scenario_rows(first_seq: int, per_minute: int, per_session: int) -> list[str]:
+    return [
+        _ledger_row(first_seq, "incremental", "NULL", H1, "b1", per_minute, per_session),
+        _ledger_row(first_seq + 1, "incremental", H1, H2, "b2", per_minute, per_session),
+        _ledger_row(first_seq + 2, "incremental", H2, "NULL", None, per_minute, per_session),
+    ]
+
+
+def _increment_queries() -> dict[str, str]:
+    q: dict[str, str] = {}
+    above = f"(SELECT * FROM src WHERE event_time > {SPLIT})"
+    q["hwm_bounds"] = with_src(
+        f"SELECT {SPLIT} AS hwm_low, max(event_time) AS hwm_high, count(*) AS rows FROM {above}"
+    )
+    q["incremental_scan"] = with_src(
+        f"SELECT event_id, {SOURCE_COLS} FROM {above} WHERE event_time <= (SELECT max(event_time) FROM {above})"
+    )
+    late_mark = f"(SELECT min(event_time) FROM {above})"
+    q["incremental_late"] = with_src(
+        f"SELECT event_id, {SOURCE_COLS} FROM src WHERE event_time > {late_mark} "
+        f"AND event_time <= (SELECT max(event_time) FROM src WHERE event_time > {late_mark})"
+    )
+    q["incremental_run"] = with_src(" UNION ALL ".join(_scenario_rows(0, 1, 4)), SCENARIO_CTES)
+    all_rows = "(SELECT * FROM src WHERE event_time IS NOT NULL)"
+    q["incremental_empty"] = with_src(
+        f"SELECT *, 'inc-000000' AS load FROM ({_ledger_row(0, 'incremental', 'NULL', H2, all_rows, 30, 500)}) "
+        f"UNION ALL SELECT *, NULL AS load FROM ({_ledger_row(1, 'incremental', H2, 'NULL', None, 30, 500)})",
+        SCENARIO_CTES,
+    )
+    b2_clean = clean_sql(30, 500, "(SELECT * FROM b2 WHERE event_time IS NOT NULL AND product_id IS NOT NULL)")
+    q["incremental_preview"] = with_src(
+        "SELECT event_time, event_type, product_id, category_code, event_date, event_hour, day_of_week "
+        f"FROM ({b2_clean}) ORDER BY event_time NULLS FIRST, event_type NULLS FIRST, product_id NULLS FIRST, "
+        "category_code NULLS FIRST, event_date NULLS FIRST, event_hour NULLS FIRST, day_of_week NULLS FIRST LIMIT 10",
+        SCENARIO_CTES,
+    )
+    q["batch_max_time"] = with_src(f"SELECT max(event_time) AS max_event_time FROM ({b2_clean})", SCENARIO_CTES)
+    return q
+
+
+def _job_queries() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["clean_table_write"] = with_src(clean_sql(30, 500))
+    q["full_refresh"] = with_src(clean_sql(1, 4))
+    kept = f"(SELECT count(*) FROM ({clean_sql(1, 4)}))"
+    q["job_metrics"] = with_src(
+        "SELECT 'full_snapshot' AS job_type, 'success' AS status, (SELECT count(*) FROM src) AS rows_read, "
+        f"(SELECT count(*) FROM src) AS rows_before_filtering, {kept} AS rows_after_filtering, {kept} AS rows_written"
+    )
+    q["sample_rows"] = with_src(
+        f"SELECT * FROM ({clean_sql(30, 500)}) ORDER BY event_date NULLS LAST, event_time NULLS LAST, "
+        "product_id NULLS LAST, user_id NULLS LAST, event_type NULLS LAST, user_session NULLS LAST LIMIT 20"
+    )
+    q["run_history"] = with_src(
+        f"SELECT * FROM ({' UNION ALL '.join(_scenario_rows(1, 1, 4))}) WHERE seq >= 1", SCENARIO_CTES
+    )
+    q["run_status"] = with_src(
+        f"SELECT * FROM ({_ledger_row(0, 'full_snapshot', 'NULL', 'NULL', 'src', 1, 4)})"
+    )
+    return q
+
+
+# Text read as missing (pandas read_csv defaults), as a SQL list.
+NA_LIST = (
+    "'', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', "
+    "'<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null'"
+)
+
+
+def _na(c: str) -> str:
+    return f"CASE WHEN {c} IN ({NA_LIST}) THEN NULL ELSE {c} END AS {c}"
+
+
+INGESTED = (
+    "SELECT date_trunc('second', event_time) AS event_time, "
+    + _na("event_type")
+    + ", product_id, category_id, "
+    + _na("category_code")
+    + ", "
+    + _na("brand")
+    + ", CASE WHEN event_id % 13 = 0 THEN NULL ELSE price END AS price, user_id, "
+    + _na("user_session")
+    + " FROM src"
+)
+
+
+def _ingest_queries() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["csv_ingest"] = with_src(INGESTED)
+    order = ", ".join(f"{c.strip()} ASC NULLS LAST" for c in SOURCE_COLS.split(","))
+    q["ingest_limit"] = with_src(f"SELECT * FROM ({INGESTED}) ORDER BY {order} LIMIT 2500")
+    q["ingest_append"] = with_src(f"{INGESTED} UNION ALL {INGESTED}")
+    q["ingest_event_time"] = with_src("SELECT event_id, event_time FROM src")
+    q["ingest_coerce_numeric"] = with_src(
+        "SELECT event_id, product_id, category_id, "
+        "CASE WHEN event_id % 13 = 0 THEN NULL "
+        "WHEN event_id % 3 = 1 THEN TRY_CAST(CAST(price AS VARCHAR) || '5' AS DECIMAL(14,2)) ELSE price END AS price, "
+        "CASE WHEN event_id % 3 = 2 THEN NULL ELSE user_id END AS user_id FROM src"
+    )
+    return q
+
+
+def _measures(types: tuple[str, ...]) -> str:
+    per_type = ", ".join(f"count_if(event_type = '{t}') AS {t}_events" for t in types)
+    return (
+        f"count(*) AS events, {per_type}, count(DISTINCT user_id) AS users, "
+        "CAST(coalesce(sum(CASE WHEN event_type = 'purchase' THEN price END), 0) AS DECIMAL(24,2)) AS revenue"
+    )
+
+
+def _mart_queries() -> dict[str, str]:
+    types = ("view", "click", "purchase")
+    clean = f"({clean_sql(30, 500)})"
+    q: dict[str, str] = {}
+    q["product_metrics"] = with_src(
+        f"SELECT event_date, product_id, {_measures(types)} FROM {clean} GROUP BY event_date, product_id"
+    )
+    q["category_metrics"] = with_src(
+        f"SELECT event_date, category_level_1, category_level_2, {_measures(types)} FROM {clean} "
+        "GROUP BY event_date, category_level_1, category_level_2"
+    )
+    flags = ", ".join(f"max(CASE WHEN event_type = '{t}' THEN 1 ELSE 0 END) AS s{i}" for i, t in enumerate(types, 1))
+    q["funnel_metrics"] = with_src(
+        "SELECT event_date, stage_1_users, stage_2_users, stage_3_users, "
+        "CASE WHEN stage_1_users > 0 THEN round(stage_2_users / stage_1_users, 6) END AS stage_2_rate, "
+        "CASE WHEN stage_2_users > 0 THEN round(stage_3_users / stage_2_users, 6) END AS stage_3_rate "
+        "FROM (SELECT event_date, CAST(sum(s1) AS BIGINT) AS stage_1_users, CAST(sum(s1 * s2) AS BIGINT) AS stage_2_users, "
+        "CAST(sum(s1 * s2 * s3) AS BIGINT) AS stage_3_users "
+        f"FROM (SELECT event_date, user_id, {flags} FROM {clean} WHERE user_id IS NOT NULL GROUP BY event_date, user_id) "
+        "GROUP BY event_date)"
+    )
     return q
