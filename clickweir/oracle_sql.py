@@ -185,7 +185,7 @@ def _increment_queries() -> dict[str, str]:
     q["incremental_run"] = with_src(" UNION ALL ".join(_scenario_rows(0, 1, 4)), SCENARIO_CTES)
     all_rows = "(SELECT * FROM src WHERE event_time IS NOT NULL)"
     q["incremental_empty"] = with_src(
-        f"SELECT *, 'inc-000000' AS load FROM ({_ledger_row(0, 'incremental', 'NULL', H2, all_rows, 30, 500)}) "
+        f"SELECT *, 'inc-first' AS load FROM ({_ledger_row(0, 'incremental', 'NULL', H2, all_rows, 30, 500)}) "
         f"UNION ALL SELECT *, NULL AS load FROM ({_ledger_row(1, 'incremental', H2, 'NULL', None, 30, 500)})",
         SCENARIO_CTES,
     )

@@ -74,7 +74,9 @@ def read_table(spark: SparkSession, target: Target | str) -> DataFrame:
     loads = t.ledger(spark).committed_loads()
     if not loads:
         return spark.createDataFrame([], TARGET_SCHEMA)
-    return spark.read.schema(TARGET_SCHEMA).parquet(*[t.load_path(x) for x in loads]).select(*TARGET_COLUMNS)
+    schema = T.StructType(TARGET_SCHEMA.fields + [T.StructField("load", T.StringType())])
+    reader = spark.read.schema(schema).option("basePath", t.data)
+    return reader.parquet(*[t.load_path(x) for x in loads]).select(*TARGET_COLUMNS)
 
 
 def _result(job_type: str, started: float, **extra) -> dict:
@@ -218,7 +220,7 @@ def run_incremental(
                 }
             )
             return res
-        load = f"inc-{low_seq:06d}"
+        load = "inc-first" if low_seq is None else f"inc-{low_seq:06d}"
         counts = CleanCounts()
         cleaned = clean_events(batch, caps, plan=plan, counts=counts)
         write_clean_table(cleaned, t.load_path(load), mode="overwrite")

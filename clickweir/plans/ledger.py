@@ -73,8 +73,9 @@ class Ledger:
         row = {f.name: record.get(f.name) for f in LEDGER_SCHEMA.fields}
         self.spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
-    def state(self, hwm_name: str | None = None) -> tuple[int, dt.datetime | None, int]:
-        """(next seq, current mark of ``hwm_name``, seq of the row that set it) in one aggregate."""
+    def state(self, hwm_name: str | None = None) -> tuple[int, dt.datetime | None, int | None]:
+        """(next seq, current mark of ``hwm_name``, seq of the row that set it
+        - None while no row ever has) in one aggregate."""
         sets = (F.col("status") == SUCCESS) & F.col("sets_mark")
         if hwm_name is not None:
             sets = sets & (F.col("hwm_name") == hwm_name)
@@ -87,7 +88,7 @@ class Ledger:
         return (
             0 if last is None else last + 1,
             None if mark is None else mark["hwm_high"],
-            0 if mark is None else mark["seq"],
+            None if mark is None else mark["seq"],
         )
 
     def committed_loads(self) -> list[str]:
