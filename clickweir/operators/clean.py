@@ -7,9 +7,17 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from clickweir.observe import observed
 from clickweir.operators.enrich import enrich
 from clickweir.operators.filters import require_columns
-from clickweir.operators.traffic_cap import BROADCAST_ROWS, DEFAULT_CAPS, Caps, cap_traffic
+from clickweir.operators.traffic_cap import (
+    BROADCAST_ROWS,
+    DEFAULT_CAPS,
+    Caps,
+    Violators,
+    cap_traffic,
+    drop_violators,
+)
 from clickweir.schema import TARGET_COLUMNS
 
 
@@ -22,16 +30,19 @@ class CleanCounts:
 
     @property
     def rows_before(self) -> int:
-        return int(self.before.get["rows"])
+        got = observed(self.before)
+        return 0 if got is None else int(got["rows"])
 
     @property
     def rows_after(self) -> int:
-        return int(self.after.get["rows"])
+        got = observed(self.after)
+        return 0 if got is None else int(got["rows"])
 
     @property
     def max_time(self):
         """Max event time over the rows in (nulls ignored)."""
-        return self.before.get["max_time"]
+        got = observed(self.before)
+        return None if got is None else got["max_time"]
 
 
 def clean_events(
@@ -40,6 +51,7 @@ def clean_events(
     plan: str = "violators",
     counts: CleanCounts | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
+    violators: Violators | None = None,
 ) -> DataFrame:
     """Source rows -> the 15 target columns.
 
@@ -50,20 +62,24 @@ def clean_events(
     ``plan="window"`` nothing runs until the caller's action.
 
     ``counts`` observes rows in and rows out on that final action, so a
-    job gets its counts without extra scans.
+    job gets its counts without extra scans. ``violators`` passes keys a
+    job already aggregated from exactly these rows.
     """
     source = df
     if counts is not None:
         source = df.observe(
             counts.before, F.count(F.lit(1)).alias("rows"), F.max("event_time").alias("max_time")
         )
-    kept = cap_traffic(
-        require_columns(source),
-        caps,
-        plan=plan,
-        broadcast_rows=broadcast_rows,
-        counts_from=require_columns(df),
-    )
+    if violators is not None:
+        kept = drop_violators(require_columns(source), violators, broadcast_rows)
+    else:
+        kept = cap_traffic(
+            require_columns(source),
+            caps,
+            plan=plan,
+            broadcast_rows=broadcast_rows,
+            counts_from=require_columns(df),
+        )
     out = enrich(kept).select(*TARGET_COLUMNS)
     if counts is not None:
         out = out.observe(counts.after, F.count(F.lit(1)).alias("rows"))

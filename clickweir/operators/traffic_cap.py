@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from clickweir.functions import minute_bucket
+from clickweir.observe import observed
 from clickweir.session import work_path
 
 
@@ -106,7 +107,7 @@ def find_violators(df: DataFrame, caps: Caps = DEFAULT_CAPS, path: str | None =
         .write.mode("overwrite")
         .parquet(path)
     )
-    got = obs.get
+    got = observed(obs) or {"minute_keys": 0, "session_keys": 0}
     return Violators(path, int(got["minute_keys"]), int(got["session_keys"]))
 
 

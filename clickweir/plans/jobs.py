@@ -17,12 +17,14 @@ import time
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickweir.observe import observed as observed_metrics
 from clickweir.operators.clean import CleanCounts, clean_events
-from clickweir.operators.traffic_cap import DEFAULT_CAPS, Caps
+from clickweir.operators.filters import require_columns
+from clickweir.operators.traffic_cap import DEFAULT_CAPS, Caps, Violators, find_violators
 from clickweir.plans.ledger import FAILED, FULL, INCREMENTAL, RESET, SUCCESS, Ledger
 from clickweir.schema import TARGET_COLUMNS, TARGET_SCHEMA
 from clickweir.sources.table import write_clean_table
@@ -164,6 +166,34 @@ def increment_bounds(
     return above.filter(col <= mark_literal(high, dtype)), high
 
 
+def _bounded_batch(
+    source: DataFrame, low: dt.datetime | None, caps: Caps, plan: str, hwm_column: str
+) -> tuple[DataFrame, dt.datetime | None, Violators | None]:
+    """(batch, high, violators): one pass for the bound and, with the
+    violator plan, the capped keys together.
+
+    The violator aggregate observes the max event time of the rows it
+    reads; the batch is then frozen to ``(low, high]`` so the final pass
+    reads the same rows the keys were counted over.
+    """
+    if plan != "violators":
+        batch, high = increment_bounds(source, low, hwm_column)
+        return batch, high, None
+    col = F.col(hwm_column)
+    dtype = source.schema[hwm_column].dataType
+    above = source if low is None else source.filter(col > mark_literal(low, dtype))
+    if low is None:
+        above = above.filter(col.isNotNull())
+    stats = Observation()
+    observed = above.observe(stats, F.max(col).alias("high"))
+    violators = find_violators(require_columns(observed), caps)
+    got = observed_metrics(stats)
+    high = got["high"] if got is not None else above.agg(F.max(col).alias("h")).first()["h"]
+    if high is None:
+        return above.limit(0), None, None
+    return above.filter(col <= mark_literal(high, dtype)), high, violators
+
+
 def run_incremental(
     spark: SparkSession,
     source: DataFrame,
@@ -195,7 +225,7 @@ def run_incremental(
     }
 
     def body():
-        batch, high = increment_bounds(source, low, hwm_column)
+        batch, high, violators = _bounded_batch(source, low, caps, plan, hwm_column)
         if high is None:
             res = _result(
                 INCREMENTAL,
@@ -222,7 +252,7 @@ def run_incremental(
             return res
         load = "inc-first" if low_seq is None else f"inc-{low_seq:06d}"
         counts = CleanCounts()
-        cleaned = clean_events(batch, caps, plan=plan, counts=counts)
+        cleaned = clean_events(batch, caps, plan=plan, counts=counts, violators=violators)
         write_clean_table(cleaned, t.load_path(load), mode="overwrite")
         res = _result(
             INCREMENTAL,

@@ -76,6 +76,8 @@ class Ledger:
     def state(self, hwm_name: str | None = None) -> tuple[int, dt.datetime | None, int | None]:
         """(next seq, current mark of ``hwm_name``, seq of the row that set it
         - None while no row ever has) in one aggregate."""
+        if not self.exists():
+            return 0, None, None
         sets = (F.col("status") == SUCCESS) & F.col("sets_mark")
         if hwm_name is not None:
             sets = sets & (F.col("hwm_name") == hwm_name)
@@ -94,9 +96,9 @@ class Ledger:
     def committed_loads(self) -> list[str]:
         """Loads of the published table, oldest first."""
         ok = self.runs().filter((F.col("status") == SUCCESS) & F.col("load").isNotNull())
-        last_full = ok.filter(F.col("job_type") == FULL).agg(F.max("seq").alias("s")).first()["s"]
-        visible = ok if last_full is None else ok.filter(F.col("seq") >= last_full)
-        return [r["load"] for r in visible.orderBy("seq").select("load").collect()]
+        rows = sorted(ok.select("seq", "job_type", "load").collect())
+        fulls = [i for i, r in enumerate(rows) if r["job_type"] == FULL]
+        return [r["load"] for r in rows[(fulls[-1] if fulls else 0):]]
 
     def history(self, limit: int = HISTORY_DEFAULT) -> DataFrame:
         """The latest ``limit`` runs, newest first."""
