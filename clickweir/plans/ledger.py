@@ -70,8 +70,18 @@ class Ledger:
         return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path)
 
     def append(self, record: dict) -> None:
-        row = {f.name: record.get(f.name) for f in LEDGER_SCHEMA.fields}
-        self.spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        """Append one row (built from literals on the JVM side: no Python rows)."""
+        cols = []
+        for f in LEDGER_SCHEMA.fields:
+            v = record.get(f.name)
+            if v is None:
+                c = F.lit(None).cast(f.dataType)
+            elif isinstance(f.dataType, T.TimestampNTZType):
+                c = F.lit(v.isoformat(sep=" ")).cast(f.dataType)
+            else:
+                c = F.lit(v).cast(f.dataType)
+            cols.append(c.alias(f.name))
+        self.spark.range(1).select(*cols).write.mode("append").parquet(self.path)
 
     def state(self, hwm_name: str | None = None) -> tuple[int, dt.datetime | None, int | None]:
         """(next seq, current mark of ``hwm_name``, seq of the row that set it
