@@ -213,6 +213,7 @@ def _job_queries() -> dict[str, str]:
         f"SELECT * FROM ({clean_sql(30, 500)}) ORDER BY event_date NULLS LAST, event_time NULLS LAST, "
         "product_id NULLS LAST, user_id NULLS LAST, event_type NULLS LAST, user_session NULLS LAST LIMIT 20"
     )
+    q["stream_increments"] = with_src(" UNION ALL ".join(_scenario_rows(0, 1, 4)[:2]), SCENARIO_CTES)
     q["run_history"] = with_src(
         f"SELECT * FROM ({' UNION ALL '.join(_scenario_rows(1, 1, 4))}) WHERE seq >= 1", SCENARIO_CTES
     )

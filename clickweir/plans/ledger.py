@@ -108,7 +108,8 @@ class Ledger:
         ok = self.runs().filter((F.col("status") == SUCCESS) & F.col("load").isNotNull())
         rows = sorted(ok.select("seq", "job_type", "load").collect())
         fulls = [i for i, r in enumerate(rows) if r["job_type"] == FULL]
-        return [r["load"] for r in rows[(fulls[-1] if fulls else 0):]]
+        # a load committed twice (a replayed stream batch) is read once
+        return list(dict.fromkeys(r["load"] for r in rows[(fulls[-1] if fulls else 0):]))
 
     def history(self, limit: int = HISTORY_DEFAULT) -> DataFrame:
         """The latest ``limit`` runs, newest first."""

@@ -48,6 +48,7 @@ from clickweir.plans.jobs import (
 )
 from clickweir.schema import TARGET_SORT
 from clickweir.session import work_path
+from clickweir.streaming import start_stream
 from clickweir.sources import (
     clickstream_source,
     clickstream_view,
@@ -239,6 +240,18 @@ def q_batch_max_time(spark, sf):
     return batch_max_time(clean_events(batch))
 
 
+def q_stream_increments(spark, sf):
+    """The source arrives as two files (up to SPLIT, then the rest); a
+    stream loads one file per micro-batch with the incremental job."""
+    src = _src(spark, sf)
+    landing = work_path(spark, "landing")
+    _as_of(src, SPLIT).coalesce(1).write.parquet(landing)  # one file per arrival, in order
+    src.filter(F.col("event_time") > mark_literal(SPLIT, _NTZ)).coalesce(1).write.mode("append").parquet(landing)
+    target = Target(work_path(spark, "stream"))
+    start_stream(spark, landing, target, TEST_CAPS, max_files_per_trigger=1).awaitTermination()
+    return target.ledger(spark).runs().select(*LEDGER_COLUMNS)
+
+
 # --- sinks and jobs --------------------------------------------------------
 
 
