@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickweir.fs import delete_path
 from clickweir.observe import observed as observed_metrics
 from clickweir.operators.clean import CleanCounts, clean_events
 from clickweir.operators.filters import require_columns
@@ -105,10 +106,12 @@ def run_full(
     set_hwm: bool = False,
     hwm_name: str = HWM_NAME,
     hwm_column: str = HWM_COLUMN,
+    rebalance: bool = False,
 ) -> dict:
     """Full refresh: clean the whole source into a new load, then publish
     it by one ledger append. Readers see the previous snapshot until then,
-    never an empty table. The mark is left alone unless ``set_hwm``."""
+    never an empty table. The mark is left alone unless ``set_hwm``.
+    ``rebalance``: see ``write_clean_table``."""
     t = _as_target(target)
     ledger = t.ledger(spark)
     started, started_at = time.time(), _now()
@@ -118,8 +121,9 @@ def run_full(
 
     def body():
         counts = CleanCounts()
-        cleaned = clean_events(source, caps, plan=plan, counts=counts)
-        write_clean_table(cleaned, t.load_path(load), mode="overwrite")
+        violators = find_violators(require_columns(source), caps) if plan == "violators" else None
+        cleaned = clean_events(source, caps, plan=plan, counts=counts, violators=violators)
+        write_clean_table(cleaned, t.load_path(load), mode="overwrite", rebalance=rebalance)
         res = _result(
             FULL,
             started,
@@ -143,6 +147,8 @@ def run_full(
                 "load": load,
             }
         )
+        if violators is not None:
+            delete_path(spark, violators.path)
         return res
 
     return _run_guarded(ledger, base, body)
@@ -190,6 +196,7 @@ def _bounded_batch(
     got = observed_metrics(stats)
     high = got["high"] if got is not None else above.agg(F.max(col).alias("h")).first()["h"]
     if high is None:
+        delete_path(source.sparkSession, violators.path)
         return above.limit(0), None, None
     return above.filter(col <= mark_literal(high, dtype)), high, violators
 
@@ -202,6 +209,7 @@ def run_incremental(
     plan: str = "violators",
     hwm_name: str = HWM_NAME,
     hwm_column: str = HWM_COLUMN,
+    rebalance: bool = False,
 ) -> dict:
     """Load the rows after the saved mark, then commit rows and mark together.
 
@@ -253,7 +261,7 @@ def run_incremental(
         load = "inc-first" if low_seq is None else f"inc-{low_seq:06d}"
         counts = CleanCounts()
         cleaned = clean_events(batch, caps, plan=plan, counts=counts, violators=violators)
-        write_clean_table(cleaned, t.load_path(load), mode="overwrite")
+        write_clean_table(cleaned, t.load_path(load), mode="overwrite", rebalance=rebalance)
         res = _result(
             INCREMENTAL,
             started,
@@ -278,6 +286,8 @@ def run_incremental(
                 "load": load,
             }
         )
+        if violators is not None:
+            delete_path(spark, violators.path)
         return res
 
     return _run_guarded(ledger, base, body)

@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickweir.fs import path_exists
+
 LEDGER_SCHEMA = T.StructType(
     [
         T.StructField("seq", T.LongType(), False),
@@ -60,9 +62,7 @@ class Ledger:
         self.path = path
 
     def exists(self) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+        return path_exists(self.spark, self.path)
 
     def runs(self) -> DataFrame:
         if not self.exists():

@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from clickweir.schema import TARGET_COLUMNS, TARGET_SCHEMA, TARGET_SORT
 
 
-def write_clean_table(df: DataFrame, path: str, mode: str = "overwrite", rebalance: bool = True) -> None:
-    """Write the 15 target columns, one folder per event date.
-
-    ``rebalance`` hash-distributes rows by date through a REBALANCE
-    exchange: AQE splits a hot date over several tasks and merges small
-    ones, so a date gets few files of a sensible size instead of one file
-    per input task.
+def write_clean_table(df: DataFrame, path: str, mode: str = "overwrite", rebalance: bool = False) -> None:
+    """Write the 15 target columns, one folder per event date, each file
+    sorted by ``(event_date, event_time, product_id)``.
+
+    By default there is no shuffle: each task writes its own rows. An
+    append-only event source is stored in time order, so a task covers
+    about one date and writes about one file. For a source that is not in
+    time order (every task would write a file for every date), set
+    ``rebalance``: a REBALANCE exchange on the date, which AQE sizes by
+    bytes (a hot date is split over several tasks, small ones merged).
     """
     out = df.select(*TARGET_COLUMNS)
     if rebalance:

@@ -98,10 +98,34 @@ def test_violator_aggregate_is_partial_and_uses_one_scan(spark, source_table):
     assert "Expand" in text and "partial_count" in text
 
 
-def test_clean_table_write_rebalances_by_date(spark, source_table):
-    path = work_path(spark, "plan-write")
-    df = clean_events(read_events(spark, source_table))
-    write_clean_table(df, path)
+def _files_and_dates(spark, path):
     files = spark.read.parquet(path).select(F.input_file_name().alias("f")).distinct().count()
     dates = spark.read.parquet(path).select("event_date").distinct().count()
-    assert files == dates  # one file per date at this size, not one per task and date
+    return files, dates
+
+
+def test_clean_table_write_layout(spark, source_table):
+    # an unordered source: every task holds every date
+    shuffled = read_events(spark, source_table).repartition(4)
+    plain, balanced = work_path(spark, "plan-write"), work_path(spark, "plan-write-rebalanced")
+    write_clean_table(clean_events(shuffled), plain)
+    write_clean_table(clean_events(shuffled), balanced, rebalance=True)
+    files, dates = _files_and_dates(spark, plain)
+    assert files == 4 * dates  # a file per task and date
+    files, dates = _files_and_dates(spark, balanced)
+    assert files == dates  # REBALANCE: one file per date at this size
+    # each file is sorted by the target's storage order
+    got = spark.read.parquet(balanced).select("event_date", "event_time", "product_id",
+                                              F.input_file_name().alias("f")).collect()
+    per_file = {}
+    for r in got:
+        per_file.setdefault(r["f"], []).append((r["event_time"], r["product_id"]))
+    assert all(v == sorted(v) for v in per_file.values())
+
+
+def test_time_ordered_source_writes_without_shuffle(spark, source_table):
+    path = work_path(spark, "plan-write-ordered")
+    df = clean_events(read_events(spark, source_table))
+    write_clean_table(df, path)
+    files, dates = _files_and_dates(spark, path)
+    assert files == dates  # one scan task over a time-ordered file: one file per date
