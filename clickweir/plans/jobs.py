@@ -28,6 +28,7 @@ from clickweir.operators.filters import require_columns
 from clickweir.operators.traffic_cap import DEFAULT_CAPS, Caps, Violators, find_violators
 from clickweir.plans.ledger import FAILED, FULL, INCREMENTAL, RESET, SUCCESS, Ledger
 from clickweir.schema import TARGET_COLUMNS, TARGET_SCHEMA
+from clickweir.session import work_path
 from clickweir.sources.table import write_clean_table
 
 # The mark's column and name.
@@ -71,6 +72,22 @@ def mark_literal(value: dt.datetime, dtype: T.DataType) -> Column:
     return text.cast("timestamp_ntz") if isinstance(dtype, T.TimestampNTZType) else text.cast(dtype)
 
 
+def stage_rows(source: DataFrame, hwm_column: str = HWM_COLUMN) -> tuple[DataFrame, str, dt.datetime | None, int]:
+    """Copy ``source`` once to the shared folder; later passes read the copy.
+
+    For a database source this is the only query the job sends, and every
+    count, the mark and the written rows then refer to the same snapshot.
+    Returns (copy, its path, max of ``hwm_column``, rows); both observed on
+    the copy's write, which has no exchange, so they are exact.
+    """
+    spark = source.sparkSession
+    path = work_path(spark, "stage")
+    stats = Observation()
+    source.observe(stats, F.max(hwm_column).alias("high"), F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    got = observed_metrics(stats) or {"high": None, "rows": 0}
+    return spark.read.schema(source.schema).parquet(path), path, got["high"], int(got["rows"])
+
+
 def read_table(spark: SparkSession, target: Target | str) -> DataFrame:
     """The published clean table: committed loads only."""
     t = _as_target(target)
@@ -107,11 +124,13 @@ def run_full(
     hwm_name: str = HWM_NAME,
     hwm_column: str = HWM_COLUMN,
     rebalance: bool = False,
+    stage: bool = False,
 ) -> dict:
     """Full refresh: clean the whole source into a new load, then publish
     it by one ledger append. Readers see the previous snapshot until then,
     never an empty table. The mark is left alone unless ``set_hwm``.
-    ``rebalance``: see ``write_clean_table``."""
+    ``rebalance``: see ``write_clean_table``; ``stage``: see ``stage_rows``
+    (for database sources)."""
     t = _as_target(target)
     ledger = t.ledger(spark)
     started, started_at = time.time(), _now()
@@ -120,9 +139,12 @@ def run_full(
     base = {"seq": seq, "run_id": uuid.uuid4().hex, "job_type": FULL, "started_at": started_at, "hwm_name": hwm_name}
 
     def body():
+        rows, staged = source, None
+        if stage:
+            rows, staged, _, _ = stage_rows(source, hwm_column)
         counts = CleanCounts()
-        violators = find_violators(require_columns(source), caps) if plan == "violators" else None
-        cleaned = clean_events(source, caps, plan=plan, counts=counts, violators=violators)
+        violators = find_violators(require_columns(rows), caps) if plan == "violators" else None
+        cleaned = clean_events(rows, caps, plan=plan, counts=counts, violators=violators)
         write_clean_table(cleaned, t.load_path(load), mode="overwrite", rebalance=rebalance)
         res = _result(
             FULL,
@@ -147,8 +169,9 @@ def run_full(
                 "load": load,
             }
         )
-        if violators is not None:
-            delete_path(spark, violators.path)
+        for scratch in (violators.path if violators else None, staged):
+            if scratch:
+                delete_path(spark, scratch)
         return res
 
     return _run_guarded(ledger, base, body)
@@ -210,6 +233,7 @@ def run_incremental(
     hwm_name: str = HWM_NAME,
     hwm_column: str = HWM_COLUMN,
     rebalance: bool = False,
+    stage: bool = False,
 ) -> dict:
     """Load the rows after the saved mark, then commit rows and mark together.
 
@@ -217,7 +241,8 @@ def run_incremental(
     which does not change until this run commits: a retry after a crash
     overwrites the same uncommitted folder, so no batch is loaded twice.
     Caps count only the rows of this batch. No new rows: zero counts, no
-    write, mark unchanged.
+    write, mark unchanged. ``stage`` copies the batch once first (see
+    ``stage_rows``; for database sources).
     """
     t = _as_target(target)
     ledger = t.ledger(spark)
@@ -233,8 +258,21 @@ def run_incremental(
     }
 
     def body():
-        batch, high, violators = _bounded_batch(source, low, caps, plan, hwm_column)
+        staged = None
+        if stage:
+            col = F.col(hwm_column)
+            dtype = source.schema[hwm_column].dataType
+            above = source.filter(col.isNotNull() if low is None else col > mark_literal(low, dtype))
+            rows, staged, high, _ = stage_rows(above, hwm_column)
+            violators = None
+            if high is not None and plan == "violators":
+                violators = find_violators(require_columns(rows), caps)
+            batch = rows
+        else:
+            batch, high, violators = _bounded_batch(source, low, caps, plan, hwm_column)
         if high is None:
+            if staged:
+                delete_path(spark, staged)
             res = _result(
                 INCREMENTAL,
                 started,
@@ -286,8 +324,9 @@ def run_incremental(
                 "load": load,
             }
         )
-        if violators is not None:
-            delete_path(spark, violators.path)
+        for scratch in (violators.path if violators else None, staged):
+            if scratch:
+                delete_path(spark, scratch)
         return res
 
     return _run_guarded(ledger, base, body)

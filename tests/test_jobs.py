@@ -179,3 +179,32 @@ def test_history_and_status(spark):
     assert ledger.status(ids[0]).first()["rows_read"] == 989
     with pytest.raises(KeyError):
         ledger.status(uuid.uuid4().hex)
+
+
+@pytest.mark.parametrize("plan", ["violators", "window"])
+def test_staged_runs_equal_direct_runs(spark, plan):
+    src = clickstream_source(spark, SF_MID)
+    first = src.filter(F.col("event_time") <= ntz(SPLIT))
+    direct, staged = new_target(spark), new_target(spark)
+    for t, stage in ((direct, False), (staged, True)):
+        run_incremental(spark, first, t, Caps(1, 4), plan=plan, stage=stage)
+        run_incremental(spark, src, t, Caps(1, 4), plan=plan, stage=stage)
+        run_incremental(spark, src, t, Caps(1, 4), plan=plan, stage=stage)
+    cols = ["seq", "hwm_low", "hwm_high", "rows_read", "rows_before_filtering", "rows_after_filtering", "rows_written"]
+    assert direct.ledger(spark).runs().select(*cols).orderBy("seq").collect() == \
+        staged.ledger(spark).runs().select(*cols).orderBy("seq").collect()
+    a, b = new_target(spark), new_target(spark)
+    ra = run_full(spark, src, a, plan=plan)
+    rb = run_full(spark, src, b, plan=plan, stage=True)
+    assert (ra["rows_before_filtering"], ra["rows_written"]) == (rb["rows_before_filtering"], rb["rows_written"]) == (10000, 9785)
+
+
+@pytest.mark.parametrize("plan", ["violators", "window"])
+def test_empty_source(spark, plan):
+    src = clickstream_source(spark, SF_SMALL).limit(0)
+    target = new_target(spark)
+    res = run_full(spark, src, target, plan=plan)
+    assert (res["rows_before_filtering"], res["rows_written"]) == (0, 0)
+    assert read_table(spark, target).count() == 0
+    res = run_incremental(spark, src, target, plan=plan)
+    assert res["rows_read"] == 0
