@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickweir.functions import minute_bucket
 from clickweir.observe import observed
@@ -47,6 +48,15 @@ BROADCAST_ROWS = 1_000_000
 MINUTE_KEYS = ("user_id", "event_minute")
 SESSION_KEYS = ("user_session",)
 
+VIOLATOR_SCHEMA = T.StructType(
+    [
+        T.StructField("by_minute", T.IntegerType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_minute", T.TimestampNTZType()),
+        T.StructField("user_session", T.StringType()),
+    ]
+)
+
 
 def with_minute(df: DataFrame, time_col: str = "event_time") -> DataFrame:
     return df.withColumn("event_minute", minute_bucket(time_col))
@@ -127,7 +137,7 @@ def drop_violators(
     """Plan (b), second pass: keep rows whose keys are not in ``violators``."""
     out = with_minute(df)
     if violators.minute_keys or violators.session_keys:
-        v = df.sparkSession.read.parquet(violators.path)
+        v = df.sparkSession.read.schema(VIOLATOR_SCHEMA).parquet(violators.path)
         out = _anti(out, v.filter("by_minute = 1"), MINUTE_KEYS, violators.minute_keys, broadcast_rows)
         out = _anti(out, v.filter("by_minute = 0"), SESSION_KEYS, violators.session_keys, broadcast_rows)
     return out.drop("event_minute")

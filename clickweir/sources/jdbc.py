@@ -9,6 +9,7 @@ on the returned DataFrame are pushed into the JDBC query by Catalyst.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickweir.schema import SOURCE_COLUMNS
 
@@ -58,6 +59,41 @@ def read_jdbc(
     return df.select(*columns) if columns else df
 
 
+def jdbc_bounds(spark: SparkSession, options: dict[str, str], column: str) -> tuple[object, object]:
+    """(min, max) of ``column``: one aggregate query computed by the database
+    (``pushDownAggregate``), not a scan of the table through Spark."""
+    row = (
+        read_jdbc(spark, {**options, "pushDownAggregate": "true"})
+        .agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
+        .first()
+    )
+    return row["lo"], row["hi"]
+
+
+def read_jdbc_parallel(
+    spark: SparkSession,
+    options: dict[str, str],
+    partition_column: str,
+    num_partitions: int,
+    columns: tuple[str, ...] | None = SOURCE_COLUMNS,
+    fetch_size: int = FETCH_SIZE,
+) -> DataFrame:
+    """Read in ``num_partitions`` range queries over ``partition_column``
+    (numeric, date or timestamp) between its current min and max."""
+    lo, hi = jdbc_bounds(spark, options, partition_column)
+    if lo is None:
+        return read_jdbc(spark, options, columns=columns, fetch_size=fetch_size)
+    return read_jdbc(
+        spark,
+        options,
+        columns=columns,
+        fetch_size=fetch_size,
+        partition_column=partition_column,
+        bounds=(lo, hi),
+        num_partitions=num_partitions,
+    )
+
+
 def read_jdbc_source(spark: SparkSession, options: dict[str, str], fetch_size: int = FETCH_SIZE, **kw) -> DataFrame:
     """The pruned nine-column read of the incremental job."""
     return read_jdbc(spark, options, columns=SOURCE_COLUMNS, fetch_size=fetch_size, **kw)
