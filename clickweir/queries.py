@@ -241,14 +241,16 @@ def q_batch_max_time(spark, sf):
 
 
 def q_stream_increments(spark, sf):
-    """The source arrives as two files (up to SPLIT, then the rest); a
-    stream loads one file per micro-batch with the incremental job."""
+    """The source lands in two arrivals (up to SPLIT, then the rest); after
+    each, the stream drains the new files as one micro-batch and loads it
+    with the incremental job."""
     src = _src(spark, sf)
     landing = work_path(spark, "landing")
-    _as_of(src, SPLIT).coalesce(1).write.parquet(landing)  # one file per arrival, in order
-    src.filter(F.col("event_time") > mark_literal(SPLIT, _NTZ)).coalesce(1).write.mode("append").parquet(landing)
     target = Target(work_path(spark, "stream"))
-    start_stream(spark, landing, target, TEST_CAPS, max_files_per_trigger=1).awaitTermination()
+    arrivals = [_as_of(src, SPLIT), src.filter(F.col("event_time") > mark_literal(SPLIT, _NTZ))]
+    for rows in arrivals:
+        rows.write.mode("append").parquet(landing)
+        start_stream(spark, landing, target, TEST_CAPS).awaitTermination()
     return target.ledger(spark).runs().select(*LEDGER_COLUMNS)
 
 

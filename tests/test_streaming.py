@@ -15,15 +15,15 @@ def test_stream_loads_new_files_once(spark):
     src = clickstream_source(spark, SF_SMALL)
     landing = work_path(spark, "test-landing")
     split = F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
-    src.filter(F.col("event_time") <= split).coalesce(1).write.parquet(landing)
-    src.filter(F.col("event_time") > split).coalesce(1).write.mode("append").parquet(landing)
     target = Target(work_path(spark, "test-stream"))
-    start_stream(spark, landing, target, max_files_per_trigger=1).awaitTermination()
+    for rows in (src.filter(F.col("event_time") <= split), src.filter(F.col("event_time") > split)):
+        rows.repartition(3).write.mode("append").parquet(landing)  # several files per arrival
+        start_stream(spark, landing, target).awaitTermination()
     runs = target.ledger(spark).runs().orderBy("seq").collect()
     assert [r["rows_read"] for r in runs] == [503, 486]
     assert read_table(spark, target).count() == 978
     # restart on the same checkpoint: nothing new, nothing reloaded
-    start_stream(spark, landing, target, max_files_per_trigger=1).awaitTermination()
+    start_stream(spark, landing, target).awaitTermination()
     assert target.ledger(spark).runs().count() == 2
     # a new file: one late row (at or below the mark, skipped) and one new row
     late = dt.datetime(2024, 1, 2)
@@ -32,8 +32,8 @@ def test_stream_loads_new_files_once(spark):
         (t, "view", 888888888, 1, "manual.test.category", "manual_brand", Decimal("99.99"), 123456789, "s")
         for t in (late, new)
     ]
-    spark.createDataFrame(rows, SOURCE_SCHEMA).coalesce(1).write.mode("append").parquet(landing)
-    start_stream(spark, landing, target, max_files_per_trigger=1).awaitTermination()
+    spark.createDataFrame(rows, SOURCE_SCHEMA).write.mode("append").parquet(landing)
+    start_stream(spark, landing, target).awaitTermination()
     last = target.ledger(spark).runs().orderBy(F.desc("seq")).first()
     assert (last["rows_read"], last["rows_written"]) == (1, 1)
     assert read_table(spark, target).count() == 979
