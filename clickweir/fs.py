@@ -21,3 +21,11 @@ def delete_path(spark: SparkSession, path: str) -> None:
     """Recursive delete; a missing path is fine."""
     fs, p = _fs_path(spark, path)
     fs.delete(p, True)
+
+
+def list_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the sub-folders of ``path`` (empty when it does not exist)."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickweir.fs import delete_path
+from clickweir.fs import delete_path, list_dirs
 from clickweir.observe import observed as observed_metrics
 from clickweir.operators.clean import CleanCounts, clean_events
 from clickweir.operators.filters import require_columns
@@ -99,6 +99,19 @@ def read_table(spark: SparkSession, target: Target | str) -> DataFrame:
     return reader.parquet(*[t.load_path(x) for x in loads]).select(*TARGET_COLUMNS)
 
 
+def vacuum(spark: SparkSession, target: Target | str) -> list[str]:
+    """Delete the folders of loads readers no longer see (superseded
+    snapshots, increments before them, failed attempts); returns their
+    names. Run it only while no job writes to the target, and when no
+    reader still scans an older snapshot."""
+    t = _as_target(target)
+    visible = {f"load={x}" for x in t.ledger(spark).committed_loads()}
+    gone = [d for d in list_dirs(spark, t.data) if d.startswith("load=") and d not in visible]
+    for d in gone:
+        delete_path(spark, f"{t.data}/{d}")
+    return gone
+
+
 def _result(job_type: str, started: float, **extra) -> dict:
     out = {"job_type": job_type, "status": SUCCESS, "duration_seconds": round(time.time() - started, 2)}
     out.update(extra)
@@ -125,12 +138,14 @@ def run_full(
     hwm_column: str = HWM_COLUMN,
     rebalance: bool = False,
     stage: bool = False,
+    vacuum_after: bool = False,
 ) -> dict:
     """Full refresh: clean the whole source into a new load, then publish
     it by one ledger append. Readers see the previous snapshot until then,
     never an empty table. The mark is left alone unless ``set_hwm``.
     ``rebalance``: see ``write_clean_table``; ``stage``: see ``stage_rows``
-    (for database sources)."""
+    (for database sources); ``vacuum_after`` frees the superseded loads
+    once the new snapshot is published (see ``vacuum``)."""
     t = _as_target(target)
     ledger = t.ledger(spark)
     started, started_at = time.time(), _now()
@@ -172,6 +187,8 @@ def run_full(
         for scratch in (violators.path if violators else None, staged):
             if scratch:
                 delete_path(spark, scratch)
+        if vacuum_after:
+            vacuum(spark, t)
         return res
 
     return _run_guarded(ledger, base, body)

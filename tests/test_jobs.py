@@ -208,3 +208,21 @@ def test_empty_source(spark, plan):
     assert read_table(spark, target).count() == 0
     res = run_incremental(spark, src, target, plan=plan)
     assert res["rows_read"] == 0
+
+
+def test_vacuum_frees_superseded_loads(spark):
+    from clickweir.fs import list_dirs
+    from clickweir.plans.jobs import vacuum
+
+    src = clickstream_source(spark, SF_SMALL)
+    target = new_target(spark)
+    run_incremental(spark, src.filter(F.col("event_time") <= ntz(SPLIT)), target)
+    run_full(spark, src, target, set_hwm=True)  # increments continue after the snapshot
+    run_incremental(spark, src.unionByName(manual_row(spark, dt.datetime(2030, 1, 1))), target)
+    before = read_table(spark, target).count()
+    assert before == 979
+    assert sorted(vacuum(spark, target)) == ["load=inc-first"]
+    assert read_table(spark, target).count() == before
+    run_full(spark, src, target, vacuum_after=True)
+    assert list_dirs(spark, target.data) == ["load=full-000003"]
+    assert read_table(spark, target).count() == 978
