@@ -11,7 +11,7 @@ from clickweir.observe import observed
 from clickweir.operators.enrich import enrich
 from clickweir.operators.filters import require_columns
 from clickweir.operators.traffic_cap import (
-    BROADCAST_ROWS,
+    BROADCAST_BYTES,
     DEFAULT_CAPS,
     Caps,
     Violators,
@@ -50,7 +50,7 @@ def clean_events(
     caps: Caps = DEFAULT_CAPS,
     plan: str = "violators",
     counts: CleanCounts | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     violators: Violators | None = None,
 ) -> DataFrame:
     """Source rows -> the 15 target columns.
@@ -71,13 +71,13 @@ def clean_events(
             counts.before, F.count(F.lit(1)).alias("rows"), F.max("event_time").alias("max_time")
         )
     if violators is not None:
-        kept = drop_violators(require_columns(source), violators, broadcast_rows)
+        kept = drop_violators(require_columns(source), violators, broadcast_bytes)
     else:
         kept = cap_traffic(
             require_columns(source),
             caps,
             plan=plan,
-            broadcast_rows=broadcast_rows,
+            broadcast_bytes=broadcast_bytes,
             counts_from=require_columns(df),
         )
     out = enrich(kept).select(*TARGET_COLUMNS)

@@ -13,10 +13,11 @@ Two plans give the same rows:
   (grouping sets, map-side partial counts: only keys and counts are
   shuffled) and writes the keys over their caps to the shared folder.
   The rows are then kept by a left-anti join on null-safe keys. The
-  violator count is known before the join is planned: up to
-  ``broadcast_rows`` it is broadcast and the rows are never shuffled;
-  above it the join is a sort-merge join whose skewed partitions AQE
-  splits. With no violators the join is left out.
+  size of each violator set is measured on the pass that writes it, so it
+  is known before the join is planned: up to ``broadcast_bytes`` it is
+  broadcast and the rows are never shuffled; above it the join is a
+  sort-merge join whose skewed partitions AQE splits. With no violators
+  the join is left out.
 """
 
 from __future__ import annotations
@@ -42,8 +43,11 @@ class Caps:
 # events per session.
 DEFAULT_CAPS = Caps(per_user_minute=30, per_session=500)
 
-# Violator keys broadcast up to this many rows (checked before planning).
-BROADCAST_ROWS = 1_000_000
+# A violator key set is broadcast up to this many bytes, measured on the
+# pass that finds it (before the join is planned); above it, shuffle join.
+BROADCAST_BYTES = 64 * 1024 * 1024
+# Per-key bytes counted besides a session's string: hash-table slot and row header.
+KEY_OVERHEAD = 16
 
 MINUTE_KEYS = ("user_id", "event_minute")
 SESSION_KEYS = ("user_session",)
@@ -100,6 +104,11 @@ class Violators:
     path: str
     minute_keys: int
     session_keys: int
+    session_bytes: int = 0
+
+    @property
+    def minute_bytes(self) -> int:
+        return self.minute_keys * (16 + KEY_OVERHEAD)  # bigint + timestamp
 
 
 def find_violators(df: DataFrame, caps: Caps = DEFAULT_CAPS, path: str | None = None) -> Violators:
@@ -113,33 +122,38 @@ def find_violators(df: DataFrame, caps: Caps = DEFAULT_CAPS, path: str | None =
             obs,
             F.coalesce(F.sum("by_minute"), F.lit(0)).alias("minute_keys"),
             F.coalesce(F.sum(1 - F.col("by_minute")), F.lit(0)).alias("session_keys"),
+            F.coalesce(
+                F.sum(F.when(F.col("by_minute") == 0, F.coalesce(F.octet_length("user_session"), F.lit(0)) + KEY_OVERHEAD)),
+                F.lit(0),
+            ).alias("session_bytes"),
         )
         .write.mode("overwrite")
         .parquet(path)
     )
-    got = observed(obs) or {"minute_keys": 0, "session_keys": 0}
-    return Violators(path, int(got["minute_keys"]), int(got["session_keys"]))
+    got = observed(obs) or {"minute_keys": 0, "session_keys": 0, "session_bytes": 0}
+    return Violators(path, int(got["minute_keys"]), int(got["session_keys"]), int(got["session_bytes"]))
 
 
-def _anti(df: DataFrame, keys: DataFrame, names: tuple[str, ...], n: int, broadcast_rows: int) -> DataFrame:
+def _anti(df: DataFrame, keys: DataFrame, names: tuple[str, ...], n: int, size: int, broadcast_bytes: int) -> DataFrame:
     if n == 0:
         return df
     renamed = keys.select(*[F.col(k).alias(f"__v_{k}") for k in names])
-    if n <= broadcast_rows:
+    if size <= broadcast_bytes:
         renamed = F.broadcast(renamed)
     cond = [df[k].eqNullSafe(renamed[f"__v_{k}"]) for k in names]
     return df.join(renamed, cond, "left_anti")
 
 
 def drop_violators(
-    df: DataFrame, violators: Violators, broadcast_rows: int = BROADCAST_ROWS
+    df: DataFrame, violators: Violators, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Plan (b), second pass: keep rows whose keys are not in ``violators``."""
     out = with_minute(df)
-    if violators.minute_keys or violators.session_keys:
-        v = df.sparkSession.read.schema(VIOLATOR_SCHEMA).parquet(violators.path)
-        out = _anti(out, v.filter("by_minute = 1"), MINUTE_KEYS, violators.minute_keys, broadcast_rows)
-        out = _anti(out, v.filter("by_minute = 0"), SESSION_KEYS, violators.session_keys, broadcast_rows)
+    v = violators
+    if v.minute_keys or v.session_keys:
+        keys = df.sparkSession.read.schema(VIOLATOR_SCHEMA).parquet(v.path)
+        out = _anti(out, keys.filter("by_minute = 1"), MINUTE_KEYS, v.minute_keys, v.minute_bytes, broadcast_bytes)
+        out = _anti(out, keys.filter("by_minute = 0"), SESSION_KEYS, v.session_keys, v.session_bytes, broadcast_bytes)
     return out.drop("event_minute")
 
 
@@ -147,7 +161,7 @@ def cap_traffic(
     df: DataFrame,
     caps: Caps = DEFAULT_CAPS,
     plan: str = "violators",
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     counts_from: DataFrame | None = None,
 ) -> DataFrame:
     """Drop capped groups. ``counts_from`` (plan b only) is the frame the
@@ -158,4 +172,4 @@ def cap_traffic(
     if plan != "violators":
         raise ValueError(f"unknown plan {plan!r}")
     violators = find_violators(counts_from if counts_from is not None else df, caps)
-    return drop_violators(df, violators, broadcast_rows)
+    return drop_violators(df, violators, broadcast_bytes)

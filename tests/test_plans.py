@@ -74,7 +74,7 @@ def test_violator_plan_without_broadcast_falls_back_to_shuffle_join(spark, sourc
     try:
         for k in keys:
             spark.conf.set(k, "-1")
-        out = drop_violators(src, find_violators(src, Caps(1, 4)), broadcast_rows=0)
+        out = drop_violators(src, find_violators(src, Caps(1, 4)), broadcast_bytes=0)
         out.collect()
         text = plan_text(out)
     finally:

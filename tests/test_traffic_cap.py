@@ -88,7 +88,7 @@ def test_plans_agree_and_respect_caps(spark, seed, caps):
     df = random_events(spark, 400, seed)
     a = cap_by_window(df, caps)
     b = cap_traffic(df, caps, plan="violators")
-    b_shuffle = drop_violators(df, find_violators(df, caps), broadcast_rows=0)
+    b_shuffle = drop_violators(df, find_violators(df, caps), broadcast_bytes=0)
     key = lambda r: r["product_id"]
     ra, rb, rc = (sorted(x.collect(), key=key) for x in (a, b, b_shuffle))
     assert ra == rb == rc
@@ -120,3 +120,16 @@ def test_fixture_default_caps_drop_null_session_rows(spark):
     assert clean_events(src).count() == 96888
     v = find_violators(src.filter("event_time is not null and product_id is not null"), Caps(30, 500))
     assert (v.minute_keys, v.session_keys) == (0, 1)
+
+
+def test_violator_sizes_are_measured(spark):
+    # sessions "long-session" (12 bytes) and null over cap 2; one user-minute over cap 2
+    data = rows(3, 1, "long-session") + [r for u in range(3) for r in rows(1, 10 + u, None, minute=5 + u)]
+    v = find_violators(frame(spark, data), Caps(2, 2))
+    assert (v.minute_keys, v.session_keys) == (1, 2)
+    assert v.session_bytes == (12 + 16) + (0 + 16)
+    assert v.minute_bytes == 32
+    # a zero byte budget turns the broadcast off; the result does not change
+    a = drop_violators(frame(spark, data), v)
+    b = drop_violators(frame(spark, data), v, broadcast_bytes=0)
+    assert a.count() == b.count() == 0
