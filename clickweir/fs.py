@@ -29,3 +29,15 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Full paths of the data files directly under ``path`` (hidden files skipped)."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return [
+        st.getPath().toString()
+        for st in fs.listStatus(p)
+        if st.isFile() and not st.getPath().getName().startswith(("_", "."))
+    ]

@@ -18,7 +18,7 @@ from clickweir.operators.traffic_cap import (
     cap_traffic,
     drop_violators,
 )
-from clickweir.schema import TARGET_COLUMNS
+from clickweir.schema import SOURCE_COLUMNS, TARGET_COLUMNS
 
 
 @dataclass
@@ -65,6 +65,9 @@ def clean_events(
     job gets its counts without extra scans. ``violators`` passes keys a
     job already aggregated from exactly these rows.
     """
+    missing = [c for c in SOURCE_COLUMNS if c not in df.columns]
+    if missing:
+        raise ValueError(f"source lacks columns {missing}")
     source = df
     if counts is not None:
         source = df.observe(

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickweir.fs import path_exists
+from clickweir.fs import delete_path, list_files, path_exists
 
 LEDGER_SCHEMA = T.StructType(
     [
@@ -65,9 +65,27 @@ class Ledger:
         return path_exists(self.spark, self.path)
 
     def runs(self) -> DataFrame:
+        """One row per run (a compaction in progress may show a row twice; dropped here)."""
         if not self.exists():
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
-        return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path)
+        return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path).dropDuplicates(["seq", "run_id"])
+
+    def compact(self) -> int:
+        """Rewrite the ledger's one-row files as one file; returns files removed.
+
+        The merged file is added before the old files are deleted, so a
+        reader never misses a row (``runs`` drops the transient duplicates).
+        Run it while no job writes to this target.
+        """
+        old = list_files(self.spark, self.path)
+        if len(old) <= 1:
+            return 0
+        self.spark.read.schema(LEDGER_SCHEMA).parquet(*old).dropDuplicates(["seq", "run_id"]).coalesce(1).write.mode(
+            "append"
+        ).parquet(self.path)
+        for f in old:
+            delete_path(self.spark, f)
+        return len(old)
 
     def append(self, record: dict) -> None:
         """Append one row (built from literals on the JVM side: no Python rows)."""
@@ -81,7 +99,7 @@ class Ledger:
             else:
                 c = F.lit(v).cast(f.dataType)
             cols.append(c.alias(f.name))
-        self.spark.range(1).select(*cols).write.mode("append").parquet(self.path)
+        self.spark.range(0, 1, 1, 1).select(*cols).write.mode("append").parquet(self.path)
 
     def state(self, hwm_name: str | None = None) -> tuple[int, dt.datetime | None, int | None]:
         """(next seq, current mark of ``hwm_name``, seq of the row that set it

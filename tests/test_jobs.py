@@ -226,3 +226,23 @@ def test_vacuum_frees_superseded_loads(spark):
     run_full(spark, src, target, vacuum_after=True)
     assert list_dirs(spark, target.data) == ["load=full-000003"]
     assert read_table(spark, target).count() == 978
+
+
+def test_ledger_compaction_keeps_every_run(spark):
+    src = clickstream_source(spark, SF_SMALL)
+    target = new_target(spark)
+    for _ in range(3):
+        run_incremental(spark, src, target)
+    ledger = target.ledger(spark)
+    before = sorted(ledger.runs().select("seq", "run_id", "rows_read").collect())
+    assert ledger.compact() == 3
+    assert sorted(ledger.runs().select("seq", "run_id", "rows_read").collect()) == before
+    assert ledger.compact() == 0
+    assert read_table(spark, target).count() == 978
+    assert run_incremental(spark, src, target)["rows_read"] == 0
+
+
+def test_missing_source_column_is_a_clear_error(spark):
+    src = clickstream_source(spark, SF_SMALL).drop("user_session")
+    with pytest.raises(ValueError, match="user_session"):
+        clean_events(src)
