@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
 
 from pyspark.sql import SparkSession
@@ -16,6 +17,7 @@ from clickweir.operators.traffic_cap import DEFAULT_CAPS, Caps
 from clickweir.plans import jobs
 from clickweir.plans.ledger import HISTORY_DEFAULT
 from clickweir.sources.csv_ingest import DEFAULT_LIMIT, ingest_csv
+from clickweir.sources.jdbc import jdbc_options, read_jdbc_parallel, read_jdbc_source
 from clickweir.sources.parquet import read_events
 
 
@@ -25,7 +27,16 @@ def _parser() -> argparse.ArgumentParser:
 
     def job(name: str, help_: str) -> argparse.ArgumentParser:
         c = sub.add_parser(name, help=help_)
-        c.add_argument("--source", required=True, help="Parquet source table")
+        src = c.add_mutually_exclusive_group(required=True)
+        src.add_argument("--source", help="Parquet source table")
+        src.add_argument("--jdbc-url", help="JDBC URL of the source database")
+        c.add_argument("--jdbc-table", default="raw.events")
+        c.add_argument("--jdbc-user")
+        c.add_argument("--jdbc-password-env", help="name of the environment variable holding the password")
+        c.add_argument("--jdbc-driver")
+        c.add_argument("--partition-column", help="read in parallel range queries over this column")
+        c.add_argument("--partitions", type=int, default=8)
+        c.add_argument("--stage", action="store_true", help="copy the batch once, then work on the copy")
         c.add_argument("--target", required=True, help="target root folder")
         c.add_argument("--max-per-minute", type=int, default=DEFAULT_CAPS.per_user_minute)
         c.add_argument("--max-per-session", type=int, default=DEFAULT_CAPS.per_session)
@@ -54,6 +65,16 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def _source(spark: SparkSession, args):
+    if args.source:
+        return read_events(spark, args.source)
+    password = os.environ.get(args.jdbc_password_env, "") if args.jdbc_password_env else None
+    opts = jdbc_options(args.jdbc_url, args.jdbc_table, user=args.jdbc_user, password=password, driver=args.jdbc_driver)
+    if args.partition_column:
+        return read_jdbc_parallel(spark, opts, args.partition_column, args.partitions)
+    return read_jdbc_source(spark, opts)
+
+
 def _rows(df) -> list[dict]:
     return [{k: (v.isoformat() if hasattr(v, "isoformat") else v) for k, v in r.asDict().items()} for r in df.collect()]
 
@@ -64,12 +85,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     c = args.command
     if c in ("full", "incremental", "preview"):
         caps = Caps(args.max_per_minute, args.max_per_session)
-        src = read_events(spark, args.source)
+        src = _source(spark, args)
         if c == "full":
             out = jobs.run_full(spark, src, args.target, caps, args.plan, set_hwm=args.set_hwm,
-                                rebalance=args.rebalance, vacuum_after=args.vacuum)
+                                rebalance=args.rebalance, stage=args.stage, vacuum_after=args.vacuum)
         elif c == "incremental":
-            out = jobs.run_incremental(spark, src, args.target, caps, args.plan, rebalance=args.rebalance)
+            out = jobs.run_incremental(spark, src, args.target, caps, args.plan, rebalance=args.rebalance,
+                                       stage=args.stage)
         else:
             p = jobs.preview_increment(spark, src, args.target, caps, args.plan)
             out = {"rows_read": p.rows_read, "rows_after_filtering": p.rows_after_filtering,
