@@ -38,8 +38,8 @@ TYPES = ("view", "click", "purchase")
 
 
 def final_plan(df) -> str:
-    df.write.format("noop").mode("overwrite").save()
-    text = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    df.collect()  # run this frame's own query execution, so its adaptive plan is final
+    text = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].rstrip().removesuffix("+-")
     out = []
     for line in text.splitlines():
         line = re.sub(r"#\d+L?", "", line)
@@ -74,7 +74,7 @@ def main() -> None:
         ("Funnel metrics", funnel_metrics(clean, TYPES)),
     ]
     print(f"# Physical plans\n\nGenerated by `explain_plans.py` on `{SF_DIR}` (source: 8 time-ordered Parquet files), "
-          "final adaptive plans, expression ids removed.\n")
+          "final adaptive plans (``*(n)`` marks a whole-stage codegen span), expression ids removed.\n")
     for title, df in cases:
         print(f"## {title}\n\n```\n{final_plan(df)}\n```\n")
     spark.stop()

@@ -129,3 +129,41 @@ def test_time_ordered_source_writes_without_shuffle(spark, source_table):
     write_clean_table(df, path)
     files, dates = _files_and_dates(spark, path)
     assert files == dates  # one scan task over a time-ordered file: one file per date
+
+
+def test_shuffle_fallback_splits_the_hot_null_session(spark):
+    """A third of the rows share the null session; without broadcast the
+    anti-join is a sort-merge join and AQE splits that hot partition."""
+    import datetime as dt
+
+    from clickweir.schema import SOURCE_SCHEMA
+
+    t0 = dt.datetime(2024, 1, 1)
+    data = [
+        (t0 + dt.timedelta(seconds=i), "view", i, 1, "a", "b", None, i % 7000, None if i % 3 == 0 else f"s{i % 5000}")
+        for i in range(30000)
+    ]
+    df = spark.createDataFrame(data, SOURCE_SCHEMA).repartition(8)
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        v = find_violators(df, Caps(30, 4))
+        assert (v.minute_keys, v.session_keys) == (0, 1)
+        out = drop_violators(df, v, broadcast_bytes=0)
+        assert out.count() == 20000
+        rows = out.collect()
+        text = plan_text(out)
+    finally:
+        for k, val in old.items():
+            spark.conf.unset(k) if val is None else spark.conf.set(k, val)
+    assert len(rows) == 20000
+    assert "SortMergeJoin(skew=true)" in text and "AQEShuffleRead skewed" in text
