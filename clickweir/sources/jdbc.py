@@ -100,10 +100,17 @@ def read_jdbc_source(spark: SparkSession, options: dict[str, str], fetch_size: i
 
 
 def write_jdbc(df: DataFrame, options: dict[str, str], mode: str = "append",
-               batch_size: int = WRITE_BATCH_SIZE, truncate: bool = False) -> None:
+               batch_size: int = WRITE_BATCH_SIZE, truncate: bool = False,
+               max_connections: int | None = None) -> None:
     """Append (or, with ``mode="overwrite", truncate=True``, empty the table
-    and load it, keeping its DDL) in batches of ``batch_size`` rows."""
+    and load it, keeping its DDL) in batches of ``batch_size`` rows.
+
+    Every write task holds one connection; ``max_connections`` caps them
+    (Spark coalesces to that many tasks) so a wide job cannot flood the
+    database."""
     writer = df.write.format("jdbc").options(**options).option("batchsize", batch_size)
+    if max_connections is not None:
+        writer = writer.option("numPartitions", max_connections)
     if truncate:
         writer = writer.option("truncate", "true")
     writer.mode(mode).save()

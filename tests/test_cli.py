@@ -18,3 +18,17 @@ def test_cli_job_cycle(spark, capsys):
     main(["reset", "--target", target], spark=spark)
     assert main(["incremental", "--source", source, "--target", target], spark=spark)["rows_read"] == 989
     assert '"rows_read": 989' in capsys.readouterr().out
+
+
+def test_cli_ingest(spark, tmp_path):
+    csv = tmp_path / "raw"
+    csv.mkdir()
+    (csv / "events.csv").write_text(
+        "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session\n"
+        "2019-10-01 00:00:00 UTC,view,1,2,a.b,x,1.50,3,s\n"
+        "bad,view,x,2,nan,x,nan,3,s\n"
+    )
+    table = work_path(spark, "cli-ingest")
+    assert main(["ingest", "--csv", str(csv), "--table", table, "--limit", "0"], spark=spark)["rows_loaded"] == 2
+    assert main(["ingest", "--csv", str(csv), "--table", table, "--append", "--limit", "1"], spark=spark)["rows_loaded"] == 1
+    assert spark.read.parquet(table).count() == 3
