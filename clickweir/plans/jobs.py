@@ -118,6 +118,22 @@ def _result(job_type: str, started: float, **extra) -> dict:
     return out
 
 
+def _commit(ledger: Ledger, base: dict, started: float, before: int, after: int, with_read: bool, **row) -> dict:
+    """Append the run's success row (its commit) and return its result record.
+
+    The record has the reference's fields: counts in, after filtering and
+    written (plus rows read for increments)."""
+    counts = {"rows_before_filtering": before, "rows_after_filtering": after, "rows_written": after}
+    if with_read:
+        counts = {"rows_read": before, **counts}
+    res = _result(base["job_type"], started, run_id=base["run_id"], **counts)
+    ledger.append(
+        {**base, "status": SUCCESS, "finished_at": _now(), "duration_seconds": res["duration_seconds"],
+         "rows_read": before, **counts, **row}
+    )
+    return res
+
+
 def _run_guarded(ledger: Ledger, base: dict, body):
     """Run ``body``; on failure append a failed ledger row and re-raise."""
     try:
@@ -161,28 +177,9 @@ def run_full(
         violators = find_violators(require_columns(rows), caps) if plan == "violators" else None
         cleaned = clean_events(rows, caps, plan=plan, counts=counts, violators=violators)
         write_clean_table(cleaned, t.load_path(load), mode="overwrite", rebalance=rebalance)
-        res = _result(
-            FULL,
-            started,
-            run_id=base["run_id"],
-            rows_before_filtering=counts.rows_before,
-            rows_after_filtering=counts.rows_after,
-            rows_written=counts.rows_after,
-        )
-        ledger.append(
-            {
-                **base,
-                "status": SUCCESS,
-                "finished_at": _now(),
-                "duration_seconds": res["duration_seconds"],
-                "rows_read": counts.rows_before,
-                "rows_before_filtering": counts.rows_before,
-                "rows_after_filtering": counts.rows_after,
-                "rows_written": counts.rows_after,
-                "hwm_high": counts.max_time if set_hwm else None,
-                "sets_mark": bool(set_hwm),
-                "load": load,
-            }
+        res = _commit(
+            ledger, base, started, counts.rows_before, counts.rows_after, False,
+            hwm_high=counts.max_time if set_hwm else None, sets_mark=bool(set_hwm), load=load,
         )
         for scratch in (violators.path if violators else None, staged):
             if scratch:
@@ -213,23 +210,29 @@ def increment_bounds(
 
 
 def _bounded_batch(
-    source: DataFrame, low: dt.datetime | None, caps: Caps, plan: str, hwm_column: str
-) -> tuple[DataFrame, dt.datetime | None, Violators | None]:
-    """(batch, high, violators): one pass for the bound and, with the
-    violator plan, the capped keys together.
-
-    The violator aggregate observes the max event time of the rows it
-    reads; the batch is then frozen to ``(low, high]`` so the final pass
-    reads the same rows the keys were counted over.
+    source: DataFrame, low: dt.datetime | None, caps: Caps, plan: str, hwm_column: str, stage: bool
+) -> tuple[DataFrame, dt.datetime | None, Violators | None, str | None]:
+    """(batch, high, violators, staged copy): the bound found on a pass
+    the job makes anyway.
+
+    With ``stage`` the rows above the mark are copied once and ``high`` is
+    observed on that write. Otherwise the violator aggregate observes it
+    on the rows it reads, and the batch is frozen to ``(low, high]`` so
+    the final pass reads the rows the keys were counted over.
     """
-    if plan != "violators":
-        batch, high = increment_bounds(source, low, hwm_column)
-        return batch, high, None
     col = F.col(hwm_column)
     dtype = source.schema[hwm_column].dataType
-    above = source if low is None else source.filter(col > mark_literal(low, dtype))
-    if low is None:
-        above = above.filter(col.isNotNull())
+    above = source.filter(col.isNotNull() if low is None else col > mark_literal(low, dtype))
+    if stage:
+        rows, staged, high, _ = stage_rows(above, hwm_column)
+        if high is None:
+            delete_path(source.sparkSession, staged)
+            return rows, None, None, None
+        violators = find_violators(require_columns(rows), caps) if plan == "violators" else None
+        return rows, high, violators, staged
+    if plan != "violators":
+        batch, high = increment_bounds(source, low, hwm_column)
+        return batch, high, None, None
     stats = Observation()
     observed = above.observe(stats, F.max(col).alias("high"))
     violators = find_violators(require_columns(observed), caps)
@@ -237,8 +240,8 @@ def _bounded_batch(
     high = got["high"] if got is not None else above.agg(F.max(col).alias("h")).first()["h"]
     if high is None:
         delete_path(source.sparkSession, violators.path)
-        return above.limit(0), None, None
-    return above.filter(col <= mark_literal(high, dtype)), high, violators
+        return above.limit(0), None, None, None
+    return above.filter(col <= mark_literal(high, dtype)), high, violators, None
 
 
 def run_incremental(
@@ -275,71 +278,16 @@ def run_incremental(
     }
 
     def body():
-        staged = None
-        if stage:
-            col = F.col(hwm_column)
-            dtype = source.schema[hwm_column].dataType
-            above = source.filter(col.isNotNull() if low is None else col > mark_literal(low, dtype))
-            rows, staged, high, _ = stage_rows(above, hwm_column)
-            violators = None
-            if high is not None and plan == "violators":
-                violators = find_violators(require_columns(rows), caps)
-            batch = rows
-        else:
-            batch, high, violators = _bounded_batch(source, low, caps, plan, hwm_column)
+        batch, high, violators, staged = _bounded_batch(source, low, caps, plan, hwm_column, stage)
         if high is None:
-            if staged:
-                delete_path(spark, staged)
-            res = _result(
-                INCREMENTAL,
-                started,
-                run_id=base["run_id"],
-                rows_read=0,
-                rows_before_filtering=0,
-                rows_after_filtering=0,
-                rows_written=0,
-            )
-            ledger.append(
-                {
-                    **base,
-                    "status": SUCCESS,
-                    "finished_at": _now(),
-                    "duration_seconds": res["duration_seconds"],
-                    "rows_read": 0,
-                    "rows_before_filtering": 0,
-                    "rows_after_filtering": 0,
-                    "rows_written": 0,
-                    "sets_mark": False,
-                }
-            )
-            return res
+            return _commit(ledger, base, started, 0, 0, True, sets_mark=False)
         load = "inc-first" if low_seq is None else f"inc-{low_seq:06d}"
         counts = CleanCounts()
         cleaned = clean_events(batch, caps, plan=plan, counts=counts, violators=violators)
         write_clean_table(cleaned, t.load_path(load), mode="overwrite", rebalance=rebalance)
-        res = _result(
-            INCREMENTAL,
-            started,
-            run_id=base["run_id"],
-            rows_read=counts.rows_before,
-            rows_before_filtering=counts.rows_before,
-            rows_after_filtering=counts.rows_after,
-            rows_written=counts.rows_after,
-        )
-        ledger.append(
-            {
-                **base,
-                "status": SUCCESS,
-                "finished_at": _now(),
-                "duration_seconds": res["duration_seconds"],
-                "rows_read": counts.rows_before,
-                "rows_before_filtering": counts.rows_before,
-                "rows_after_filtering": counts.rows_after,
-                "rows_written": counts.rows_after,
-                "hwm_high": high,
-                "sets_mark": True,
-                "load": load,
-            }
+        res = _commit(
+            ledger, base, started, counts.rows_before, counts.rows_after, True,
+            hwm_high=high, sets_mark=True, load=load,
         )
         for scratch in (violators.path if violators else None, staged):
             if scratch:
