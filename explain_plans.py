@@ -15,6 +15,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from clickweir.operators import (  # noqa: E402
     Caps,
     cap_by_window,
@@ -73,10 +75,29 @@ def main() -> None:
         ("Category metrics", category_metrics(clean, TYPES)),
         ("Funnel metrics", funnel_metrics(clean, TYPES)),
     ]
+    # the shuffle fallback on a hot key: a third of the rows share the null session
+    hot = src.withColumn("user_session", F.when(F.col("user_id") % 3 == 0, F.lit(None)).otherwise(F.col("user_session")))
+    hot = require_columns(hot)
+    skew_conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for k, val in skew_conf.items():
+        spark.conf.set(k, val)
+    fallback = final_plan(drop_violators(hot, find_violators(hot, Caps(30, 500)), broadcast_bytes=0))
+    for k in skew_conf:
+        spark.conf.unset(k)
     print(f"# Physical plans\n\nGenerated by `explain_plans.py` on `{SF_DIR}` (source: 8 time-ordered Parquet files), "
           "final adaptive plans (``*(n)`` marks a whole-stage codegen span), expression ids removed.\n")
     for title, df in cases:
         print(f"## {title}\n\n```\n{final_plan(df)}\n```\n")
+    print("## Shuffle fallback with a hot key (broadcast off, skew thresholds scaled down to this data size)\n")
+    print("A third of the rows get a null session, the violator set is joined without broadcast, and AQE splits the")
+    print(f"hot partition (`SortMergeJoin(skew=true)`, `AQEShuffleRead skewed`).\n\n```\n{fallback}\n```\n")
     spark.stop()
 
 
