@@ -39,3 +39,13 @@ def minute_bucket(c: Column | str) -> Column:
     return F.make_timestamp_ntz(
         F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c), F.lit(0)
     )
+
+
+def wall_clock(c: Column | str) -> Column:
+    """A timestamp as TIMESTAMP_NTZ (a zoned value becomes its wall clock in
+    the session zone; NTZ stays as it is).
+
+    Marks are collected through this, so the value the driver holds never
+    depends on the Python process's own time zone.
+    """
+    return _col(c).cast("timestamp_ntz")

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from clickweir.functions import wall_clock
 from clickweir.observe import observed
 from clickweir.operators.enrich import enrich
 from clickweir.operators.filters import require_columns
@@ -71,7 +72,7 @@ def clean_events(
     source = df
     if counts is not None:
         source = df.observe(
-            counts.before, F.count(F.lit(1)).alias("rows"), F.max("event_time").alias("max_time")
+            counts.before, F.count(F.lit(1)).alias("rows"), F.max(wall_clock("event_time")).alias("max_time")
         )
     if violators is not None:
         kept = drop_violators(require_columns(source), violators, broadcast_bytes)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickweir.fs import delete_path, list_dirs
+from clickweir.functions import wall_clock
 from clickweir.observe import observed as observed_metrics
 from clickweir.operators.clean import CleanCounts, clean_events
 from clickweir.operators.filters import require_columns
@@ -66,8 +67,10 @@ def _now() -> dt.datetime:
 
 
 def mark_literal(value: dt.datetime, dtype: T.DataType) -> Column:
-    """A mark as a literal of the source column's type, built from text so
-    it never passes through the session zone for TIMESTAMP_NTZ."""
+    """A mark (a wall-clock value, see ``wall_clock``) as a literal of the
+    source column's type. Built from text: for TIMESTAMP_NTZ it never
+    passes through a zone; for TIMESTAMP it is read in the session zone,
+    the zone the mark was taken in."""
     text = F.lit(value.isoformat(sep=" "))
     return text.cast("timestamp_ntz") if isinstance(dtype, T.TimestampNTZType) else text.cast(dtype)
 
@@ -83,7 +86,7 @@ def stage_rows(source: DataFrame, hwm_column: str = HWM_COLUMN) -> tuple[DataFra
     spark = source.sparkSession
     path = work_path(spark, "stage")
     stats = Observation()
-    source.observe(stats, F.max(hwm_column).alias("high"), F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    source.observe(stats, F.max(wall_clock(hwm_column)).alias("high"), F.count(F.lit(1)).alias("rows")).write.parquet(path)
     got = observed_metrics(stats) or {"high": None, "rows": 0}
     return spark.read.schema(source.schema).parquet(path), path, got["high"], int(got["rows"])
 
@@ -203,7 +206,7 @@ def increment_bounds(
     col = F.col(hwm_column)
     dtype = source.schema[hwm_column].dataType
     above = source if low is None else source.filter(col > mark_literal(low, dtype))
-    high = above.agg(F.max(col).alias("high")).first()["high"]
+    high = above.agg(F.max(wall_clock(col)).alias("high")).first()["high"]
     if high is None:
         return above.limit(0), None
     return above.filter(col <= mark_literal(high, dtype)), high
@@ -234,10 +237,10 @@ def _bounded_batch(
         batch, high = increment_bounds(source, low, hwm_column)
         return batch, high, None, None
     stats = Observation()
-    observed = above.observe(stats, F.max(col).alias("high"))
+    observed = above.observe(stats, F.max(wall_clock(col)).alias("high"))
     violators = find_violators(require_columns(observed), caps)
     got = observed_metrics(stats)
-    high = got["high"] if got is not None else above.agg(F.max(col).alias("h")).first()["h"]
+    high = got["high"] if got is not None else above.agg(F.max(wall_clock(col)).alias("h")).first()["h"]
     if high is None:
         delete_path(source.sparkSession, violators.path)
         return above.limit(0), None, None, None
@@ -355,6 +358,6 @@ def preview_increment(
         return Preview(0, 0, None, batch.select(*PREVIEW_COLUMNS[:4]).limit(0))
     counts = CleanCounts()
     cleaned = clean_events(batch, caps, plan=plan, counts=counts)
-    row = cleaned.agg(F.max(hwm_column).alias("m")).first()
+    row = cleaned.agg(F.max(wall_clock(hwm_column)).alias("m")).first()
     first = cleaned.select(*PREVIEW_COLUMNS).orderBy(*PREVIEW_COLUMNS).limit(n)
     return Preview(counts.rows_before, counts.rows_after, row["m"], first)

@@ -246,3 +246,41 @@ def test_missing_source_column_is_a_clear_error(spark):
     src = clickstream_source(spark, SF_SMALL).drop("user_session")
     with pytest.raises(ValueError, match="user_session"):
         clean_events(src)
+
+
+@pytest.fixture
+def driver_zone_tokyo():
+    """Run with the driver process in another zone than the session (UTC)."""
+    import os
+    import time
+
+    old = os.environ.get("TZ")
+    os.environ["TZ"] = "Asia/Tokyo"
+    time.tzset()
+    yield
+    if old is None:
+        os.environ.pop("TZ")
+    else:
+        os.environ["TZ"] = old
+    time.tzset()
+
+
+def test_zoned_timestamp_source_behaves_like_ntz(spark, driver_zone_tokyo):
+    """A JDBC source delivers TIMESTAMP (zoned) instead of TIMESTAMP_NTZ."""
+    ntz_src = clickstream_source(spark, SF_SMALL)
+    ltz_src = ntz_src.withColumn("event_time", F.col("event_time").cast("timestamp"))
+    key = lambda r: (r["event_time"], r["product_id"], r["user_id"], r["event_type"])
+    a = sorted(clean_events(ntz_src, Caps(1, 4)).collect(), key=key)
+    b = clean_events(ltz_src, Caps(1, 4)).withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+    b = sorted(b.collect(), key=key)
+    assert len(a) == len(b) == 806
+    assert [key(r) for r in a] == [key(r) for r in b]  # UTC session: same wall clock
+    t1, t2 = new_target(spark), new_target(spark)
+    for t, src in ((t1, ntz_src), (t2, ltz_src)):
+        run_incremental(spark, src.filter(F.col("event_time") <= F.lit("2024-01-15 12:00:00").cast(src.schema["event_time"].dataType)), t)
+        run_incremental(spark, src, t)
+    cols = ["seq", "rows_read", "rows_written", "hwm_low", "hwm_high"]
+    r1 = t1.ledger(spark).runs().select(*cols).orderBy("seq").collect()
+    r2 = t2.ledger(spark).runs().select(*cols).orderBy("seq").collect()
+    assert r1 == r2
+    assert [r["rows_read"] for r in r1] == [503, 486]
