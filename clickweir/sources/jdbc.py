@@ -1,4 +1,4 @@
-"""JDBC source and sink (the reference reads PostgreSQL and writes ClickHouse).
+"""JDBC source and sink: a relational source table in, a warehouse table out.
 
 Reads are split into parallel range queries when a numeric, date or
 timestamp ``partition_column`` is given; the bounds come from one
