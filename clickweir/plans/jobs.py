@@ -184,7 +184,7 @@ def run_full(
             ledger, base, started, counts.rows_before, counts.rows_after, False,
             hwm_high=counts.max_time if set_hwm else None, sets_mark=bool(set_hwm), load=load,
         )
-        for scratch in (violators.path if violators else None, staged):
+        for scratch in (violators.path if violators and violators.path else None, staged):
             if scratch:
                 delete_path(spark, scratch)
         if vacuum_after:
@@ -227,11 +227,15 @@ def _bounded_batch(
     dtype = source.schema[hwm_column].dataType
     above = source.filter(col.isNotNull() if low is None else col > mark_literal(low, dtype))
     if stage:
-        rows, staged, high, _ = stage_rows(above, hwm_column)
+        rows, staged, high, n = stage_rows(above, hwm_column)
         if high is None:
             delete_path(source.sparkSession, staged)
             return rows, None, None, None
-        violators = find_violators(require_columns(rows), caps) if plan == "violators" else None
+        violators = None
+        if plan == "violators":
+            # no group can exceed a cap when the whole batch is within the smaller one
+            fits = n <= min(caps.per_user_minute, caps.per_session)
+            violators = Violators("", 0, 0) if fits else find_violators(require_columns(rows), caps)
         return rows, high, violators, staged
     if plan != "violators":
         batch, high = increment_bounds(source, low, hwm_column)
@@ -292,7 +296,7 @@ def run_incremental(
             ledger, base, started, counts.rows_before, counts.rows_after, True,
             hwm_high=high, sets_mark=True, load=load,
         )
-        for scratch in (violators.path if violators else None, staged):
+        for scratch in (violators.path if violators and violators.path else None, staged):
             if scratch:
                 delete_path(spark, scratch)
         return res

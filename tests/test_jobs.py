@@ -284,3 +284,18 @@ def test_zoned_timestamp_source_behaves_like_ntz(spark, driver_zone_tokyo):
     r2 = t2.ledger(spark).runs().select(*cols).orderBy("seq").collect()
     assert r1 == r2
     assert [r["rows_read"] for r in r1] == [503, 486]
+
+
+def test_staged_small_batch_skips_the_violator_pass(spark, monkeypatch):
+    from clickweir.plans import jobs as J
+
+    src = clickstream_source(spark, SF_SMALL)
+    target = new_target(spark)
+    run_full(spark, src, target, set_hwm=True)
+    calls = []
+    real = J.find_violators
+    monkeypatch.setattr(J, "find_violators", lambda *a, **k: calls.append(1) or real(*a, **k))
+    grown = src.unionByName(manual_row(spark, dt.datetime(2030, 1, 1)))
+    res = run_incremental(spark, grown, target, stage=True)
+    assert res["rows_written"] == 1 and calls == []
+    assert read_table(spark, target).count() == 979
