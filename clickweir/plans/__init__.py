@@ -1,0 +1,36 @@
+"""Composite jobs: full refresh, increments, preview, marks, ledger."""
+
+from clickweir.plans.jobs import (
+    HWM_COLUMN,
+    HWM_NAME,
+    Preview,
+    Target,
+    increment_bounds,
+    preview_batch,
+    preview_increment,
+    read_table,
+    reset_mark,
+    run_full,
+    run_incremental,
+    stage_rows,
+    vacuum,
+)
+from clickweir.plans.ledger import LEDGER_SCHEMA, Ledger
+
+__all__ = [
+    "HWM_COLUMN",
+    "HWM_NAME",
+    "LEDGER_SCHEMA",
+    "Ledger",
+    "Preview",
+    "Target",
+    "increment_bounds",
+    "preview_batch",
+    "preview_increment",
+    "read_table",
+    "reset_mark",
+    "run_full",
+    "run_incremental",
+    "stage_rows",
+    "vacuum",
+]
