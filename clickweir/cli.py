@@ -12,10 +12,12 @@ import os
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from clickweir.operators.traffic_cap import DEFAULT_CAPS, Caps
 from clickweir.plans import jobs
 from clickweir.plans.ledger import HISTORY_DEFAULT
+from clickweir.plans.marts_job import MARTS, load_dates, refresh_marts
 from clickweir.sources.csv_ingest import DEFAULT_LIMIT, ingest_csv
 from clickweir.sources.jdbc import jdbc_options, read_jdbc_parallel, read_jdbc_source
 from clickweir.sources.parquet import read_events
@@ -57,6 +59,10 @@ def _parser() -> argparse.ArgumentParser:
     s = sub.add_parser("status")
     s.add_argument("--target", required=True)
     s.add_argument("--run-id", required=True)
+    m = sub.add_parser("marts", help="build the summary tables from the published clean table")
+    m.add_argument("--target", required=True)
+    m.add_argument("--out", required=True, help="root folder of the summary tables")
+    m.add_argument("--last-load", action="store_true", help="only the dates the latest load wrote")
     i = sub.add_parser("ingest", help="raw CSV -> Parquet source table")
     i.add_argument("--csv", required=True)
     i.add_argument("--table", required=True)
@@ -102,6 +108,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         out = {"reset": True}
     elif c == "vacuum":
         out = {"deleted": jobs.vacuum(spark, args.target)}
+    elif c == "marts":
+        dates = None
+        if args.last_load:
+            runs = jobs.Target(args.target).ledger(spark).runs().filter("status = 'success' AND load IS NOT NULL")
+            last = runs.orderBy(F.desc("seq")).first()
+            dates = load_dates(spark, args.target, last["load"]) if last else []
+        refresh_marts(spark, args.target, args.out, dates)
+        out = {"tables": list(MARTS), "dates": None if dates is None else [d.isoformat() for d in dates]}
     elif c == "history":
         out = {"items": _rows(jobs.Target(args.target).ledger(spark).history(args.limit))}
     elif c == "status":

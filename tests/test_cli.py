@@ -15,6 +15,10 @@ def test_cli_job_cycle(spark, capsys):
     hist = main(["history", "--target", target, "--limit", "5"], spark=spark)["items"]
     assert [h["job_type"] for h in hist] == ["incremental", "full_snapshot"]
     assert main(["status", "--target", target, "--run-id", full["run_id"]], spark=spark)["rows_written"] == 978
+    out = work_path(spark, "cli-marts")
+    assert main(["marts", "--target", target, "--out", out], spark=spark)["dates"] is None
+    # the latest load is the full snapshot (the empty increment wrote none): all 30 dates
+    assert len(main(["marts", "--target", target, "--out", out, "--last-load"], spark=spark)["dates"]) == 30
     main(["reset", "--target", target], spark=spark)
     assert main(["incremental", "--source", source, "--target", target], spark=spark)["rows_read"] == 989
     assert '"rows_read": 989' in capsys.readouterr().out

@@ -299,3 +299,32 @@ def test_staged_small_batch_skips_the_violator_pass(spark, monkeypatch):
     res = run_incremental(spark, grown, target, stage=True)
     assert res["rows_written"] == 1 and calls == []
     assert read_table(spark, target).count() == 979
+
+
+def test_refresh_marts_full_then_touched_dates(spark):
+    from clickweir.operators import product_metrics
+    from clickweir.plans.marts_job import load_dates, refresh_marts
+
+    types = ("view", "click", "purchase")
+    src = clickstream_source(spark, SF_SMALL)
+    target = new_target(spark)
+    marts = work_path(spark, "test-marts")
+    run_full(spark, src, target, set_hwm=True)
+    refresh_marts(spark, target, marts, event_types=types, stages=types)
+    key = lambda r: (str(r["event_date"]), r["product_id"])
+    direct = sorted(product_metrics(read_table(spark, target), types).collect(), key=key)
+    stored = spark.read.parquet(f"{marts}/product_metrics")
+    assert sorted(stored.select(*direct[0].asDict().keys()).collect(), key=key) == direct
+    # an increment adds one row on a new date; only that date is recomputed
+    grown = src.unionByName(manual_row(spark, dt.datetime(2030, 1, 1, 8)))
+    run_incremental(spark, grown, target)
+    load = target.ledger(spark).runs().orderBy(F.desc("seq")).first()["load"]
+    dates = load_dates(spark, target, load)
+    assert dates == [dt.date(2030, 1, 1)]
+    refresh_marts(spark, target, marts, dates=dates, event_types=types, stages=types)
+    stored = spark.read.parquet(f"{marts}/product_metrics")
+    assert stored.count() == len(direct) + 1
+    new = stored.filter("event_date = '2030-01-01'").first()
+    assert (new["product_id"], new["view_events"], new["events"]) == (888888888, 1, 1)
+    funnel = spark.read.parquet(f"{marts}/funnel_metrics")
+    assert funnel.count() == 31
