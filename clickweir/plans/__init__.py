@@ -16,18 +16,22 @@ from clickweir.plans.jobs import (
     vacuum,
 )
 from clickweir.plans.ledger import LEDGER_SCHEMA, Ledger
+from clickweir.plans.marts_job import MARTS, load_dates, refresh_marts
 
 __all__ = [
     "HWM_COLUMN",
     "HWM_NAME",
     "LEDGER_SCHEMA",
     "Ledger",
+    "MARTS",
     "Preview",
     "Target",
     "increment_bounds",
+    "load_dates",
     "preview_batch",
     "preview_increment",
     "read_table",
+    "refresh_marts",
     "reset_mark",
     "run_full",
     "run_incremental",
