@@ -6,7 +6,6 @@ from clickweir.plans.jobs import (
     Preview,
     Target,
     increment_bounds,
-    preview_batch,
     preview_increment,
     read_table,
     reset_mark,
@@ -28,7 +27,6 @@ __all__ = [
     "Target",
     "increment_bounds",
     "load_dates",
-    "preview_batch",
     "preview_increment",
     "read_table",
     "refresh_marts",

@@ -25,6 +25,7 @@ from clickweir.fs import delete_path, list_dirs
 from clickweir.functions import wall_clock
 from clickweir.observe import observed as observed_metrics
 from clickweir.operators.clean import CleanCounts, clean_events
+from clickweir.operators.enrich import enrich
 from clickweir.operators.filters import require_columns
 from clickweir.operators.traffic_cap import DEFAULT_CAPS, Caps, Violators, find_violators
 from clickweir.plans.ledger import FAILED, FULL, INCREMENTAL, RESET, SUCCESS, Ledger
@@ -330,21 +331,6 @@ class Preview:
     first_rows: DataFrame
 
 
-def preview_batch(
-    spark: SparkSession,
-    source: DataFrame,
-    target: Target | str,
-    caps: Caps = DEFAULT_CAPS,
-    plan: str = "violators",
-    hwm_name: str = HWM_NAME,
-    hwm_column: str = HWM_COLUMN,
-) -> DataFrame:
-    """The next increment, cleaned, without writing anything or moving the mark (lazy)."""
-    _, low, _ = _as_target(target).ledger(spark).state(hwm_name)
-    batch, _ = increment_bounds(source, low, hwm_column)
-    return clean_events(batch, caps, plan=plan)
-
-
 def preview_increment(
     spark: SparkSession,
     source: DataFrame,
@@ -359,7 +345,7 @@ def preview_increment(
     _, low, _ = _as_target(target).ledger(spark).state(hwm_name)
     batch, high = increment_bounds(source, low, hwm_column)
     if high is None:
-        return Preview(0, 0, None, batch.select(*PREVIEW_COLUMNS[:4]).limit(0))
+        return Preview(0, 0, None, enrich(batch).select(*PREVIEW_COLUMNS).limit(0))
     counts = CleanCounts()
     cleaned = clean_events(batch, caps, plan=plan, counts=counts)
     row = cleaned.agg(F.max(wall_clock(hwm_column)).alias("m")).first()

@@ -328,3 +328,12 @@ def test_refresh_marts_full_then_touched_dates(spark):
     assert (new["product_id"], new["view_events"], new["events"]) == (888888888, 1, 1)
     funnel = spark.read.parquet(f"{marts}/funnel_metrics")
     assert funnel.count() == 31
+
+
+def test_preview_of_nothing_keeps_the_schema(spark):
+    src = clickstream_source(spark, SF_SMALL)
+    target = new_target(spark)
+    run_incremental(spark, src, target)
+    p = preview_increment(spark, src, target)
+    assert (p.rows_read, p.max_event_time) == (0, None)
+    assert p.first_rows.columns == list(jobs.PREVIEW_COLUMNS) and p.first_rows.count() == 0
