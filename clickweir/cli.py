@@ -42,7 +42,7 @@ def _parser() -> argparse.ArgumentParser:
         c.add_argument("--target", required=True, help="target root folder")
         c.add_argument("--max-per-minute", type=int, default=DEFAULT_CAPS.per_user_minute)
         c.add_argument("--max-per-session", type=int, default=DEFAULT_CAPS.per_session)
-        c.add_argument("--plan", choices=["violators", "window"], default="violators")
+        c.add_argument("--plan", choices=["auto", "violators", "window"], default="violators")
         c.add_argument("--rebalance", action="store_true", help="shuffle by date before writing")
         return c
 

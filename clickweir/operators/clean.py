@@ -49,7 +49,7 @@ class CleanCounts:
 def clean_events(
     df: DataFrame,
     caps: Caps = DEFAULT_CAPS,
-    plan: str = "violators",
+    plan: str = "auto",
     counts: CleanCounts | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     violators: Violators | None = None,
@@ -60,7 +60,8 @@ def clean_events(
     traffic caps (both counts over the same rows), then the derived
     columns are added. With ``plan="violators"`` one aggregate job runs
     here and the returned frame is the lazy second pass; with
-    ``plan="window"`` nothing runs until the caller's action.
+    ``plan="window"`` nothing runs until the caller's action; ``"auto"``
+    picks by input size (``traffic_cap.choose_plan``).
 
     ``counts`` observes rows in and rows out on that final action, so a
     job gets its counts without extra scans. ``violators`` passes keys a

@@ -5,7 +5,8 @@ Both counts are taken over the same input rows and the two caps are
 applied together; a group over its cap is dropped whole. Null keys form
 one group (all rows with a null session share one count).
 
-Two plans give the same rows:
+Two plans give the same rows (``"auto"``, the default, picks one by the
+measured size of the input files, see ``choose_plan``):
 
 * ``"window"`` - two unordered Windows, then a filter. Two shuffles of
   whole rows, and the null-session group (or any hot key) is one task.
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickweir.fs import file_size
 from clickweir.functions import minute_bucket
 from clickweir.observe import observed
 from clickweir.session import work_path
@@ -49,6 +51,11 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # Per-key bytes counted besides a session's string: hash-table slot and row header.
 KEY_OVERHEAD = 16
 
+# "auto" uses the window plan only for inputs whose files are known and
+# small: then a whole key group in one task is harmless, and one job beats two.
+AUTO_WINDOW_BYTES = 256 * 1024 * 1024
+AUTO_MAX_FILES = 256
+
 MINUTE_KEYS = ("user_id", "event_minute")
 SESSION_KEYS = ("user_session",)
 
@@ -66,6 +73,24 @@ def with_minute(df: DataFrame, time_col: str = "event_time") -> DataFrame:
     return df.withColumn("event_minute", minute_bucket(time_col))
 
 
+def input_bytes(df: DataFrame) -> int | None:
+    """Total size of the files ``df`` reads; None when unknown (no files,
+    e.g. JDBC or in-memory rows, or too many to size cheaply)."""
+    files = df.inputFiles()
+    if not files or len(files) > AUTO_MAX_FILES:
+        return None
+    return sum(file_size(df.sparkSession, f) for f in files)
+
+
+def choose_plan(df: DataFrame, plan: str = "auto") -> str:
+    """Resolve ``"auto"``: ``"window"`` when the input files are known to
+    total at most ``AUTO_WINDOW_BYTES``, else ``"violators"``."""
+    if plan != "auto":
+        return plan
+    size = input_bytes(df)
+    return "window" if size is not None and size <= AUTO_WINDOW_BYTES else "violators"
+
+
 def cap_by_window(df: DataFrame, caps: Caps = DEFAULT_CAPS) -> DataFrame:
     """Plan (a): the two Window counts, then one filter."""
     counted = (
@@ -160,13 +185,14 @@ def drop_violators(
 def cap_traffic(
     df: DataFrame,
     caps: Caps = DEFAULT_CAPS,
-    plan: str = "violators",
+    plan: str = "auto",
     broadcast_bytes: int = BROADCAST_BYTES,
     counts_from: DataFrame | None = None,
 ) -> DataFrame:
     """Drop capped groups. ``counts_from`` (plan b only) is the frame the
     counts are taken from when it differs from ``df`` only by observation
     nodes, so an observed node runs in the final pass alone."""
+    plan = choose_plan(counts_from if counts_from is not None else df, plan)
     if plan == "window":
         return cap_by_window(df, caps)
     if plan != "violators":

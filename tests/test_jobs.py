@@ -296,9 +296,15 @@ def test_staged_small_batch_skips_the_violator_pass(spark, monkeypatch):
     real = J.find_violators
     monkeypatch.setattr(J, "find_violators", lambda *a, **k: calls.append(1) or real(*a, **k))
     grown = src.unionByName(manual_row(spark, dt.datetime(2030, 1, 1)))
-    res = run_incremental(spark, grown, target, stage=True)
+    res = run_incremental(spark, grown, target, stage=True, plan="violators")
     assert res["rows_written"] == 1 and calls == []
-    assert read_table(spark, target).count() == 979
+    # a batch larger than the smaller cap does run the violator pass
+    bigger = grown.unionByName(manual_row(spark, dt.datetime(2031, 1, 1))).unionByName(
+        manual_row(spark, dt.datetime(2031, 1, 2))
+    )
+    run_incremental(spark, bigger, target, Caps(1, 4), stage=True, plan="violators")
+    assert calls == [1]
+    assert read_table(spark, target).count() == 981
 
 
 def test_refresh_marts_full_then_touched_dates(spark):

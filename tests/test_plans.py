@@ -108,8 +108,8 @@ def test_clean_table_write_layout(spark, source_table):
     # an unordered source: every task holds every date
     shuffled = read_events(spark, source_table).repartition(4)
     plain, balanced = work_path(spark, "plan-write"), work_path(spark, "plan-write-rebalanced")
-    write_clean_table(clean_events(shuffled), plain)
-    write_clean_table(clean_events(shuffled), balanced, rebalance=True)
+    write_clean_table(clean_events(shuffled, plan="violators"), plain)
+    write_clean_table(clean_events(shuffled, plan="violators"), balanced, rebalance=True)
     files, dates = _files_and_dates(spark, plain)
     assert files == 4 * dates  # a file per task and date
     files, dates = _files_and_dates(spark, balanced)
@@ -125,7 +125,7 @@ def test_clean_table_write_layout(spark, source_table):
 
 def test_time_ordered_source_writes_without_shuffle(spark, source_table):
     path = work_path(spark, "plan-write-ordered")
-    df = clean_events(read_events(spark, source_table))
+    df = clean_events(read_events(spark, source_table), plan="violators")
     write_clean_table(df, path)
     files, dates = _files_and_dates(spark, path)
     assert files == dates  # one scan task over a time-ordered file: one file per date
@@ -167,3 +167,14 @@ def test_shuffle_fallback_splits_the_hot_null_session(spark):
             spark.conf.unset(k) if val is None else spark.conf.set(k, val)
     assert len(rows) == 20000
     assert "SortMergeJoin(skew=true)" in text and "AQEShuffleRead skewed" in text
+
+
+def test_auto_plan_follows_input_size(spark, source_table, monkeypatch):
+    from clickweir.operators import traffic_cap
+
+    src = read_events(spark, source_table)
+    assert traffic_cap.choose_plan(src) == "window"  # a few KB of files
+    assert traffic_cap.choose_plan(spark.createDataFrame(src.limit(5).collect(), src.schema)) == "violators"  # unknown
+    monkeypatch.setattr(traffic_cap, "AUTO_WINDOW_BYTES", 10)
+    assert traffic_cap.choose_plan(src) == "violators"
+    assert traffic_cap.choose_plan(src, "window") == "window"
