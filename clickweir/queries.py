@@ -104,14 +104,17 @@ def _as_of(src: DataFrame, when: dt.datetime) -> DataFrame:
 
 
 def q_snapshot_scan(spark, sf):
+    """Every source row and column."""
     return _view(spark, sf)
 
 
 def q_pruned_scan(spark, sf):
+    """S3: the nine source columns only (the scan reads just those)."""
     return pruned(_view(spark, sf))
 
 
 def q_filter_required(spark, sf):
+    """rows with event_time and product_id."""
     return require_columns(_view(spark, sf))
 
 
@@ -119,10 +122,12 @@ def q_filter_required(spark, sf):
 
 
 def q_clean_category(spark, sf):
+    """P1-P4: 'nan' codes become null, others unchanged."""
     return _view(spark, sf).select("event_id", clean_category_code("category_code").alias("category_code"))
 
 
 def q_calendar_fields(spark, sf):
+    """Date, hour, day of week (1 = Sunday)."""
     return _view(spark, sf).select(
         "event_id",
         event_date("event_time").alias("event_date"),
@@ -132,10 +137,12 @@ def q_calendar_fields(spark, sf):
 
 
 def q_category_levels(spark, sf):
+    """Three levels of the cleaned dotted path."""
     return _view(spark, sf).select("event_id", *category_levels(clean_category_code("category_code")))
 
 
 def q_minute_bucket(spark, sf):
+    """P10: event time truncated to the minute."""
     return _view(spark, sf).select("event_id", minute_bucket("event_time").alias("event_minute"))
 
 
@@ -143,29 +150,35 @@ def q_minute_bucket(spark, sf):
 
 
 def q_events_per_minute(spark, sf):
+    """Rows per (user, minute), on every row."""
     rows = with_minute(require_columns(_view(spark, sf)))
     counted = count_per_key(rows, ["user_id", "event_minute"], "events_per_minute")
     return counted.select("event_id", "user_id", "event_minute", "events_per_minute")
 
 
 def q_events_per_session(spark, sf):
+    """Rows per session (null sessions are one group), on every row."""
     counted = count_per_key(require_columns(_view(spark, sf)), ["user_session"], "events_per_session")
     return counted.select("event_id", "user_session", "events_per_session")
 
 
 def q_clean_events(spark, sf):
+    """J1 flagship: the full transform with the default caps 30/500."""
     return clean_events(_src(spark, sf))
 
 
 def q_traffic_cap(spark, sf):
+    """F3 with caps that bite (1/4), violator plan."""
     return clean_events(_src(spark, sf), TEST_CAPS, plan="violators")
 
 
 def q_traffic_cap_window(spark, sf):
+    """F3 with caps 1/4, the reference's two-window plan."""
     return clean_events(_src(spark, sf), TEST_CAPS, plan="window")
 
 
 def q_contract_check(spark, sf):
+    """Violations of the target's column contract, one row."""
     return contract_check(clean_events(_src(spark, sf)))
 
 
@@ -173,6 +186,7 @@ def q_contract_check(spark, sf):
 
 
 def q_hwm_bounds(spark, sf):
+    """Bounds and size of the batch after a mark."""
     batch, high = increment_bounds(_src(spark, sf), SPLIT)
     return batch.agg(
         mark_literal(SPLIT, _NTZ).alias("hwm_low"),
@@ -182,6 +196,7 @@ def q_hwm_bounds(spark, sf):
 
 
 def q_incremental_scan(spark, sf):
+    """The rows of (mark, max]."""
     batch, _ = increment_bounds(_view(spark, sf), SPLIT)
     return batch
 
@@ -207,6 +222,7 @@ def _two_increments(spark, sf, caps: Caps, full_first: bool = False) -> Target:
 
 
 def q_incremental_run(spark, sf):
+    """Ledger rows of three increments as the source grows (caps 1/4)."""
     target = _two_increments(spark, sf, TEST_CAPS)
     return target.ledger(spark).runs().select(*LEDGER_COLUMNS)
 
@@ -228,6 +244,7 @@ def _after_first_increment(spark, sf) -> tuple[DataFrame, Target]:
 
 
 def q_incremental_preview(spark, sf):
+    """First ten rows of the next increment; nothing is written."""
     src, target = _after_first_increment(spark, sf)
     return preview_increment(spark, src, target).first_rows
 
@@ -258,6 +275,7 @@ def q_stream_increments(spark, sf):
 
 
 def q_clean_table_write(spark, sf):
+    """The clean table written partitioned and sorted, read back."""
     path = work_path(spark, "clean-table")
     write_clean_table(clean_events(_src(spark, sf)), path)
     return read_clean_table(spark, path)
@@ -273,6 +291,7 @@ def q_full_refresh(spark, sf):
 
 
 def q_job_metrics(spark, sf):
+    """Counts recorded by a full run."""
     target = Target(work_path(spark, "metrics"))
     run_full(spark, _src(spark, sf), target, TEST_CAPS)
     return target.ledger(spark).runs().select(
@@ -281,16 +300,19 @@ def q_job_metrics(spark, sf):
 
 
 def q_sample_rows(spark, sf):
+    """First rows of the clean table in storage order."""
     order = [F.col(c).asc_nulls_last() for c in (*TARGET_SORT, "user_id", "event_type", "user_session")]
     return clean_events(_src(spark, sf)).orderBy(*order).limit(SAMPLE_ROWS)
 
 
 def q_run_history(spark, sf):
+    """The latest three runs, newest first."""
     target = _two_increments(spark, sf, TEST_CAPS, full_first=True)
     return target.ledger(spark).history(HISTORY_ROWS).select(*LEDGER_COLUMNS)
 
 
 def q_run_status(spark, sf):
+    """One run looked up by id."""
     target = Target(work_path(spark, "status"))
     res = run_full(spark, _src(spark, sf), target, TEST_CAPS)
     return target.ledger(spark).status(res["run_id"]).select(*LEDGER_COLUMNS)
@@ -335,6 +357,7 @@ def write_raw_csv(spark: SparkSession, sf: str) -> str:
 
 
 def q_csv_ingest(spark, sf):
+    """A raw CSV export loaded with tolerant coercion."""
     csv = write_raw_csv(spark, sf)
     table = work_path(spark, "raw-events")
     ingest_csv(spark, csv, table, limit=None)
@@ -342,6 +365,7 @@ def q_csv_ingest(spark, sf):
 
 
 def q_ingest_limit(spark, sf):
+    """The first rows of the export in a stated order."""
     csv = write_raw_csv(spark, sf)
     table = work_path(spark, "raw-events")
     ingest_csv(spark, csv, table, limit=INGEST_LIMIT)
@@ -349,6 +373,7 @@ def q_ingest_limit(spark, sf):
 
 
 def q_ingest_append(spark, sf):
+    """Overwrite twice, then append: two copies."""
     csv = write_raw_csv(spark, sf)
     table = work_path(spark, "raw-events")
     ingest_csv(spark, csv, table, limit=None)
@@ -373,6 +398,7 @@ def event_time_texts(view: DataFrame) -> DataFrame:
 
 
 def q_ingest_event_time(spark, sf):
+    """Times written four ways (zones, offsets, naive, junk) parsed back."""
     texts = event_time_texts(_view(spark, sf))
     return texts.select("event_id", parse_event_time("event_time_text").alias("event_time"))
 
@@ -395,6 +421,7 @@ def numeric_texts(view: DataFrame) -> DataFrame:
 
 
 def q_ingest_coerce_numeric(spark, sf):
+    """Dirty integer and price text coerced; bad values become null."""
     t = numeric_texts(_view(spark, sf))
     return t.select(
         "event_id",
@@ -409,14 +436,17 @@ def q_ingest_coerce_numeric(spark, sf):
 
 
 def q_product_metrics(spark, sf):
+    """M1 on the clean events."""
     return product_metrics(clean_events(_src(spark, sf)), TEST_EVENT_TYPES)
 
 
 def q_category_metrics(spark, sf):
+    """M2 on the clean events."""
     return category_metrics(clean_events(_src(spark, sf)), TEST_EVENT_TYPES)
 
 
 def q_funnel_metrics(spark, sf):
+    """M3 on the clean events."""
     return funnel_metrics(clean_events(_src(spark, sf)), TEST_FUNNEL)
 
 
