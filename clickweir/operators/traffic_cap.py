@@ -6,7 +6,7 @@ applied together; a group over its cap is dropped whole. Null keys form
 one group (all rows with a null session share one count).
 
 Two plans give the same rows (``"auto"``, the default, picks one by the
-measured size of the input files, see ``choose_plan``):
+estimated input size, see ``choose_plan``):
 
 * ``"window"`` - two unordered Windows, then a filter. Two shuffles of
   whole rows, and the null-session group (or any hot key) is one task.
@@ -29,7 +29,6 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickweir.fs import file_size
 from clickweir.functions import minute_bucket
 from clickweir.observe import observed
 from clickweir.session import work_path
@@ -51,10 +50,9 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # Per-key bytes counted besides a session's string: hash-table slot and row header.
 KEY_OVERHEAD = 16
 
-# "auto" uses the window plan only for inputs whose files are known and
-# small: then a whole key group in one task is harmless, and one job beats two.
+# "auto" uses the window plan only for inputs estimated small: then a whole
+# key group in one task is harmless, and one job beats two.
 AUTO_WINDOW_BYTES = 256 * 1024 * 1024
-AUTO_MAX_FILES = 256
 
 MINUTE_KEYS = ("user_id", "event_minute")
 SESSION_KEYS = ("user_session",)
@@ -74,17 +72,21 @@ def with_minute(df: DataFrame, time_col: str = "event_time") -> DataFrame:
 
 
 def input_bytes(df: DataFrame) -> int | None:
-    """Total size of the files ``df`` reads; None when unknown (no files,
-    e.g. JDBC or in-memory rows, or too many to size cheaply)."""
-    files = df.inputFiles()
-    if not files or len(files) > AUTO_MAX_FILES:
+    """Catalyst's size estimate of ``df`` in bytes (from the file index the
+    scan already holds; nothing is listed or read here). None when
+    unknown: a source without statistics (e.g. JDBC) reports Spark's
+    default size, which is taken as unknown, and so is a session whose
+    plan cannot be inspected."""
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
         return None
-    return sum(file_size(df.sparkSession, f) for f in files)
+    return size if size < 2**62 else None
 
 
 def choose_plan(df: DataFrame, plan: str = "auto") -> str:
-    """Resolve ``"auto"``: ``"window"`` when the input files are known to
-    total at most ``AUTO_WINDOW_BYTES``, else ``"violators"``."""
+    """Resolve ``"auto"``: ``"window"`` when the input is estimated at most
+    ``AUTO_WINDOW_BYTES``, else ``"violators"``."""
     if plan != "auto":
         return plan
     size = input_bytes(df)

@@ -173,8 +173,12 @@ def test_auto_plan_follows_input_size(spark, source_table, monkeypatch):
     from clickweir.operators import traffic_cap
 
     src = read_events(spark, source_table)
-    assert traffic_cap.choose_plan(src) == "window"  # a few KB of files
-    assert traffic_cap.choose_plan(spark.createDataFrame(src.limit(5).collect(), src.schema)) == "violators"  # unknown
+    size = traffic_cap.input_bytes(src)
+    assert 0 < size < 10**7  # a few hundred KB of Parquet
+    assert traffic_cap.choose_plan(src) == "window"
     monkeypatch.setattr(traffic_cap, "AUTO_WINDOW_BYTES", 10)
     assert traffic_cap.choose_plan(src) == "violators"
     assert traffic_cap.choose_plan(src, "window") == "window"
+    monkeypatch.setattr(traffic_cap, "input_bytes", lambda df: None)  # no statistics, e.g. JDBC
+    monkeypatch.setattr(traffic_cap, "AUTO_WINDOW_BYTES", 10**12)
+    assert traffic_cap.choose_plan(src) == "violators"
