@@ -41,8 +41,3 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
         for st in fs.listStatus(p)
         if st.isFile() and not st.getPath().getName().startswith(("_", "."))
     ]
-
-
-def file_size(spark: SparkSession, path: str) -> int:
-    fs, p = _fs_path(spark, path)
-    return int(fs.getFileStatus(p).getLen())
