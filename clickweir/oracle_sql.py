@@ -34,10 +34,6 @@ src AS (
 
 SOURCE_COLS = "event_time, event_type, product_id, category_id, category_code, brand, price, user_id, user_session"
 
-TARGET_COLS = (
-    SOURCE_COLS + ", event_date, event_hour, day_of_week, category_level_1, category_level_2, category_level_3"
-)
-
 CLEAN_CODE = "CASE WHEN lower(trim(category_code)) = 'nan' THEN NULL ELSE category_code END"
 
 
@@ -80,17 +76,6 @@ def with_src(body: str, extra_ctes: str = "") -> str:
 SPLIT = "TIMESTAMP '2024-01-15 12:00:00'"
 
 
-def _batch_counts(name: str, rows: str, per_minute: int, per_session: int) -> str:
-    """rows_read / before / after / written of one incremental batch ``rows``."""
-    filt = f"(SELECT * FROM {rows} WHERE event_time IS NOT NULL AND product_id IS NOT NULL)"
-    return f"""
-SELECT '{name}' AS batch,
-  (SELECT count(*) FROM {rows}) AS rows_read,
-  (SELECT count(*) FROM {rows}) AS rows_before_filtering,
-  (SELECT count(*) FROM {_capped(filt, per_minute, per_session)}) AS rows_after_filtering,
-  (SELECT count(*) FROM {_capped(filt, per_minute, per_session)}) AS rows_written"""
-
-
 def oracle_queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["snapshot_scan"] = with_src(f"SELECT event_id, {SOURCE_COLS} FROM src")
