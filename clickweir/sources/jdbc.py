@@ -8,6 +8,9 @@ on the returned DataFrame are pushed into the JDBC query by Catalyst.
 
 from __future__ import annotations
 
+import datetime as dt
+from zoneinfo import ZoneInfo, ZoneInfoNotFoundError
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +62,19 @@ def read_jdbc(
     return df.select(*columns) if columns else df
 
 
+def session_wall_clock(spark: SparkSession, value: object) -> object:
+    """A collected zoned timestamp (which PySpark renders in the Python
+    process's zone) as wall clock in the session zone, the zone Spark reads
+    a bound's text in. Other values pass through."""
+    if not isinstance(value, dt.datetime) or value.tzinfo is not None:
+        return value
+    try:
+        zone = ZoneInfo(spark.conf.get("spark.sql.session.timeZone"))
+    except (ZoneInfoNotFoundError, ValueError):
+        return value
+    return value.astimezone(zone).replace(tzinfo=None)
+
+
 def jdbc_bounds(spark: SparkSession, options: dict[str, str], column: str) -> tuple[object, object]:
     """(min, max) of ``column``: one aggregate query computed by the database
     (``pushDownAggregate``), not a scan of the table through Spark."""
@@ -67,7 +83,7 @@ def jdbc_bounds(spark: SparkSession, options: dict[str, str], column: str) -> tu
         .agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
         .first()
     )
-    return row["lo"], row["hi"]
+    return session_wall_clock(spark, row["lo"]), session_wall_clock(spark, row["hi"])
 
 
 def read_jdbc_parallel(

@@ -22,3 +22,30 @@ def test_options():
 def test_partitioned_read_needs_bounds(spark):
     with pytest.raises(ValueError):
         read_jdbc(spark, jdbc_options("jdbc:none", "t"), partition_column="product_id")
+
+
+def test_bounds_are_read_back_in_the_session_zone(spark):
+    """A zoned bound collected in a Tokyo process is rendered as UTC wall clock
+    (the session zone), so Spark reads the same instant back."""
+    import datetime as dt
+    import os
+    import time
+
+    from pyspark.sql import functions as F
+
+    from clickweir.sources.jdbc import session_wall_clock
+
+    old = os.environ.get("TZ")
+    os.environ["TZ"] = "Asia/Tokyo"
+    time.tzset()
+    try:
+        ts = spark.range(1).select(F.lit("2024-01-01 00:00:00").cast("timestamp").alias("t")).first()["t"]
+        assert ts == dt.datetime(2024, 1, 1, 9, 0)  # PySpark renders it in the process zone
+        assert session_wall_clock(spark, ts) == dt.datetime(2024, 1, 1, 0, 0)
+        assert session_wall_clock(spark, 42) == 42
+    finally:
+        if old is None:
+            os.environ.pop("TZ")
+        else:
+            os.environ["TZ"] = old
+        time.tzset()
