@@ -37,3 +37,17 @@ def test_stream_loads_new_files_once(spark):
     last = target.ledger(spark).runs().orderBy(F.desc("seq")).first()
     assert (last["rows_read"], last["rows_written"]) == (1, 1)
     assert read_table(spark, target).count() == 979
+
+
+def test_polling_stream_drains_and_stops(spark):
+    src = clickstream_source(spark, SF_SMALL)
+    landing = work_path(spark, "test-landing-poll")
+    src.write.parquet(landing)
+    target = Target(work_path(spark, "test-stream-poll"))
+    q = start_stream(spark, landing, target, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert read_table(spark, target).count() == 978
+    assert target.ledger(spark).runs().count() == 1
