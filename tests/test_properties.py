@@ -69,3 +69,31 @@ def test_cap_matches_python_for_both_plans(spark, rows, per_minute, per_session)
     for plan in ("window", "violators"):
         got = sorted(r["product_id"] for r in cap_traffic(df, caps, plan=plan).select("product_id").collect())
         assert got == want, plan
+
+
+stamps = st.datetimes(min_value=dt.datetime(1990, 1, 1), max_value=dt.datetime(2060, 12, 31))
+offsets = st.integers(-12 * 60, 14 * 60).map(lambda m: m - m % 15)
+
+
+def render(t, offset_min, form):
+    if form == 0:
+        return t.isoformat(sep=" ") + " UTC"
+    if form == 1:
+        return t.isoformat() + "Z"
+    if form == 2:
+        local = t + dt.timedelta(minutes=offset_min)
+        sign = "+" if offset_min >= 0 else "-"
+        hh, mm = divmod(abs(offset_min), 60)
+        return f"{local.isoformat(sep=' ')}{sign}{hh:02d}:{mm:02d}"
+    return t.isoformat(sep=" ")
+
+
+@SETTINGS
+@given(st.lists(st.tuples(stamps, offsets, st.integers(0, 3)), min_size=1, max_size=25))
+def test_event_time_texts_parse_back_to_utc(spark, items):
+    from clickweir.functions import parse_event_time
+
+    texts = [(i, render(t, off, form)) for i, (t, off, form) in enumerate(items)]
+    df = spark.createDataFrame(texts, "i int, s string")
+    got = [r["t"] for r in df.select("i", parse_event_time("s").alias("t")).orderBy("i").collect()]
+    assert got == [t for t, _, _ in items], texts
