@@ -97,3 +97,21 @@ def test_event_time_texts_parse_back_to_utc(spark, items):
     df = spark.createDataFrame(texts, "i int, s string")
     got = [r["t"] for r in df.select("i", parse_event_time("s").alias("t")).orderBy("i").collect()]
     assert got == [t for t, _, _ in items], texts
+
+
+decimals = st.decimals(min_value=-10**11, max_value=10**11, places=4, allow_nan=False, allow_infinity=False)
+
+
+@SETTINGS
+@given(st.lists(decimals, min_size=1, max_size=25))
+def test_numeric_texts_match_python_decimal(spark, values):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from clickweir.functions import parse_long, parse_price
+
+    rows = [(i, str(v)) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "i int, s string")
+    got = df.select("i", parse_price("s").alias("p"), parse_long("s").alias("n")).orderBy("i").collect()
+    for v, r in zip(values, got):
+        assert r["p"] == Decimal(v).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+        assert r["n"] == (int(v) if v == v.to_integral_value() else None)
