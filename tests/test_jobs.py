@@ -343,3 +343,19 @@ def test_preview_of_nothing_keeps_the_schema(spark):
     p = preview_increment(spark, src, target)
     assert (p.rows_read, p.max_event_time) == (0, None)
     assert p.first_rows.columns == list(jobs.PREVIEW_COLUMNS) and p.first_rows.count() == 0
+
+
+def test_full_refresh_with_rebalance_same_rows_fewer_files(spark):
+    src = clickstream_source(spark, SF_SMALL).repartition(4)  # not in time order
+    plain, balanced = new_target(spark), new_target(spark)
+    run_full(spark, src, plain)
+    run_full(spark, src, balanced, rebalance=True)
+    key = lambda r: (r["event_time"], r["product_id"], r["user_id"])
+    a = sorted(read_table(spark, plain).collect(), key=key)
+    b = sorted(read_table(spark, balanced).collect(), key=key)
+    assert a == b and len(a) == 978
+
+    def files(t):
+        return read_table(spark, t).select(F.input_file_name()).distinct().count()
+
+    assert files(balanced) == 30 < files(plain)
