@@ -3,14 +3,18 @@
 import pytest
 
 import __spark_entry__ as entry
+from clickweir.oracle_sql import oracle_queries
+from clickweir.queries import registry
 from conftest import SF_SMALL
 from oracle_compare import compare
 
-KEYS = sorted(entry.queries())
+KEYS = sorted(registry())
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry()) == set(oracle_queries())
+    assert set(registry()) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)
