@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweir.llm.common import id_mod
+from clickweir.llm.decontaminate import decontaminate
 from clickweir.llm.html_extract import extract_main_text
 from clickweir.llm.langid import fit_languages, identify
+from clickweir.llm.oracle_sql import ORACLES
 from clickweir.llm.quality import fit_quality, score_quality
 
 QUALITY_CUT = 0.3
@@ -31,6 +33,29 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def contaminated(n_words: str = "n_words", n_hit: str = "n_hit"):
+    """At least a twentieth of the words, and at least one, lie in windows of items."""
+    return (F.col(n_hit) > 0) & (20 * F.col(n_hit) >= F.col(n_words))
+
+
+def hit_words():
+    """Words inside the runs that ``decontaminate`` found."""
+    runs = F.zip_with("hit_starts", "hit_ends", lambda a, b: b - a)
+    return F.aggregate(runs, F.lit(0).cast("long"), lambda total, n: total + n)
+
+
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    marked = decontaminate(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
+    return marked.select(
+        "doc_id",
+        "n_words",
+        hit_words().alias("n_hit"),
+        F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hit_items", ",").cast("binary"), 256).alias("items_sha256"),
+    ).withColumn("contaminated", contaminated())
+
+
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages", "page_id", "url", "html")
     return extract_main_text(pages).select(
@@ -49,7 +74,7 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (op1_language_id, op5_html_extraction, op8_quality_classifier)
+QUERIES = (op1_language_id, op4_benchmark_decontamination, op5_html_extraction, op8_quality_classifier)
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -57,4 +82,4 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_queries() -> dict[str, str]:
-    return {}
+    return ORACLES
