@@ -14,8 +14,12 @@ from clickweir.llm.html_extract import extract_main_text
 from clickweir.llm.langid import fit_languages, identify
 from clickweir.llm.oracle_sql import ORACLES
 from clickweir.llm.quality import fit_quality, score_quality
+from clickweir.llm.sentencepiece_codec import encode_texts, load_model, token_count
+from clickweir.llm.token_counts import count_tokens, token_type, write_token_files
 
 QUALITY_CUT = 0.3
+# Fixed value: the id of </s> in the piece model, which no text encodes to.
+END_OF_DOCUMENT = 2
 
 
 def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
@@ -33,6 +37,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    coded = encode_texts(docs, load_model(), checked="round_trip")
+    return coded.select("doc_id", token_count().alias("n_tokens"), "token_ids", "round_trip")
+
+
 def contaminated(n_words: str = "n_words", n_hit: str = "n_hit"):
     """At least a twentieth of the words, and at least one, lie in windows of items."""
     return (F.col(n_hit) > 0) & (20 * F.col(n_hit) >= F.col(n_words))
@@ -74,7 +84,15 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (op1_language_id, op4_benchmark_decontamination, op5_html_extraction, op8_quality_classifier)
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = load_model()
+    manifest = write_token_files(read(spark, sf_dir, "documents", "doc_id", "text"), model, END_OF_DOCUMENT)
+    files = manifest.select("token_file", "file_bytes").distinct()
+    counts = count_tokens(files, END_OF_DOCUMENT, token_type(model.size))
+    return manifest.join(counts, ["token_file", "doc_no"]).select("doc_id", "n_tokens")
+
+
+QUERIES = (op1_language_id, op2_sentencepiece, op4_benchmark_decontamination, op5_html_extraction, op8_quality_classifier, op10_token_counts)
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
