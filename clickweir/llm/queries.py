@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickweir.llm.ann import nearest
 from clickweir.llm.common import id_mod
 from clickweir.llm.decontaminate import decontaminate
 from clickweir.llm.html_extract import extract_main_text
@@ -84,6 +85,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = load_model()
     manifest = write_token_files(read(spark, sf_dir, "documents", "doc_id", "text"), model, END_OF_DOCUMENT)
@@ -92,7 +97,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.join(counts, ["token_file", "doc_no"]).select("doc_id", "n_tokens")
 
 
-QUERIES = (op1_language_id, op2_sentencepiece, op4_benchmark_decontamination, op5_html_extraction, op8_quality_classifier, op10_token_counts)
+QUERIES = (op1_language_id, op2_sentencepiece, op4_benchmark_decontamination, op5_html_extraction, op8_quality_classifier, op9_nearest_neighbours, op10_token_counts)
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
