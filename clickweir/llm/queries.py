@@ -12,6 +12,7 @@ from clickweir.llm.ann import nearest
 from clickweir.llm.common import id_mod
 from clickweir.llm.decontaminate import decontaminate
 from clickweir.llm.html_extract import extract_main_text
+from clickweir.llm.jaccard_join import jaccard_groups
 from clickweir.llm.langid import fit_languages, identify
 from clickweir.llm.oracle_sql import ORACLES
 from clickweir.llm.quality import fit_quality, score_quality
@@ -74,6 +75,10 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups(read(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "class_id", "n_links")
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     network = fit_quality(docs, read(spark, sf_dir, "labels", "doc_id", "quality"), id_mod("doc_id", 5) != 0)
@@ -97,7 +102,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.join(counts, ["token_file", "doc_no"]).select("doc_id", "n_tokens")
 
 
-QUERIES = (op1_language_id, op2_sentencepiece, op4_benchmark_decontamination, op5_html_extraction, op8_quality_classifier, op9_nearest_neighbours, op10_token_counts)
+QUERIES = (op1_language_id, op2_sentencepiece, op4_benchmark_decontamination, op5_html_extraction, op7_jaccard_join, op8_quality_classifier, op9_nearest_neighbours, op10_token_counts)
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
