@@ -17,6 +17,7 @@ from clickweir.llm.langid import fit_languages, identify
 from clickweir.llm.oracle_sql import ORACLES
 from clickweir.llm.quality import fit_quality, score_quality
 from clickweir.llm.sentencepiece_codec import encode_texts, load_model, token_count
+from clickweir.llm.suffix_dedup import remove_repeats
 from clickweir.llm.token_counts import count_tokens, token_type, write_token_files
 
 QUALITY_CUT = 0.3
@@ -75,6 +76,18 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(read(spark, sf_dir, "documents", "doc_id", "text"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda total, r: total + r["stop"] - r["start"])
+    return cut.select(
+        "doc_id",
+        (F.octet_length("kept_bytes") + removed).alias("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept_bytes", 256).alias("kept_sha256"),
+    )
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(read(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "class_id", "n_links")
 
@@ -102,7 +115,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.join(counts, ["token_file", "doc_no"]).select("doc_id", "n_tokens")
 
 
-QUERIES = (op1_language_id, op2_sentencepiece, op4_benchmark_decontamination, op5_html_extraction, op7_jaccard_join, op8_quality_classifier, op9_nearest_neighbours, op10_token_counts)
+QUERIES = (op1_language_id, op2_sentencepiece, op4_benchmark_decontamination, op5_html_extraction, op6_suffix_dedup, op7_jaccard_join, op8_quality_classifier, op9_nearest_neighbours, op10_token_counts)
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
