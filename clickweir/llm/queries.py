@@ -17,6 +17,7 @@ from clickweir.llm.langid import fit_languages, identify
 from clickweir.llm.oracle_sql import ORACLES
 from clickweir.llm.quality import fit_quality, score_quality
 from clickweir.llm.sentencepiece_codec import encode_texts, load_model, token_count
+from clickweir.llm.substring_dedup import near_duplicate_passages
 from clickweir.llm.suffix_dedup import remove_repeats
 from clickweir.llm.token_counts import count_tokens, token_type, write_token_files
 
@@ -46,6 +47,12 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", token_count().alias("n_tokens"), "token_ids", "round_trip")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicate_passages(read(spark, sf_dir, "documents", "doc_id", "text"))
+    covered = F.aggregate("passages", F.lit(0).cast("long"), lambda total, p: total + p["stop"] - p["start"])
+    return found.select("doc_id", "n_words", covered.alias("n_dup_words"), F.size("passages").cast("long").alias("n_passages"), "passages")
+
+
 def contaminated(n_words: str = "n_words", n_hit: str = "n_hit"):
     """At least a twentieth of the words, and at least one, lie in windows of items."""
     return (F.col(n_hit) > 0) & (20 * F.col(n_hit) >= F.col(n_words))
@@ -115,7 +122,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.join(counts, ["token_file", "doc_no"]).select("doc_id", "n_tokens")
 
 
-QUERIES = (op1_language_id, op2_sentencepiece, op4_benchmark_decontamination, op5_html_extraction, op6_suffix_dedup, op7_jaccard_join, op8_quality_classifier, op9_nearest_neighbours, op10_token_counts)
+QUERIES = (op1_language_id, op2_sentencepiece, op3_substring_dedup, op4_benchmark_decontamination, op5_html_extraction, op6_suffix_dedup, op7_jaccard_join, op8_quality_classifier, op9_nearest_neighbours, op10_token_counts)
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
