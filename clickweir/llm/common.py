@@ -61,3 +61,9 @@ def starts_to_index(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     ends = np.cumsum(lengths)
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
+
+
+def wrapped(docs: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` and all of ``docs`` as one struct ``row``: whatever names an
+    operator adds, none clashes. ``select("row.*")`` unwraps."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *columns)

@@ -214,8 +214,8 @@ def _tiles(threshold: float):
 def jaccard_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SIZE, threshold: float = THRESHOLD, target: float = TARGET, trees: int = TREES, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """One row a document: ``doc_id``, ``text_key`` (xxhash64 of the text),
     ``class_id`` (least id of the documents connected by links), ``kept``
-    (this row's id and text are the ones to keep of its group) and
-    ``n_links`` (other documents at or above the threshold)."""
+    (this row's id and text are the ones to keep of its group), ``alone`` (no
+    words) and ``n_links`` (other documents at or above the threshold)."""
     depth = matched_depth(threshold, target, trees)
     source = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_key"), F.col(text).alias("text"))
     id_type = source.schema["doc_id"].dataType.simpleString()
@@ -268,6 +268,7 @@ def jaccard_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
             "text_key",
             F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"),
             (alone | (F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.text_key") == F.col("text_key")))).alias("kept"),
+            alone.alias("alone"),
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         )
     )

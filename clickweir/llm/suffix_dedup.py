@@ -329,34 +329,37 @@ def merged(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return s[new], e[np.concatenate([new[1:], [True]])]
 
 
-OUT = ("kept_bytes", "removed")
+OUT = ("kept_bytes", "removed", "kept_text")
 
 
 def _remove(text: str):
     def run(batches):
         for batch in batches:
-            kept, removed = [], []
+            kept, removed, texts = [], [], []
             for raw, spans in zip(batch.column("raw_text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
                 if not spans:
                     kept.append(raw)
                     removed.append([])
+                    texts.append(None)
                     continue
                 s, e = merged(np.array([x["start"] for x in spans]), np.array([x["stop"] for x in spans]))
                 edges = [0, *np.stack([s, e], axis=1).ravel().tolist(), len(raw)]
                 kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
                 removed.append([{"start": a, "stop": b} for a, b in zip(s.tolist(), e.tolist(), strict=True)])
+                texts.append(kept[-1].decode("utf-8", "ignore"))
             names = [n for n in batch.schema.names if n not in ("raw_text", "spans")]
             pair = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in names), pa.array(kept, pa.binary()), pa.array(removed, pa.list_(pair))], names=[*names, *OUT]
+                [*(batch.column(n) for n in names), pa.array(kept, pa.binary()), pa.array(removed, pa.list_(pair)), pa.array(texts, pa.string())], names=[*names, *OUT]
             )
 
     return run
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = LENGTH, gram: int = GRAM, hot: int = HOT, block: int = BLOCK) -> DataFrame:
-    """All columns of ``docs`` plus ``kept_bytes`` (what is left of the text) and
-    ``removed`` (maximal removed runs of bytes). Columns of these names are replaced."""
+    """All columns of ``docs`` plus ``kept_bytes`` (what is left of the text),
+    ``removed`` (maximal removed runs of bytes) and, where something was removed,
+    ``kept_text`` (the whole characters left). Columns of these names are replaced."""
     kept = docs.drop(*OUT)
     spans = repeated_spans(kept, text, doc_id, length, gram, hot, block).select(F.col("key_a").alias("span_a"), F.col("key_b").alias("span_b"), "spans")
     body = F.coalesce(F.col(text), F.lit(""))
@@ -365,5 +368,5 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     keyed = kept.select(F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("d"), a, b, body.cast("binary").alias("raw_text"))
     joined = keyed.join(spans, (F.col("key_a") == F.col("span_a")) & (F.col("key_b") == F.col("span_b")), "left")
     pair = T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())])
-    shape = T.StructType([joined.schema["d"], T.StructField("kept_bytes", T.BinaryType()), T.StructField("removed", T.ArrayType(pair))])
+    shape = T.StructType([joined.schema["d"], T.StructField("kept_bytes", T.BinaryType()), T.StructField("removed", T.ArrayType(pair)), T.StructField("kept_text", T.StringType())])
     return joined.select("d", "raw_text", "spans").mapInArrow(_remove(text), shape).select(*columns, *OUT)
