@@ -3,8 +3,15 @@ through the Hadoop FileSystem the session is configured with."""
 
 from __future__ import annotations
 
+import atexit
+import logging
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
+log = logging.getLogger(__name__)
+
 
 def _fs_path(spark: SparkSession, path: str):
     sc = spark.sparkContext
@@ -41,3 +48,69 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
         for st in fs.listStatus(p)
         if st.isFile() and not st.getPath().getName().startswith(("_", "."))
     ]
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file; False if there is one already. Of several
+    callers exactly one succeeds."""
+    fs, p = _fs_path(spark, path)
+    fs.mkdirs(p.getParent())
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError as exc:
+        if "exist" in str(exc.java_exception).lower():
+            return False
+        raise
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """Content of a small file."""
+    fs, p = _fs_path(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def replace_dir(spark: SparkSession, new: str, path: str) -> None:
+    """Put the folder ``new`` in the place of ``path``: two renames, so a
+    reader finds the old content or the new, never half of either."""
+    fs, target = _fs_path(spark, path)
+    _, source = _fs_path(spark, new)
+    fs.mkdirs(target.getParent())
+    if fs.exists(target):
+        old = target.suffix(f".{uuid.uuid4().hex[:8]}.old")
+        if not fs.rename(target, old):
+            raise OSError(f"cannot rename {path}")
+        if not fs.rename(source, target):
+            fs.rename(old, target)
+            raise OSError(f"cannot rename {new}")
+        fs.delete(old, True)
+    elif not fs.rename(source, target):
+        raise OSError(f"cannot rename {new}")
+
+
+_scratch: list[tuple[SparkSession, str]] = []
+
+
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` when the process ends, or at ``drop_scratch``."""
+    if not _scratch:
+        atexit.register(drop_scratch)
+    _scratch.append((spark, path))
+
+
+def drop_scratch() -> None:
+    """Delete what ``delete_at_exit`` was told of. Frames that still read
+    those folders can no longer be used."""
+    while _scratch:
+        spark, path = _scratch.pop()
+        try:
+            delete_path(spark, path)
+        except Exception as exc:  # the session has ended: nothing can be reached through it
+            if spark.sparkContext._jsc is not None:
+                log.warning("could not delete %s: %s", path, exc)

@@ -1,17 +1,16 @@
 """DataFrame -> DataFrame operators of the clickstream transform."""
 
-from clickweir.operators.clean import CleanCounts, clean_events
+from clickweir.operators.clean import clean_events
 from clickweir.operators.contract import contract_check
 from clickweir.operators.enrich import enrich
 from clickweir.operators.filters import REQUIRED_COLUMNS, require_columns
 from clickweir.operators.key_counts import count_per_key
 from clickweir.operators.marts import category_metrics, funnel_metrics, product_metrics
-from clickweir.operators.metrics import batch_max_time, row_counts
+from clickweir.operators.metrics import batch_max_time
 from clickweir.operators.traffic_cap import (
     DEFAULT_CAPS,
     Caps,
     Violators,
-    cap_by_window,
     cap_traffic,
     drop_violators,
     find_violators,
@@ -23,10 +22,8 @@ __all__ = [
     "DEFAULT_CAPS",
     "REQUIRED_COLUMNS",
     "Caps",
-    "CleanCounts",
     "Violators",
     "batch_max_time",
-    "cap_by_window",
     "cap_traffic",
     "category_metrics",
     "clean_events",
@@ -38,7 +35,6 @@ __all__ = [
     "funnel_metrics",
     "product_metrics",
     "require_columns",
-    "row_counts",
     "violator_keys",
     "with_minute",
 ]

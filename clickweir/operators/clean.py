@@ -2,13 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
-
-from clickweir.functions import wall_clock
-from clickweir.observe import observed
 from clickweir.operators.enrich import enrich
 from clickweir.operators.filters import require_columns
 from clickweir.operators.traffic_cap import (
@@ -22,35 +17,9 @@ from clickweir.operators.traffic_cap import (
 from clickweir.schema import SOURCE_COLUMNS, TARGET_COLUMNS
 
 
-@dataclass
-class CleanCounts:
-    """Row counts observed on the one action that consumes the result."""
-
-    before: Observation = field(default_factory=Observation)
-    after: Observation = field(default_factory=Observation)
-
-    @property
-    def rows_before(self) -> int:
-        got = observed(self.before)
-        return 0 if got is None else int(got["rows"])
-
-    @property
-    def rows_after(self) -> int:
-        got = observed(self.after)
-        return 0 if got is None else int(got["rows"])
-
-    @property
-    def max_time(self):
-        """Max event time over the rows in (nulls ignored)."""
-        got = observed(self.before)
-        return None if got is None else got["max_time"]
-
-
 def clean_events(
     df: DataFrame,
     caps: Caps = DEFAULT_CAPS,
-    plan: str = "auto",
-    counts: CleanCounts | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     violators: Violators | None = None,
 ) -> DataFrame:
@@ -58,34 +27,13 @@ def clean_events(
 
     Rows without ``event_time`` or ``product_id`` are dropped, then the
     traffic caps (both counts over the same rows), then the derived
-    columns are added. With ``plan="violators"`` one aggregate job runs
-    here and the returned frame is the lazy second pass; with
-    ``plan="window"`` nothing runs until the caller's action; ``"auto"``
-    picks by input size (``traffic_cap.choose_plan``).
-
-    ``counts`` observes rows in and rows out on that final action, so a
-    job gets its counts without extra scans. ``violators`` passes keys a
-    job already aggregated from exactly these rows.
+    columns are added. One aggregate job runs here and the returned frame
+    is the lazy second pass; ``violators`` passes keys a job already
+    aggregated from exactly these rows.
     """
     missing = [c for c in SOURCE_COLUMNS if c not in df.columns]
     if missing:
         raise ValueError(f"source lacks columns {missing}")
-    source = df
-    if counts is not None:
-        source = df.observe(
-            counts.before, F.count(F.lit(1)).alias("rows"), F.max(wall_clock("event_time")).alias("max_time")
-        )
-    if violators is not None:
-        kept = drop_violators(require_columns(source), violators, broadcast_bytes)
-    else:
-        kept = cap_traffic(
-            require_columns(source),
-            caps,
-            plan=plan,
-            broadcast_bytes=broadcast_bytes,
-            counts_from=require_columns(df),
-        )
-    out = enrich(kept).select(*TARGET_COLUMNS)
-    if counts is not None:
-        out = out.observe(counts.after, F.count(F.lit(1)).alias("rows"))
-    return out
+    rows = require_columns(df)
+    kept = cap_traffic(rows, caps, broadcast_bytes) if violators is None else drop_violators(rows, violators, broadcast_bytes)
+    return enrich(kept).select(*TARGET_COLUMNS)

@@ -1,27 +1,19 @@
 """Number of rows sharing a key, attached to every row (an unordered
 ``count(*) over (partition by keys)``).
 
-Two physical forms:
-
-* ``"window"`` - a Window over the keys: one shuffle of whole rows, and
-  every row of one key lands in one task.
-* ``"join"`` (default) - a partial aggregate of the keys joined back to
-  the rows on null-safe keys. Map-side combine shrinks the shuffled
-  aggregate; the join is a sort-merge join whose hot key partition AQE
-  splits, so a key holding a third of all rows is spread over many tasks.
+A partial aggregate of the keys is joined back to the rows on null-safe
+keys. Map-side combine shrinks the shuffled aggregate; the join is a
+sort-merge join whose hot key partition AQE splits, so a key holding a
+third of all rows is spread over many tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def count_per_key(df: DataFrame, keys: list[str], name: str, how: str = "join") -> DataFrame:
-    if how == "window":
-        return df.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    if how != "join":
-        raise ValueError(f"unknown form {how!r}")
+def count_per_key(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     renamed = {k: f"__key_{i}" for i, k in enumerate(keys)}
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
     counts = counts.select(*[F.col(k).alias(v) for k, v in renamed.items()], name)

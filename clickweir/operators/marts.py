@@ -5,6 +5,9 @@ measures here are this package's. All are grouped aggregates with
 map-side partial aggregation; the distinct-user counts are exact (Spark
 plans them as a two-level aggregate keyed by the user as well, so one
 hot product or date is spread over many tasks).
+
+Each takes the clean events, or ``partial_events`` of them: rows that stand
+for ``n_events`` events with ``price_sum`` in total.
 """
 
 from __future__ import annotations
@@ -19,14 +22,26 @@ FUNNEL_STAGES = ("view", "cart", "purchase")
 PURCHASE = "purchase"
 
 
-def _measures(event_types: tuple[str, ...], purchase: str) -> list[Column]:
+PARTIAL_KEYS = ("event_date", "product_id", "category_level_1", "category_level_2", "event_type", "user_id")
+
+
+def partial_events(clean: DataFrame) -> DataFrame:
+    """One row for all events that agree in everything the tables group or
+    count by; the three tables are roll-ups of it."""
+    return clean.groupBy(*PARTIAL_KEYS).agg(F.count(F.lit(1)).alias("n_events"), F.sum("price").cast("decimal(24,2)").alias("price_sum"))
+
+
+def _measures(df: DataFrame, event_types: tuple[str, ...], purchase: str) -> list[Column]:
     et = F.col("event_type")
+    partial = "n_events" in df.columns
+    n, price = (F.col("n_events"), F.col("price_sum")) if partial else (F.lit(1).cast("long"), F.col("price"))
+    none = F.lit(0).cast("long")
     return (
-        [F.count(F.lit(1)).alias("events")]
-        + [F.count_if(et == F.lit(t)).alias(f"{t}_events") for t in event_types]
+        [F.sum(n).alias("events")]
+        + [F.coalesce(F.sum(F.when(et == F.lit(t), n)), none).alias(f"{t}_events") for t in event_types]
         + [
             F.count_distinct("user_id").alias("users"),
-            F.coalesce(F.sum(F.when(et == F.lit(purchase), F.col("price"))), F.lit(0).cast("decimal(24,2)"))
+            F.coalesce(F.sum(F.when(et == F.lit(purchase), price)), F.lit(0).cast("decimal(24,2)"))
             .cast("decimal(24,2)")
             .alias("revenue"),
         ]
@@ -37,7 +52,7 @@ def product_metrics(
     clean: DataFrame, event_types: tuple[str, ...] = EVENT_TYPES, purchase: str = PURCHASE
 ) -> DataFrame:
     """Per (event_date, product_id): events, events per type, distinct users, purchase revenue."""
-    return clean.groupBy("event_date", "product_id").agg(*_measures(event_types, purchase))
+    return clean.groupBy("event_date", "product_id").agg(*_measures(clean, event_types, purchase))
 
 
 def category_metrics(
@@ -45,7 +60,7 @@ def category_metrics(
 ) -> DataFrame:
     """Per (event_date, category_level_1, category_level_2): the same measures."""
     return clean.groupBy("event_date", "category_level_1", "category_level_2").agg(
-        *_measures(event_types, purchase)
+        *_measures(clean, event_types, purchase)
     )
 
 

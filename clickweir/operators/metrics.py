@@ -10,6 +10,3 @@ def batch_max_time(df: DataFrame, time_col: str = "event_time") -> DataFrame:
     """Global max of the event time over a (transformed) batch: one row."""
     return df.agg(F.max(time_col).alias("max_event_time"))
 
-
-def row_counts(df: DataFrame, name: str = "rows") -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias(name))

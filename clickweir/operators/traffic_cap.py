@@ -5,32 +5,26 @@ Both counts are taken over the same input rows and the two caps are
 applied together; a group over its cap is dropped whole. Null keys form
 one group (all rows with a null session share one count).
 
-Two plans give the same rows (``"auto"``, the default, picks one by the
-estimated input size, see ``choose_plan``):
-
-* ``"window"`` - two unordered Windows, then a filter. Two shuffles of
-  whole rows, and the null-session group (or any hot key) is one task.
-* ``"violators"`` (default) - one job aggregates both key sets at once
-  (grouping sets, map-side partial counts: only keys and counts are
-  shuffled) and writes the keys over their caps to the shared folder.
-  The rows are then kept by a left-anti join on null-safe keys. The
-  size of each violator set is measured on the pass that writes it, so it
-  is known before the join is planned: up to ``broadcast_bytes`` it is
-  broadcast and the rows are never shuffled; above it the join is a
-  sort-merge join whose skewed partitions AQE splits. With no violators
-  the join is left out.
+One job aggregates both key sets at once (grouping sets, map-side partial
+counts: only keys and counts are shuffled) and writes the keys over their
+caps to the shared folder. The rows are then kept by a left-anti join on
+null-safe keys. The size of both key sets is measured on the written keys, so
+it is known before the joins are planned: while both together fit
+``broadcast_bytes`` they are broadcast and the rows are never shuffled;
+above it the join is a sort-merge join whose skewed partitions AQE splits.
+With no violators the join is left out.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickweir.fs import delete_at_exit
 from clickweir.functions import minute_bucket
-from clickweir.observe import observed
 from clickweir.session import work_path
 
 
@@ -44,15 +38,18 @@ class Caps:
 # events per session.
 DEFAULT_CAPS = Caps(per_user_minute=30, per_session=500)
 
-# A violator key set is broadcast up to this many bytes, measured on the
-# pass that finds it (before the join is planned); above it, shuffle join.
+# Both violator key sets together are broadcast up to this many bytes (one
+# budget, since both tables are live at once); above it, shuffle joins.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Per-key bytes counted besides a session's string: hash-table slot and row header.
-KEY_OVERHEAD = 16
-
-# "auto" uses the window plan only for inputs estimated small: then a whole
-# key group in one task is harmless, and one job beats two.
-AUTO_WINDOW_BYTES = 256 * 1024 * 1024
+# Bytes of a hashed relation entry besides strings. Null-safe keys are joined
+# as (value, null flag) pairs, kept in the hashed row and again in its key: per
+# entry two row headers with null bits, eight bytes for each of the four (two for sessions)
+# join fields in both rows, and the hash map's slot at a load factor of one half.
+ROW_HEADER = 16
+FIELD = 8
+MAP_SLOT = 32
+MINUTE_ENTRY = 2 * (ROW_HEADER + 4 * FIELD) + MAP_SLOT
+SESSION_ENTRY = 2 * (ROW_HEADER + 2 * FIELD) + MAP_SLOT
 
 MINUTE_KEYS = ("user_id", "event_minute")
 SESSION_KEYS = ("user_session",)
@@ -71,42 +68,6 @@ def with_minute(df: DataFrame, time_col: str = "event_time") -> DataFrame:
     return df.withColumn("event_minute", minute_bucket(time_col))
 
 
-def input_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` in bytes (from the file index the
-    scan already holds; nothing is listed or read here). None when
-    unknown: a source without statistics (e.g. JDBC) reports Spark's
-    default size, which is taken as unknown, and so is a session whose
-    plan cannot be inspected."""
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return None
-    return size if size < 2**62 else None
-
-
-def choose_plan(df: DataFrame, plan: str = "auto") -> str:
-    """Resolve ``"auto"``: ``"window"`` when the input is estimated at most
-    ``AUTO_WINDOW_BYTES``, else ``"violators"``."""
-    if plan != "auto":
-        return plan
-    size = input_bytes(df)
-    return "window" if size is not None and size <= AUTO_WINDOW_BYTES else "violators"
-
-
-def cap_by_window(df: DataFrame, caps: Caps = DEFAULT_CAPS) -> DataFrame:
-    """Plan (a): the two Window counts, then one filter."""
-    counted = (
-        with_minute(df)
-        .withColumn("events_per_minute", F.count(F.lit(1)).over(Window.partitionBy(*MINUTE_KEYS)))
-        .withColumn("events_per_session", F.count(F.lit(1)).over(Window.partitionBy(*SESSION_KEYS)))
-    )
-    kept = counted.filter(
-        (F.col("events_per_minute") <= caps.per_user_minute)
-        & (F.col("events_per_session") <= caps.per_session)
-    )
-    return kept.drop("event_minute", "events_per_minute", "events_per_session")
-
-
 def violator_keys(df: DataFrame, caps: Caps = DEFAULT_CAPS) -> DataFrame:
     """Keys over their cap, both kinds from one aggregate (lazy).
 
@@ -131,41 +92,38 @@ class Violators:
     path: str
     minute_keys: int
     session_keys: int
-    session_bytes: int = 0
+    session_text_bytes: int = 0
 
     @property
-    def minute_bytes(self) -> int:
-        return self.minute_keys * (16 + KEY_OVERHEAD)  # bigint + timestamp
+    def hashed_bytes(self) -> int:
+        """Size of both key sets as hashed relations (session text is held
+        in the row and in its key)."""
+        return self.minute_keys * MINUTE_ENTRY + self.session_keys * SESSION_ENTRY + 2 * self.session_text_bytes
 
 
 def find_violators(df: DataFrame, caps: Caps = DEFAULT_CAPS, path: str | None = None) -> Violators:
-    """Run the violator aggregate once and write it under the shared folder."""
+    """Run the violator aggregate once and write it under the shared folder;
+    the sizes are counted on what was written."""
     spark = df.sparkSession
     path = path or work_path(spark, "violators")
-    obs = Observation()
-    (
-        violator_keys(df, caps)
-        .observe(
-            obs,
-            F.coalesce(F.sum("by_minute"), F.lit(0)).alias("minute_keys"),
-            F.coalesce(F.sum(1 - F.col("by_minute")), F.lit(0)).alias("session_keys"),
-            F.coalesce(
-                F.sum(F.when(F.col("by_minute") == 0, F.coalesce(F.octet_length("user_session"), F.lit(0)) + KEY_OVERHEAD)),
-                F.lit(0),
-            ).alias("session_bytes"),
-        )
-        .write.mode("overwrite")
+    violator_keys(df, caps).write.mode("overwrite").parquet(path)
+    session = F.col("by_minute") == 0
+    got = (
+        spark.read.schema(VIOLATOR_SCHEMA)
         .parquet(path)
+        .agg(
+            F.count_if(~session).alias("minute_keys"),
+            F.count_if(session).alias("session_keys"),
+            F.coalesce(F.sum(F.when(session, F.octet_length("user_session"))), F.lit(0)).alias("text"),
+        )
+        .first()
     )
-    got = observed(obs) or {"minute_keys": 0, "session_keys": 0, "session_bytes": 0}
-    return Violators(path, int(got["minute_keys"]), int(got["session_keys"]), int(got["session_bytes"]))
+    return Violators(path, int(got["minute_keys"]), int(got["session_keys"]), int(got["text"]))
 
 
-def _anti(df: DataFrame, keys: DataFrame, names: tuple[str, ...], n: int, size: int, broadcast_bytes: int) -> DataFrame:
-    if n == 0:
-        return df
+def _anti(df: DataFrame, keys: DataFrame, names: tuple[str, ...], broadcast: bool) -> DataFrame:
     renamed = keys.select(*[F.col(k).alias(f"__v_{k}") for k in names])
-    if size <= broadcast_bytes:
+    if broadcast:
         renamed = F.broadcast(renamed)
     cond = [df[k].eqNullSafe(renamed[f"__v_{k}"]) for k in names]
     return df.join(renamed, cond, "left_anti")
@@ -174,30 +132,27 @@ def _anti(df: DataFrame, keys: DataFrame, names: tuple[str, ...], n: int, size:
 def drop_violators(
     df: DataFrame, violators: Violators, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Plan (b), second pass: keep rows whose keys are not in ``violators``."""
+    """Second pass: keep rows whose keys are not in ``violators``."""
     out = with_minute(df)
     v = violators
-    if v.minute_keys or v.session_keys:
-        keys = df.sparkSession.read.schema(VIOLATOR_SCHEMA).parquet(v.path)
-        out = _anti(out, keys.filter("by_minute = 1"), MINUTE_KEYS, v.minute_keys, v.minute_bytes, broadcast_bytes)
-        out = _anti(out, keys.filter("by_minute = 0"), SESSION_KEYS, v.session_keys, v.session_bytes, broadcast_bytes)
+    broadcast = v.hashed_bytes <= broadcast_bytes
+    keys = df.sparkSession.read.schema(VIOLATOR_SCHEMA).parquet(v.path)
+    if v.minute_keys:
+        out = _anti(out, keys.filter("by_minute = 1"), MINUTE_KEYS, broadcast)
+    if v.session_keys:
+        out = _anti(out, keys.filter("by_minute = 0"), SESSION_KEYS, broadcast)
     return out.drop("event_minute")
 
 
 def cap_traffic(
     df: DataFrame,
     caps: Caps = DEFAULT_CAPS,
-    plan: str = "auto",
     broadcast_bytes: int = BROADCAST_BYTES,
-    counts_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Drop capped groups. ``counts_from`` (plan b only) is the frame the
-    counts are taken from when it differs from ``df`` only by observation
-    nodes, so an observed node runs in the final pass alone."""
-    plan = choose_plan(counts_from if counts_from is not None else df, plan)
-    if plan == "window":
-        return cap_by_window(df, caps)
-    if plan != "violators":
-        raise ValueError(f"unknown plan {plan!r}")
-    violators = find_violators(counts_from if counts_from is not None else df, caps)
+    """Drop capped groups. The aggregate runs here; the result is the lazy
+    second pass. It reads the key table until it is used, so that table is
+    deleted when the process ends (the jobs, which know when they are done,
+    delete theirs themselves)."""
+    violators = find_violators(df, caps)
+    delete_at_exit(df.sparkSession, violators.path)
     return drop_violators(df, violators, broadcast_bytes)

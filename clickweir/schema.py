@@ -29,10 +29,10 @@ DERIVED_COLUMNS = (
 
 TARGET_COLUMNS = SOURCE_COLUMNS + DERIVED_COLUMNS
 
-# Target storage order (partition column first, then the in-file sort).
+# Target storage order (partition column first, then the in-file sort).
 TARGET_SORT = ("event_date", "event_time", "product_id")
 
-# Columns the target declares NOT NULL.
+# Columns the target declares NOT NULL.
 TARGET_NOT_NULL = ("event_time", "event_type", "product_id", "event_date", "event_hour", "day_of_week")
 
 PRICE_TYPE = T.DecimalType(14, 2)

@@ -77,13 +77,19 @@ def test_parse_event_time(spark):
         ("2019-10-01T01:02:03+03:00", dt.datetime(2019, 9, 30, 22, 2, 3)),
         ("2019-10-01T01:02:03.5Z", dt.datetime(2019, 10, 1, 1, 2, 3, 500000)),
         ("2019-10-01 03:04:05", dt.datetime(2019, 10, 1, 3, 4, 5)),
+        ("2019-10-01", dt.datetime(2019, 10, 1)),  # the day is no offset
+        ("2019-10", dt.datetime(2019, 10, 1)),
+        ("2019-10-01 00:00:00 Europe/Paris", dt.datetime(2019, 9, 30, 22)),
+        ("2019-10-01 00:00:00 -0500", dt.datetime(2019, 10, 1, 5)),
+        ("2019-10-01 00:00:00 Mars/Olympus", None),
+        ("2019-10-01 UTC", None),  # a zone needs a time of day
         ("garbage", None),
         ("", None),
         (None, None),
     ]
     df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i int, s string")
     old = spark.conf.get("spark.sql.session.timeZone")
-    for zone in ("UTC", "Asia/Tokyo"):
+    for zone in ("UTC", "Asia/Tokyo", "America/New_York"):
         spark.conf.set("spark.sql.session.timeZone", zone)
         try:
             out = df.select("i", parse_event_time("s").alias("t")).orderBy("i").collect()
@@ -93,7 +99,9 @@ def test_parse_event_time(spark):
 
 
 def test_parse_numbers(spark):
-    longs = [("12", 12), (" 7 ", 7), ("12.0", 12), ("12.5", None), ("x", None), ("1e3", 1000), (None, None), ("nan", None)]
+    longs = [("12", 12), (" 7 ", 7), ("12.0", 12), ("12.5", None), ("x", None), ("1e3", 1000), (None, None), ("nan", None),
+             ("12.0000001", None), ("12.", 12), (".0", 0), ("-7.000", -7), ("1e-19", None), ("1200e-2", 12), ("9223372036854775807", 2**63 - 1),
+             ("9223372036854775808", None), ("9223372036854775807.0", 2**63 - 1), (".", None), ("+", None), ("", None), ("1.5e0", None)]
     df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(longs)], "i int, s string")
     got = [r["v"] for r in df.select("i", parse_long("s").alias("v")).orderBy("i").collect()]
     assert got == [c[1] for c in longs]

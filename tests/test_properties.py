@@ -58,7 +58,7 @@ def py_cap(rows, caps):
 
 @SETTINGS
 @given(st.lists(event, max_size=60), st.integers(1, 4), st.integers(1, 12))
-def test_cap_matches_python_for_both_plans(spark, rows, per_minute, per_session):
+def test_cap_matches_python(spark, rows, per_minute, per_session):
     caps = Caps(per_minute, per_session)
     data = [
         (T0 + dt.timedelta(minutes=m, seconds=sec), "view", i, 1, "a", "b", None, u, s)
@@ -66,9 +66,8 @@ def test_cap_matches_python_for_both_plans(spark, rows, per_minute, per_session)
     ]
     df = spark.createDataFrame(data, SOURCE_SCHEMA)
     want = py_cap(rows, caps)
-    for plan in ("window", "violators"):
-        got = sorted(r["product_id"] for r in cap_traffic(df, caps, plan=plan).select("product_id").collect())
-        assert got == want, plan
+    got = sorted(r["product_id"] for r in cap_traffic(df, caps).select("product_id").collect())
+    assert got == want
 
 
 stamps = st.datetimes(min_value=dt.datetime(1990, 1, 1), max_value=dt.datetime(2060, 12, 31))
