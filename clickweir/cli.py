@@ -18,7 +18,7 @@ from clickweir.operators.traffic_cap import DEFAULT_CAPS, Caps
 from clickweir.plans import jobs
 from clickweir.plans.ledger import HISTORY_DEFAULT
 from clickweir.plans.marts_job import MARTS, load_dates, refresh_marts
-from clickweir.sources.csv_ingest import DEFAULT_LIMIT, ingest_csv
+from clickweir.sources.csv_ingest import ingest_csv
 from clickweir.sources.jdbc import jdbc_options, read_jdbc_parallel, read_jdbc_source
 from clickweir.sources.parquet import read_events
 
@@ -36,22 +36,32 @@ def _parser() -> argparse.ArgumentParser:
         c.add_argument("--jdbc-user")
         c.add_argument("--jdbc-password-env", help="name of the environment variable holding the password")
         c.add_argument("--jdbc-driver")
-        c.add_argument("--partition-column", help="read in parallel range queries over this column")
+        c.add_argument("--partition-column", default="event_time",
+                       help="read in parallel range queries over this column ('': one query)")
         c.add_argument("--partitions", type=int, default=8)
         c.add_argument("--stage", action="store_true", help="copy the batch once, then work on the copy")
         c.add_argument("--target", required=True, help="target root folder")
         c.add_argument("--max-per-minute", type=int, default=DEFAULT_CAPS.per_user_minute)
         c.add_argument("--max-per-session", type=int, default=DEFAULT_CAPS.per_session)
-        c.add_argument("--plan", choices=["auto", "violators", "window"], default="violators")
-        c.add_argument("--rebalance", action="store_true", help="shuffle by date before writing")
         return c
 
+    def sink(c: argparse.ArgumentParser) -> None:
+        c.add_argument("--time-ordered", action="store_true", help="the source stands in time order: write without a shuffle by date")
+        c.add_argument("--target-jdbc-url", help="also load the rows into a table of this database")
+        c.add_argument("--target-jdbc-table", default="events_clean")
+        c.add_argument("--target-jdbc-user")
+        c.add_argument("--target-jdbc-password-env")
+        c.add_argument("--target-jdbc-driver")
+        c.add_argument("--target-jdbc-connections", type=int, default=16)
+
     full = job("full", "full refresh")
     full.add_argument("--set-hwm", action="store_true")
     full.add_argument("--vacuum", action="store_true")
-    job("incremental", "load rows after the mark")
+    sink(full)
+    sink(job("incremental", "load rows after the mark"))
     job("preview", "counts and first rows of the next increment; writes nothing")
-    for name in ("reset", "vacuum"):
+    # merge: the loads into one; vacuum: superseded folders and ledger files; unlock: after a killed run
+    for name in ("reset", "merge", "vacuum", "unlock"):
         sub.add_parser(name).add_argument("--target", required=True)
     h = sub.add_parser("history")
     h.add_argument("--target", required=True)
@@ -67,15 +77,27 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--csv", required=True)
     i.add_argument("--table", required=True)
     i.add_argument("--append", action="store_true")
-    i.add_argument("--limit", type=int, default=DEFAULT_LIMIT, help="0 = all rows")
+    i.add_argument("--limit", type=int, help="only the first rows in column order (default: all)")
+    i.add_argument("--single-line", action="store_true", help="no field holds a line break: read files in parallel splits")
     return p
 
 
+def _secret(name: str | None) -> str | None:
+    return os.environ.get(name, "") if name else None
+
+
+def _target(args) -> jobs.Target:
+    if not args.target_jdbc_url:
+        return jobs.Target(args.target)
+    opts = jdbc_options(args.target_jdbc_url, args.target_jdbc_table, user=args.target_jdbc_user,
+                        password=_secret(args.target_jdbc_password_env), driver=args.target_jdbc_driver)
+    return jobs.Target(args.target, jdbc=opts, jdbc_connections=args.target_jdbc_connections)
+
+
 def _source(spark: SparkSession, args):
     if args.source:
         return read_events(spark, args.source)
-    password = os.environ.get(args.jdbc_password_env, "") if args.jdbc_password_env else None
-    opts = jdbc_options(args.jdbc_url, args.jdbc_table, user=args.jdbc_user, password=password, driver=args.jdbc_driver)
+    opts = jdbc_options(args.jdbc_url, args.jdbc_table, user=args.jdbc_user, password=_secret(args.jdbc_password_env), driver=args.jdbc_driver)
     if args.partition_column:
         return read_jdbc_parallel(spark, opts, args.partition_column, args.partitions)
     return read_jdbc_source(spark, opts)
@@ -87,25 +109,29 @@ def _rows(df) -> list[dict]:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
     args = _parser().parse_args(argv)
-    spark = spark or SparkSession.builder.appName(f"clickweir-{args.command}").getOrCreate()
+    # dates, hours and marks are those of UTC
+    spark = spark or SparkSession.builder.appName(f"clickweir-{args.command}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     c = args.command
     if c in ("full", "incremental", "preview"):
         caps = Caps(args.max_per_minute, args.max_per_session)
         src = _source(spark, args)
         if c == "full":
-            out = jobs.run_full(spark, src, args.target, caps, args.plan, set_hwm=args.set_hwm,
-                                rebalance=args.rebalance, stage=args.stage, vacuum_after=args.vacuum)
+            out = jobs.run_full(spark, src, _target(args), caps, set_hwm=args.set_hwm, time_ordered=args.time_ordered,
+                                stage=args.stage, vacuum_after=args.vacuum)
         elif c == "incremental":
-            out = jobs.run_incremental(spark, src, args.target, caps, args.plan, rebalance=args.rebalance,
-                                       stage=args.stage)
+            out = jobs.run_incremental(spark, src, _target(args), caps, time_ordered=args.time_ordered, stage=args.stage)
         else:
-            p = jobs.preview_increment(spark, src, args.target, caps, args.plan)
+            p = jobs.preview_increment(spark, src, args.target, caps)
             out = {"rows_read": p.rows_read, "rows_after_filtering": p.rows_after_filtering,
                    "max_event_time": p.max_event_time.isoformat() if p.max_event_time else None,
                    "first_rows": _rows(p.first_rows)}
     elif c == "reset":
         jobs.reset_mark(spark, args.target)
         out = {"reset": True}
+    elif c == "merge":
+        out = jobs.merge_loads(spark, args.target)
+    elif c == "unlock":
+        out = {"released": jobs.unlock(spark, args.target)}
     elif c == "vacuum":
         out = {"deleted": jobs.vacuum(spark, args.target)}
     elif c == "marts":
@@ -121,8 +147,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     elif c == "status":
         out = _rows(jobs.Target(args.target).ledger(spark).status(args.run_id))[0]
     else:
-        n = ingest_csv(spark, args.csv, args.table, append=args.append, limit=args.limit or None)
-        out = {"rows_loaded": n}
+        got = ingest_csv(spark, args.csv, args.table, append=args.append, limit=args.limit, multi_line=not args.single_line)
+        out = {"rows_loaded": got.rows, "malformed_rows": got.malformed}
     print(json.dumps(out, default=str))
     return out
 

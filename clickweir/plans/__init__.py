@@ -6,12 +6,15 @@ from clickweir.plans.jobs import (
     Preview,
     Target,
     increment_bounds,
+    merge_loads,
     preview_increment,
     read_table,
     reset_mark,
+    run_batch,
     run_full,
     run_incremental,
     stage_rows,
+    unlock,
     vacuum,
 )
 from clickweir.plans.ledger import LEDGER_SCHEMA, Ledger
@@ -27,12 +30,15 @@ __all__ = [
     "Target",
     "increment_bounds",
     "load_dates",
+    "merge_loads",
     "preview_increment",
     "read_table",
     "refresh_marts",
     "reset_mark",
+    "run_batch",
     "run_full",
     "run_incremental",
     "stage_rows",
+    "unlock",
     "vacuum",
 ]

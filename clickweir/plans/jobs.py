@@ -3,15 +3,15 @@
 Target layout under one root folder::
 
     <root>/_runs/                         run ledger (commit log, marks)
-    <root>/data/load=<id>/event_date=<d>/  one folder per load
-
-Each job is one pass over the source rows it writes (plus, with the
-default cap plan, one aggregate pass over the keys); row counts come from
-observations on that pass, not from extra ``count()`` scans. Jobs default
-to the violator cap plan at every size: it writes from the scan's own
-parallel tasks and finds the increment bound on its aggregate pass, so
-even on small inputs it is no slower than the one-job window plan
-(measured), and at scale it never shuffles whole rows.
+    <root>/_runs_claims/                  one marker a run, against two writers
+    <root>/data/load=<id>/event_date=<d>/  one folder per run, named by run id
+
+A run claims its number, writes a folder that nobody else writes, and
+commits by one ledger append; the ledger row is also its result. Counts are
+exact however often tasks or stages run again: rows in come from an
+aggregate over the frozen batch, rows written from the footers of the
+committed load. With a database target the committed load is then what is
+sent there.
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -28,25 +29,36 @@ from pyspark.sql import types as T
 from clickweir.fs import delete_path, list_dirs
 from clickweir.functions import wall_clock
 from clickweir.observe import observed as observed_metrics
-from clickweir.operators.clean import CleanCounts, clean_events
+from clickweir.operators.clean import clean_events
 from clickweir.operators.enrich import enrich
 from clickweir.operators.filters import require_columns
-from clickweir.operators.traffic_cap import DEFAULT_CAPS, Caps, Violators, choose_plan, find_violators
-from clickweir.plans.ledger import FAILED, FULL, INCREMENTAL, RESET, SUCCESS, Ledger
+from clickweir.operators.traffic_cap import DEFAULT_CAPS, Caps, Violators, find_violators
+from clickweir.plans.ledger import BATCH, FAILED, FULL, INCREMENTAL, MERGE, RESET, SUCCESS, Ledger
 from clickweir.schema import TARGET_COLUMNS, TARGET_SCHEMA
 from clickweir.session import work_path
+from clickweir.sources.jdbc import write_jdbc
 from clickweir.sources.table import write_clean_table
 
 # The mark's column and name.
 HWM_COLUMN = "event_time"
 HWM_NAME = f"clickstream_{HWM_COLUMN}_hwm"
 
+# The columns a preview shows.
 PREVIEW_COLUMNS = ("event_time", "event_type", "product_id", "category_code", "event_date", "event_hour", "day_of_week")
 
 
 @dataclass(frozen=True)
 class Target:
+    """Where a job's rows go. ``jdbc``: options of a database table that also
+    receives them; a full refresh empties it first (keeping its DDL), other
+    runs append. The database is written from the run's finished load and
+    before the run commits: a run that fails in between is repeated whole,
+    so rows reach the database at least once, the files exactly once."""
+
     root: str
+    jdbc: dict[str, str] | None = None
+    jdbc_connections: int | None = None
+    jdbc_writer: Callable = field(default=write_jdbc, compare=False)
 
     @property
     def data(self) -> str:
@@ -80,20 +92,23 @@ def mark_literal(value: dt.datetime, dtype: T.DataType) -> Column:
     return text.cast("timestamp_ntz") if isinstance(dtype, T.TimestampNTZType) else text.cast(dtype)
 
 
-def stage_rows(source: DataFrame, hwm_column: str = HWM_COLUMN) -> tuple[DataFrame, str, dt.datetime | None, int]:
+def require_utc(source: DataFrame, hwm_column: str = HWM_COLUMN) -> None:
+    """The calendar fields, minutes and marks of a zoned event time follow the
+    session zone; the jobs define them in UTC and refuse another one."""
+    zone = source.sparkSession.conf.get("spark.sql.session.timeZone")
+    if isinstance(source.schema[hwm_column].dataType, T.TimestampType) and zone not in ("UTC", "GMT", "Etc/UTC", "Z", "+00:00"):
+        raise ValueError(f"{hwm_column} has a zone and the session's zone is {zone}: set spark.sql.session.timeZone to UTC")
+
+
+def stage_rows(source: DataFrame) -> tuple[DataFrame, str]:
     """Copy ``source`` once to the shared folder; later passes read the copy.
 
     For a database source this is the only query the job sends, and every
     count, the mark and the written rows then refer to the same snapshot.
-    Returns (copy, its path, max of ``hwm_column``, rows); both observed on
-    the copy's write, which has no exchange, so they are exact.
     """
-    spark = source.sparkSession
-    path = work_path(spark, "stage")
-    stats = Observation()
-    source.observe(stats, F.max(wall_clock(hwm_column)).alias("high"), F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    got = observed_metrics(stats) or {"high": None, "rows": 0}
-    return spark.read.schema(source.schema).parquet(path), path, got["high"], int(got["rows"])
+    path = work_path(source.sparkSession, "stage")
+    source.write.parquet(path)
+    return source.sparkSession.read.schema(source.schema).parquet(path), path
 
 
 def read_table(spark: SparkSession, target: Target | str) -> DataFrame:
@@ -109,46 +124,82 @@ def read_table(spark: SparkSession, target: Target | str) -> DataFrame:
 
 def vacuum(spark: SparkSession, target: Target | str) -> list[str]:
     """Delete the folders of loads readers no longer see (superseded
-    snapshots, increments before them, failed attempts); returns their
-    names. Run it only while no job writes to the target, and when no
-    reader still scans an older snapshot."""
+    snapshots, increments before them, failed attempts) and merge the
+    ledger's files; returns the folders' names. Run it only while no job
+    writes to the target, and when no reader still scans an older snapshot."""
     t = _as_target(target)
-    visible = {f"load={x}" for x in t.ledger(spark).committed_loads()}
+    ledger = t.ledger(spark)
+    visible = {f"load={x}" for x in ledger.committed_loads()}
     gone = [d for d in list_dirs(spark, t.data) if d.startswith("load=") and d not in visible]
     for d in gone:
         delete_path(spark, f"{t.data}/{d}")
+    ledger.compact()
     return gone
 
 
-def _result(job_type: str, started: float, **extra) -> dict:
-    out = {"job_type": job_type, "status": SUCCESS, "duration_seconds": round(time.time() - started, 2)}
-    out.update(extra)
-    return out
-
+class _Run:
+    """One run on a target: its number, its folder, its ledger row and what
+    it must delete. The row is the run's only record."""
+
+    def __init__(self, spark: SparkSession, target: Target, job_type: str, hwm_name: str | None = None, batch: str | None = None):
+        self.spark, self.target, self.ledger = spark, target, target.ledger(spark)
+        self.clock, self.scratch = time.time(), []
+        seq, self.mark, _ = self.ledger.state(hwm_name)
+        self.row = {"seq": seq, "run_id": uuid.uuid4().hex, "job_type": job_type, "started_at": _now(), "hwm_name": hwm_name, "batch": batch}
+        self.ledger.claim(seq, self.row["run_id"])
+
+    def __enter__(self) -> _Run:
+        return self
+
+    def __exit__(self, kind, exc, trace) -> None:
+        if exc is not None:
+            self.ledger.append({**self.row, "status": FAILED, "finished_at": _now(), "error": repr(exc)})
+        for path in self.scratch:
+            delete_path(self.spark, path)
+
+    def staged(self, rows: DataFrame, stage: bool) -> DataFrame:
+        if not stage:
+            return rows
+        copy, path = stage_rows(rows)
+        self.scratch.append(path)
+        return copy
+
+    def violators(self, rows: DataFrame, caps: Caps) -> Violators:
+        path = work_path(self.spark, "violators")
+        self.scratch.append(path)
+        return find_violators(rows, caps, path)
+
+    def write(self, cleaned: DataFrame, time_ordered: bool, empty_first: bool = False) -> int:
+        """Write the run's load, and the database from it; rows written."""
+        self.row["load"] = f"{self.row['job_type']}-{self.row['seq']:06d}-{self.row['run_id']}"
+        path = self.target.load_path(self.row["load"])
+        write_clean_table(cleaned, path, mode="errorifexists", time_ordered=time_ordered)
+        load = self.spark.read.schema(TARGET_SCHEMA).parquet(path)
+        if self.target.jdbc is not None:
+            self.target.jdbc_writer(
+                load.select(*TARGET_COLUMNS), self.target.jdbc, mode="overwrite" if empty_first else "append", truncate=empty_first,
+                max_connections=self.target.jdbc_connections,
+            )
+        return load.count()  # of no column: read from the files' footers
+
+    def commit(self, rows_in: int, rows_out: int, **row) -> dict:
+        self.row |= {
+            "status": SUCCESS, "finished_at": _now(), "duration_seconds": round(time.time() - self.clock, 2),
+            "rows_read": rows_in, "rows_before_filtering": rows_in, "rows_after_filtering": rows_out, "rows_written": rows_out, **row,
+        }
+        self.ledger.append(self.row)
+        return {k: self.row[k] for k in RESULT_FIELDS}
 
-def _commit(ledger: Ledger, base: dict, started: float, before: int, after: int, with_read: bool, **row) -> dict:
-    """Append the run's success row (its commit) and return its result record.
 
-    The record has the reference's fields: counts in, after filtering and
-    written (plus rows read for increments)."""
-    counts = {"rows_before_filtering": before, "rows_after_filtering": after, "rows_written": after}
-    if with_read:
-        counts = {"rows_read": before, **counts}
-    res = _result(base["job_type"], started, run_id=base["run_id"], **counts)
-    ledger.append(
-        {**base, "status": SUCCESS, "finished_at": _now(), "duration_seconds": res["duration_seconds"],
-         "rows_read": before, **counts, **row}
-    )
-    return res
+# Fields of a ledger row that a job returns.
+RESULT_FIELDS = (
+    "run_id", "job_type", "status", "duration_seconds", "rows_read", "rows_before_filtering", "rows_after_filtering", "rows_written",
+)
 
 
-def _run_guarded(ledger: Ledger, base: dict, body):
-    """Run ``body``; on failure append a failed ledger row and re-raise."""
-    try:
-        return body()
-    except Exception as exc:
-        ledger.append({**base, "status": FAILED, "finished_at": _now(), "error": repr(exc)[:2000]})
-        raise
+def _row_count(rows: DataFrame) -> int:
+    """An aggregate over the rows: exact even if its stages run again."""
+    return rows.agg(F.count(F.lit(1))).first()[0]
 
 
 def run_full(
@@ -156,50 +207,30 @@ def run_full(
     source: DataFrame,
     target: Target | str,
     caps: Caps = DEFAULT_CAPS,
-    plan: str = "violators",
     set_hwm: bool = False,
     hwm_name: str = HWM_NAME,
     hwm_column: str = HWM_COLUMN,
-    rebalance: bool = False,
+    time_ordered: bool = False,
     stage: bool = False,
     vacuum_after: bool = False,
 ) -> dict:
     """Full refresh: clean the whole source into a new load, then publish
     it by one ledger append. Readers see the previous snapshot until then,
     never an empty table. The mark is left alone unless ``set_hwm``.
-    ``rebalance``: see ``write_clean_table``; ``stage``: see ``stage_rows``
+    ``time_ordered``: see ``write_clean_table``; ``stage``: see ``stage_rows``
     (for database sources); ``vacuum_after`` frees the superseded loads
     once the new snapshot is published (see ``vacuum``)."""
     t = _as_target(target)
-    ledger = t.ledger(spark)
-    started, started_at = time.time(), _now()
-    seq, _, _ = ledger.state(hwm_name)
-    load = f"full-{seq:06d}"
-    base = {"seq": seq, "run_id": uuid.uuid4().hex, "job_type": FULL, "started_at": started_at, "hwm_name": hwm_name}
-
-    plan_ = choose_plan(source, plan)
-
-    def body():
-        plan = plan_
-        rows, staged = source, None
-        if stage:
-            rows, staged, _, _ = stage_rows(source, hwm_column)
-        counts = CleanCounts()
-        violators = find_violators(require_columns(rows), caps) if plan == "violators" else None
-        cleaned = clean_events(rows, caps, plan=plan, counts=counts, violators=violators)
-        write_clean_table(cleaned, t.load_path(load), mode="overwrite", rebalance=rebalance)
-        res = _commit(
-            ledger, base, started, counts.rows_before, counts.rows_after, False,
-            hwm_high=counts.max_time if set_hwm else None, sets_mark=bool(set_hwm), load=load,
-        )
-        for scratch in (violators.path if violators and violators.path else None, staged):
-            if scratch:
-                delete_path(spark, scratch)
-        if vacuum_after:
-            vacuum(spark, t)
-        return res
-
-    return _run_guarded(ledger, base, body)
+    require_utc(source, hwm_column)
+    with _Run(spark, t, FULL, hwm_name) as run:
+        rows = run.staged(source, stage)
+        cleaned = clean_events(rows, caps, violators=run.violators(require_columns(rows), caps))
+        written = run.write(cleaned, time_ordered, empty_first=True)
+        high = rows.agg(F.max(wall_clock(hwm_column))).first()[0] if set_hwm else None
+        result = run.commit(_row_count(rows), written, hwm_high=high, sets_mark=set_hwm)
+    if vacuum_after:
+        vacuum(spark, t)
+    return result
 
 
 def increment_bounds(
@@ -221,42 +252,21 @@ def increment_bounds(
 
 
 def _bounded_batch(
-    source: DataFrame, low: dt.datetime | None, caps: Caps, plan: str, hwm_column: str, stage: bool
-) -> tuple[DataFrame, dt.datetime | None, Violators | None, str | None]:
-    """(batch, high, violators, staged copy): the bound found on a pass
-    the job makes anyway.
-
-    With ``stage`` the rows above the mark are copied once and ``high`` is
-    observed on that write. Otherwise the violator aggregate observes it
-    on the rows it reads, and the batch is frozen to ``(low, high]`` so
-    the final pass reads the rows the keys were counted over.
-    """
+    source: DataFrame, low: dt.datetime | None, caps: Caps, hwm_column: str, find: Callable[[DataFrame, Caps], Violators]
+) -> tuple[DataFrame, dt.datetime | None, Violators | None]:
+    """(batch, high, violators): the bound is observed on the violator pass
+    (a maximum does not change if tasks run again) and the batch is frozen
+    to ``(low, high]``, so every later pass sees the same rows."""
     col = F.col(hwm_column)
     dtype = source.schema[hwm_column].dataType
     above = source.filter(col.isNotNull() if low is None else col > mark_literal(low, dtype))
-    if stage:
-        rows, staged, high, n = stage_rows(above, hwm_column)
-        if high is None:
-            delete_path(source.sparkSession, staged)
-            return rows, None, None, None
-        violators = None
-        if plan == "violators":
-            # no group can exceed a cap when the whole batch is within the smaller one
-            fits = n <= min(caps.per_user_minute, caps.per_session)
-            violators = Violators("", 0, 0) if fits else find_violators(require_columns(rows), caps)
-        return rows, high, violators, staged
-    if plan != "violators":
-        batch, high = increment_bounds(source, low, hwm_column)
-        return batch, high, None, None
     stats = Observation()
-    observed = above.observe(stats, F.max(wall_clock(col)).alias("high"))
-    violators = find_violators(require_columns(observed), caps)
+    violators = find(require_columns(above.observe(stats, F.max(wall_clock(col)).alias("high"))), caps)
     got = observed_metrics(stats)
     high = got["high"] if got is not None else above.agg(F.max(wall_clock(col)).alias("h")).first()["h"]
     if high is None:
-        delete_path(source.sparkSession, violators.path)
-        return above.limit(0), None, None, None
-    return above.filter(col <= mark_literal(high, dtype)), high, violators, None
+        return above.limit(0), None, None
+    return above.filter(col <= mark_literal(high, dtype)), high, violators
 
 
 def run_incremental(
@@ -264,72 +274,72 @@ def run_incremental(
     source: DataFrame,
     target: Target | str,
     caps: Caps = DEFAULT_CAPS,
-    plan: str = "violators",
     hwm_name: str = HWM_NAME,
     hwm_column: str = HWM_COLUMN,
-    rebalance: bool = False,
+    time_ordered: bool = False,
     stage: bool = False,
 ) -> dict:
     """Load the rows after the saved mark, then commit rows and mark together.
 
-    The load folder is named by the ledger row that set the current mark,
-    which does not change until this run commits: a retry after a crash
-    overwrites the same uncommitted folder, so no batch is loaded twice.
-    Caps count only the rows of this batch. No new rows: zero counts, no
-    write, mark unchanged. ``stage`` copies the batch once first (see
-    ``stage_rows``; for database sources).
+    Each run writes a folder of its own; only the committed one is read, so
+    a retry after a crash loads no batch twice, and marks of different names
+    never touch each other's loads. Caps count only the rows of this batch.
+    No new rows: zero counts, no write, mark unchanged. ``stage`` copies
+    the batch once first (see ``stage_rows``; for database sources).
     """
     t = _as_target(target)
-    ledger = t.ledger(spark)
-    started, started_at = time.time(), _now()
-    seq, low, low_seq = ledger.state(hwm_name)
-    base = {
-        "seq": seq,
-        "run_id": uuid.uuid4().hex,
-        "job_type": INCREMENTAL,
-        "started_at": started_at,
-        "hwm_name": hwm_name,
-        "hwm_low": low,
-    }
-
-    plan_ = choose_plan(source, plan)
-
-    def body():
-        batch, high, violators, staged = _bounded_batch(source, low, caps, plan_, hwm_column, stage)
+    require_utc(source, hwm_column)
+    with _Run(spark, t, INCREMENTAL, hwm_name) as run:
+        run.row["hwm_low"] = run.mark
+        col = F.col(hwm_column)
+        above = source.filter(col.isNotNull() if run.mark is None else col > mark_literal(run.mark, source.schema[hwm_column].dataType))
+        batch, high, violators = _bounded_batch(run.staged(above, stage), run.mark, caps, hwm_column, run.violators)
         if high is None:
-            return _commit(ledger, base, started, 0, 0, True, sets_mark=False)
-        load = "inc-first" if low_seq is None else f"inc-{low_seq:06d}"
-        counts = CleanCounts()
-        cleaned = clean_events(batch, caps, plan=plan_, counts=counts, violators=violators)
-        write_clean_table(cleaned, t.load_path(load), mode="overwrite", rebalance=rebalance)
-        res = _commit(
-            ledger, base, started, counts.rows_before, counts.rows_after, True,
-            hwm_high=high, sets_mark=True, load=load,
-        )
-        for scratch in (violators.path if violators and violators.path else None, staged):
-            if scratch:
-                delete_path(spark, scratch)
-        return res
+            return run.commit(0, 0, sets_mark=False)
+        written = run.write(clean_events(batch, caps, violators=violators), time_ordered)
+        return run.commit(_row_count(batch), written, hwm_high=high, sets_mark=True)
+
+
+def run_batch(
+    spark: SparkSession,
+    rows: DataFrame,
+    target: Target | str,
+    batch: str,
+    caps: Caps = DEFAULT_CAPS,
+    time_ordered: bool = False,
+) -> dict | None:
+    """Load all of ``rows`` as the batch of that name, once: a name the
+    ledger holds as committed is skipped (None). Marks play no part."""
+    t = _as_target(target)
+    require_utc(rows)
+    if t.ledger(spark).has_batch(batch):
+        return None
+    with _Run(spark, t, BATCH, batch=batch) as run:
+        copy = run.staged(rows, True)  # a micro-batch is read once
+        written = run.write(clean_events(copy, caps, violators=run.violators(require_columns(copy), caps)), time_ordered)
+        return run.commit(_row_count(copy), written)
+
+
+def merge_loads(spark: SparkSession, target: Target | str) -> dict:
+    """Rewrite the published table, a snapshot and the small loads after it,
+    as one load. Rows and marks stay as they are; ``vacuum`` then frees the
+    merged loads."""
+    t = _as_target(target)
+    with _Run(spark, Target(t.root), MERGE) as run:
+        rows = read_table(spark, t)
+        written = run.write(rows, time_ordered=False)
+        return run.commit(written, written)
+
 
-    return _run_guarded(ledger, base, body)
+def unlock(spark: SparkSession, target: Target | str) -> bool:
+    """Give up the claim of a run that was killed (``Ledger.release``)."""
+    return _as_target(target).ledger(spark).release()
 
 
 def reset_mark(spark: SparkSession, target: Target | str, hwm_name: str = HWM_NAME) -> None:
     """Forget the mark: the next increment starts from the beginning."""
-    ledger = _as_target(target).ledger(spark)
-    seq, _, _ = ledger.state(hwm_name)
-    ledger.append(
-        {
-            "seq": seq,
-            "run_id": uuid.uuid4().hex,
-            "job_type": RESET,
-            "status": SUCCESS,
-            "started_at": _now(),
-            "finished_at": _now(),
-            "hwm_name": hwm_name,
-            "sets_mark": True,
-        }
-    )
+    with _Run(spark, _as_target(target), RESET, hwm_name) as run:
+        run.ledger.append({**run.row, "status": SUCCESS, "finished_at": _now(), "sets_mark": True})
 
 
 @dataclass
@@ -345,18 +355,28 @@ def preview_increment(
     source: DataFrame,
     target: Target | str,
     caps: Caps = DEFAULT_CAPS,
-    plan: str = "violators",
     n: int = 10,
     hwm_name: str = HWM_NAME,
     hwm_column: str = HWM_COLUMN,
 ) -> Preview:
-    """Counts, new max time and the first ``n`` rows (by time) of the next increment."""
+    """Counts, new max time and the first ``n`` rows (by time) of the next
+    increment, in two passes over the batch: the violator pass, and the
+    pass for the first rows, on which counts and time are observed."""
+    require_utc(source, hwm_column)
     _, low, _ = _as_target(target).ledger(spark).state(hwm_name)
-    batch, high = increment_bounds(source, low, hwm_column)
-    if high is None:
-        return Preview(0, 0, None, enrich(batch).select(*PREVIEW_COLUMNS).limit(0))
-    counts = CleanCounts()
-    cleaned = clean_events(batch, caps, plan=plan, counts=counts)
-    row = cleaned.agg(F.max(wall_clock(hwm_column)).alias("m")).first()
-    first = cleaned.select(*PREVIEW_COLUMNS).orderBy(*PREVIEW_COLUMNS).limit(n)
-    return Preview(counts.rows_before, counts.rows_after, row["m"], first)
+    scratch = work_path(spark, "violators")
+    try:
+        batch, high, violators = _bounded_batch(source, low, caps, hwm_column, lambda rows, c: find_violators(rows, c, scratch))
+        if high is None:
+            return Preview(0, 0, None, enrich(batch).select(*PREVIEW_COLUMNS).limit(0))
+        before, after = Observation(), Observation()
+        seen = batch.observe(before, F.count(F.lit(1)).alias("rows"))
+        cleaned = clean_events(seen, caps, violators=violators).observe(
+            after, F.count(F.lit(1)).alias("rows"), F.max(wall_clock(hwm_column)).alias("max_time")
+        )
+        shown = cleaned.select(*PREVIEW_COLUMNS)
+        first = shown.orderBy(*PREVIEW_COLUMNS).limit(n).collect()
+        got_in, got_out = observed_metrics(before) or {"rows": 0}, observed_metrics(after) or {"rows": 0, "max_time": None}
+        return Preview(int(got_in["rows"]), int(got_out["rows"]), got_out["max_time"], spark.createDataFrame(first, shown.schema))
+    finally:
+        delete_path(spark, scratch)

@@ -9,8 +9,14 @@ bounds and the folder it wrote. The row is also the run's commit:
   successful increment committed after it.
 
 Appending one file is atomic, so a crash before the append leaves the
-mark and the published table as they were; the retry rewrites the same
-uncommitted folder. Readers never see a half-written load.
+mark and the published table as they were. Readers never see a
+half-written load.
+
+A run first claims its ``seq``, the number after the last row's, by creating
+a marker file that must not exist yet. So of two writers that read the same
+state one fails before it writes, and a run can only commit on top of the
+state it read. A failed run appends its row and so gives the number up; a run
+that was killed outright leaves its claim, which ``release`` gives up.
 """
 
 from __future__ import annotations
@@ -21,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickweir.fs import delete_path, list_files, path_exists
+from clickweir.fs import create_once, delete_path, list_files, path_exists
 
 LEDGER_SCHEMA = T.StructType(
     [
@@ -41,26 +47,54 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("hwm_high", T.TimestampNTZType()),
         T.StructField("sets_mark", T.BooleanType()),
         T.StructField("load", T.StringType()),
+        T.StructField("batch", T.StringType()),
         T.StructField("error", T.StringType()),
     ]
 )
 
-# Run history returns 20 runs by default and at most 50.
+# Fixed value: run history returns 20 runs by default.
 HISTORY_DEFAULT = 20
-HISTORY_MAX = 50
 
 FULL = "full_snapshot"
 INCREMENTAL = "incremental"
 RESET = "hwm_reset"
+BATCH = "stream_batch"
+MERGE = "merge"
+RELEASE = "claim_release"
 SUCCESS = "success"
 FAILED = "failed"
 
 
+class RunInProgress(RuntimeError):
+    """Another run holds the target (or was killed and left its claim)."""
+
+
 class Ledger:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
 
+    def _claim_path(self, seq: int) -> str:
+        return f"{self.path}_claims/{seq:012d}"
+
+    def claim(self, seq: int, run_id: str) -> None:
+        """Take ``seq`` for this run; ``RunInProgress`` if it is taken."""
+        if not create_once(self.spark, self._claim_path(seq), run_id):
+            raise RunInProgress(f"run {seq} of {self.path} is claimed by another writer; if that one was killed, release the claim")
+
+    def release(self) -> bool:
+        """Give up the claim a killed run left: its number gets a failed row.
+        Run it only while no job writes to this target."""
+        seq = self.state()[0]
+        if not path_exists(self.spark, self._claim_path(seq)):
+            return False
+        now = dt.datetime.now(dt.timezone.utc)
+        self.append({"seq": seq, "run_id": f"released-{seq}", "job_type": RELEASE, "status": FAILED, "started_at": now, "finished_at": now, "error": "the run was killed"})
+        return True
+
+    def has_batch(self, batch: str) -> bool:
+        return self.exists() and not self.runs().filter((F.col("batch") == batch) & (F.col("status") == SUCCESS)).isEmpty()
+
     def exists(self) -> bool:
         return path_exists(self.spark, self.path)
 
@@ -85,6 +119,9 @@ class Ledger:
         ).parquet(self.path)
         for f in old:
             delete_path(self.spark, f)
+        for f in list_files(self.spark, f"{self.path}_claims"):
+            if int(f.rsplit("/", 1)[1]) < self.state()[0]:
+                delete_path(self.spark, f)
         return len(old)
 
     def append(self, record: dict) -> None:
@@ -122,17 +159,18 @@ class Ledger:
         )
 
     def committed_loads(self) -> list[str]:
-        """Loads of the published table, oldest first."""
+        """Loads of the published table, oldest first: the last snapshot or
+        merge and what was committed after it. ``jobs.merge_loads`` keeps
+        the list short."""
         ok = self.runs().filter((F.col("status") == SUCCESS) & F.col("load").isNotNull())
-        rows = sorted(ok.select("seq", "job_type", "load").collect())
-        fulls = [i for i, r in enumerate(rows) if r["job_type"] == FULL]
-        # a load committed twice (a replayed stream batch) is read once
-        return list(dict.fromkeys(r["load"] for r in rows[(fulls[-1] if fulls else 0):]))
+        base = ok.filter(F.col("job_type").isin(FULL, MERGE)).agg(F.max("seq")).first()[0]
+        rows = ok.filter(F.col("seq") >= (0 if base is None else base)).select("seq", "load").collect()
+        return [r["load"] for r in sorted(rows)]
 
     def history(self, limit: int = HISTORY_DEFAULT) -> DataFrame:
         """The latest ``limit`` runs, newest first."""
-        if not 1 <= limit <= HISTORY_MAX:
-            raise ValueError(f"limit must be between 1 and {HISTORY_MAX}")
+        if limit < 1:
+            raise ValueError("limit must be at least 1")
         return self.runs().orderBy(F.desc("seq")).limit(limit)
 
     def status(self, run_id: str) -> DataFrame:

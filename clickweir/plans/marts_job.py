@@ -1,10 +1,12 @@
 """Materialize the summary tables from the published clean table.
 
-A full rebuild replaces each table. After an increment, only the dates
-that load touched are recomputed: the clean table is read with a filter on
-its partition column (partition pruning), and each summary table is
-written with dynamic partition overwrite, which replaces just those date
-folders.
+The clean table is scanned once: a partial aggregate by date, product,
+category levels, event type and user is written to the shared folder, and
+the three tables are roll-ups of it. A full rebuild is written beside each
+table and then put in its place. After an increment, only the dates that load
+touched are recomputed: the clean table is read with a filter on its
+partition column (partition pruning), and each summary table is written
+with dynamic partition overwrite, which replaces just those date folders.
 """
 
 from __future__ import annotations
@@ -14,9 +16,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.fs import list_dirs
-from clickweir.operators.marts import EVENT_TYPES, FUNNEL_STAGES, category_metrics, funnel_metrics, product_metrics
+from clickweir.fs import delete_path, list_dirs, replace_dir
+from clickweir.operators.marts import EVENT_TYPES, FUNNEL_STAGES, category_metrics, funnel_metrics, partial_events, product_metrics
 from clickweir.plans.jobs import Target, read_table
+from clickweir.session import work_path
 
 MARTS = ("product_metrics", "category_metrics", "funnel_metrics")
 
@@ -50,10 +53,19 @@ def refresh_marts(
         if not dates:
             return
         clean = clean.filter(F.col("event_date").isin(list(dates)))
-    for name, df in _marts(clean, event_types, stages).items():
-        writer = df.write.partitionBy("event_date")
-        if dates is None:
-            writer = writer.mode("overwrite")
-        else:
-            writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.parquet(f"{marts_root}/{name}")
+    scratch = work_path(spark, "marts-partial")
+    fresh = work_path(spark, "marts-new")
+    try:
+        partial = partial_events(clean)
+        partial.write.parquet(scratch)
+        shared = spark.read.schema(partial.schema).parquet(scratch)
+        for name, df in _marts(shared, event_types, stages).items():
+            if dates is None:
+                new = f"{marts_root}/.new-{fresh.rsplit('/', 1)[1]}-{name}"  # on the tables' own file system
+                df.write.partitionBy("event_date").parquet(new)
+                replace_dir(spark, new, f"{marts_root}/{name}")
+            else:
+                writer = df.write.partitionBy("event_date").mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                writer.parquet(f"{marts_root}/{name}")
+    finally:
+        delete_path(spark, scratch)

@@ -2,16 +2,20 @@
 
 Every column is read as text (no schema inference), so a bad value in one
 row can never fail the job or change a column's type; each column is then
-coerced with a tolerant parser and a bad value becomes null. The file is
-read in parallel splits - there are no chunks.
+coerced with a tolerant parser and a bad value becomes null. Files are read
+in parallel - there are no chunks.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickweir.functions import parse_event_time, parse_long, parse_price
+from clickweir.observe import observed
 from clickweir.schema import SOURCE_COLUMNS
 
 # Text a CSV reader of the reference's stack (pandas
@@ -21,21 +25,31 @@ NA_TEXT = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# The reference's default row limit for one ingest run.
-DEFAULT_LIMIT = 100_001
+# Holds the whole line where its fields are more or fewer than the header's.
+MALFORMED = "__malformed_line"
+
 
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """CSV with a header line, every column as text, plus ``MALFORMED``.
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header line, every column as text."""
-    return spark.read.option("header", "true").option("mode", "PERMISSIVE").csv(path)
+    Fields may be quoted; inside quotes a doubled quote stands for one, and
+    commas and line breaks are text. Line breaks inside quotes need
+    ``multi_line``, with which a file is one task; for files known to have
+    none, ``multi_line=False`` reads each file in parallel splits. Files share
+    the header of the first; their columns go by place."""
+    reader = spark.read.option("header", "true").option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+    names = reader.csv(path).columns
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, MALFORMED)])
+    return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED).schema(schema).csv(path)
 
 
 def _missing_to_null(c: str) -> Column:
     return F.when(F.col(c).isin(list(NA_TEXT)), F.lit(None).cast("string")).otherwise(F.col(c))
 
 
-def normalize(raw: DataFrame) -> DataFrame:
-    """Keep exactly the nine source columns and coerce their types.
+def normalize(raw: DataFrame, *extra: Column) -> DataFrame:
+    """Keep exactly the nine source columns (and ``extra`` ones) and coerce
+    their types.
 
     Missing text (``NA_TEXT``) becomes null in every column, then:
     ``event_time`` -> UTC wall clock without zone, ids -> bigint,
@@ -52,6 +66,7 @@ def normalize(raw: DataFrame) -> DataFrame:
         parse_price(c["price"]).alias("price"),
         parse_long(c["user_id"]).alias("user_id"),
         c["user_session"].alias("user_session"),
+        *extra,
     )
 
 
@@ -61,24 +76,32 @@ def limit_rows(df: DataFrame, limit: int, order_by: tuple[str, ...] = SOURCE_COL
     return df.orderBy(*[F.col(c).asc_nulls_last() for c in order_by]).limit(limit)
 
 
+class Ingested(NamedTuple):
+    rows: int
+    malformed: int  # of these, lines with more or fewer fields than the header
+
+
 def ingest_csv(
     spark: SparkSession,
     csv_path: str,
     table_path: str,
     append: bool = False,
-    limit: int | None = DEFAULT_LIMIT,
+    limit: int | None = None,
     order_by: tuple[str, ...] = SOURCE_COLUMNS,
-) -> int:
-    """Load a raw CSV into the Parquet source table; returns rows loaded.
+    multi_line: bool = True,
+) -> Ingested:
+    """Load a raw CSV into the Parquet source table: every row of it, or the
+    first ``limit`` in the stated order.
 
     ``append=False`` replaces the table (the reference truncates first),
-    ``append=True`` adds to it. ``limit=None`` loads every row.
+    ``append=True`` adds to it. Malformed lines are loaded with the fields
+    they have, and counted. ``multi_line``: see ``read_raw_csv``.
     """
-    df = normalize(read_raw_csv(spark, csv_path))
+    df = normalize(read_raw_csv(spark, csv_path, multi_line), F.col(MALFORMED).isNotNull().alias(MALFORMED))
     if limit is not None:
         df = limit_rows(df, limit, order_by)
     obs = Observation()
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append" if append else "overwrite").parquet(
-        table_path
-    )
-    return int(obs.get["rows"])
+    counted = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(MALFORMED)).alias("malformed"))
+    counted.drop(MALFORMED).write.mode("append" if append else "overwrite").parquet(table_path)
+    got = observed(obs) or {"rows": 0, "malformed": 0}
+    return Ingested(int(got["rows"]), int(got["malformed"]))

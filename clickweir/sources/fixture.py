@@ -32,7 +32,7 @@ def clickstream_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_partkey", "p_name", "p_brand", "p_type", "p_size"
     )
     k = F.get_json_object("props", "$.k").try_cast("bigint")
-    joined = events.join(part, k == part.p_partkey)
+    joined = events.join(part, k == part.p_partkey, "left")
     ptype = F.lower("p_type")
     slot = F.col("event_id") % CATEGORY_CYCLE
     category = (

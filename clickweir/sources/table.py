@@ -8,19 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from clickweir.schema import TARGET_COLUMNS, TARGET_SCHEMA, TARGET_SORT
 
 
-def write_clean_table(df: DataFrame, path: str, mode: str = "overwrite", rebalance: bool = False) -> None:
+def write_clean_table(df: DataFrame, path: str, mode: str = "overwrite", time_ordered: bool = False) -> None:
     """Write the 15 target columns, one folder per event date, each file
     sorted by ``(event_date, event_time, product_id)``.
 
-    By default there is no shuffle: each task writes its own rows. An
-    append-only event source is stored in time order, so a task covers
-    about one date and writes about one file. For a source that is not in
-    time order (every task would write a file for every date), set
-    ``rebalance``: a REBALANCE exchange on the date, which AQE sizes by
-    bytes (a hot date is split over several tasks, small ones merged).
+    A REBALANCE exchange on the date, which AQE sizes by bytes (a hot date
+    is split over several tasks, small ones are merged), gives every date a
+    few files whatever the order of the rows. Rows of an append-only source
+    that still stand in time order, each task holding about one date, need
+    no exchange for that: ``time_ordered`` leaves it out. (After a shuffle
+    join, or for a source split by another column, they do not.)
     """
     out = df.select(*TARGET_COLUMNS)
-    if rebalance:
+    if not time_ordered:
         out = out.hint("rebalance", "event_date")
     out.sortWithinPartitions(*TARGET_SORT).write.mode(mode).partitionBy("event_date").parquet(path)
 

@@ -1,4 +1,5 @@
 from clickweir.cli import main
+from clickweir.plans.jobs import read_table
 from clickweir.session import work_path
 from clickweir.sources import clickstream_source
 from conftest import SF_SMALL
@@ -21,6 +22,11 @@ def test_cli_job_cycle(spark, capsys):
     assert len(main(["marts", "--target", target, "--out", out, "--last-load"], spark=spark)["dates"]) == 30
     main(["reset", "--target", target], spark=spark)
     assert main(["incremental", "--source", source, "--target", target], spark=spark)["rows_read"] == 989
+    before = read_table(spark, target).count()
+    assert main(["merge", "--target", target], spark=spark)["rows_written"] == before
+    assert len(main(["vacuum", "--target", target], spark=spark)["deleted"]) == 2
+    assert read_table(spark, target).count() == before
+    assert main(["unlock", "--target", target], spark=spark) == {"released": False}
     assert '"rows_read": 989' in capsys.readouterr().out
 
 
@@ -33,6 +39,6 @@ def test_cli_ingest(spark, tmp_path):
         "bad,view,x,2,nan,x,nan,3,s\n"
     )
     table = work_path(spark, "cli-ingest")
-    assert main(["ingest", "--csv", str(csv), "--table", table, "--limit", "0"], spark=spark)["rows_loaded"] == 2
+    assert main(["ingest", "--csv", str(csv), "--table", table], spark=spark) == {"rows_loaded": 2, "malformed_rows": 0}
     assert main(["ingest", "--csv", str(csv), "--table", table, "--append", "--limit", "1"], spark=spark)["rows_loaded"] == 1
     assert spark.read.parquet(table).count() == 3

@@ -1,8 +1,7 @@
 import datetime as dt
-import os
-import tempfile
 from decimal import Decimal
 
+from clickweir.fs import _fs_path
 from clickweir.sources import ingest_csv, normalize, read_raw_csv
 from clickweir.session import work_path
 
@@ -14,15 +13,17 @@ not a time,cart,3900821,2053013552326770905,appliances.environment.water_heater,
 """
 
 
-def write_csv(text):
-    d = tempfile.mkdtemp(prefix="clickweir-csv-")
-    with open(os.path.join(d, "events.csv"), "w") as f:
-        f.write(text)
-    return d
+def write_csv(spark, text):
+    path = work_path(spark, "test-csv")
+    fs, p = _fs_path(spark, f"{path}/events.csv")
+    out = fs.create(p)
+    out.write(bytearray(text.encode()))
+    out.close()
+    return path
 
 
 def test_dirty_csv_normalizes_without_failing(spark):
-    out = normalize(read_raw_csv(spark, write_csv(DIRTY)))
+    out = normalize(read_raw_csv(spark, write_csv(spark, DIRTY)))
     assert out.columns == [
         "event_time", "event_type", "product_id", "category_id", "category_code", "brand", "price", "user_id",
         "user_session",
@@ -42,12 +43,44 @@ def test_dirty_csv_normalizes_without_failing(spark):
 
 
 def test_ingest_modes_and_limit(spark):
-    csv = write_csv(DIRTY)
+    csv = write_csv(spark, DIRTY)
     table = work_path(spark, "test-ingest")
-    assert ingest_csv(spark, csv, table, limit=None) == 4
-    assert ingest_csv(spark, csv, table, append=True, limit=None) == 4
+    assert ingest_csv(spark, csv, table) == (4, 0)
+    assert ingest_csv(spark, csv, table, append=True) == (4, 0)
     assert spark.read.parquet(table).count() == 8
-    assert ingest_csv(spark, csv, table, limit=2) == 2
+    assert ingest_csv(spark, csv, table, limit=2) == (2, 0)
     got = spark.read.parquet(table).collect()
     # first two rows in the stated order (event_time, then the other columns; nulls last)
     assert sorted(r["event_time"] for r in got) == [dt.datetime(2019, 10, 1, 0, 0, 0), dt.datetime(2019, 10, 1, 0, 0, 2)]
+
+
+HEADER = "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session\n"
+
+
+def test_quotes_commas_and_line_breaks_inside_fields(spark):
+    text = HEADER + '2019-10-01,view,1,2,a.b,"acme ""pro"", inc",3.5,7,s\n' + '2019-10-02,view,1,2,a.b,"two\nlines",3.5,7,s\n'
+    rows = sorted(normalize(read_raw_csv(spark, write_csv(spark, text))).collect(), key=lambda r: r["event_time"])
+    assert [(r["brand"], r["price"], r["user_id"], r["user_session"]) for r in rows] == [
+        ('acme "pro", inc', Decimal("3.50"), 7, "s"), ("two\nlines", Decimal("3.50"), 7, "s"),
+    ]
+
+
+def test_malformed_lines_are_loaded_and_counted(spark):
+    text = HEADER + "2019-10-01,view,1,2,a.b,x,3.5,7,s\n2019-10-02,view,1\n2019-10-03,view,1,2,a.b,x,3.5,7,s,extra\n"
+    for multi_line in (True, False):
+        table = work_path(spark, "test-ingest")
+        assert ingest_csv(spark, write_csv(spark, text), table, multi_line=multi_line) == (3, 2)
+        got = {r["event_time"]: r["user_id"] for r in spark.read.parquet(table).collect()}
+        assert got == {dt.datetime(2019, 10, 1): 7, dt.datetime(2019, 10, 2): None, dt.datetime(2019, 10, 3): 7}
+
+
+def test_default_ingest_keeps_every_row(spark):
+    csv = work_path(spark, "test-csv-large")
+    n = 100_002
+    spark.range(0, n, 1, 4).selectExpr(
+        "'2019-10-01 00:00:00 UTC' event_time", "'view' event_type", "id product_id", "1 category_id", "'a' category_code", "'b' brand",
+        "1.0 price", "1 user_id", "'s' user_session",
+    ).write.option("header", "true").csv(csv)
+    table = work_path(spark, "test-ingest-large")
+    assert ingest_csv(spark, csv, table) == (n, 0)
+    assert spark.read.parquet(table).count() == n

@@ -18,8 +18,9 @@ from clickweir.plans.jobs import (
     run_full,
     run_incremental,
 )
-from clickweir.plans.ledger import Ledger
-from clickweir.schema import SOURCE_SCHEMA
+from clickweir.fs import path_exists
+from clickweir.plans.ledger import Ledger, RunInProgress
+from clickweir.schema import SOURCE_SCHEMA, TARGET_COLUMNS
 from clickweir.session import work_path
 from clickweir.sources import clickstream_source
 from conftest import SF_MID, SF_SMALL
@@ -173,40 +174,38 @@ def test_history_and_status(spark):
     hist = ledger.history(2).collect()
     assert [r["run_id"] for r in hist] == ids[::-1][:2]
     assert ledger.history().count() == 3
-    for bad in (0, 51):
-        with pytest.raises(ValueError):
-            ledger.history(bad)
+    with pytest.raises(ValueError):
+        ledger.history(0)
+    assert ledger.history(51).count() == 3
     assert ledger.status(ids[0]).first()["rows_read"] == 989
     with pytest.raises(KeyError):
         ledger.status(uuid.uuid4().hex)
 
 
-@pytest.mark.parametrize("plan", ["violators", "window"])
-def test_staged_runs_equal_direct_runs(spark, plan):
+def test_staged_runs_equal_direct_runs(spark):
     src = clickstream_source(spark, SF_MID)
     first = src.filter(F.col("event_time") <= ntz(SPLIT))
     direct, staged = new_target(spark), new_target(spark)
     for t, stage in ((direct, False), (staged, True)):
-        run_incremental(spark, first, t, Caps(1, 4), plan=plan, stage=stage)
-        run_incremental(spark, src, t, Caps(1, 4), plan=plan, stage=stage)
-        run_incremental(spark, src, t, Caps(1, 4), plan=plan, stage=stage)
+        run_incremental(spark, first, t, Caps(1, 4), stage=stage)
+        run_incremental(spark, src, t, Caps(1, 4), stage=stage)
+        run_incremental(spark, src, t, Caps(1, 4), stage=stage)
     cols = ["seq", "hwm_low", "hwm_high", "rows_read", "rows_before_filtering", "rows_after_filtering", "rows_written"]
     assert direct.ledger(spark).runs().select(*cols).orderBy("seq").collect() == \
         staged.ledger(spark).runs().select(*cols).orderBy("seq").collect()
     a, b = new_target(spark), new_target(spark)
-    ra = run_full(spark, src, a, plan=plan)
-    rb = run_full(spark, src, b, plan=plan, stage=True)
+    ra = run_full(spark, src, a)
+    rb = run_full(spark, src, b, stage=True)
     assert (ra["rows_before_filtering"], ra["rows_written"]) == (rb["rows_before_filtering"], rb["rows_written"]) == (10000, 9785)
 
 
-@pytest.mark.parametrize("plan", ["violators", "window"])
-def test_empty_source(spark, plan):
+def test_empty_source(spark):
     src = clickstream_source(spark, SF_SMALL).limit(0)
     target = new_target(spark)
-    res = run_full(spark, src, target, plan=plan)
+    res = run_full(spark, src, target)
     assert (res["rows_before_filtering"], res["rows_written"]) == (0, 0)
     assert read_table(spark, target).count() == 0
-    res = run_incremental(spark, src, target, plan=plan)
+    res = run_incremental(spark, src, target)
     assert res["rows_read"] == 0
 
 
@@ -221,10 +220,12 @@ def test_vacuum_frees_superseded_loads(spark):
     run_incremental(spark, src.unionByName(manual_row(spark, dt.datetime(2030, 1, 1))), target)
     before = read_table(spark, target).count()
     assert before == 979
-    assert sorted(vacuum(spark, target)) == ["load=inc-first"]
+    (gone,) = vacuum(spark, target)
+    assert gone.startswith("load=incremental-000000-")
     assert read_table(spark, target).count() == before
     run_full(spark, src, target, vacuum_after=True)
-    assert list_dirs(spark, target.data) == ["load=full-000003"]
+    (left,) = list_dirs(spark, target.data)
+    assert left.startswith("load=full_snapshot-000003-")
     assert read_table(spark, target).count() == 978
 
 
@@ -286,25 +287,127 @@ def test_zoned_timestamp_source_behaves_like_ntz(spark, driver_zone_tokyo):
     assert [r["rows_read"] for r in r1] == [503, 486]
 
 
-def test_staged_small_batch_skips_the_violator_pass(spark, monkeypatch):
-    from clickweir.plans import jobs as J
+def test_two_marks_on_one_target_keep_each_others_loads(spark):
+    src = clickstream_source(spark, SF_SMALL)
+    target = new_target(spark)
+    run_incremental(spark, src.filter(F.col("event_time") <= ntz(SPLIT)), target, hwm_name="a")
+    n = read_table(spark, target).count()
+    run_incremental(spark, src.filter(F.col("event_time") > ntz(SPLIT)), target, hwm_name="b")
+    assert 0 < n < read_table(spark, target).count() == 978
 
+
+def test_of_two_writers_one_fails_before_it_writes(spark, monkeypatch):
     src = clickstream_source(spark, SF_SMALL)
     target = new_target(spark)
-    run_full(spark, src, target, set_hwm=True)
+    real = jobs.write_clean_table
+    failures = []
+
+    def overlapping(*a, **k):
+        monkeypatch.setattr(jobs, "write_clean_table", real)
+        with pytest.raises(RunInProgress) as exc:
+            run_incremental(spark, src, target)  # reads the same state as the run in progress
+        failures.append(exc)
+        return real(*a, **k)
+
+    monkeypatch.setattr(jobs, "write_clean_table", overlapping)
+    run_incremental(spark, src, target)
+    assert len(failures) == 1
+    assert read_table(spark, target).count() == 978
+    assert target.ledger(spark).runs().count() == 1
+
+
+def test_claim_of_a_killed_run_is_released(spark):
+    src = clickstream_source(spark, SF_SMALL)
+    target = new_target(spark)
+    target.ledger(spark).claim(0, "killed")  # as if the driver had died here
+    with pytest.raises(RunInProgress):
+        run_incremental(spark, src, target)
+    assert jobs.unlock(spark, target)
+    assert not jobs.unlock(spark, target)
+    assert run_incremental(spark, src, target)["rows_written"] == 978
+
+
+def test_failed_run_leaves_no_scratch_and_its_whole_error(spark, monkeypatch):
+    src = clickstream_source(spark, SF_SMALL)
+    target = new_target(spark)
+    made = []
+    real = jobs.work_path
+    monkeypatch.setattr(jobs, "work_path", lambda *a: made.append(real(*a)) or made[-1])
+
+    def boom(*a, **k):
+        raise RuntimeError("x" * 5000)
+
+    monkeypatch.setattr(jobs, "write_clean_table", boom)
+    with pytest.raises(RuntimeError):
+        run_full(spark, src, target, stage=True)
+    assert len(made) == 2 and not any(path_exists(spark, p) for p in made)
+    assert "x" * 5000 in target.ledger(spark).runs().first()["error"]
+
+
+def test_counts_do_not_depend_on_the_layout(spark):
+    src = clickstream_source(spark, SF_SMALL).repartition(4)
+    results = [run_full(spark, src, new_target(spark), Caps(1, 4), time_ordered=t, stage=s) for t in (False, True) for s in (False, True)]
+    assert {(r["rows_read"], r["rows_written"]) for r in results} == {(1000, 806)}
+
+
+def test_merge_keeps_rows_and_marks(spark):
+    src = clickstream_source(spark, SF_SMALL)
+    target = new_target(spark)
+    run_incremental(spark, src.filter(F.col("event_time") <= ntz(SPLIT)), target)
+    run_incremental(spark, src, target)
+    key = lambda r: (r["event_time"], r["product_id"], r["user_id"])
+    before = sorted(read_table(spark, target).collect(), key=key)
+    mark = target.ledger(spark).state(jobs.HWM_NAME)[1]
+    assert jobs.merge_loads(spark, target)["rows_written"] == 978
+    assert len(target.ledger(spark).committed_loads()) == 1
+    assert len(jobs.vacuum(spark, target)) == 2
+    assert sorted(read_table(spark, target).collect(), key=key) == before
+    assert target.ledger(spark).state(jobs.HWM_NAME)[1] == mark
+    assert run_incremental(spark, src, target)["rows_read"] == 0
+
+
+def test_database_target_gets_the_load_before_the_commit(spark):
+    """The sink is injected: no database is reached."""
+    src = clickstream_source(spark, SF_SMALL)
     calls = []
-    real = J.find_violators
-    monkeypatch.setattr(J, "find_violators", lambda *a, **k: calls.append(1) or real(*a, **k))
-    grown = src.unionByName(manual_row(spark, dt.datetime(2030, 1, 1)))
-    res = run_incremental(spark, grown, target, stage=True, plan="violators")
-    assert res["rows_written"] == 1 and calls == []
-    # a batch larger than the smaller cap does run the violator pass
-    bigger = grown.unionByName(manual_row(spark, dt.datetime(2031, 1, 1))).unionByName(
-        manual_row(spark, dt.datetime(2031, 1, 2))
-    )
-    run_incremental(spark, bigger, target, Caps(1, 4), stage=True, plan="violators")
-    assert calls == [1]
-    assert read_table(spark, target).count() == 981
+
+    def writer(df, options, mode, truncate, max_connections):
+        calls.append((df.count(), df.columns, options, mode, truncate, max_connections, target.ledger(spark).runs().count()))
+
+    target = Target(work_path(spark, "test-jdbc-target"), jdbc={"url": "jdbc:x", "dbtable": "t"}, jdbc_connections=4, jdbc_writer=writer)
+    run_full(spark, src, target, set_hwm=True)
+    run_incremental(spark, src.unionByName(manual_row(spark, dt.datetime(2030, 1, 1))), target)
+    run_incremental(spark, src, target)  # nothing new: nothing sent
+    columns = list(TARGET_COLUMNS)
+    assert calls == [
+        (978, columns, {"url": "jdbc:x", "dbtable": "t"}, "overwrite", True, 4, 0),
+        (1, columns, {"url": "jdbc:x", "dbtable": "t"}, "append", False, 4, 1),
+    ]
+
+
+def test_failing_database_leaves_the_run_uncommitted(spark):
+    def writer(*a, **k):
+        raise RuntimeError("connection lost")
+
+    target = Target(work_path(spark, "test-jdbc-target"), jdbc={"url": "jdbc:x", "dbtable": "t"}, jdbc_writer=writer)
+    with pytest.raises(RuntimeError):
+        run_incremental(spark, clickstream_source(spark, SF_SMALL), target)
+    assert read_table(spark, target).count() == 0
+    assert target.ledger(spark).state(jobs.HWM_NAME)[1] is None
+
+
+def test_zoned_source_in_another_session_zone_is_refused(spark):
+    src = clickstream_source(spark, SF_SMALL)
+    zoned = src.withColumn("event_time", F.col("event_time").cast("timestamp"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for job in (run_full, run_incremental, preview_increment):
+            with pytest.raises(ValueError, match="UTC"):
+                job(spark, zoned, new_target(spark))
+        assert run_full(spark, src, new_target(spark))["rows_written"] == 978  # no zone, no matter
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
 
 
 def test_refresh_marts_full_then_touched_dates(spark):
@@ -348,8 +451,8 @@ def test_preview_of_nothing_keeps_the_schema(spark):
 def test_full_refresh_with_rebalance_same_rows_fewer_files(spark):
     src = clickstream_source(spark, SF_SMALL).repartition(4)  # not in time order
     plain, balanced = new_target(spark), new_target(spark)
-    run_full(spark, src, plain)
-    run_full(spark, src, balanced, rebalance=True)
+    run_full(spark, src, plain, time_ordered=True)
+    run_full(spark, src, balanced)
     key = lambda r: (r["event_time"], r["product_id"], r["user_id"])
     a = sorted(read_table(spark, plain).collect(), key=key)
     b = sorted(read_table(spark, balanced).collect(), key=key)
