@@ -29,7 +29,7 @@ src AS (
     CASE WHEN e.event_id % 101 = 0 THEN NULL
          ELSE CAST(e.user_id AS VARCHAR) || '-' || CAST(CAST(e.ts AS DATE) AS VARCHAR) END AS user_session
   FROM events e
-  JOIN part p ON p.p_partkey = TRY_CAST(json_extract_string(e.props, '$.k') AS BIGINT)
+  LEFT JOIN part p ON p.p_partkey = TRY_CAST(json_extract_string(e.props, '$.k') AS BIGINT)
 )"""
 
 SOURCE_COLS = "event_time, event_type, product_id, category_id, category_code, brand, price, user_id, user_session"
@@ -100,7 +100,11 @@ def oracle_queries() -> dict[str, str]:
     )
     q["clean_events"] = with_src(clean_sql(30, 500))
     q["traffic_cap"] = with_src(clean_sql(1, 4))
-    q["traffic_cap_window"] = with_src(clean_sql(1, 4))
+    planted = (
+        "(SELECT * REPLACE (CASE WHEN event_id % 83 = 0 THEN NULL ELSE event_type END AS event_type, "
+        "CASE WHEN event_id % 79 = 0 THEN CAST(price AS DECIMAL(24,4)) + 1000000000000 ELSE CAST(price AS DECIMAL(24,4)) END AS price) "
+        f"FROM {FILTERED})"
+    )
     q["contract_check"] = with_src(
         "SELECT count(*) AS rows, "
         "count_if(event_time IS NULL) AS null_event_time, count_if(event_type IS NULL) AS null_event_type, "
@@ -108,7 +112,7 @@ def oracle_queries() -> dict[str, str]:
         "count_if(event_hour IS NULL) AS null_event_hour, count_if(day_of_week IS NULL) AS null_day_of_week, "
         "count_if(event_time <> date_trunc('second', event_time)) AS sub_second_event_time, "
         "count_if(abs(price) >= 1000000000000) AS price_out_of_range "
-        f"FROM ({clean_sql(30, 500)})"
+        f"FROM ({clean_sql(30, 500, planted)})"
     )
     q.update(_increment_queries())
     q.update(_job_queries())
@@ -170,10 +174,14 @@ def _increment_queries() -> dict[str, str]:
     q["incremental_run"] = with_src(" UNION ALL ".join(_scenario_rows(0, 1, 4)), SCENARIO_CTES)
     all_rows = "(SELECT * FROM src WHERE event_time IS NOT NULL)"
     q["incremental_empty"] = with_src(
-        f"SELECT *, 'inc-first' AS load FROM ({_ledger_row(0, 'incremental', 'NULL', H2, all_rows, 30, 500)}) "
-        f"UNION ALL SELECT *, NULL AS load FROM ({_ledger_row(1, 'incremental', H2, 'NULL', None, 30, 500)})",
+        f"SELECT *, true AS wrote FROM ({_ledger_row(0, 'incremental', 'NULL', H2, all_rows, 30, 500)}) "
+        f"UNION ALL SELECT *, false AS wrote FROM ({_ledger_row(1, 'incremental', H2, 'NULL', None, 30, 500)})",
         SCENARIO_CTES,
     )
+    halves = [
+        clean_sql(30, 500, f"(SELECT * FROM src WHERE event_time {side} {SPLIT} AND product_id IS NOT NULL)") for side in ("<=", ">")
+    ]
+    q["incremental_two_marks"] = with_src(" UNION ALL ".join(f"SELECT * FROM ({h})" for h in halves))
     b2_clean = clean_sql(30, 500, "(SELECT * FROM b2 WHERE event_time IS NOT NULL AND product_id IS NOT NULL)")
     q["incremental_preview"] = with_src(
         "SELECT event_time, event_type, product_id, category_code, event_date, event_hour, day_of_week "
@@ -198,7 +206,10 @@ def _job_queries() -> dict[str, str]:
         f"SELECT * FROM ({clean_sql(30, 500)}) ORDER BY event_date NULLS LAST, event_time NULLS LAST, "
         "product_id NULLS LAST, user_id NULLS LAST, event_type NULLS LAST, user_session NULLS LAST LIMIT 20"
     )
-    q["stream_increments"] = with_src(" UNION ALL ".join(_scenario_rows(0, 1, 4)[:2]), SCENARIO_CTES)
+    # a stream's loads carry no marks
+    streamed = [_ledger_row(i, "stream_batch", "NULL", "NULL", b, 1, 4) for i, b in enumerate(("b1", "b2"))]
+    q["stream_increments"] = with_src(" UNION ALL ".join(streamed), SCENARIO_CTES)
+    q["stream_unordered"] = with_src(_enriched(FILTERED))
     q["run_history"] = with_src(
         f"SELECT * FROM ({' UNION ALL '.join(_scenario_rows(1, 1, 4))}) WHERE seq >= 1", SCENARIO_CTES
     )
@@ -225,7 +236,7 @@ INGESTED = (
     + ", product_id, category_id, "
     + _na("category_code")
     + ", "
-    + _na("brand")
+    + "CASE WHEN event_id % 7 = 0 THEN brand || ' \"pro\", inc' || chr(10) || 'ltd' WHEN brand IN (" + NA_LIST + ") THEN NULL ELSE brand END AS brand"
     + ", CASE WHEN event_id % 13 = 0 THEN NULL ELSE price END AS price, user_id, "
     + _na("user_session")
     + " FROM src"
@@ -238,9 +249,11 @@ def _ingest_queries() -> dict[str, str]:
     order = ", ".join(f"{c.strip()} ASC NULLS LAST" for c in SOURCE_COLS.split(","))
     q["ingest_limit"] = with_src(f"SELECT * FROM ({INGESTED}) ORDER BY {order} LIMIT 2500")
     q["ingest_append"] = with_src(f"{INGESTED} UNION ALL {INGESTED}")
-    q["ingest_event_time"] = with_src("SELECT event_id, event_time FROM src")
+    q["ingest_event_time"] = with_src(
+        "SELECT event_id, CASE event_id % 7 WHEN 3 THEN date_trunc('day', event_time) WHEN 5 THEN NULL ELSE event_time END AS event_time FROM src"
+    )
     q["ingest_coerce_numeric"] = with_src(
-        "SELECT event_id, product_id, category_id, "
+        "SELECT event_id, CASE WHEN event_id % 5 = 0 THEN NULL ELSE product_id END AS product_id, category_id, "
         "CASE WHEN event_id % 13 = 0 THEN NULL "
         "WHEN event_id % 3 = 1 THEN TRY_CAST(CAST(price AS VARCHAR) || '5' AS DECIMAL(14,2)) ELSE price END AS price, "
         "CASE WHEN event_id % 3 = 2 THEN NULL ELSE user_id END AS user_id FROM src"

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,6 +60,8 @@ from clickweir.sources import (
 
 # Caps that bite on the test data (the default 30/500 rarely do).
 TEST_CAPS = Caps(per_user_minute=1, per_session=4)
+# Caps that never bite: what a batch holds then does not change its rows.
+UNCAPPED = Caps(per_user_minute=1 << 60, per_session=1 << 60)
 # The point in time where the test data is split into two increments.
 SPLIT = dt.datetime(2024, 1, 15, 12, 0, 0)
 # Event vocabulary of the test data, for the summary tables.
@@ -168,18 +170,25 @@ def q_clean_events(spark, sf):
 
 
 def q_traffic_cap(spark, sf):
-    """F3 with caps that bite (1/4), violator plan."""
-    return clean_events(_src(spark, sf), TEST_CAPS, plan="violators")
+    """F3 with caps that bite (1/4)."""
+    return clean_events(_src(spark, sf), TEST_CAPS)
 
 
-def q_traffic_cap_window(spark, sf):
-    """F3 with caps 1/4, the reference's two-window plan."""
-    return clean_events(_src(spark, sf), TEST_CAPS, plan="window")
+# Residues of event_id whose type is null and whose price is
+# a decimal too wide for the target.
+NULL_TYPE_EVERY = 83
+WIDE_PRICE_EVERY = 79
 
 
 def q_contract_check(spark, sf):
-    """Violations of the target's column contract, one row."""
-    return contract_check(clean_events(_src(spark, sf)))
+    """Violations of the target's column contract, one row. The source
+    here has null event types and prices wider than the target's."""
+    view = _view(spark, sf)
+    wide = F.col("price").cast("decimal(24,4)")
+    planted = view.withColumn("event_type", F.when(F.col("event_id") % NULL_TYPE_EVERY == 0, F.lit(None)).otherwise(F.col("event_type"))).withColumn(
+        "price", F.when(F.col("event_id") % WIDE_PRICE_EVERY == 0, wide + F.lit(10**12).cast("decimal(14,0)")).otherwise(wide)
+    )
+    return contract_check(clean_events(planted))
 
 
 # --- increments ------------------------------------------------------------
@@ -233,7 +242,17 @@ def q_incremental_empty(spark, sf):
     target = Target(work_path(spark, "empty"))
     run_incremental(spark, src, target)
     run_incremental(spark, src, target)
-    return target.ledger(spark).runs().select(*LEDGER_COLUMNS, "load")
+    return target.ledger(spark).runs().select(*LEDGER_COLUMNS, F.col("load").isNotNull().alias("wrote"))
+
+
+def q_incremental_two_marks(spark, sf):
+    """Two marks on one target, each over its own half of the source;
+    neither touches the other's loads, and readers see both."""
+    src = _src(spark, sf)
+    target = Target(work_path(spark, "two-marks"))
+    run_incremental(spark, _as_of(src, SPLIT), target, hwm_name="first_half")
+    run_incremental(spark, src.filter(F.col("event_time") > mark_literal(SPLIT, _NTZ)), target, hwm_name="second_half")
+    return read_table(spark, target)
 
 
 def _after_first_increment(spark, sf) -> tuple[DataFrame, Target]:
@@ -259,18 +278,30 @@ def q_batch_max_time(spark, sf):
 
 def q_stream_increments(spark, sf):
     """The source lands in two arrivals (up to SPLIT, then the rest); after
-    each, the stream drains the new files as one micro-batch and loads it
-    with the incremental job."""
+    each, the stream drains the new files as one micro-batch and loads it."""
     src = _src(spark, sf)
     landing = work_path(spark, "landing")
     target = Target(work_path(spark, "stream"))
     arrivals = [_as_of(src, SPLIT), src.filter(F.col("event_time") > mark_literal(SPLIT, _NTZ))]
     for rows in arrivals:
-        rows.write.mode("append").parquet(landing)
+        rows.coalesce(1).write.mode("append").parquet(landing)
         start_stream(spark, landing, target, TEST_CAPS).awaitTermination()
     return target.ledger(spark).runs().select(*LEDGER_COLUMNS)
 
 
+def q_stream_unordered(spark, sf):
+    """Later rows land before earlier ones and each file is a batch of its
+    own: every row is loaded (null times are no clean rows)."""
+    src = _src(spark, sf)
+    landing = work_path(spark, "landing")
+    target = Target(work_path(spark, "stream"))
+    late = F.coalesce(F.col("event_time") > mark_literal(SPLIT, _NTZ), F.lit(False))
+    for rows in (src.filter(late), src.filter(~late)):
+        rows.coalesce(1).write.mode("append").parquet(landing)
+    start_stream(spark, landing, target, UNCAPPED, max_files_per_trigger=1).awaitTermination()
+    return read_table(spark, target)
+
+
 # --- sinks and jobs --------------------------------------------------------
 
 
@@ -324,6 +355,14 @@ def q_run_status(spark, sf):
 NAN_PRICE_EVERY = 13
 
 
+# Fixed value: residue of event_id whose brand holds quotes, a comma and a line break.
+QUOTED_EVERY = 7
+
+
+def quoted_brand(brand) -> Column:
+    return F.concat(brand, F.lit(' "pro", inc\nltd'))
+
+
 def raw_csv_frame(view: DataFrame) -> DataFrame:
     """The clickstream view rendered as the raw export would hold it: text
     columns, times with a zone suffix, dirty numbers, one extra column."""
@@ -336,7 +375,7 @@ def raw_csv_frame(view: DataFrame) -> DataFrame:
         F.when(F.col("product_id").isNull(), F.lit("n/a")).otherwise(s("product_id")).alias("product_id"),
         s("category_id").alias("category_id"),
         "category_code",
-        "brand",
+        F.when(F.col("event_id") % QUOTED_EVERY == 0, quoted_brand(F.col("brand"))).otherwise(F.col("brand")).alias("brand"),
         F.when(F.col("event_id") % NAN_PRICE_EVERY == 0, F.lit("nan")).otherwise(s("price")).alias("price"),
         s("user_id").alias("user_id"),
         "user_session",
@@ -345,14 +384,21 @@ def raw_csv_frame(view: DataFrame) -> DataFrame:
 
 
 def write_raw_csv(spark: SparkSession, sf: str) -> str:
+    """The export as CSV text of our own making, not by Spark's CSV writer:
+    every field in quotes, quotes inside doubled, nulls empty."""
     path = work_path(spark, "raw-csv")
-    (
-        raw_csv_frame(_view(spark, sf))
-        .write.option("header", "true")
-        .option("ignoreLeadingWhiteSpace", "false")
-        .option("ignoreTrailingWhiteSpace", "false")
-        .csv(path)
-    )
+    rows = raw_csv_frame(_view(spark, sf))
+
+    def field(c: str) -> Column:
+        return F.coalesce(F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"')), F.lit(""))
+
+    line = F.concat_ws(",", *[field(c) for c in rows.columns])
+    # one file a partition, each with the header first
+    numbered = rows.select(line.alias("value"), F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"))
+    # every part's first row carries the header line
+    first = F.col("at") == F.shiftleft(F.col("part").cast("long"), 33)
+    header = ",".join(rows.columns)
+    numbered.select(F.when(first, F.concat(F.lit(header + "\n"), F.col("value"))).otherwise(F.col("value")).alias("value")).write.text(path)
     return path
 
 
@@ -360,7 +406,7 @@ def q_csv_ingest(spark, sf):
     """A raw CSV export loaded with tolerant coercion."""
     csv = write_raw_csv(spark, sf)
     table = work_path(spark, "raw-events")
-    ingest_csv(spark, csv, table, limit=None)
+    ingest_csv(spark, csv, table)
     return spark.read.parquet(table)
 
 
@@ -376,29 +422,33 @@ def q_ingest_append(spark, sf):
     """Overwrite twice, then append: two copies."""
     csv = write_raw_csv(spark, sf)
     table = work_path(spark, "raw-events")
-    ingest_csv(spark, csv, table, limit=None)
-    ingest_csv(spark, csv, table, limit=None)  # overwrite: still one copy
-    ingest_csv(spark, csv, table, append=True, limit=None)
+    ingest_csv(spark, csv, table)
+    ingest_csv(spark, csv, table)  # overwrite: still one copy
+    ingest_csv(spark, csv, table, append=True)
     return spark.read.parquet(table)
 
 
-# Four renderings of an event time cycle over event_id.
+# Seven renderings of an event time cycle over event_id.
 def event_time_texts(view: DataFrame) -> DataFrame:
     t = F.col("event_time")
-    slot = F.col("event_id") % 4
+    slot = F.col("event_id") % 7
     micro = "yyyy-MM-dd HH:mm:ss.SSSSSS"
     text = (
         F.when(t.isNull(), F.lit("garbage"))
         .when(slot == 0, F.concat(F.date_format(t, micro), F.lit(" UTC")))
         .when(slot == 1, F.concat(F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")))
         .when(slot == 2, F.concat(F.date_format(t + F.expr("INTERVAL 3 HOURS"), micro), F.lit("+03:00")))
+        .when(slot == 3, F.date_format(t, "yyyy-MM-dd"))
+        # one hour ahead of UTC all through the data's January
+        .when(slot == 4, F.concat(F.date_format(t + F.expr("INTERVAL 1 HOUR"), micro), F.lit(" Europe/Paris")))
+        .when(slot == 5, F.concat(F.date_format(t, micro), F.lit(" Mars/Olympus")))
         .otherwise(F.date_format(t, micro))
     )
     return view.select("event_id", text.alias("event_time_text"))
 
 
 def q_ingest_event_time(spark, sf):
-    """Times written four ways (zones, offsets, naive, junk) parsed back."""
+    """Times written in many ways (zones, offsets, names, dates alone, junk) parsed back."""
     texts = event_time_texts(_view(spark, sf))
     return texts.select("event_id", parse_event_time("event_time_text").alias("event_time"))
 
@@ -408,6 +458,7 @@ def numeric_texts(view: DataFrame) -> DataFrame:
     return view.select(
         "event_id",
         F.when(F.col("product_id").isNull(), F.lit("x1"))
+        .when(F.col("event_id") % 5 == 0, F.concat(F.col("product_id").cast("string"), F.lit(".0000001")))
         .when(slot == 0, F.concat(F.col("product_id").cast("string"), F.lit(".0")))
         .otherwise(F.col("product_id").cast("string"))
         .alias("product_text"),

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from clickweir.operators import (  # noqa: E402
     Caps,
-    cap_by_window,
     category_metrics,
     clean_events,
     contract_check,
@@ -68,7 +67,6 @@ def main() -> None:
     cases = [
         ("Violator pass (both key sets, one aggregate)", violator_keys(require_columns(src), Caps(1, 4))),
         ("Final pass, caps 1/4 (broadcast anti-joins, no exchange)", enrich(drop_violators(require_columns(src), v))),
-        ("Window plan, for comparison (two full-row exchanges)", cap_by_window(require_columns(src))),
         ("Increment (low, high] pushed to the scan", batch),
         ("Contract report on the clean table", contract_check(clean)),
         ("Product metrics", product_metrics(clean, TYPES)),

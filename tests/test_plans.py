@@ -6,9 +6,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from clickweir.operators import Caps, clean_events, find_violators, drop_violators, require_columns
 from clickweir.plans.jobs import increment_bounds
+from clickweir.queries import registry
 from clickweir.session import work_path
 from clickweir.sources import clickstream_source, read_events, write_clean_table
 from conftest import SF_SMALL
@@ -26,20 +26,23 @@ def source_table(spark):
     return path
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
-def test_no_python_udfs(spark, key):
-    if key in {"csv_ingest", "ingest_limit", "ingest_append", "full_refresh", "incremental_run", "run_history",
-               "run_status", "job_metrics", "incremental_empty", "clean_table_write", "incremental_preview",
-               "batch_max_time"}:
-        pytest.skip("job query: its plans are checked through the operators it uses")
-    text = plan_text(entry.queries()[key](spark, SF_SMALL))
-    assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
+def executed_plans(spark):
+    """Plans of all SQL executions so far, those inside jobs and streams among them."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    runs = store.executionsList()
+    return [runs.apply(i).physicalPlanDescription() for i in range(runs.size())], store
 
 
-def test_window_plan_scans_source_once(spark, source_table):
-    df = clean_events(read_events(spark, source_table), plan="window")
-    df.collect()
-    assert plan_text(df).count("FileScan parquet") == 1
+@pytest.mark.parametrize("key", sorted(registry()))
+def test_no_python_udfs(spark, key):
+    before = len(executed_plans(spark)[0])
+    df = registry()[key](spark, SF_SMALL)
+    df.write.format("noop").mode("overwrite").save()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    plans = executed_plans(spark)[0][min(before, 900):]
+    assert plans
+    for text in [*plans, plan_text(df)]:
+        assert "EvalPython" not in text and "InPandas" not in text and "InArrow" not in text
 
 
 def test_required_filters_reach_the_scan(spark, source_table):
@@ -104,19 +107,19 @@ def _files_and_dates(spark, path):
     return files, dates
 
 
-def test_clean_table_write_layout(spark, source_table):
+@pytest.mark.parametrize("join", ["broadcast", "shuffle"])
+def test_clean_table_write_layout(spark, source_table, join):
     # an unordered source: every task holds every date
     shuffled = read_events(spark, source_table).repartition(4)
-    plain, balanced = work_path(spark, "plan-write"), work_path(spark, "plan-write-rebalanced")
-    write_clean_table(clean_events(shuffled, plan="violators"), plain)
-    write_clean_table(clean_events(shuffled, plan="violators"), balanced, rebalance=True)
-    files, dates = _files_and_dates(spark, plain)
-    assert files == 4 * dates  # a file per task and date
-    files, dates = _files_and_dates(spark, balanced)
+    rows = require_columns(shuffled)
+    v = find_violators(rows, Caps(1, 4))
+    cleaned = clean_events(shuffled, violators=v, broadcast_bytes=0 if join == "shuffle" else 1 << 26)
+    path = work_path(spark, "plan-write")
+    write_clean_table(cleaned, path)
+    files, dates = _files_and_dates(spark, path)
     assert files == dates  # REBALANCE: one file per date at this size
     # each file is sorted by the target's storage order
-    got = spark.read.parquet(balanced).select("event_date", "event_time", "product_id",
-                                              F.input_file_name().alias("f")).collect()
+    got = spark.read.parquet(path).select("event_date", "event_time", "product_id", F.input_file_name().alias("f")).collect()
     per_file = {}
     for r in got:
         per_file.setdefault(r["f"], []).append((r["event_time"], r["product_id"]))
@@ -125,8 +128,8 @@ def test_clean_table_write_layout(spark, source_table):
 
 def test_time_ordered_source_writes_without_shuffle(spark, source_table):
     path = work_path(spark, "plan-write-ordered")
-    df = clean_events(read_events(spark, source_table), plan="violators")
-    write_clean_table(df, path)
+    df = clean_events(read_events(spark, source_table))
+    write_clean_table(df, path, time_ordered=True)
     files, dates = _files_and_dates(spark, path)
     assert files == dates  # one scan task over a time-ordered file: one file per date
 
@@ -167,18 +170,3 @@ def test_shuffle_fallback_splits_the_hot_null_session(spark):
             spark.conf.unset(k) if val is None else spark.conf.set(k, val)
     assert len(rows) == 20000
     assert "SortMergeJoin(skew=true)" in text and "AQEShuffleRead skewed" in text
-
-
-def test_auto_plan_follows_input_size(spark, source_table, monkeypatch):
-    from clickweir.operators import traffic_cap
-
-    src = read_events(spark, source_table)
-    size = traffic_cap.input_bytes(src)
-    assert 0 < size < 10**7  # a few hundred KB of Parquet
-    assert traffic_cap.choose_plan(src) == "window"
-    monkeypatch.setattr(traffic_cap, "AUTO_WINDOW_BYTES", 10)
-    assert traffic_cap.choose_plan(src) == "violators"
-    assert traffic_cap.choose_plan(src, "window") == "window"
-    monkeypatch.setattr(traffic_cap, "input_bytes", lambda df: None)  # no statistics, e.g. JDBC
-    monkeypatch.setattr(traffic_cap, "AUTO_WINDOW_BYTES", 10**12)
-    assert traffic_cap.choose_plan(src) == "violators"
