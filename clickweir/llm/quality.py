@@ -278,7 +278,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column, sample_rows:
     drawn = known.filter(unit_hash("doc_id") < share)
     sample = (
         docs.select("doc_id", "text")
-        .join(drawn, "doc_id")
+        .join(F.broadcast(drawn), "doc_id")  # about sample_rows ids and labels a class, whatever the input
         .select(F.xxhash64("doc_id").alias("row_key"), "row_label", "text")
         .mapInArrow(_sample_chunks, CHUNK_SCHEMA)
         .collect()
