@@ -39,7 +39,7 @@ SYMBOL = "▁"
 UNKNOWN_TEXT = " ⁇ "  # Fixed value: how an unknown id is decoded.
 UNKNOWN_PENALTY = 10.0  # Fixed value: below the lowest score.
 CELLS = 1 << 18
-CACHED_TOKENS = 6_000_000
+CACHED_TOKENS = 3_000_000
 
 
 def default_model_path() -> str:
@@ -321,19 +321,24 @@ def encode_texts(docs: DataFrame, model: PieceModel, text: str = "text", out: st
 
     def run(batches):
         encoder = Encoder(shared.value)
-        for batch in batches:
-            col = batch.column(text)
-            nulls = col.is_null().to_numpy(zero_copy_only=False)
-            ids, counts, data, off = encode_column(encoder, col)
-            columns, names = [*batch.columns, _ids_array(ids, counts, nulls)], [*batch.schema.names, out]
-            if checked:
-                back, back_off = decode(ids, counts, encoder.model)
-                same = np.zeros(len(counts), bool)
-                for i in range(len(counts)):
-                    same[i] = np.array_equal(back[back_off[i] : back_off[i + 1]], data[off[i] : off[i + 1]])
-                columns.append(pa.array(same, mask=nulls))
-                names.append(checked)
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+        for whole in batches:
+            # a piece at a time: ids and decoded bytes of a whole batch would be many times its text
+            _, sizes = flat_text(whole.column(text))
+            for i, j in row_pieces(sizes):
+                batch = whole.slice(i, j - i)
+                col = batch.column(text)
+                nulls = col.is_null().to_numpy(zero_copy_only=False)
+                data, off = flat_text(col)
+                ids, counts = encoder.encode(data, off)
+                columns, names = [*batch.columns, _ids_array(ids, counts, nulls)], [*batch.schema.names, out]
+                if checked:
+                    back, back_off = decode(ids, counts, encoder.model)
+                    same = np.diff(back_off) == np.diff(off)
+                    for r in np.flatnonzero(same):
+                        same[r] = np.array_equal(back[back_off[r] : back_off[r + 1]], data[off[r] : off[r + 1]])
+                    columns.append(pa.array(same, mask=nulls))
+                    names.append(checked)
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     fields = [*kept.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))]
     if checked:
