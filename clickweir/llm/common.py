@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickweir.fs import delete_at_exit
 from clickweir.session import work_path
 
 PIECE_BYTES = 1 << 20
@@ -50,6 +51,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, so
     a lost executor costs no recomputation of what came before."""
     path = work_path(df.sparkSession, name)
+    delete_at_exit(df.sparkSession, path)  # what is returned reads it until then
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -62,6 +62,13 @@ class Network:
     out_bias: float
 
 
+def untrained() -> Network:
+    """A network that gives every text 0.5."""
+    span = GROUP * WIDTH
+    shapes = ((span, FILTERS), (span, FILTERS), FILTERS, (FILTERS + 1, HIDDEN), HIDDEN, HIDDEN)
+    return Network(*(np.zeros(s, np.float32) for s in shapes), 0.0)
+
+
 def recency(data: np.ndarray, first: np.ndarray) -> np.ndarray:
     """1 where the four bytes occurred just before, falling to 0 at
     ``RECENT`` bytes back; ``first``: start of each byte's own segment."""
@@ -269,9 +276,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column, sample_rows:
     )
     counts = {r["row_label"]: r["n"] for r in known.groupBy("row_label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
-        zero = np.zeros
-        span = GROUP * WIDTH
-        return Network(zero((span, FILTERS), np.float32), zero((span, FILTERS), np.float32), zero(FILTERS, np.float32), zero((FILTERS + 1, HIDDEN), np.float32), zero(HIDDEN, np.float32), zero(HIDDEN, np.float32), 0.0)
+        return untrained()
     share = F.lit(0.0)
     for label, n in counts.items():
         share = F.when(F.col("row_label") == label, F.lit(sample_rows / n)).otherwise(share)
@@ -283,6 +288,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column, sample_rows:
         .mapInArrow(_sample_chunks, CHUNK_SCHEMA)
         .collect()
     )
+    if not sample:  # none of the labelled ids is among the documents
+        return untrained()
     rows = sorted((r["row_key"], r["chunk_no"], bytes(r["chunk"]), r["row_label"], r["row_bytes"]) for r in sample)
     owner, labels_, sizes_, seen = [], [], [], {}
     chunks = np.zeros((len(rows), CHUNK_BYTES + GROUP), np.uint8)

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickweir.fs import delete_at_exit
 from clickweir.llm.common import written
 from clickweir.llm.sentencepiece_codec import Encoder, PieceModel, encode_column
 from clickweir.session import work_path
@@ -66,6 +67,7 @@ def write_token_files(docs: DataFrame, model: PieceModel, eod: int, text: str =
     more a task. Returns the manifest: file, its size, place of each
     document in it, ``doc_id``. Null texts are empty documents."""
     folder = work_path(docs.sparkSession, "tokens")
+    delete_at_exit(docs.sparkSession, folder)
     kind = token_type(model.size)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -338,6 +338,8 @@ def test_quality_of_held_out_rows_and_awkward_ones(spark):
     assert all(0 <= r["quality_score"] <= 1 for line in rows.values() for r in line)
     assert len(rows[6]) == 2 and len(rows[None]) == 2
     assert score_quality(docs.limit(0), net).count() == 0
+    strangers = fit_quality(docs.limit(0), labels, F.lit(True))
+    assert {r["quality_score"] for r in score_quality(documents(spark, [(1, "a")]), strangers).collect()} == {0.5}
     assert {r["quality_score"] for r in score_quality(documents(spark, awkward()), fit_quality(docs, labels.limit(0), F.lit(True))).collect()} == {0.5}
 
 
