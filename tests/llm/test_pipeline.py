@@ -86,7 +86,7 @@ def test_near_copies_of_awkward_rows(spark):
 
 
 def test_later_stages_keep_awkward_rows(spark):
-    docs = documents(spark, [r for r in awkward() if r[0] != 6])
+    docs = documents(spark, [r for r in awkward() if r[0] not in (6, 8)])  # these repeat
     for stage in (pipeline.suffix_stage, pipeline.decontamination_stage, pipeline.tokens_stage):
         out = stage(spark, docs, SF_SMALL)
         assert out.select("doc_id", "text").exceptAll(docs.select("doc_id", "text")).count() == 0
