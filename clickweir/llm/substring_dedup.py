@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickweir.llm.common import flat_text, row_pieces, starts_to_index, written
-from clickweir.llm.suffix_dedup import merged
+from clickweir.llm.suffix_dedup import merged, repeat_runs
 from clickweir.llm.words import BASE, find_words, mix, powers, shingle_hashes
 
 WORDS = 50
@@ -98,7 +98,8 @@ def compact_windows(tokens: np.ndarray, offsets: np.ndarray, width: int, salt: n
 
 def _windows(data: np.ndarray, offsets: np.ndarray, words: int, size: int, hashes: int):
     """All windows of the rows of a flat byte array, per hash function, as
-    runs of passage starts: (value, content, row, first start, starts, lead)."""
+    runs of passage starts: (value, content, row, first start, first start of
+    the last of equal windows, starts, lead)."""
     _, _, found, counts = find_words(data, offsets)
     width = words - size + 1
     ends = np.concatenate([[0], np.cumsum(counts)])
@@ -119,12 +120,16 @@ def _windows(data: np.ndarray, offsets: np.ndarray, words: int, size: int, hashe
         first = np.maximum(left, c - width + 1)
         last = np.minimum(c, right - width + 1)
         content = mix((total[last + width] - total[first]) * down[first] ^ ((c - first).astype(np.uint64) << np.uint64(32)) ^ (last - first).astype(np.uint64))
-        yield mix(value ^ SALTS[f + 32]), content, row, first - off[row], last - first + 1, c - first
+        # equal windows that follow one another, as in periodic text, are one run
+        head, times = repeat_runs(row, first, last, content)
+        reach = first[head + times - 1]
+        row, first, last, c, value, content = (x[head] for x in (row, first, last, c, value, content))
+        yield mix(value ^ SALTS[f + 32]), content, row, first - off[row], reach - off[row], last - first + 1, c - first
 
 
 WINDOWS = T.StructType(
     [T.StructField(n, T.LongType()) for n in ("value", "content", "key")]
-    + [T.StructField("start", T.LongType()), T.StructField("starts", T.IntegerType()), T.StructField("lead", T.IntegerType())]
+    + [T.StructField("start", T.LongType()), T.StructField("reach", T.LongType()), T.StructField("starts", T.IntegerType()), T.StructField("lead", T.IntegerType())]
 )
 
 
@@ -134,11 +139,11 @@ def _window_rows(words: int, size: int, hashes: int):
             data, off = flat_text(batch.column("text"))
             keys = batch.column("key").to_numpy()
             for i, j in row_pieces(off, PIECE):
-                for value, content, row, start, starts, lead in _windows(data[off[i] : off[j]], off[i : j + 1] - off[i], words, size, hashes):
+                for value, content, row, start, reach, starts, lead in _windows(data[off[i] : off[j]], off[i : j + 1] - off[i], words, size, hashes):
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(value.view(np.int64)), pa.array(content.view(np.int64)), pa.array(keys[i + row]),
-                            pa.array(start), pa.array(starts.astype(np.int32)), pa.array(lead.astype(np.int32)),
+                            pa.array(start), pa.array(reach), pa.array(starts.astype(np.int32)), pa.array(lead.astype(np.int32)),
                         ],
                         names=WINDOWS.names,
                     )
@@ -369,7 +374,8 @@ def passage_runs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wo
     runs = written(equal.unionByName(near), "passages-runs")
     spans = (
         shared.join(runs, ["value", "content"])
-        .select("key", (F.col("start") + F.col("low")).alias("start"), (F.col("start") + F.col("high") + words).alias("stop"))
+        # passages of equal windows in a run overlap, so the run is covered as one
+        .select("key", (F.col("start") + F.col("low")).alias("start"), (F.col("reach") + F.col("high") + words).alias("stop"))
         .distinct()
     )
     return spans.groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))

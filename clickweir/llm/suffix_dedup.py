@@ -91,6 +91,15 @@ def find_anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     return row[a], a, b, at, grams[at], context
 
 
+def repeat_runs(row: np.ndarray, first: np.ndarray, last: np.ndarray, content: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of equal contexts that follow one another in a row, as periodic
+    text has them: (index of each run's first, contexts in the run)."""
+    again = np.zeros(len(row), bool)
+    again[1:] = (row[1:] == row[:-1]) & (content[1:] == content[:-1]) & (first[1:] == last[:-1] + 1)
+    head = np.flatnonzero(~again)
+    return head, np.diff(np.append(head, len(row)))
+
+
 def _pieces(offsets: np.ndarray, length: int, limit: int = PIECE):
     """(first row, rows, first byte, last byte): runs of whole rows, or
     overlapping cuts of one long row."""
@@ -113,7 +122,9 @@ def _pieces(offsets: np.ndarray, length: int, limit: int = PIECE):
 
 ANCHORS = T.StructType(
     [T.StructField(n, T.LongType()) for n in ("anchor", "context", "key_a", "key_b")]
-    + [T.StructField("start", T.LongType()), T.StructField("starts", T.IntegerType()), T.StructField("lead", T.IntegerType())]
+    # a run of equal contexts is one row: the first one's start and the last one's
+    + [T.StructField("start", T.LongType()), T.StructField("reach", T.LongType()), T.StructField("times", T.LongType())]
+    + [T.StructField("starts", T.IntegerType()), T.StructField("lead", T.IntegerType())]
 )
 
 
@@ -125,11 +136,14 @@ def _anchor_rows(length: int, gram: int):
             for i, j, lo, hi in _pieces(off, length):
                 bounds = np.clip(off[i : j + 1], lo, hi) - lo
                 row, a, b, at, anchor, context = find_anchors(data[lo:hi], bounds, length, gram)
+                head, times = repeat_runs(row, a, b, context)
+                reach = a[head + times - 1]
+                row, a, b, at, anchor, context = (x[head] for x in (row, a, b, at, anchor, context))
                 begin = off[i + row]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(anchor.view(np.int64)), pa.array(context.view(np.int64)), pa.array(keys[0][i + row]), pa.array(keys[1][i + row]),
-                        pa.array(a + lo - begin), pa.array((b - a + 1).astype(np.int32)), pa.array((at - a).astype(np.int32)),
+                        pa.array(a + lo - begin), pa.array(reach + lo - begin), pa.array(times), pa.array((b - a + 1).astype(np.int32)), pa.array((at - a).astype(np.int32)),
                     ],
                     names=ANCHORS.names,
                 )
@@ -294,11 +308,11 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     body = F.coalesce(F.col(text), F.lit(""))
     source = docs.select(F.col(doc_id).alias("doc_id"), body.alias("text")).filter(F.octet_length("text") >= length).select("doc_id", "text", *text_keys(F.col("text")))
     anchors = written(source.select("text", "key_a", "key_b").mapInArrow(_anchor_rows(length, gram), ANCHORS), "dedup-anchors")
-    seen = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    seen = anchors.groupBy("anchor").agg(F.sum("times").alias("n")).filter("n > 1").select("anchor")
     shared = written(anchors.join(seen, "anchor"), "dedup-shared")
     where = F.struct("key_a", "key_b", "start")
     contexts = written(
-        shared.groupBy("anchor", "context", "starts", "lead").agg(F.count(F.lit(1)).alias("n"), F.min(where).alias("at")), "dedup-contexts"
+        shared.groupBy("anchor", "context", "starts", "lead").agg(F.sum("times").alias("n"), F.min(where).alias("at")), "dedup-contexts"
     )
     kinds = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("distinct")).filter("distinct > 1")
     own = contexts.join(kinds, "anchor")
@@ -315,7 +329,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         runs = runs.unionByName(found)
     spans = (
         shared.join(written(runs, "dedup-runs"), ["anchor", "context"])
-        .select("key_a", "key_b", (F.col("start") + F.col("low")).alias("start"), (F.col("start") + F.col("high") + length).alias("stop"))
+        # a run of equal contexts repeats from end to end
+        .select("key_a", "key_b", (F.col("start") + F.col("low")).alias("start"), (F.col("reach") + F.col("high") + length).alias("stop"))
         .distinct()
     )
     return spans.groupBy("key_a", "key_b").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))

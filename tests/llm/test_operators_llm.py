@@ -271,7 +271,7 @@ def test_repeats_against_brute_force(spark, hot):
     rnd = random.Random(3)
     shared = [prose(rnd, 12, 50) for _ in range(4)]
     rows = [(i, " ".join(rnd.choice(shared) if rnd.random() < 0.5 else prose(rnd, rnd.randrange(1, 30)) for _ in range(6))) for i in range(40)]
-    rows += [(i, t) for i, t in awkward() if i not in (7,)] + [(90, "ab" * 300), (91, "é" * 200 + "x"), (92, None)]
+    rows += [(i, t) for i, t in awkward() if i not in (7,)] + [(90, "ab" * 300), (93, "xyz " * 90 + "tail"), (94, "q" + "xyz " * 30 + "end"), (91, "é" * 200 + "x"), (92, None)]
     docs = with_clash(documents(spark, rows), "removed", "key_a")
     got = remove_repeats(docs, length=40, gram=10, hot=hot, block=4000).collect()
     found = Counter((r["doc_id"], sum(x["stop"] - x["start"] for x in r["removed"]), hashlib.sha256(r["kept_bytes"]).hexdigest()) for r in got)
