@@ -166,9 +166,7 @@ def train(chunks: np.ndarray, sizes: np.ndarray, owner: np.ndarray, n_bytes: np.
     ]
     p = [a.astype(np.float32) for a in p]
     m, v = [np.zeros_like(a) for a in p], [np.zeros_like(a) for a in p]
-    flat = chunks[np.arange(chunks.shape[1])[None, :] < sizes[:, None]]
-    x, groups = descriptors(flat, sizes)
-    tops = np.cumsum(groups) - groups
+    inside = np.arange(chunks.shape[1])[None, :] < sizes[:, None]
     first_chunk = np.searchsorted(owner, np.arange(len(labels) + 1))
     step = 0
     while step < STEPS:
@@ -178,9 +176,8 @@ def train(chunks: np.ndarray, sizes: np.ndarray, owner: np.ndarray, n_bytes: np.
             counts = np.diff(first_chunk)[docs]
             own = np.repeat(np.arange(len(docs)), counts)
             picked = starts_to_index(first_chunk[docs], counts)
-            g = groups[picked]
-            idx = starts_to_index(tops[picked], g)
-            xb = x[idx]
+            # descriptors are many times the bytes: those of a batch at a time
+            xb, g = descriptors(chunks[picked][inside[picked]], sizes[picked])
             z = xb @ p[0]
             z[:-1] += xb[1:] @ p[1]
             z += p[2]
