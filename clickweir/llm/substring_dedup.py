@@ -11,15 +11,18 @@ passages of the window share that signature. Windows meet by hash value.
 * Windows with equal words in different texts are repeats from end to end.
 * The distinct windows of a value are verified against each other. Members
   are cut into blocks of ``BLOCK`` windows and each pair of blocks is one
-  tile; a tile joins the intervals in which shingles of two passages lie and
-  returns, for each member, the runs of start words with a near duplicate;
-  pairs are never returned.
+  tile; a tile joins the intervals in which shingles of two passages lie,
+  at all offsets of the two, and returns, for each member, the runs of start
+  words with a near duplicate; pairs are never returned.
+
+Two passages at the threshold meet under some hash function with
+probability 1 - (1 - threshold) ** HASHES (a miss in 390,000 pairs); more
+similar ones meet more surely, and what meets is compared exactly.
 
 Passages pair across texts only, never within one. Rows with equal texts
 are copies, and all their passages repeat. Null texts, and those of fewer
 words than a passage, have none. Equal texts get equal results, so null and
-repeated ids need no care. Passages are compared where they start at most
-``SHIFT`` words apart, counted from the shared shingle.
+repeated ids need no care.
 """
 
 from __future__ import annotations
@@ -37,9 +40,8 @@ from clickweir.llm.words import BASE, find_words, mix, powers, shingle_hashes
 WORDS = 50
 SIZE = 5
 THRESHOLD = 0.8
-HASHES = 3
+HASHES = 8
 BLOCK = 512
-SHIFT = 2
 PLACE_BITS = np.uint64(21)
 PIECE = 1 << 19
 DOWN = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -181,9 +183,10 @@ def _cut_windows(words: int):
 
 class Members:
     """Windows of one value: their shingles as small ids, how often each
-    passage's shingles repeat, and which starts have a near duplicate."""
+    passage's shingles repeat, and which starts have a near duplicate;
+    ``found``: windows all of whose starts are known to have one."""
 
-    def __init__(self, tokens: np.ndarray, offsets: np.ndarray, starts: np.ndarray, lead: np.ndarray, width: int):
+    def __init__(self, tokens: np.ndarray, offsets: np.ndarray, starts: np.ndarray, lead: np.ndarray, width: int, found: np.ndarray):
         self.ids = np.unique(tokens, return_inverse=True)[1].reshape(-1)
         self.off, self.starts, self.lead, self.width = offsets, starts, lead, width
         n = len(self.ids)
@@ -211,11 +214,13 @@ class Members:
         keep[wide + starts] = False
         keep[-1] = False
         self.distinct = level[keep]  # distinct shingles of each passage
-        self.found = np.zeros(total, bool)
+        self.least = np.minimum.reduceat(self.distinct, self.first)
+        self.found = np.repeat(found, starts)
+        self.done = found.copy()  # windows without a start to be found
 
-    def compare(self, i: int, others: np.ndarray, threshold: float, shift: int) -> None:
+    def compare(self, i: int, others: np.ndarray, threshold: float, shift: int | None) -> None:
         """Mark the passages of window ``i`` and of ``others`` that are near
-        duplicates of each other."""
+        duplicates of each other, whatever the offset (or at most ``shift``)."""
         a0, a1 = self.off[i], self.off[i + 1]
         order = np.argsort(self.ids[a0:a1], kind="stable")
         mine = self.ids[a0:a1][order]
@@ -224,61 +229,71 @@ class Members:
         hi = np.searchsorted(mine, self.ids[entries], side="right")
         fan = hi - lo
         hit = np.flatnonzero(fan)
-        # a passage needs so many shingles in common
-        need = int(np.ceil(2 * threshold / (1 + threshold) * min(self.distinct[self.first[i] : self.first[i] + self.starts[i]].min(), self.width) - 1e-9))
+        part = round(1000 * threshold)
+        # what two passages have in common is at least this part of either
+        need = -(-part * np.maximum(self.least[i], self.least[others]) // 1000)
         column = np.repeat(np.arange(len(others)), self.off[others + 1] - self.off[others])
-        enough = np.bincount(column[hit], minlength=len(others)) >= min(need, 1 + need // 2)
+        enough = np.bincount(column[hit], minlength=len(others)) >= need
         hit = hit[enough[column[hit]]]
         if not len(hit):
             return
         y = np.repeat(entries[hit], fan[hit])
         col = np.repeat(column[hit], fan[hit])
         x = a0 + order[starts_to_index(lo[hit], fan[hit])]
-        n_a = int(self.starts[i])
-        mine_distinct = self.distinct[self.first[i] : self.first[i] + n_a]
         # columns with a match, renumbered, so that the counting table stays small
         used, col = np.unique(col, return_inverse=True)
         members = others[used]
-        for d in range(-shift, shift + 1):
-            # passages s of window i and s + gap of the other
-            gap = self.lead[members] - self.lead[i] + d
-            g = gap[col]
-            low = np.maximum(np.maximum(self.low[x], self.low[y] - g), np.maximum(0, -g))
-            high = np.minimum(np.minimum(self.high[x], self.high[y] - g), np.minimum(n_a - 1, self.starts[members][col] - 1 - g))
-            ok = low <= high
-            if not ok.any():
-                continue
-            table = np.zeros((len(members), n_a + 1), np.int64)
-            np.add.at(table, (col[ok], low[ok]), 1)
-            np.add.at(table, (col[ok], high[ok] + 1), -1)
-            common = np.cumsum(table, axis=1)[:, :n_a]
-            s = np.arange(n_a)[None, :]
-            theirs = s + gap[:, None]
-            fits = (theirs >= 0) & (theirs < self.starts[members][:, None])
-            at = self.first[members][:, None] + np.where(fits, theirs, 0)
-            union = mine_distinct[None, :] + self.distinct[at] - common
-            near = fits & (1000 * common >= round(1000 * threshold) * union)
-            self.found[self.first[i] : self.first[i] + n_a] |= near.any(axis=0)
-            self.found[at[near]] = True
-
-
-def verify_tile(raws: list[bytes], keys, many, starts, lead, left, right, words: int, size: int, threshold: float, shift: int) -> list[tuple[int, int, int]]:
+        n_a, n_b = int(self.starts[i]), int(self.starts[members].max())
+        # a shingle in common counts for a rectangle of pairs of starts
+        s0, s1 = self.low[x], np.minimum(self.high[x], n_a - 1) + 1
+        t0, t1 = self.low[y], np.minimum(self.high[y], self.starts[members][col] - 1) + 1
+        ok = (s0 < s1) & (t0 < t1)
+        col, s0, s1, t0, t1 = col[ok], s0[ok], s1[ok], t0[ok], t1[ok]
+        common = np.zeros((len(members), n_a + 1, n_b + 1), np.int32)
+        cells = common.reshape(-1)
+        for s, t, sign in ((s0, t0, 1), (s1, t1, 1), (s0, t1, -1), (s1, t0, -1)):
+            np.add.at(cells, (col * (n_a + 1) + s) * (n_b + 1) + t, np.int32(sign))
+        np.cumsum(common, axis=1, out=common)
+        np.cumsum(common, axis=2, out=common)
+        common = common[:, :n_a, :n_b]
+        s, t = np.arange(n_a), np.arange(n_b)
+        theirs = self.first[members][:, None] + np.minimum(t, self.starts[members][:, None] - 1)
+        total = self.distinct[self.first[i] + s].astype(np.int32)[None, :, None] + self.distinct[theirs].astype(np.int32)[:, None, :]
+        near = (1000 + part) * common >= part * total
+        near &= (t < self.starts[members][:, None])[:, None, :]
+        if shift is not None:
+            near &= np.abs((t - self.lead[members][:, None])[:, None, :] - (s - self.lead[i])[None, :, None]) <= shift
+        self.found[self.first[i] + np.flatnonzero(near.any(axis=(0, 2)))] = True
+        self.found[theirs[near.any(axis=1)]] = True
+        self.done = np.logical_and.reduceat(self.found, self.first)
+
+
+def verify_tile(raws: list[bytes], keys, many, starts, lead, left, right, words: int, size: int, threshold: float, shift: int | None = None) -> list[tuple[int, int, int]]:
     """Runs (member, first, last start) with a near duplicate in the tile.
-    Members pair across texts (unless one stands for several)."""
+    Members pair across texts; one that stands for several (``many``) repeats
+    from end to end, so it helps to find others but is not returned itself.
+    ``shift`` bounds the offset of two passages, counted from the shared
+    shingle; None compares all."""
     off = np.concatenate([[0], np.cumsum([len(r) for r in raws])])
     _, _, found, counts = find_words(np.frombuffer(b"".join(raws), np.uint8), off)
     ends = np.concatenate([[0], np.cumsum(counts)])
     per = counts - size + 1
     tokens = shingle_hashes(found, size)[starts_to_index(ends[:-1], per)]
-    group = Members(tokens, np.concatenate([[0], np.cumsum(per)]), starts, lead, words - size + 1)
+    group = Members(tokens, np.concatenate([[0], np.cumsum(per)]), starts, lead, words - size + 1, many)
+    cells = (int(starts.max()) + 1) ** 2
+    step = max(1, min(256, (1 << 20) // cells))
     same = np.array_equal(left, right)
     for i in left.tolist():
         others = right[right > i] if same else right
         others = others[(keys[others] != keys[i]) | many[others] | many[i]]
-        for a in range(0, len(others), 256):
-            group.compare(i, others[a : a + 256], threshold, shift)
+        for a in range(0, len(others), step):
+            part = others[a : a + step]
+            if group.done[i]:  # two windows found whole have nothing to tell
+                part = part[~group.done[part]]
+            if len(part):
+                group.compare(i, part, threshold, shift)
     edge = np.zeros(len(group.found) + len(starts) + 1, np.int8)
-    edge[np.arange(len(group.found)) + np.repeat(np.arange(len(starts)), starts)] = group.found
+    edge[np.arange(len(group.found)) + np.repeat(np.arange(len(starts)), starts)] = group.found & ~np.repeat(many, starts)
     change = np.flatnonzero(np.diff(np.concatenate([[0], edge])))
     wide = group.first + np.arange(len(starts))
     out = []
@@ -291,7 +306,7 @@ def verify_tile(raws: list[bytes], keys, many, starts, lead, left, right, words:
 RUN = "value long, content long, low int, high int"
 
 
-def _tiles(words: int, size: int, threshold: float, shift: int):
+def _tiles(words: int, size: int, threshold: float, shift: int | None):
     def emit(group: list[dict]):
         first = {}
         for r in group:
@@ -334,7 +349,7 @@ def _tiles(words: int, size: int, threshold: float, shift: int):
     return run
 
 
-def passage_runs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS, size: int = SIZE, threshold: float = THRESHOLD, hashes: int = HASHES, block: int = BLOCK, shift: int = SHIFT) -> DataFrame:
+def passage_runs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS, size: int = SIZE, threshold: float = THRESHOLD, hashes: int = HASHES, block: int = BLOCK, shift: int | None = None) -> DataFrame:
     """(key, spans): for each text (by the xxhash64 of it) with near-duplicate
     passages elsewhere, their runs of words as an array of (start, stop)."""
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter("text IS NOT NULL").withColumn("key", F.xxhash64("text"))

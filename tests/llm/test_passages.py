@@ -1,0 +1,84 @@
+"""Near-duplicate passages against all pairs of passages."""
+
+import random
+from collections import Counter
+
+import numpy as np
+
+import __spark_entry__ as entry
+from clickweir.llm import substring_dedup as passages
+from helpers import documents, prose, words
+
+
+def brute_words(texts, n_words=50, size=5):
+    """Words of each distinct text inside passages that are near duplicates
+    of one in another text; all words of copies."""
+    cut = {}
+    for text in set(texts):
+        w = words(text)
+        cut[text] = [frozenset(tuple(w[i : i + size]) for i in range(s, s + n_words - size + 1)) for s in range(len(w) - n_words + 1)]
+    out = {text: set() for text in cut}
+    for text, own in cut.items():
+        for s, a in enumerate(own):
+            if any(5 * len(a & b) >= 4 * len(a | b) for other, theirs in cut.items() if other != text for b in theirs):
+                out[text].update(range(s, s + n_words))
+    for text, copies in Counter(texts).items():
+        if copies > 1 and cut[text]:
+            out[text] = set(range(len(words(text))))
+    return out
+
+
+def near_texts():
+    rnd = random.Random(11)
+    out = []
+    for shared in (44, 45, 46, 47, 48):  # one text ends with the words another one starts with
+        common = prose(rnd, shared)
+        out += [f"{prose(rnd, 30)} {common}", f"{common} {prose(rnd, 30)}"]
+    a, b = prose(rnd, 25), prose(rnd, 25)
+    out += [f"{a} {b}", f"{b} {a}"]  # the same shingles but four, 25 words away
+    base = prose(rnd, 70).split()
+    for _ in range(8):  # words changed, left out and put in
+        x = list(base)
+        for _ in range(rnd.randrange(1, 3)):
+            p = rnd.randrange(len(x))
+            x[p : p + 1] = rnd.choice(([], ["new"], [x[p], "more"]))
+        out.append(f"{prose(rnd, rnd.randrange(9))} {' '.join(x)}")
+    line = prose(rnd, 9)
+    out += [" ".join([line] * 8), f"{' '.join([line] * 7)} {prose(rnd, 12)}", f"{prose(rnd, 12)} {' '.join([line] * 9)}"]
+    return [*out, out[0], prose(rnd, 90), "few words"]
+
+
+def test_passages_of_the_query_against_all_pairs(spark, tmp_path):
+    texts = near_texts()
+    documents(spark, [*enumerate(texts), (None, None)]).write.parquet(f"{tmp_path}/documents.parquet")
+    want = brute_words(texts)
+    rows = entry.queries()["op3_substring_dedup"](spark, str(tmp_path)).filter("doc_id IS NOT NULL").collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        got = {w for p in r["passages"] for w in range(p["start"], p["stop"])}
+        assert got == want[texts[r["doc_id"]]], r["doc_id"]
+
+
+def test_tiles_compare_all_offsets():
+    rng = np.random.default_rng(6)
+    size, n_words = 3, 12
+    width = n_words - size + 1
+    for case in range(60):
+        base = [str(x) for x in rng.integers(0, int(rng.integers(3, 200)), 40)]
+        texts, leads, starts = [], [], []
+        for _ in range(4):
+            a, n = int(rng.integers(0, 8)), int(rng.integers(1, 9))
+            x = base[a : a + n + n_words - 1]
+            cut = int(rng.integers(0, len(x)))
+            texts.append(x[cut:] + x[:cut] if case % 2 else x)
+            starts.append(n)
+            leads.append(int(rng.integers(0, 9)))
+        many = rng.random(4) < 0.3
+        sets = [[{tuple(t[k : k + size]) for k in range(s, s + width)} for s in range(len(t) - n_words + 1)] for t in texts]
+        want = {
+            (i, s)
+            for i in range(4) for s, a in enumerate(sets[i])
+            if not many[i] and any(5 * len(a & b) >= 4 * len(a | b) for j in range(4) if j != i for b in sets[j])
+        }
+        runs = passages.verify_tile([" ".join(t).encode() for t in texts], np.arange(4), many, np.array(starts), np.array(leads), np.arange(4), np.arange(4), n_words, size, 0.8)
+        assert {(m, s) for m, a, b in runs for s in range(a, b + 1)} == want
