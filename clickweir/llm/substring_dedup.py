@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 from clickweir.llm.common import flat_text, row_pieces, starts_to_index, written
 from clickweir.llm.suffix_dedup import merged, repeat_runs
 from clickweir.llm.words import BASE, find_words, mix, powers, shingle_hashes
+from clickweir.llm.words import WORDS as WORD_BYTES
 
 WORDS = 50
 SIZE = 5
@@ -98,6 +99,40 @@ def compact_windows(tokens: np.ndarray, offsets: np.ndarray, width: int, salt: n
     return own, left, c, right, hashed[c]
 
 
+def _cuts(data: np.ndarray, words: int, limit: int):
+    """(first word, bytes) of cuts of a long row of about ``limit`` bytes, more
+    where they hold too few words. Each begins ``words`` - 1 words before the
+    end of the one before it, so every passage lies in one of them."""
+    at, base, reach = 0, 0, limit
+    while True:
+        end = min(at + reach, len(data))
+        if end < len(data):  # back to where no word is cut
+            gaps = np.flatnonzero(WORD_BYTES[data[at:end]] == 0)
+            end = at + int(gaps[-1]) if len(gaps) else at
+        begin, _, _, _ = find_words(data[at:end], np.array([0, end - at]))
+        if end < len(data) and len(begin) < words:
+            reach *= 2
+            continue
+        yield base, data[at:end]
+        if end == len(data):
+            return
+        base += len(begin) - words + 1
+        at += int(begin[len(begin) - words + 1]) if words > 1 else end - at
+        reach = limit
+
+
+def _pieces(data: np.ndarray, offsets: np.ndarray, words: int, limit: int):
+    """(first row, word it begins with, bytes, offsets): runs of whole rows, or
+    overlapping cuts of one long row."""
+    for i, j in row_pieces(offsets, limit):
+        part = data[offsets[i] : offsets[j]]
+        if len(part) <= limit:
+            yield i, 0, part, offsets[i : j + 1] - offsets[i]
+        else:
+            for base, cut in _cuts(part, words, limit):
+                yield i, base, cut, np.array([0, len(cut)])
+
+
 def _windows(data: np.ndarray, offsets: np.ndarray, words: int, size: int, hashes: int):
     """All windows of the rows of a flat byte array, per hash function, as
     runs of passage starts: (value, content, row, first start, first start of
@@ -140,12 +175,13 @@ def _window_rows(words: int, size: int, hashes: int):
         for batch in batches:
             data, off = flat_text(batch.column("text"))
             keys = batch.column("key").to_numpy()
-            for i, j in row_pieces(off, PIECE):
-                for value, content, row, start, reach, starts, lead in _windows(data[off[i] : off[j]], off[i : j + 1] - off[i], words, size, hashes):
+            # fewer bytes, and so fewer shingles, than there are places
+            for i, base, part, ends in _pieces(data, off, words, min(PIECE, 1 << int(PLACE_BITS))):
+                for value, content, row, start, reach, starts, lead in _windows(part, ends, words, size, hashes):
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(value.view(np.int64)), pa.array(content.view(np.int64)), pa.array(keys[i + row]),
-                            pa.array(start), pa.array(reach), pa.array(starts.astype(np.int32)), pa.array(lead.astype(np.int32)),
+                            pa.array(base + start), pa.array(base + reach), pa.array(starts.astype(np.int32)), pa.array(lead.astype(np.int32)),
                         ],
                         names=WINDOWS.names,
                     )

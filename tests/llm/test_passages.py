@@ -4,6 +4,8 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
 import __spark_entry__ as entry
 from clickweir.llm import substring_dedup as passages
@@ -82,3 +84,19 @@ def test_tiles_compare_all_offsets():
         }
         runs = passages.verify_tile([" ".join(t).encode() for t in texts], np.arange(4), many, np.array(starts), np.array(leads), np.arange(4), np.arange(4), n_words, size, 0.8)
         assert {(m, s) for m, a, b in runs for s in range(a, b + 1)} == want
+
+
+@pytest.mark.parametrize("bits", [9, 11, 21])
+def test_long_rows_are_cut_and_none_of_their_passages_lost(monkeypatch, bits):
+    monkeypatch.setattr(passages, "PLACE_BITS", np.uint64(bits))
+    rnd = random.Random(8)
+    n_words, size, hashes = 12, 3, 2
+    texts = [prose(rnd, 3000), "", prose(rnd, 40), f"{prose(rnd, 100)} {'x' * 3000} {prose(rnd, 100)}", "é" * 2000, " ".join(["again"] * 500), " ".join(["a"] * 4000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(range(len(texts)), pa.int64())], names=["text", "key"])
+    got = Counter()
+    for out in passages._window_rows(n_words, size, hashes)([batch]):
+        for w in out.to_pylist():
+            for first in range(w["start"], w["reach"] + 1, w["starts"]):
+                got.update((w["key"], s) for s in range(first, first + w["starts"]))
+    # each passage lies in one window of each hash function
+    assert got == {(k, s): hashes for k, t in enumerate(texts) for s in range(len(words(t)) - n_words + 1)}
