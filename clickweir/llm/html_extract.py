@@ -7,8 +7,9 @@ and the nearest telling container. A small Gini tree, grown from the
 labelled table below, keeps or drops the block.
 
 Null and empty html: empty text. Malformed markup never fails: unclosed
-elements end with their container, stray end tags are ignored, an unclosed
-comment or script reaches to the end of the page. Rows are handled one by
+elements, hidden ones too, end with their container, stray end tags are
+ignored, an unclosed comment, script, style, title or textarea reaches to the
+end of the page. Rows are handled one by
 one, so repeated rows and null ids are kept.
 """
 
@@ -26,6 +27,15 @@ from pyspark.sql import types as T
 
 # Elements whose content is never text of the page.
 HIDDEN = ("script", "style", "noscript", "template", "title", "textarea", "select", "option", "button", "svg", "iframe", "object", "canvas")
+# Those of them in which nothing is a tag but their own end tag.
+RAW = ("script", "style", "title", "textarea")
+# Elements that end an svg left open (HTML standard, foreign content).
+OUT_OF_SVG = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li menu meta nobr ol p pre "
+    "ruby s small span strong strike sub sup table tt u ul var".split()
+)
+# Elements of one kind that follow one another, whose end tag may be left out.
+FOLLOWING = frozenset("p li dt dd option button tr td th".split())
 # Elements that do not end a text block.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike "
@@ -48,7 +58,7 @@ MAIN_NAMES = re.compile(r"(?:^|[\s_-])(?:article|content|main|post|story|entry|b
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    rf"|<(?P<raw>{'|'.join(HIDDEN)})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:(?<=/)>|>.*?(?:</(?P=raw)\s*>|\Z))"
+    rf"|<(?P<raw>{'|'.join(RAW)})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:(?<=/)>|>.*?(?:</(?P=raw)\s*>|\Z))"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.S | re.I,
 )
@@ -104,6 +114,9 @@ def blocks_of(page: str | None) -> list[Block]:
     place, kind = OTHER, PLAIN
     pieces: list[str] = []
     linked, in_link = 0, False
+    hidden = -1  # where the outermost hidden element stands in open_tags
+    inline: list[str] = []  # inline elements open outside of it
+    inside: list[str] = []  # and inside
 
     def close() -> None:
         nonlocal linked
@@ -116,7 +129,7 @@ def blocks_of(page: str | None) -> list[Block]:
 
     def add(raw: str) -> None:
         nonlocal linked
-        if raw:
+        if raw and hidden < 0:
             pieces.append(raw)
             if in_link:
                 linked += len(raw.split())
@@ -131,12 +144,44 @@ def blocks_of(page: str | None) -> list[Block]:
                 add(html_lib.escape(m[0][9:-3] if m[0].endswith("]]>") else m[0][9:]))
             continue
         tag = tag.lower()
+        if hidden >= 0 and not m["end"] and tag in OUT_OF_SVG and open_tags[hidden][0] == "svg" and all(t != "foreignobject" for t, _, _ in open_tags[hidden:]):
+            del open_tags[hidden:]
+            hidden = -1
         if tag in INLINE:
-            if tag == "br":
-                add(" ")
-            elif tag == "a":
-                in_link = not m["end"]
+            held = inline if hidden < 0 else inside
+            if m["end"] and hidden >= 0 and tag not in inside and tag in inline:
+                del open_tags[hidden:]  # the inline element round it ends
+                hidden, held = -1, inline
+            if m["end"] and tag in held:
+                held.remove(tag)
+            elif not m["end"] and tag not in VOID and not m["attrs"].endswith("/"):
+                held.append(tag)
+            if hidden < 0:
+                if tag == "br":
+                    add(" ")
+                elif tag == "a":
+                    in_link = not m["end"]
             continue
+        if hidden >= 0 or tag in HIDDEN:  # the text block goes on round a hidden element
+            if not m["end"]:
+                if tag in VOID or m["attrs"].endswith("/"):
+                    continue
+                if tag in FOLLOWING and open_tags and open_tags[-1][0] == tag:
+                    open_tags.pop()
+                    hidden = -1 if hidden == len(open_tags) else hidden
+                if hidden < 0 and tag in HIDDEN:
+                    hidden = len(open_tags)
+                    inside.clear()
+                open_tags.append((tag, place, kind))
+                continue
+            k = next((k for k in range(len(open_tags) - 1, -1, -1) if open_tags[k][0] == tag), -1)
+            if k < 0:
+                continue
+            if k >= hidden:
+                del open_tags[k:]
+                hidden = -1 if k == hidden else hidden
+                continue
+            hidden = -1  # its container ends
         close()
         in_link = False
         if m["end"]:
@@ -148,7 +193,8 @@ def blocks_of(page: str | None) -> list[Block]:
             continue
         if tag in VOID or m["attrs"].endswith("/"):
             continue
-        if tag in ("p", "li", "dt", "dd", "option", "tr", "td", "th") and open_tags and open_tags[-1][0] == tag:
+        inline.clear()
+        if tag in FOLLOWING and open_tags and open_tags[-1][0] == tag:
             _, place, kind = open_tags.pop()  # its end tag may be left out
         elif open_tags and open_tags[-1][0] == "p":
             _, place, kind = open_tags.pop()  # a block ends an open paragraph
