@@ -43,19 +43,27 @@ INLINE = frozenset(
 )
 # Elements without content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-# Containers of boilerplate and of main text, by element.
-CHROME = frozenset("nav footer aside form menu dialog fieldset".split())
+# Containers of boilerplate, of boilerplate in main text (round a
+# whole page only the text tells) and of main text, by element.
+CHROME = frozenset("nav footer aside menu dialog".split())
+FORM = frozenset("form fieldset".split())
 MAIN = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-# Words in class, id and role that tell a container's use.
-CHROME_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:nav\w*|menu\w*|side\w*|foot\w*|head|header|masthead|topbar|breadcrumbs?|ads?|advert\w*|banner|promo\w*|"
+# A name in class, id or role tells a container's use if all its
+# parts are such words: cookie-notice does, has-sidebar and no-ads do not.
+def _names(words: str, more: str) -> re.Pattern:
+    return re.compile(rf"(?:(?:{more})[_-]+)*(?:{words})(?:[_-]+(?:{words}|{more}))*", re.I)
+
+
+COMMENT_NAMES = _names("comments?|repl(?:y|ies)|disqus", "article|body|content|item|list|text|thread")
+CHROME_NAMES = _names(
+    r"nav\w*|menu\w*|side(?:bar|nav|menu)?|foot(?:er)?|head|header|masthead|topbar|breadcrumbs?|ads?|advert\w*|banner|promo\w*|"
     r"sponsor\w*|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscri\w*|signup|comments?|replies|disqus|"
-    r"related|recommend\w*|share|sharing|social|widget|login|search|complementary|contentinfo|navigation|pagination|pager|toolbar)(?:$|[\s_-])",
-    re.I,
+    r"related|recommend\w*|share|sharing|social|widget|login|search|complementary|contentinfo|navigation|pagination|pager|toolbar",
+    "site|bar|global",
 )
-MAIN_NAMES = re.compile(r"(?:^|[\s_-])(?:article|content|main|post|story|entry|body)(?:$|[\s_-])", re.I)
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+MAIN_NAMES = _names("article|content|main|post|story|entry|body", "site|page|text")
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     rf"|<(?P<raw>{'|'.join(RAW)})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:(?<=/)>|>.*?(?:</(?P=raw)\s*>|\Z))"
@@ -64,6 +72,7 @@ TOKEN = re.compile(
 )
 
 OTHER, IN_MAIN, IN_CHROME = 0, 1, 2
+IN_NAMED = 3  # boilerplate by name, in which main text may lie; its blocks count as IN_CHROME
 PARAGRAPH, HEADING, ITEM, PLAIN = 0, 1, 2, 3
 
 
@@ -84,24 +93,26 @@ def _container(tag: str, attrs: str, outer: int) -> int:
         return IN_CHROME
     if outer == IN_CHROME:
         return IN_CHROME  # what lies inside boilerplate is boilerplate
-    names = ""
-    if attrs:
-        for key, value in ATTRIBUTE.findall(attrs):
-            key = key.lower()
-            if key == "hidden" or key == "aria-hidden" and "true" in value.lower():
-                return IN_CHROME
-            if key == "style":
-                if re.search(r"display\s*:\s*none", value, re.I):
-                    return IN_CHROME
-            else:
-                names += " " + value.strip("\"'")
+    found: dict[str, str] = {}
+    for key, value in ATTRIBUTE.findall(attrs) if attrs else ():
+        found.setdefault(key.lower(), value.strip("\"'"))
+    if "hidden" in found or found.get("aria-hidden", "").strip().lower() == "true" or re.search(r"(?:^|;)\s*display\s*:\s*none", found.get("style", ""), re.I):
+        return IN_CHROME
+    names = " ".join(found.get(key, "") for key in ("class", "id", "role")).split()
+    of = lambda kind: any(kind.fullmatch(name) for name in names)
+    if tag not in ("html", "body") and of(COMMENT_NAMES):
+        return IN_CHROME  # readers write articles too
     if tag in MAIN:
-        return IN_CHROME if re.search(r"comment|repl(y|ies)", names, re.I) else IN_MAIN
+        return IN_MAIN
+    if outer == IN_NAMED:
+        return outer
     if names and tag not in ("html", "body"):
-        if CHROME_NAMES.search(names) and not (tag == "header" and outer == IN_MAIN):
-            return IN_CHROME
-        if outer == OTHER and MAIN_NAMES.search(names):
+        if of(CHROME_NAMES) and not (tag == "header" and outer == IN_MAIN):
+            return IN_NAMED
+        if outer == OTHER and of(MAIN_NAMES):
             return IN_MAIN
+    if tag in FORM:
+        return IN_NAMED if outer == IN_MAIN else OTHER
     return outer
 
 
@@ -123,7 +134,7 @@ def blocks_of(page: str | None) -> list[Block]:
         if pieces:
             text = " ".join(html_lib.unescape("".join(pieces)).split())
             if text:
-                out.append(Block(text, text.count(" ") + 1, linked, kind, place))
+                out.append(Block(text, text.count(" ") + 1, linked, kind, IN_CHROME if place == IN_NAMED else place))
             pieces.clear()
         linked = 0
 

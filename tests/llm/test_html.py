@@ -32,3 +32,34 @@ def test_text_goes_on_round_hidden_elements():
     assert main_text(page) == f"{LONG} So it is.\n\n{MORE}"
     for name in ("script", "style", "title", "textarea"):
         assert main_text(f"<article><p>{LONG}</p><{name}><p>{MORE}</p></article>") == LONG
+
+
+@pytest.mark.parametrize(
+    "round_it",
+    [
+        "<div class='layout has-sidebar'>{}</div>", "<div class='no-sidebar'>{}</div>", "<div class='sidebar'>{}</div>", "<form id='aspnetForm'>{}</form>",
+        "<div title='Hidden gems'>{}</div>", "<div data-hidden='false'>{}</div>", "<div data-class='nav' data-id=menu>{}</div>", "<div class='widget'><form>{}</form></div>",
+        "<div aria-hidden='false'>{}</div>", "<div data-x='style=display:none'>{}</div>", "<div class='content-sidebar-wrap'>{}</div>",
+    ],
+)
+def test_articles_in_containers_that_look_like_boilerplate(round_it):
+    article = f"<article><h1>A heading of some words</h1><p>{LONG}</p><p>Short.</p><p>{MORE}</p></article>"
+    for inner in (article, article.replace("article>", "main>"), article.replace("<article>", "<article title='Hidden gems' data-hidden='false' class='no-comments'>")):
+        assert main_text("<body><nav><ul><li><a href=/>Home</a></ul></nav><div>Tuesday, the second of May</div>" + round_it.format(inner) + "</body>") == f"A heading of some words\n\n{LONG}\n\nShort.\n\n{MORE}"
+
+
+@pytest.mark.parametrize("start", ["<div class='layout has-sidebar'>", "<form id='aspnetForm'>", "<div title='Hidden gems'>", "<div data-hidden=false>"])
+def test_pages_without_an_article_element(start):
+    page = f"<body>{start}<div><p>{LONG}</p><p>{MORE}</p><p>{LONG}</p></div>"
+    assert main_text(page) == f"{LONG}\n\n{MORE}\n\n{LONG}"
+
+
+@pytest.mark.parametrize(
+    "start",
+    [
+        "<article hidden>", "<article aria-hidden='true'>", "<div style='color:red; display: none'><article>", "<nav><article>", "<section class='comments'><article>",
+        "<article class='comment-body'>", "<div class='widget'>", "<div role=navigation>", "<div id='cookie-notice'>", "<div class='x site-footer'>",
+    ],
+)
+def test_boilerplate_stays_out(start):
+    assert main_text(f"<body><div>{start}<p>{LONG}</p></div><main><p>{MORE}</p></main>") == MORE
