@@ -154,11 +154,10 @@ def find_windows(hashes: np.ndarray, counts: np.ndarray, index: Prefixes) -> tup
     starts_out, windows_out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     step = 1 << 18
     fan = index.first[key + 1] - index.first[key]
-    bounds = np.searchsorted(np.cumsum(fan), np.arange(0, int(fan.sum()) + step, step))
-    for lo, hi in zip(bounds[:-1], np.maximum(bounds[1:], bounds[:-1] + 1), strict=True):
-        part = slice(lo, min(hi, len(at)))
-        if part.start >= len(at):
-            break
+    inner = np.searchsorted(np.cumsum(fan), np.arange(step, int(fan.sum()), step))
+    bounds = np.unique(np.concatenate([[0], inner, [len(at)]]))
+    for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+        part = slice(lo, hi)
         which = index.order[starts_to_index(index.first[key[part]], fan[part])]
         start = np.repeat(at[part], fan[part]) - index.offset[which]
         length = index.windows.length[which]
