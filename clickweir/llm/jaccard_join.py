@@ -1,10 +1,12 @@
-"""N-gram Jaccard self-join: MinHash LSH forest, then exact verification.
+"""N-gram Jaccard self-join: MinHash banding, then exact verification.
 
 A text is the set of its shingles of five words. Texts with the same set are
-one class. Each of ``TREES`` prefix tries sorts the classes by a MinHash
-signature of its own; matched prefixes start at ``DEPTH`` values and are
-shortened until two sets at the threshold meet in some trie with the
-``target`` probability (more similar sets meet more surely). Classes that
+one class. Each of ``TREES`` bands hashes the first values of a MinHash
+signature of its own; the band's length is the longest, from ``DEPTH`` down,
+at which two sets at the threshold meet in some band with the ``target``
+probability (more similar sets meet more surely). It follows from these
+numbers only: all pairs at the threshold are wanted, so unlike in an LSH
+forest no prefix is shortened further on the data. Classes that
 meet form candidate components; a component is cut into blocks of about
 ``BLOCK_SHINGLES`` shingles and each pair of blocks is one tile, where the
 exact Jaccard similarity of every pair that meets is computed. A tile
@@ -61,7 +63,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = SIZE) -> tup
 
 
 def prefix_keys(flat: np.ndarray, sizes: np.ndarray, trees: int, depth: int, seed: int = 3) -> np.ndarray:
-    """(sets, trees): each trie's key of the first ``depth`` MinHash values.
+    """(sets, trees): each band's key of the first ``depth`` MinHash values.
     Sets must not be empty."""
     rng = np.random.default_rng(seed)
     salt = rng.integers(0, 1 << 63, (trees, depth, 2), dtype=np.int64).astype(np.uint64)
