@@ -7,14 +7,16 @@ whole document; each filter is max-pooled within a chunk, the chunk vectors
 are averaged by length, and a small dense layer gives one probability.
 
 Training uses a bounded sample of the labelled rows (``sample_rows`` per
-class, ``SAMPLE_CHUNKS`` evenly spread chunks per row); scoring reads every
-byte. Null and empty texts have no chunk: their pooled vector is zero and
+class) and all chunks of them, a slice of a batch at a time; scoring reads
+every byte. Null and empty texts have no chunk: their pooled vector is zero and
 they get the score the dense layer gives for it. Rows are scored one by one, so
 repeated rows and null ids are kept; only ``text`` is an input.
 """
 
 from __future__ import annotations
 
+import tempfile
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickweir.llm.common import flat_text, starts_to_index, unit_hash
+from clickweir.llm.common import flat_text, starts_to_index, unit_hash, written
 
 GROUP = 4  # bytes a filter advances by; a filter spans two groups
 CHUNK_GROUPS = 128
@@ -33,7 +35,7 @@ FILTERS = 32
 HIDDEN = 16
 RECENT = 64
 SAMPLE_ROWS = 1000
-SAMPLE_CHUNKS = 6
+SLICE = 1024  # chunks of a training batch at a time
 STEPS = 640
 BATCH = 32
 
@@ -154,9 +156,9 @@ def score_bytes(data: np.ndarray, offsets: np.ndarray, net: Network) -> np.ndarr
     return 1 / (1 + np.exp(-np.clip(_head(pooled, net), -30, 30).astype(np.float64)))
 
 
-def train(chunks: np.ndarray, sizes: np.ndarray, owner: np.ndarray, n_bytes: np.ndarray, labels: np.ndarray, shift: float, seed: int = 7) -> Network:
-    """Adam on the cross-entropy. ``chunks``: (n, CHUNK_BYTES + GROUP) bytes
-    of which the first ``sizes`` count; ``owner``: sorted row of each chunk;
+def train(chunks: np.ndarray, sizes: np.ndarray, owner: np.ndarray, n_bytes: np.ndarray, labels: np.ndarray, shift: float, place: np.ndarray, seed: int = 7) -> Network:
+    """Adam on the cross-entropy. Chunk k: the first ``sizes[k]`` bytes of
+    ``chunks[place[k]]`` (which may be a file); ``owner``: sorted row of each chunk;
     ``shift``: log odds from the sample's class balance to the population's."""
     rng = np.random.default_rng(seed)
     span = GROUP * WIDTH
@@ -166,7 +168,19 @@ def train(chunks: np.ndarray, sizes: np.ndarray, owner: np.ndarray, n_bytes: np.
     ]
     p = [a.astype(np.float32) for a in p]
     m, v = [np.zeros_like(a) for a in p], [np.zeros_like(a) for a in p]
-    inside = np.arange(chunks.shape[1])[None, :] < sizes[:, None]
+    span_of = np.arange(chunks.shape[1])[None, :]
+
+    def forward(c: np.ndarray):
+        xb, g = descriptors(chunks[place[c]][span_of < sizes[c][:, None]], sizes[c])
+        z = xb @ p[0]
+        z[:-1] += xb[1:] @ p[1]
+        z += p[2]
+        np.maximum(z, 0, out=z)
+        ends = np.cumsum(g)
+        z[ends - 1] = 0
+        peak = np.maximum.reduceat(z, ends - g, axis=0) if len(g) else np.zeros((0, FILTERS), np.float32)
+        return xb, g, z, peak
+
     first_chunk = np.searchsorted(owner, np.arange(len(labels) + 1))
     step = 0
     while step < STEPS:
@@ -176,46 +190,45 @@ def train(chunks: np.ndarray, sizes: np.ndarray, owner: np.ndarray, n_bytes: np.
             counts = np.diff(first_chunk)[docs]
             own = np.repeat(np.arange(len(docs)), counts)
             picked = starts_to_index(first_chunk[docs], counts)
-            # descriptors are many times the bytes: those of a batch at a time
-            xb, g = descriptors(chunks[picked][inside[picked]], sizes[picked])
-            z = xb @ p[0]
-            z[:-1] += xb[1:] @ p[1]
-            z += p[2]
-            np.maximum(z, 0, out=z)
-            ends = np.cumsum(g)
-            z[ends - 1] = 0
-            chunk_top = ends - g
-            peak = np.maximum.reduceat(z, chunk_top, axis=0) if len(g) else np.zeros((0, FILTERS), np.float32)
-            share = (g - 1).astype(np.float32)
+            share = (-(-sizes[picked] // GROUP)).astype(np.float32)
             weight = np.maximum(np.bincount(own, share, len(docs)), 1).astype(np.float32)
+            share = (share / weight[own])[:, None]
             mean = np.zeros((len(docs), FILTERS), np.float32)
-            np.add.at(mean, own, peak * (share / weight[own])[:, None])
+            # descriptors are many times the bytes: those of a slice at a time
+            slices = [slice(k, k + SLICE) for k in range(0, len(picked), SLICE)]
+            for part in slices:
+                held = forward(picked[part])
+                np.add.at(mean, own[part], held[3] * share[part])
             pooled = np.concatenate([mean, np.log1p(n_bytes[docs])[:, None].astype(np.float32) / 10], axis=1)
             hidden = np.tanh(pooled @ p[3] + p[4])
             prob = 1 / (1 + np.exp(-np.clip(hidden @ p[5] + p[6][0], -30, 30)))
             err = ((prob - labels[docs]) / len(docs)).astype(np.float32)
             back = np.outer(err, p[5]) * (1 - hidden**2)
             grads = [None, None, None, pooled.T @ back, back.sum(0), hidden.T @ err, np.array([err.sum()], np.float32)]
-            d_peak = ((back @ p[3].T)[:, :FILTERS][own]) * (share / weight[own])[:, None]
-            # the gradient reaches only the window that won each pool
-            hit = z == np.repeat(peak, g, axis=0)
-            hit &= z > 0
-            where_row, where_filter = np.nonzero(hit)
-            chunk_of = np.repeat(np.arange(len(g)), g)[where_row]
-            key = chunk_of * FILTERS + where_filter
-            _, once = np.unique(key, return_index=True)
-            where_row, where_filter, chunk_of = where_row[once], where_filter[once], chunk_of[once]
-            delta = d_peak[chunk_of, where_filter]
+            d_mean = (back @ p[3].T)[:, :FILTERS]
             sel = np.zeros((FILTERS, span), np.float32)
             sel2 = np.zeros((FILTERS, span), np.float32)
-            by = np.argsort(where_filter, kind="stable")
-            cut = np.searchsorted(where_filter[by], np.arange(FILTERS + 1))
-            for f in range(FILTERS):
-                r = by[cut[f] : cut[f + 1]]
-                sel[f] = delta[r] @ xb[where_row[r]]
-                sel2[f] = delta[r] @ xb[np.minimum(where_row[r] + 1, len(xb) - 1)]
-            grads[0], grads[1] = sel.T, sel2.T
-            grads[2] = np.bincount(where_filter, delta, FILTERS).astype(np.float32)
+            bias = np.zeros(FILTERS, np.float32)
+            for part in slices:
+                xb, g, z, peak = held if len(slices) == 1 else forward(picked[part])
+                d_peak = d_mean[own[part]] * share[part]
+                # the gradient reaches only the window that won each pool
+                hit = z == np.repeat(peak, g, axis=0)
+                hit &= z > 0
+                where_row, where_filter = np.nonzero(hit)
+                chunk_of = np.repeat(np.arange(len(g)), g)[where_row]
+                key = chunk_of * FILTERS + where_filter
+                _, once = np.unique(key, return_index=True)
+                where_row, where_filter, chunk_of = where_row[once], where_filter[once], chunk_of[once]
+                delta = d_peak[chunk_of, where_filter]
+                by = np.argsort(where_filter, kind="stable")
+                cut = np.searchsorted(where_filter[by], np.arange(FILTERS + 1))
+                for f in range(FILTERS):
+                    r = by[cut[f] : cut[f + 1]]
+                    sel[f] += delta[r] @ xb[where_row[r]]
+                    sel2[f] += delta[r] @ xb[np.minimum(where_row[r] + 1, len(xb) - 1)]
+                bias += np.bincount(where_filter, delta, FILTERS).astype(np.float32)
+            grads[:3] = sel.T, sel2.T, bias
             step += 1
             rate = 0.004 * (0.5 if step >= STEPS // 2 else 1)
             for a, ga, ma, va in zip(p, grads, m, v, strict=True):
@@ -236,29 +249,34 @@ CHUNK_SCHEMA = T.StructType(
 )
 
 
-def _sample_chunks(batches):
-    for batch in batches:
-        data, off = flat_text(batch.column("text"))
-        keys, labels = batch.column("row_key").to_pylist(), batch.column("row_label").to_pylist()
-        rows = []
-        for i in range(batch.num_rows):
-            n = int(off[i + 1] - off[i])
-            count = max(1, -(-n // CHUNK_BYTES))
-            take = np.unique(np.linspace(0, count - 1, min(count, SAMPLE_CHUNKS)).astype(int))
-            for c in take:
-                lo = int(off[i]) + int(c) * CHUNK_BYTES
-                rows.append((keys[i], labels[i], n, int(c), data[lo : min(lo + CHUNK_BYTES + GROUP, int(off[i + 1]))].tobytes()))
-        if rows:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()), strict=True)],
-                names=CHUNK_SCHEMA.names,
-            )
-
-
-def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column, sample_rows: int = SAMPLE_ROWS) -> Network:
+def _sample_chunks(row_chunks: int | None):
+    def sample(batches):
+        for batch in batches:
+            data, off = flat_text(batch.column("text"))
+            keys, labels = batch.column("row_key").to_pylist(), batch.column("row_label").to_pylist()
+            for i in range(batch.num_rows):
+                n = int(off[i + 1] - off[i])
+                count = max(1, -(-n // CHUNK_BYTES))
+                take = np.unique(np.linspace(0, count - 1, min(count, row_chunks or count)).astype(int))
+                for k in range(0, len(take), SLICE):
+                    part = take[k : k + SLICE].tolist()
+                    starts = [int(off[i]) + c * CHUNK_BYTES for c in part]
+                    raw = [data[lo : min(lo + CHUNK_BYTES + GROUP, int(off[i + 1]))].tobytes() for lo in starts]
+                    m = len(part)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([keys[i]] * m, pa.int64()), pa.array([labels[i]] * m, pa.int32()), pa.array([n] * m, pa.int64()), pa.array(part, pa.int32()), pa.array(raw, pa.binary())],
+                        names=CHUNK_SCHEMA.names,
+                    )
+
+    return sample
+
+
+def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column, sample_rows: int = SAMPLE_ROWS, row_chunks: int | None = None) -> Network:
     """Train on labelled rows for which ``learn`` (over ``doc_id``) holds.
 
     About ``sample_rows`` rows of each class are drawn by a hash of the id.
+    Of each one all chunks are used, or ``row_chunks`` evenly spread ones.
+    They are held in a file of the driver's temporary folder.
     Ids with no label, or with contradicting ones, are not used; without any
     labelled row the network gives every text 0.5, and with one class only
     that class's probability is high everywhere."""
@@ -282,29 +300,36 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column, sample_rows:
         docs.select("doc_id", "text")
         .join(F.broadcast(drawn), "doc_id")  # about sample_rows ids and labels a class, whatever the input
         .select(F.xxhash64("doc_id").alias("row_key"), "row_label", "text")
-        .mapInArrow(_sample_chunks, CHUNK_SCHEMA)
-        .collect()
+        .mapInArrow(_sample_chunks(row_chunks), CHUNK_SCHEMA)
     )
-    if not sample:  # none of the labelled ids is among the documents
-        return untrained()
-    rows = sorted((r["row_key"], r["chunk_no"], bytes(r["chunk"]), r["row_label"], r["row_bytes"]) for r in sample)
+    width = CHUNK_BYTES + GROUP
+    with tempfile.TemporaryFile() as file:
+        rows = []
+        for r in written(sample, "quality-sample").toLocalIterator():
+            raw = bytes(r["chunk"])
+            file.write(raw.ljust(width, b"\0"))
+            rows.append((r["row_key"], r["chunk_no"], zlib.crc32(raw), r["row_label"], r["row_bytes"], len(raw), len(rows)))
+        if not rows:  # none of the labelled ids is among the documents
+            return untrained()
+        file.flush()
+        return _train_sample(np.memmap(file, np.uint8, "r", shape=(len(rows), width)), sorted(rows), counts)
+
+
+def _train_sample(chunks: np.ndarray, rows: list[tuple], counts: dict[int, int]) -> Network:
     owner, labels_, sizes_, seen = [], [], [], {}
-    chunks = np.zeros((len(rows), CHUNK_BYTES + GROUP), np.uint8)
-    size = np.zeros(len(rows), np.int64)
-    for i, (key, _, raw, label, n) in enumerate(rows):
+    for key, _, _, label, n, _, _ in rows:
         if key not in seen:
             seen[key] = len(labels_)
             labels_.append(label)
             sizes_.append(n)
         owner.append(seen[key])
-        chunks[i, : len(raw)] = np.frombuffer(raw, np.uint8)
-        size[i] = len(raw)
+    size, place = np.array([r[5] for r in rows], np.int64), np.array([r[6] for r in rows], np.int64)
     y = np.array(labels_, np.float32)
     ones, zeros = float(y.sum()), float(len(y) - y.sum())
     shift = 0.0
     if ones and zeros:
         shift = float(np.log(counts.get(1, 1) / counts.get(0, 1)) - np.log(ones / zeros))
-    return train(chunks, size, np.array(owner, np.int64), np.array(sizes_, np.int64), y, shift)
+    return train(chunks, size, np.array(owner, np.int64), np.array(sizes_, np.int64), y, shift, place)
 
 
 def score_quality(docs: DataFrame, net: Network, text: str = "text", out: str = "quality_score") -> DataFrame:
