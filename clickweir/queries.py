@@ -284,21 +284,21 @@ def q_stream_increments(spark, sf):
     target = Target(work_path(spark, "stream"))
     arrivals = [_as_of(src, SPLIT), src.filter(F.col("event_time") > mark_literal(SPLIT, _NTZ))]
     for rows in arrivals:
-        rows.coalesce(1).write.mode("append").parquet(landing)
+        rows.write.mode("append").parquet(landing)
         start_stream(spark, landing, target, TEST_CAPS).awaitTermination()
     return target.ledger(spark).runs().select(*LEDGER_COLUMNS)
 
 
 def q_stream_unordered(spark, sf):
-    """Later rows land before earlier ones and each file is a batch of its
+    """Later rows land before earlier ones and each arrival is drained on its
     own: every row is loaded (null times are no clean rows)."""
     src = _src(spark, sf)
     landing = work_path(spark, "landing")
     target = Target(work_path(spark, "stream"))
     late = F.coalesce(F.col("event_time") > mark_literal(SPLIT, _NTZ), F.lit(False))
     for rows in (src.filter(late), src.filter(~late)):
-        rows.coalesce(1).write.mode("append").parquet(landing)
-    start_stream(spark, landing, target, UNCAPPED, max_files_per_trigger=1).awaitTermination()
+        rows.write.mode("append").parquet(landing)
+        start_stream(spark, landing, target, UNCAPPED).awaitTermination()
     return read_table(spark, target)
 
 
