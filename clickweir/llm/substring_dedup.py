@@ -43,6 +43,7 @@ SIZE = 5
 THRESHOLD = 0.8
 HASHES = 8
 BLOCK = 512
+TOGETHER = 1024  # windows of small tiles verified at once
 PLACE_BITS = np.uint64(21)
 PIECE = 1 << 19
 DOWN = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -254,6 +255,20 @@ class Members:
         self.found = np.repeat(found, starts)
         self.done = found.copy()  # windows without a start to be found
 
+    def hopeful(self, threshold: float) -> np.ndarray:
+        """Windows that share enough shingles with the others of their tile,
+        all others taken together, for a passage to have a near duplicate."""
+        need = -(-round(1000 * threshold) * self.least // 1000)
+        once = self.earlier < 0  # each shingle of a window once
+        row, ids = self.row[once], self.ids[once]
+        alive = np.ones(len(self.least), bool)
+        while True:
+            seen = np.bincount(ids, alive[row])
+            keep = alive & (np.bincount(row, (seen[ids] > 1) & alive[row], len(alive)) >= need)
+            if keep.sum() == alive.sum():
+                return keep
+            alive = keep
+
     def compare(self, i: int, others: np.ndarray, threshold: float, shift: int | None) -> None:
         """Mark the passages of window ``i`` and of ``others`` that are near
         duplicates of each other, whatever the offset (or at most ``shift``)."""
@@ -301,33 +316,44 @@ class Members:
             near &= np.abs((t - self.lead[members][:, None])[:, None, :] - (s - self.lead[i])[None, :, None]) <= shift
         self.found[self.first[i] + np.flatnonzero(near.any(axis=(0, 2)))] = True
         self.found[theirs[near.any(axis=1)]] = True
-        self.done = np.logical_and.reduceat(self.found, self.first)
+        self.done[i] = self.found[self.first[i] : self.first[i] + n_a].all()
+        self.done[members] = self.found[theirs].all(axis=1)
 
 
 def verify_tile(raws: list[bytes], keys, many, starts, lead, left, right, words: int, size: int, threshold: float, shift: int | None = None) -> list[tuple[int, int, int]]:
-    """Runs (member, first, last start) with a near duplicate in the tile.
-    Members pair across texts; one that stands for several (``many``) repeats
-    from end to end, so it helps to find others but is not returned itself.
-    ``shift`` bounds the offset of two passages, counted from the shared
-    shingle; None compares all."""
+    """Runs (member, first, last start) with a near duplicate in the tile."""
+    return verify_tiles(raws, keys, many, starts, lead, [(left, right)], np.zeros(len(raws), np.int64), words, size, threshold, shift)
+
+
+def verify_tiles(raws: list[bytes], keys, many, starts, lead, tiles, tile, words: int, size: int, threshold: float, shift: int | None = None) -> list[tuple[int, int, int]]:
+    """Runs (member, first, last start) with a near duplicate in their tile;
+    ``tiles``: the members of the two blocks of each one, ``tile``: each
+    member's. Members pair across texts; one that stands for several (``many``)
+    repeats from end to end, so it helps to find others but is not returned
+    itself. ``shift`` bounds the offset of two passages, counted from the
+    shared shingle; None compares all."""
     off = np.concatenate([[0], np.cumsum([len(r) for r in raws])])
     _, _, found, counts = find_words(np.frombuffer(b"".join(raws), np.uint8), off)
     ends = np.concatenate([[0], np.cumsum(counts)])
     per = counts - size + 1
     tokens = shingle_hashes(found, size)[starts_to_index(ends[:-1], per)]
+    tokens = mix(tokens ^ np.repeat(mix(tile.astype(np.uint64) + np.uint64(1)), per))  # shingles meet within a tile
     group = Members(tokens, np.concatenate([[0], np.cumsum(per)]), starts, lead, words - size + 1, many)
+    hope = group.hopeful(threshold)
     cells = (int(starts.max()) + 1) ** 2
     step = max(1, min(256, (1 << 20) // cells))
-    same = np.array_equal(left, right)
-    for i in left.tolist():
-        others = right[right > i] if same else right
-        others = others[(keys[others] != keys[i]) | many[others] | many[i]]
-        for a in range(0, len(others), step):
-            part = others[a : a + step]
-            if group.done[i]:  # two windows found whole have nothing to tell
-                part = part[~group.done[part]]
-            if len(part):
-                group.compare(i, part, threshold, shift)
+    for left, right in tiles:
+        same = np.array_equal(left, right)
+        left, right = left[hope[left]], right[hope[right]]
+        for i in left.tolist():
+            others = right[right > i] if same else right
+            others = others[(keys[others] != keys[i]) | many[others] | many[i]]
+            for a in range(0, len(others), step):
+                part = others[a : a + step]
+                if group.done[i]:  # two windows found whole have nothing to tell
+                    part = part[~group.done[part]]
+                if len(part):
+                    group.compare(i, part, threshold, shift)
     edge = np.zeros(len(group.found) + len(starts) + 1, np.int8)
     edge[np.arange(len(group.found)) + np.repeat(np.arange(len(starts)), starts)] = group.found & ~np.repeat(many, starts)
     change = np.flatnonzero(np.diff(np.concatenate([[0], edge])))
@@ -343,18 +369,26 @@ RUN = "value long, content long, low int, high int"
 
 
 def _tiles(words: int, size: int, threshold: float, shift: int | None):
-    def emit(group: list[dict]):
+    def distinct(group: list[dict]) -> list[dict]:
         first = {}
         for r in group:
             first.setdefault((r["content"], r["block"]), r)  # a repeated row is one window
-        rows = list(first.values())
-        if len(rows) < 2:
+        return list(first.values())
+
+    def emit(groups: list[list[dict]]):
+        rows = [r for group in groups for r in group]
+        if not rows:
             return
-        block = np.array([r["block"] for r in rows])
         col = lambda name, kind=np.int64: np.array([r[name] for r in rows], kind)
-        runs = verify_tile(
+        sizes = np.array([len(group) for group in groups])
+        block, tops = col("block"), np.cumsum(sizes) - sizes
+        tiles = []
+        for top, group in zip(tops.tolist(), groups, strict=True):
+            own = block[top : top + len(group)]
+            tiles.append((top + np.flatnonzero(own == group[0]["tile_a"]), top + np.flatnonzero(own == group[0]["tile_b"])))
+        runs = verify_tiles(
             [r["raw"] for r in rows], col("key"), col("many", bool), col("starts"), col("lead"),
-            np.flatnonzero(block == rows[0]["tile_a"]), np.flatnonzero(block == rows[0]["tile_b"]), words, size, threshold, shift,
+            tiles, np.repeat(np.arange(len(groups)), sizes), words, size, threshold, shift,
         )
         for m, a, b in runs:
             yield rows[m]["value"], rows[m]["content"], a, b
@@ -365,22 +399,29 @@ def _tiles(words: int, size: int, threshold: float, shift: int | None):
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["value", "content", "low", "high"])
 
     def run(batches):
-        held, key, out = [], None, []
+        held, key, full, waiting = [], None, [], 0
+
+        def ready(force: bool):  # small tiles are verified some at a time
+            nonlocal held, full, waiting
+            held = distinct(held)
+            if len(held) > 1:
+                full.append(held)
+                waiting += len(held)
+            held = []
+            if full and (force or waiting >= TOGETHER):
+                out = list(emit(full))
+                full, waiting = [], 0
+                if out:
+                    yield batch_of(out)
+
         for batch in batches:
             for r in batch.to_pylist():
                 now = (r["value"], r["tile_a"], r["tile_b"])
-                if now != key and held:
-                    out += emit(held)
-                    held = []
-                    if len(out) > 4096:
-                        yield batch_of(out)
-                        out = []
+                if now != key:
+                    yield from ready(False)
                 key = now
                 held.append(r)
-        if held:
-            out += emit(held)
-        if out:
-            yield batch_of(out)
+        yield from ready(True)
 
     return run
 
