@@ -23,4 +23,19 @@ SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit
 FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
-ORACLES = {"op4_benchmark_decontamination": OP4}
+OP11 = rf"""
+WITH dw AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{WORD}') AS w FROM documents WHERE text IS NOT NULL),
+corpus AS (SELECT count(*) AS total, CAST(sum(len(w)) AS BIGINT) AS words FROM dw WHERE len(w) > 0),
+it AS (SELECT ir, item_id, unnest(list_distinct(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{WORD}'))) AS t
+       FROM (SELECT item_id, text, row_number() OVER () AS ir FROM benchmark WHERE text IS NOT NULL)),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM dw) SEMI JOIN it USING (t) GROUP BY r, t),
+weight AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(total) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, corpus GROUP BY t),
+len AS (SELECT doc_id, r, 100 - 90 + ((90 * len(w) * total) // words) AS m FROM dw, corpus WHERE len(w) > 0),
+score AS (SELECT ir, item_id, r, CAST(sum(weight.w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+          FROM it JOIN tf USING (t) JOIN weight USING (t) JOIN len USING (r) GROUP BY ir, item_id, r),
+ranked AS (SELECT ir, item_id, doc_id, score, row_number() OVER (PARTITION BY ir ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank
+           FROM score JOIN len USING (r) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLES = {"op4_benchmark_decontamination": OP4, "op11_lexical_search": OP11}

@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweir.llm.ann import nearest
+from clickweir.llm.bloom_search import search
 from clickweir.llm.common import id_mod
 from clickweir.llm.decontaminate import decontaminate
 from clickweir.llm.html_extract import extract_main_text
 from clickweir.llm.jaccard_join import jaccard_groups
 from clickweir.llm.langid import fit_languages, identify
 from clickweir.llm.oracle_sql import ORACLES
+from clickweir.llm.periodic_runs import find_runs
 from clickweir.llm.quality import fit_quality, score_quality
 from clickweir.llm.sentencepiece_codec import encode_texts, load_model, token_count
+from clickweir.llm.simhash_trie import simhash_components
 from clickweir.llm.substring_dedup import near_duplicate_passages
 from clickweir.llm.suffix_dedup import remove_repeats
 from clickweir.llm.token_counts import count_tokens, token_type, write_token_files
@@ -122,7 +125,46 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.join(counts, ["token_file", "doc_no"]).select("doc_id", "n_tokens")
 
 
-QUERIES = (op1_language_id, op2_sentencepiece, op3_substring_dedup, op4_benchmark_decontamination, op5_html_extraction, op6_suffix_dedup, op7_jaccard_join, op8_quality_classifier, op9_nearest_neighbours, op10_token_counts)
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op12_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_components(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def with_period(docs: DataFrame) -> DataFrame:
+    """The texts of ``op13``'s contract: in a tenth of the documents, by the
+    hash of their ids, the words from one on repeat with a period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"), F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("w"))
+    n, g = F.size("w"), F.col("g")
+    placed = words.select("*", F.when(n > 0, g % n).cast("int").alias("a")).select("*", (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("int").alias("p"))
+    rest = n - F.col("a")
+    copies = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int")))
+    changed = F.concat(F.slice("w", F.lit(1), F.col("a")), F.slice(copies, F.lit(1), rest))
+    return placed.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(changed, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_runs(with_period(read(spark, sf_dir, "documents", "doc_id", "text")))
+    # the greatest length first, then the least start and period
+    top = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))), "")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), top.alias("top"), lines.alias("lines"), "collapsed_text").select(
+        "doc_id",
+        "n_runs",
+        (-F.col("top.start")).alias("start"),
+        F.col("top.length").alias("length"),
+        (-F.col("top.period")).alias("period"),
+        F.floor(1000 * F.col("top.length") / -F.col("top.period")).alias("exponent_milli"),
+        F.sha2(F.col("lines").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed_text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+QUERIES = (op1_language_id, op2_sentencepiece, op3_substring_dedup, op4_benchmark_decontamination, op5_html_extraction, op6_suffix_dedup, op7_jaccard_join, op8_quality_classifier, op9_nearest_neighbours, op10_token_counts, op11_lexical_search, op12_simhash_dedup, op13_periodic_runs)
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
