@@ -27,6 +27,44 @@ def smaller_than_next(data: np.ndarray) -> np.ndarray:
     return step[decided] > 0
 
 
+def packed_words(data: np.ndarray, beyond: int) -> np.ndarray:
+    """The eight bytes from each place on, as one little-endian number; zeros
+    stand for ``beyond`` bytes after the end."""
+    padded = np.concatenate([data, np.zeros(beyond + 8, np.uint8)])
+    return np.ndarray(len(data) + beyond, "<u8", padded, strides=(1,)).astype(np.uint64)
+
+
+def sorted_places(places: np.ndarray, words: np.ndarray, depth: int) -> np.ndarray:
+    """The (ascending) places in the order of the ``depth`` bytes from each on: by
+    their first packed word, then groups that tie by the next one. Of
+    suffixes that differ by zeros at the end only, the shorter comes first."""
+    order = places[::-1]  # a shorter suffix begins later
+    keys = words[order].byteswap()
+    by = np.argsort(keys, kind="stable")
+    order, keys = order[by], keys[by]
+    tied = np.arange(len(order))
+    group = np.zeros(len(order), np.int64)
+    for at in range(8, depth + 8, 8):
+        g = group[tied]
+        head = np.ones(len(tied), bool)
+        head[1:] = (g[1:] != g[:-1]) | (keys[1:] != keys[:-1])
+        group[tied] = tied[head][np.cumsum(head) - 1]
+        alone = head & np.append(head[1:], True)
+        tied = tied[~alone]
+        if at >= depth or not len(tied):
+            break
+        keys = words[order[tied] + at].byteswap()
+        g = group[tied]
+        unlike = np.flatnonzero((g[1:] == g[:-1]) & (keys[1:] != keys[:-1]))
+        if len(unlike):  # groups that agree once more stay as they are
+            mixed = np.zeros(len(order), bool)
+            mixed[g[unlike]] = True
+            part = np.flatnonzero(mixed[g])
+            by = part[np.lexsort((keys[part], g[part]))]
+            order[tied[part]], keys[part] = order[tied[by]], keys[by]
+    return order
+
+
 def suffix_order(data: np.ndarray, depth: int) -> np.ndarray:
     """Start places of all suffixes in ascending order of ``depth`` bytes."""
     n = len(data)
@@ -36,9 +74,7 @@ def suffix_order(data: np.ndarray, depth: int) -> np.ndarray:
     counts = np.bincount(data, minlength=256)
     head = np.cumsum(counts) - counts  # next free place of induced suffixes
     order = np.full(n, -1, np.int64)
-    text = data.tobytes().decode("latin-1")
-    direct = sorted(np.flatnonzero(small).tolist(), key=lambda i: text[i : i + depth])
-    direct = np.array(direct, np.int64)
+    direct = sorted_places(np.flatnonzero(small), packed_words(data, depth + 8), depth)
     per = np.bincount(data[direct], minlength=256) if len(direct) else np.zeros(256, np.int64)
     tail = head + counts - per  # sorted ones fill the end of each bucket
     starts = np.cumsum(per) - per
@@ -82,15 +118,12 @@ def adjacent_common(data: np.ndarray, order: np.ndarray, limit: int) -> np.ndarr
     out = np.zeros(n, np.int64)
     if n < 2:
         return out
-    padded = np.concatenate([data, np.zeros(limit + 16, np.uint8)])
-    words = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    words = packed_words(data, limit + 8)
     a, b = order[:-1], order[1:]
     live = np.arange(n - 1)
     done = np.zeros(n - 1, np.int64)
     for at in range(0, limit, 8):
-        x = np.ascontiguousarray(words[a[live] + at]).view(np.uint64).ravel()
-        y = np.ascontiguousarray(words[b[live] + at]).view(np.uint64).ravel()
-        differ = x ^ y
+        differ = words[a[live] + at] ^ words[b[live] + at]
         same = differ == 0
         stop = live[~same]
         # little-endian words: the lowest set byte is the first that differs
