@@ -22,6 +22,11 @@ from clickweir.llm.queries import QUALITY_CUT, contaminated, hit_words
 from clickweir.llm.sentencepiece_codec import encode_texts, load_model, token_count
 from clickweir.llm.suffix_dedup import remove_repeats
 
+# Passages of more than 50 words that documents share are to go: the shortest
+# seen have 285 bytes. A string is routed by its grams, so these are shorter too.
+PASSAGE_BYTES = 250
+PASSAGE_GRAM = 40
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
@@ -45,8 +50,8 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the strings of 400 bytes that occur twice."""
-    cut = remove_repeats(wrapped(docs, "doc_id", "text"))
+    """Texts without the strings of ``PASSAGE_BYTES`` bytes that occur twice."""
+    cut = remove_repeats(wrapped(docs, "doc_id", "text"), length=PASSAGE_BYTES, gram=PASSAGE_GRAM)
     changed = F.col("kept_text").isNotNull()
     new = {
         "text": F.when(changed, F.col("kept_text")).otherwise(F.col("row.text")),
