@@ -6,6 +6,7 @@ import random
 import numpy as np
 
 from clickweir.llm import substring_dedup as passages
+from clickweir.llm import suffix_dedup, suffix_sort
 from clickweir.llm.ann import fit_lists, scan_block
 from clickweir.llm.jaccard_join import link_rows, matched_depth, meeting_probability
 from clickweir.llm.langid import viterbi
@@ -191,3 +192,32 @@ def test_block_scan_finds_the_exact_best():
         hits += len(set(got[i][0]) & set(np.argsort(-exact)[:5]))
         assert np.allclose(got[i][1], exact[got[i][0]])
     assert hits >= 27
+
+
+def test_cuts_of_a_long_row_keep_every_start_place():
+    rnd = random.Random(12)
+    data = np.array([rnd.choice(b"abc ") for _ in range(5000)], np.uint8)
+    offsets = np.array([0, 300, 4100, 4100, 5000])
+
+    def by_place(limit):
+        out = {}
+        for i, j, lo, hi in suffix_dedup._pieces(offsets, 60, limit):
+            row, a, b, _, anchor, _ = suffix_dedup.find_anchors(data[lo:hi], np.clip(offsets[i : j + 1], lo, hi) - lo, 60, 10)
+            for r, x, y, h in zip(row, a, b, anchor, strict=True):
+                for place in range(x, y + 1):
+                    assert out.setdefault((i + r, place + lo), h) == h
+        return out
+
+    whole = by_place(1 << 20)
+    assert len(whole) == sum(max(0, n - 59) for n in np.diff(offsets))
+    assert by_place(700) == whole and by_place(61) == whole
+
+
+def test_words_sort_like_bytes_even_with_zeros():
+    rnd = random.Random(13)
+    for _ in range(60):
+        data = np.array([rnd.choice([0, 0, 1, 255]) for _ in range(rnd.randrange(1, 90))], np.uint8)
+        raw = data.tobytes()
+        places = np.flatnonzero(np.array([rnd.random() < 0.7 for _ in raw]))
+        got = suffix_sort.sorted_places(places, suffix_sort.packed_words(data, 48), 40)
+        assert [raw[i : i + 40] for i in got] == sorted(raw[i : i + 40] for i in places) and sorted(got.tolist()) == places.tolist()

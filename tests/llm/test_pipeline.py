@@ -48,15 +48,15 @@ def test_stages_keep_columns_and_do_their_work(spark):
     assert unique.columns == columns and unique.count() == single.count()
     texts = {r["doc_id"]: (r["text"], r["n_chars"]) for r in unique.collect()}
     raw = {r["doc_id"]: r["text"].encode() for r in single.collect()}
-    seen = {}
+    seen, size = {}, pipeline.PASSAGE_BYTES
     for b in raw.values():
-        for k in range(len(b) - 399):
-            seen[b[k : k + 400]] = seen.get(b[k : k + 400], 0) + 1
+        for k in range(len(b) - size + 1):
+            seen[b[k : k + size]] = seen.get(b[k : k + size], 0) + 1
     for i, b in raw.items():
         gone = bytearray(len(b))
-        for k in range(len(b) - 399):
-            if seen[b[k : k + 400]] > 1:
-                gone[k : k + 400] = b"\1" * 400
+        for k in range(len(b) - size + 1):
+            if seen[b[k : k + size]] > 1:
+                gone[k : k + size] = b"\1" * size
         want = bytes(x for x, g in zip(b, gone) if not g).decode("utf-8", "ignore")
         assert texts[i][0] == want
         assert texts[i][1] == len(want) or not any(gone)
@@ -74,6 +74,23 @@ def test_stages_keep_columns_and_do_their_work(spark):
     assert decode_texts(last, load_model()).filter(~F.col("decoded").eqNullSafe(F.col("text"))).count() == 0
 
 
+def test_passages_of_over_fifty_words_go(spark):
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcdeñéghilmnoprstu") for _ in range(rnd.randrange(2, 9)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    shared = [text(51) for _ in range(8)]
+    rows = [(i, f"{text(80)} {shared[i % 8]} {text(60)}") for i in range(24)] + [(100 + i, text(120)) for i in range(10)]
+    left = {r["doc_id"]: r["text"] for r in pipeline.suffix_stage(spark, documents(spark, rows), SF_SMALL).collect()}
+    for i, before in rows:
+        if i >= 100:
+            assert left[i] == before
+            continue
+        a = before.index(shared[i % 8])
+        b = a + len(shared[i % 8])
+        assert before[: a - 20] in left[i] and before[b + 20 :] in left[i]
+        assert shared[i % 8][30:-30] not in left[i] and len(left[i]) <= len(before) - (b - a) + 4
+
+
 def test_near_copies_of_awkward_rows(spark):
     rnd = random.Random(5)
     rows = [*awkward(), (60, prose(rnd, 40)), (61, None)]
