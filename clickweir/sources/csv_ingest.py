@@ -3,7 +3,7 @@
 Every column is read as text (no schema inference), so a bad value in one
 row can never fail the job or change a column's type; each column is then
 coerced with a tolerant parser and a bad value becomes null. Files are read
-in parallel - there are no chunks.
+in parallel splits, also where fields hold line breaks (see ``csv_records``).
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from clickweir.functions import parse_event_time, parse_long, parse_price
 from clickweir.observe import observed
 from clickweir.schema import SOURCE_COLUMNS
+from clickweir.sources.csv_records import has_open_lines, read_records
 
 # Text a CSV reader of the reference's stack (pandas
 # ``read_csv`` defaults) reads as missing in any column.
@@ -33,14 +34,23 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = True) -> Dat
     """CSV with a header line, every column as text, plus ``MALFORMED``.
 
     Fields may be quoted; inside quotes a doubled quote stands for one, and
-    commas and line breaks are text. Line breaks inside quotes need
-    ``multi_line``, with which a file is one task; for files known to have
-    none, ``multi_line=False`` reads each file in parallel splits. Files share
-    the header of the first; their columns go by place."""
-    reader = spark.read.option("header", "true").option("quote", '"').option("escape", '"').option("multiLine", multi_line)
-    names = reader.csv(path).columns
+    commas and line breaks are text. Files are read in splits, whatever their
+    size: one pass looks for a line that leaves a quote open, and only if there is
+    one, records are put together from lines (``csv_records``). ``multi_line=False``
+    leaves that pass out, for files known to have no line breaks in fields. Files
+    share the header of the first; their columns go by place."""
+    reader = spark.read.option("header", "true").option("quote", '"').option("escape", '"')
+    names = reader.option("multiLine", multi_line).csv(path).columns
     schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, MALFORMED)])
-    return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED).schema(schema).csv(path)
+    if multi_line and has_open_lines(spark, path):
+        options = {"quote": '"', "escape": '"', "multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
+        fields = F.from_csv("record", _ddl(schema), options)
+        return read_records(spark, path).select(fields.alias("r")).select("r.*")
+    return reader.option("multiLine", False).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED).schema(schema).csv(path)
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema.fields)
 
 
 def _missing_to_null(c: str) -> Column:
