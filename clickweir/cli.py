@@ -7,6 +7,7 @@ the ledger), so a scheduler can run the jobs and read their outcome.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 import os
 import sys
@@ -58,11 +59,17 @@ def _parser() -> argparse.ArgumentParser:
     full.add_argument("--set-hwm", action="store_true")
     full.add_argument("--vacuum", action="store_true")
     sink(full)
-    sink(job("incremental", "load rows after the mark"))
+    inc = job("incremental", "load rows after the mark")
+    inc.add_argument("--lateness-hours", type=float, help="also load rows that arrive late, less than this under the mark")
+    inc.add_argument("--history-caps", action="store_true", help="the caps count the rows of all batches so far")
+    sink(inc)
     job("preview", "counts and first rows of the next increment; writes nothing")
-    # merge: the loads into one; vacuum: superseded folders and ledger files; unlock: after a killed run
-    for name in ("reset", "merge", "vacuum", "unlock"):
+    # merge: the loads into one; vacuum: superseded folders and ledger files
+    for name in ("reset", "merge", "vacuum"):
         sub.add_parser(name).add_argument("--target", required=True)
+    d = sub.add_parser("deliver", help="send the loads the database has not got yet")
+    d.add_argument("--target", required=True)
+    sink(d)
     h = sub.add_parser("history")
     h.add_argument("--target", required=True)
     h.add_argument("--limit", type=int, default=HISTORY_DEFAULT)
@@ -119,7 +126,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             out = jobs.run_full(spark, src, _target(args), caps, set_hwm=args.set_hwm, time_ordered=args.time_ordered,
                                 stage=args.stage, vacuum_after=args.vacuum)
         elif c == "incremental":
-            out = jobs.run_incremental(spark, src, _target(args), caps, time_ordered=args.time_ordered, stage=args.stage)
+            late = None if args.lateness_hours is None else dt.timedelta(hours=args.lateness_hours)
+            out = jobs.run_incremental(spark, src, _target(args), caps, time_ordered=args.time_ordered, stage=args.stage, lateness=late,
+                                       scope=jobs.HISTORY_SCOPE if args.history_caps else jobs.BATCH_SCOPE)
         else:
             p = jobs.preview_increment(spark, src, args.target, caps)
             out = {"rows_read": p.rows_read, "rows_after_filtering": p.rows_after_filtering,
@@ -130,8 +139,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         out = {"reset": True}
     elif c == "merge":
         out = jobs.merge_loads(spark, args.target)
-    elif c == "unlock":
-        out = {"released": jobs.unlock(spark, args.target)}
+    elif c == "deliver":
+        out = {"delivered": jobs.deliver(spark, _target(args))}
     elif c == "vacuum":
         out = {"deleted": jobs.vacuum(spark, args.target)}
     elif c == "marts":

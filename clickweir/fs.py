@@ -50,20 +50,57 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     ]
 
 
-def create_once(spark: SparkSession, path: str, text: str) -> bool:
-    """Create a small file; False if there is one already. Of several
-    callers exactly one succeeds."""
+# File systems whose create without overwrite is one atomic
+# step, and those whose rename refuses a target that exists.
+CREATES_ONCE = ("abfs", "abfss", "gs")
+RENAMES_ONCE = ("hdfs",)
+
+
+class UnsafeStore(RuntimeError):
+    """The store offers no way to create a file only if it is absent."""
+
+
+def _write(fs, p, text: str, overwrite: bool) -> None:
+    out = fs.create(p, overwrite)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a small file in place, whole, unless there is one: of several
+    callers exactly one gets True. Local files are linked to their name, on HDFS
+    they are renamed to it, and some object stores create once; stores that can do
+    none of these are refused."""
     fs, p = _fs_path(spark, path)
     fs.mkdirs(p.getParent())
+    if fs.getScheme() == "viewfs":
+        return put_if_absent(spark, f"{fs.resolvePath(p.getParent()).toString()}/{p.getName()}", text)
+    scheme = fs.getUri().getScheme()
+    if scheme in CREATES_ONCE:
+        try:
+            _write(fs, p, text, False)
+        except Py4JJavaError as exc:
+            if "exist" in str(exc.java_exception).lower():
+                return False
+            raise
+        return True
+    if scheme not in ("file", *RENAMES_ONCE):
+        raise UnsafeStore(f"{scheme} cannot create a file only if it is absent: keep the ledger on another store")
+    jvm = spark.sparkContext._jvm
+    temp = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex}")
+    _write(fs, temp, text, True)
     try:
-        out = fs.create(p, False)
+        if scheme in RENAMES_ONCE:
+            return bool(fs.rename(temp, p))
+        files, local = jvm.java.nio.file.Files, lambda q: jvm.java.io.File(q.toUri().getPath()).toPath()
+        files.createLink(local(p), local(temp))
+        return True
     except Py4JJavaError as exc:
-        if "exist" in str(exc.java_exception).lower():
+        if "FileAlreadyExists" in str(exc.java_exception.getClass()):
             return False
         raise
-    out.write(bytearray(text.encode()))
-    out.close()
-    return True
+    finally:
+        fs.delete(temp, False)
 
 
 def read_text(spark: SparkSession, path: str) -> str:
@@ -77,8 +114,9 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def replace_dir(spark: SparkSession, new: str, path: str) -> None:
-    """Put the folder ``new`` in the place of ``path``: two renames, so a
-    reader finds the old content or the new, never half of either."""
+    """Put the folder ``new`` in the place of ``path`` by two renames: a reader
+    finds the old content or the new, never half of either, or, between the
+    two renames, nothing at ``path``, and should then try again."""
     fs, target = _fs_path(spark, path)
     _, source = _fs_path(spark, new)
     fs.mkdirs(target.getParent())

@@ -10,9 +10,10 @@ counts: only keys and counts are shuffled) and writes the keys over their
 caps to the shared folder. The rows are then kept by a left-anti join on
 null-safe keys. The size of both key sets is measured on the written keys, so
 it is known before the joins are planned: while both together fit
-``broadcast_bytes`` they are broadcast and the rows are never shuffled;
-above it the join is a sort-merge join whose skewed partitions AQE splits.
-With no violators the join is left out.
+``broadcast_bytes`` they are broadcast and the rows are never shuffled.
+Beyond it a Bloom filter of the keys, of bounded size, is broadcast: rows that it excludes
+are kept as they are, and only possible matches are shuffled to a sort-merge join, whose
+skewed partitions AQE splits. That reads the rows twice. With no violators the join is left out.
 """
 
 from __future__ import annotations
@@ -51,6 +52,10 @@ MAP_SLOT = 32
 MINUTE_ENTRY = 2 * (ROW_HEADER + 4 * FIELD) + MAP_SLOT
 SESSION_ENTRY = 2 * (ROW_HEADER + 2 * FIELD) + MAP_SLOT
 
+# Words of 64 bits of the Bloom filter, each an entry of the broadcast at most
+# (as ``SESSION_ENTRY``: 24 MiB in all); a key sets three bits of one word.
+BLOOM_WORDS = 1 << 18
+
 MINUTE_KEYS = ("user_id", "event_minute")
 SESSION_KEYS = ("user_session",)
 
@@ -68,23 +73,48 @@ def with_minute(df: DataFrame, time_col: str = "event_time") -> DataFrame:
     return df.withColumn("event_minute", minute_bucket(time_col))
 
 
-def violator_keys(df: DataFrame, caps: Caps = DEFAULT_CAPS) -> DataFrame:
-    """Keys over their cap, both kinds from one aggregate (lazy).
+def key_counts(df: DataFrame) -> DataFrame:
+    """Rows per key, both kinds from one aggregate (lazy). Counts of disjoint
+    rows add up (``merged_counts``).
 
     Columns: ``by_minute`` (1 = user-minute key, 0 = session key),
-    ``user_id``, ``event_minute``, ``user_session``.
+    ``user_id``, ``event_minute``, ``user_session``, ``n``.
     """
     keyed = with_minute(df).select(*MINUTE_KEYS, *SESSION_KEYS)
-    counts = keyed.groupingSets(
-        [list(MINUTE_KEYS), list(SESSION_KEYS)], *MINUTE_KEYS, *SESSION_KEYS
-    ).agg(
+    return keyed.groupingSets([list(MINUTE_KEYS), list(SESSION_KEYS)], *MINUTE_KEYS, *SESSION_KEYS).agg(
         F.grouping("user_session").cast("int").alias("by_minute"),
         F.count(F.lit(1)).alias("n"),
-    )
-    over = ((F.col("by_minute") == 1) & (F.col("n") > caps.per_user_minute)) | (
-        (F.col("by_minute") == 0) & (F.col("n") > caps.per_session)
-    )
-    return counts.filter(over).select("by_minute", *MINUTE_KEYS, *SESSION_KEYS)
+    ).select("by_minute", *MINUTE_KEYS, *SESSION_KEYS, "n")
+
+
+def merged_counts(parts: list[DataFrame]) -> DataFrame:
+    """Sum of several tables of counts."""
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    return rows.groupBy("by_minute", *MINUTE_KEYS, *SESSION_KEYS).agg(F.sum("n").alias("n"))
+
+
+def _over(caps: Caps):
+    return ((F.col("by_minute") == 1) & (F.col("n") > caps.per_user_minute)) | ((F.col("by_minute") == 0) & (F.col("n") > caps.per_session))
+
+
+def violator_keys(df: DataFrame, caps: Caps = DEFAULT_CAPS) -> DataFrame:
+    """Keys over their cap, both kinds (lazy): the columns of ``key_counts`` but ``n``."""
+    return key_counts(df).filter(_over(caps)).drop("n")
+
+
+def violators_with_history(counts: DataFrame, before: list[DataFrame], caps: Caps = DEFAULT_CAPS) -> DataFrame:
+    """Keys of ``counts``, of a batch, that are over their cap together with
+    the counts ``before``. Minutes before the batch's first one cannot be among its keys
+    and are not read."""
+    keys = ("by_minute", *MINUTE_KEYS, *SESSION_KEYS)
+    first = counts.agg(F.min("event_minute")).first()[0]
+    old = [p if first is None else p.filter((F.col("by_minute") == 0) | (F.col("event_minute") >= F.lit(first.isoformat(sep=" ")).cast("timestamp_ntz"))) for p in before]
+    both = counts.withColumn("own", F.lit(1))
+    for p in old:
+        both = both.unionByName(p.withColumn("own", F.lit(0)))
+    return both.groupBy(*keys).agg(F.sum("n").alias("n"), F.max("own").alias("own")).filter((F.col("own") == 1) & _over(caps)).select(*keys)
 
 
 @dataclass(frozen=True)
@@ -106,7 +136,13 @@ def find_violators(df: DataFrame, caps: Caps = DEFAULT_CAPS, path: str | None =
     the sizes are counted on what was written."""
     spark = df.sparkSession
     path = path or work_path(spark, "violators")
-    violator_keys(df, caps).write.mode("overwrite").parquet(path)
+    return written_violators(violator_keys(df, caps), path)
+
+
+def written_violators(keys: DataFrame, path: str) -> Violators:
+    """Write the keys and count their sizes on what was written."""
+    spark = keys.sparkSession
+    keys.write.mode("overwrite").parquet(path)
     session = F.col("by_minute") == 0
     got = (
         spark.read.schema(VIOLATOR_SCHEMA)
@@ -129,19 +165,44 @@ def _anti(df: DataFrame, keys: DataFrame, names: tuple[str, ...], broadcast: boo
     return df.join(renamed, cond, "left_anti")
 
 
+def _bloom_bits(names: tuple[str, ...], words: int):
+    """(word, bits) of a key in the filter. Nulls are values of their own."""
+    h = F.xxhash64(*[c for n in names for c in (F.col(n), F.col(n).isNull())])
+    bits = [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, at).bitwiseAND(F.lit(63).cast("long")).cast("int")) for at in (0, 6, 12)]
+    return F.pmod(F.shiftrightunsigned(h, 18), F.lit(words)).alias("__word"), bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2]).alias("__bits")
+
+
+def possible_matches(df: DataFrame, keys: DataFrame, names: tuple[str, ...], flag: str, words: int = BLOOM_WORDS) -> DataFrame:
+    """``df`` with ``flag``: whether a row's key may be among ``keys``. False is
+    sure. The filter has ``words`` rows at most, however many keys there are."""
+    bloom = keys.select(*_bloom_bits(names, words)).groupBy("__word").agg(F.bit_or("__bits").alias("__held"))
+    word, bits = _bloom_bits(names, words)
+    joined = df.withColumns({"__at": word, "__own": bits}).join(F.broadcast(bloom), F.col("__at") == F.col("__word"), "left")
+    maybe = F.coalesce(F.col("__held").bitwiseAND(F.col("__own")) == F.col("__own"), F.lit(False))
+    return joined.withColumn(flag, maybe).drop("__at", "__own", "__word", "__held")
+
+
 def drop_violators(
-    df: DataFrame, violators: Violators, broadcast_bytes: int = BROADCAST_BYTES
+    df: DataFrame, violators: Violators, broadcast_bytes: int = BROADCAST_BYTES, bloom_words: int = BLOOM_WORDS
 ) -> DataFrame:
     """Second pass: keep rows whose keys are not in ``violators``."""
-    out = with_minute(df)
     v = violators
-    broadcast = v.hashed_bytes <= broadcast_bytes
     keys = df.sparkSession.read.schema(VIOLATOR_SCHEMA).parquet(v.path)
-    if v.minute_keys:
-        out = _anti(out, keys.filter("by_minute = 1"), MINUTE_KEYS, broadcast)
-    if v.session_keys:
-        out = _anti(out, keys.filter("by_minute = 0"), SESSION_KEYS, broadcast)
-    return out.drop("event_minute")
+    kinds = [(keys.filter(f"by_minute = {kind}"), names) for kind, names, n in ((1, MINUTE_KEYS, v.minute_keys), (0, SESSION_KEYS, v.session_keys)) if n]
+    rows = with_minute(df)
+    if v.hashed_bytes <= broadcast_bytes:
+        for own, names in kinds:
+            rows = _anti(rows, own, names, True)
+        return rows.drop("event_minute")
+    flags = []
+    for own, names in kinds:
+        flags.append(f"__maybe_{len(flags)}")
+        rows = possible_matches(rows, own, names, flags[-1], bloom_words)
+    some = F.greatest(*flags, F.lit(False))
+    maybe = rows.filter(some)
+    for own, names in kinds:
+        maybe = _anti(maybe, own, names, False)
+    return rows.filter(~some).unionByName(maybe).drop("event_minute", *flags)
 
 
 def cap_traffic(

@@ -5,6 +5,7 @@ from clickweir.plans.jobs import (
     HWM_NAME,
     Preview,
     Target,
+    deliver,
     increment_bounds,
     merge_loads,
     preview_increment,
@@ -14,7 +15,6 @@ from clickweir.plans.jobs import (
     run_full,
     run_incremental,
     stage_rows,
-    unlock,
     vacuum,
 )
 from clickweir.plans.ledger import LEDGER_SCHEMA, Ledger
@@ -28,6 +28,7 @@ __all__ = [
     "MARTS",
     "Preview",
     "Target",
+    "deliver",
     "increment_bounds",
     "load_dates",
     "merge_loads",
@@ -39,6 +40,5 @@ __all__ = [
     "run_full",
     "run_incremental",
     "stage_rows",
-    "unlock",
     "vacuum",
 ]

@@ -130,3 +130,22 @@ def write_jdbc(df: DataFrame, options: dict[str, str], mode: str = "append",
     if truncate:
         writer = writer.option("truncate", "true")
     writer.mode(mode).save()
+
+
+def delete_load_jdbc(spark: SparkSession, options: dict[str, str], column: str, load: str) -> None:
+    """Delete the rows of a load that an earlier attempt sent, by one
+    statement of the database."""
+    jvm = spark.sparkContext._jvm
+    properties = jvm.java.util.Properties()
+    for k, v in options.items():
+        if k not in ("url", "dbtable", "driver"):
+            properties.setProperty(k, v)
+    if "driver" in options:
+        jvm.org.apache.spark.util.Utils.classForName(options["driver"], True, False)
+    connection = jvm.java.sql.DriverManager.getConnection(options["url"], properties)
+    try:
+        statement = connection.prepareStatement(f"DELETE FROM {options['dbtable']} WHERE {column} = ?")
+        statement.setString(1, load)
+        statement.executeUpdate()
+    finally:
+        connection.close()

@@ -26,7 +26,7 @@ def test_cli_job_cycle(spark, capsys):
     assert main(["merge", "--target", target], spark=spark)["rows_written"] == before
     assert len(main(["vacuum", "--target", target], spark=spark)["deleted"]) == 2
     assert read_table(spark, target).count() == before
-    assert main(["unlock", "--target", target], spark=spark) == {"released": False}
+    assert main(["deliver", "--target", target], spark=spark) == {"delivered": []}
     assert '"rows_read": 989' in capsys.readouterr().out
 
 

@@ -19,7 +19,8 @@ from clickweir.plans.jobs import (
     run_incremental,
 )
 from clickweir.fs import path_exists
-from clickweir.plans.ledger import Ledger, RunInProgress
+from clickweir.plans import ledger as log
+from clickweir.plans.ledger import ConflictingRun, Ledger
 from clickweir.schema import SOURCE_SCHEMA, TARGET_COLUMNS
 from clickweir.session import work_path
 from clickweir.sources import clickstream_source
@@ -94,19 +95,19 @@ def test_equal_time_row_is_not_read_again(spark):
 def test_retry_after_crash_before_commit_has_no_duplicates(spark, monkeypatch):
     src = clickstream_source(spark, SF_SMALL)
     target = new_target(spark)
-    real_append = Ledger.append
+    real_commit = Ledger.commit
     calls = {"n": 0}
 
-    def crashing_append(self, record):
+    def crashing_commit(self, record, read=None):
         calls["n"] += 1
         if record.get("status") == "success" and calls["n"] == 1:
             raise RuntimeError("driver lost after the write")
-        return real_append(self, record)
+        return real_commit(self, record, read)
 
-    monkeypatch.setattr(Ledger, "append", crashing_append)
+    monkeypatch.setattr(Ledger, "commit", crashing_commit)
     with pytest.raises(RuntimeError):
         run_incremental(spark, src, target)
-    monkeypatch.setattr(Ledger, "append", real_append)
+    monkeypatch.setattr(Ledger, "commit", real_commit)
     # the data was written but not committed: readers and the mark ignore it
     assert read_table(spark, target).count() == 0
     assert target.ledger(spark).state(jobs.HWM_NAME)[1] is None
@@ -221,11 +222,11 @@ def test_vacuum_frees_superseded_loads(spark):
     before = read_table(spark, target).count()
     assert before == 979
     (gone,) = vacuum(spark, target)
-    assert gone.startswith("load=incremental-000000-")
+    assert gone.startswith("load=incremental-")
     assert read_table(spark, target).count() == before
     run_full(spark, src, target, vacuum_after=True)
     (left,) = list_dirs(spark, target.data)
-    assert left.startswith("load=full_snapshot-000003-")
+    assert left.startswith("load=full_snapshot-")
     assert read_table(spark, target).count() == 978
 
 
@@ -236,9 +237,9 @@ def test_ledger_compaction_keeps_every_run(spark):
         run_incremental(spark, src, target)
     ledger = target.ledger(spark)
     before = sorted(ledger.runs().select("seq", "run_id", "rows_read").collect())
-    assert ledger.compact() == 3
+    ledger.snapshot()
     assert sorted(ledger.runs().select("seq", "run_id", "rows_read").collect()) == before
-    assert ledger.compact() == 0
+    assert ledger.snapshot() == 0
     assert read_table(spark, target).count() == 978
     assert run_incremental(spark, src, target)["rows_read"] == 0
 
@@ -296,35 +297,106 @@ def test_two_marks_on_one_target_keep_each_others_loads(spark):
     assert 0 < n < read_table(spark, target).count() == 978
 
 
-def test_of_two_writers_one_fails_before_it_writes(spark, monkeypatch):
-    src = clickstream_source(spark, SF_SMALL)
-    target = new_target(spark)
+def overlapped(monkeypatch, other):
+    """Run ``other`` while the next run writes its load."""
     real = jobs.write_clean_table
-    failures = []
 
     def overlapping(*a, **k):
         monkeypatch.setattr(jobs, "write_clean_table", real)
-        with pytest.raises(RunInProgress) as exc:
-            run_incremental(spark, src, target)  # reads the same state as the run in progress
-        failures.append(exc)
+        other()
         return real(*a, **k)
 
     monkeypatch.setattr(jobs, "write_clean_table", overlapping)
-    run_incremental(spark, src, target)
-    assert len(failures) == 1
-    assert read_table(spark, target).count() == 978
-    assert target.ledger(spark).runs().count() == 1
 
 
-def test_claim_of_a_killed_run_is_released(spark):
+def test_of_two_writers_of_one_mark_the_first_to_commit_wins(spark, monkeypatch):
     src = clickstream_source(spark, SF_SMALL)
     target = new_target(spark)
-    target.ledger(spark).claim(0, "killed")  # as if the driver had died here
-    with pytest.raises(RunInProgress):
+    overlapped(monkeypatch, lambda: run_incremental(spark, src, target))
+    with pytest.raises(ConflictingRun, match="mark"):
         run_incremental(spark, src, target)
-    assert jobs.unlock(spark, target)
-    assert not jobs.unlock(spark, target)
+    assert read_table(spark, target).count() == 978
+    assert [r["status"] for r in target.ledger(spark).runs().orderBy("seq").collect()] == ["success", "failed"]
+    assert run_incremental(spark, src, target)["rows_read"] == 0
+
+
+def test_two_writers_of_two_marks_both_commit(spark, monkeypatch):
+    src = clickstream_source(spark, SF_SMALL)
+    target = new_target(spark)
+    late = F.col("event_time") > ntz(SPLIT)
+    overlapped(monkeypatch, lambda: run_incremental(spark, src.filter(late), target, hwm_name="b"))
+    run_incremental(spark, src.filter(~late), target, hwm_name="a")
+    assert read_table(spark, target).count() == 978
+    assert [r["status"] for r in target.ledger(spark).runs().collect()] == ["success", "success"]
+    now = target.ledger(spark).current()
+    assert now.marks["a"][1] == 1 and now.marks["b"][1] == 0
+
+
+def test_a_load_that_a_merge_or_refresh_has_not_seen_is_not_hidden(spark, monkeypatch):
+    src = clickstream_source(spark, SF_SMALL)
+    target = new_target(spark)
+    run_incremental(spark, src.filter(F.col("event_time") <= ntz(SPLIT)), target)
+    for job in (lambda: jobs.merge_loads(spark, target), lambda: run_full(spark, src, target)):
+        before = read_table(spark, target).count()
+        overlapped(monkeypatch, lambda: run_incremental(spark, manual_row(spark, dt.datetime(2030, 1, 1)), target, hwm_name=uuid.uuid4().hex))
+        with pytest.raises(ConflictingRun, match="load"):
+            job()
+        assert read_table(spark, target).count() == before + 1
+
+
+def test_a_killed_run_blocks_nobody(spark):
+    src = clickstream_source(spark, SF_SMALL)
+    target = new_target(spark)
+    run = jobs._Run(spark, target, jobs.INCREMENTAL, jobs.HWM_NAME)
+    run.write(clean_events(src), False)  # and the driver dies here
+    assert read_table(spark, target).count() == 0
     assert run_incremental(spark, src, target)["rows_written"] == 978
+    assert read_table(spark, target).count() == 978
+    assert len(jobs.vacuum(spark, target)) == 1
+
+
+def test_the_ledger_reads_a_bounded_number_of_files(spark):
+    target = new_target(spark)
+    ledger = target.ledger(spark)
+    n = log.SNAPSHOT_EVERY * 3 + log.KEEP + 5
+    for i in range(n):
+        row = {"run_id": f"r{i}", "job_type": jobs.INCREMENTAL, "status": "success", "hwm_name": f"m{i % 3}", "hwm_high": SPLIT + dt.timedelta(hours=i), "sets_mark": True, "load": f"l{i}"}
+        assert ledger.commit(row, i - 3) == i
+    entries, snapshots = ledger._numbers()
+    assert len(entries) <= log.KEEP + 2 * log.SNAPSHOT_EVERY and len(snapshots) <= 2
+    assert len([e for e in entries if e > snapshots[-1]]) < log.SNAPSHOT_EVERY
+    assert [r["seq"] for r in ledger.runs().orderBy("seq").collect()] == list(range(n))
+    assert ledger.state("m0")[1] == SPLIT + dt.timedelta(hours=max(i for i in range(n) if i % 3 == 0))
+    assert ledger.committed_loads() == [f"l{i}" for i in range(n)]
+    assert ledger.status("r1").first()["hwm_high"] == SPLIT + dt.timedelta(hours=1)
+    # a run that began before the entries it has not read were summed up
+    with pytest.raises(ConflictingRun):
+        ledger.commit({"run_id": "old", "job_type": jobs.INCREMENTAL, "status": "success", "hwm_name": "m1", "sets_mark": True}, 0)
+    assert ledger.commit({"run_id": "old", "job_type": jobs.INCREMENTAL, "status": "success", "hwm_name": "other", "sets_mark": True}, 0) == n
+
+
+def test_only_one_puts_a_file(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from clickweir.fs import put_if_absent, read_text
+
+    path = f"{work_path(spark, 'test-put')}/entry.json"
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: put_if_absent(spark, path, f"writer {i}"), range(8)))
+    assert sum(won) == 1 and read_text(spark, path) == f"writer {won.index(True)}"
+
+
+def test_a_store_without_atomic_create_is_refused(spark, monkeypatch):
+    from unittest.mock import MagicMock
+
+    from clickweir import fs as files
+
+    store = MagicMock()
+    store.getScheme.return_value = store.getUri().getScheme.return_value = "s3a"
+    monkeypatch.setattr(files, "_fs_path", lambda spark, path: (store, MagicMock()))
+    with pytest.raises(files.UnsafeStore, match="s3a"):
+        files.put_if_absent(spark, "s3a://bucket/entry.json", "x")
+    assert not store.create.called
 
 
 def test_failed_run_leaves_no_scratch_and_its_whole_error(spark, monkeypatch):
@@ -366,34 +438,118 @@ def test_merge_keeps_rows_and_marks(spark):
     assert run_incremental(spark, src, target)["rows_read"] == 0
 
 
-def test_database_target_gets_the_load_before_the_commit(spark):
-    """The sink is injected: no database is reached."""
-    src = clickstream_source(spark, SF_SMALL)
-    calls = []
+class Database:
+    """An injected sink: rows per load, as a table with a load column would
+    hold them. ``fail`` makes a write stop after it has sent its rows."""
 
-    def writer(df, options, mode, truncate, max_connections):
-        calls.append((df.count(), df.columns, options, mode, truncate, max_connections, target.ledger(spark).runs().count()))
+    def __init__(self, spark):
+        self.spark, self.rows, self.calls, self.fail = spark, {}, [], False
 
-    target = Target(work_path(spark, "test-jdbc-target"), jdbc={"url": "jdbc:x", "dbtable": "t"}, jdbc_connections=4, jdbc_writer=writer)
+    def write(self, df, options, mode, truncate, max_connections):
+        (load,) = {r["load_id"] for r in df.select("load_id").distinct().collect()}
+        if truncate:
+            self.rows = {}
+        self.rows[load] = self.rows.get(load, 0) + df.count()
+        self.calls.append((mode, truncate, max_connections, self.target.ledger(self.spark).committed_loads()[-1] == load))
+        if self.fail:
+            raise RuntimeError("connection lost")
+
+    def delete(self, spark, options, column, load):
+        assert column == "load_id"
+        self.rows.pop(load, None)
+
+    def make(self):
+        self.target = Target(work_path(self.spark, "test-jdbc-target"), jdbc={"url": "jdbc:x", "dbtable": "t"}, jdbc_connections=4,
+                             jdbc_writer=self.write, jdbc_deleter=self.delete)
+        return self.target
+
+
+def test_database_gets_each_load_after_its_commit(spark):
+    """The sink is injected: no database is reached."""
+    src, db = clickstream_source(spark, SF_SMALL), Database(spark)
+    target = db.make()
     run_full(spark, src, target, set_hwm=True)
     run_incremental(spark, src.unionByName(manual_row(spark, dt.datetime(2030, 1, 1))), target)
     run_incremental(spark, src, target)  # nothing new: nothing sent
-    columns = list(TARGET_COLUMNS)
-    assert calls == [
-        (978, columns, {"url": "jdbc:x", "dbtable": "t"}, "overwrite", True, 4, 0),
-        (1, columns, {"url": "jdbc:x", "dbtable": "t"}, "append", False, 4, 1),
-    ]
-
+    assert db.calls == [("overwrite", True, 4, True), ("append", False, 4, True)]
+    assert sorted(db.rows.values()) == [1, 978]
+    assert jobs.deliver(spark, target) == []
 
-def test_failing_database_leaves_the_run_uncommitted(spark):
-    def writer(*a, **k):
-        raise RuntimeError("connection lost")
 
-    target = Target(work_path(spark, "test-jdbc-target"), jdbc={"url": "jdbc:x", "dbtable": "t"}, jdbc_writer=writer)
+@pytest.mark.parametrize("full", [True, False])
+def test_a_crash_while_sending_repeats_nothing(spark, full):
+    src, db = clickstream_source(spark, SF_SMALL), Database(spark)
+    target = db.make()
+    db.fail = True
     with pytest.raises(RuntimeError):
-        run_incremental(spark, clickstream_source(spark, SF_SMALL), target)
-    assert read_table(spark, target).count() == 0
-    assert target.ledger(spark).state(jobs.HWM_NAME)[1] is None
+        (run_full if full else run_incremental)(spark, src, target)
+    # the load is committed, and sent but not known to be
+    assert read_table(spark, target).count() == 978 and list(db.rows.values()) == [978]
+    assert len(target.ledger(spark).current().undelivered) == 1
+    assert jobs.vacuum(spark, target) == []
+    db.fail = False
+    run_incremental(spark, manual_row(spark, dt.datetime(2030, 1, 1)), target, hwm_name="other")  # sends both
+    assert sorted(db.rows.values()) == [1, 978]
+    assert target.ledger(spark).current().undelivered == []
+
+
+def test_a_merged_load_waits_for_the_database(spark):
+    src, db = clickstream_source(spark, SF_SMALL), Database(spark)
+    target = db.make()
+    db.fail = True
+    with pytest.raises(RuntimeError):
+        run_incremental(spark, src, target)
+    jobs.merge_loads(spark, target)
+    assert jobs.vacuum(spark, target) == []
+    db.fail = False
+    assert len(jobs.deliver(spark, target)) == 1
+    assert list(db.rows.values()) == [978] and len(jobs.vacuum(spark, target)) == 1
+
+
+def late_scenario(spark, lateness, scope=jobs.BATCH_SCOPE, caps=jobs.DEFAULT_CAPS):
+    source = lambda hours: jobs._union([manual_row(spark, dt.datetime(2030, 1, 1, h)) for h in hours])
+    target = new_target(spark)
+    run_incremental(spark, source([1, 5, 5, 8]), target, caps, lateness=lateness, scope=scope)
+    run_incremental(spark, source([1, 5, 5, 5, 8, 8, 4, 2, 9]), target, caps, lateness=lateness, scope=scope)
+    run_incremental(spark, source([1, 5, 5, 5, 8, 8, 4, 2, 9]), target, caps, lateness=lateness, scope=scope)
+    run_incremental(spark, source([1, 5, 5, 5, 8, 8, 4, 2, 9, 7, 4]), target, caps, lateness=lateness, scope=scope)
+    return sorted(r["event_time"].hour for r in read_table(spark, target).collect()), target
+
+
+def test_late_rows_arrive_once_and_repeats_stay(spark):
+    hours, target = late_scenario(spark, dt.timedelta(hours=4))
+    # 2 is more than four hours under the mark of 8; so is the second 4 under 9
+    assert hours == [1, 5, 5, 5, 7, 8, 8, 9]
+    assert target.ledger(spark).state(jobs.HWM_NAME)[1] == dt.datetime(2030, 1, 1, 9)
+    assert late_scenario(spark, dt.timedelta(hours=7))[0] == [1, 2, 4, 4, 5, 5, 5, 7, 8, 8, 9]
+    assert late_scenario(spark, None)[0] == [1, 5, 5, 8, 9]
+    assert late_scenario(spark, dt.timedelta(0))[0] == [1, 5, 5, 8, 9]
+
+
+def test_lateness_starts_anew_after_a_run_without_it(spark):
+    target = new_target(spark)
+    at = lambda *hours: jobs._union([manual_row(spark, dt.datetime(2030, 1, 1, h)) for h in hours])
+    week = dt.timedelta(days=7)
+    run_incremental(spark, at(1, 2), target, lateness=week)
+    run_incremental(spark, at(1, 2, 4), target)
+    run_incremental(spark, at(1, 2, 3, 4, 6), target, lateness=week)  # nothing is known of the time up to 4
+    run_incremental(spark, at(1, 2, 3, 4, 5, 6), target, lateness=week)
+    assert sorted(r["event_time"].hour for r in read_table(spark, target).collect()) == [1, 2, 4, 5, 6]
+
+
+def test_caps_over_all_batches(spark, monkeypatch):
+    monkeypatch.setattr(jobs, "COUNT_PARTS", 2)
+    target = new_target(spark)
+    at = lambda *hours: jobs._union([manual_row(spark, dt.datetime(2030, 1, 1, h)) for h in hours])
+    caps, kept = Caps(per_user_minute=1, per_session=3), []
+    for k in range(1, 7):
+        run_incremental(spark, at(*range(1, k + 1)), target, caps, scope=jobs.HISTORY_SCOPE)
+        kept.append(read_table(spark, target).count())
+    assert kept == [1, 2, 3, 3, 3, 3]  # one session: the fourth row is over the cap
+    parts = [v for k, v in target.ledger(spark).current().kept.items() if k.startswith("counts-")]
+    assert len(parts) <= 3
+    with pytest.raises(ValueError, match="scope"):
+        run_incremental(spark, at(1), target, caps, scope="all")
 
 
 def test_zoned_source_in_another_session_zone_is_refused(spark):
