@@ -190,6 +190,14 @@ def _increment_queries() -> dict[str, str]:
         SCENARIO_CTES,
     )
     q["batch_max_time"] = with_src(f"SELECT max(event_time) AS max_event_time FROM ({b2_clean})", SCENARIO_CTES)
+    # late rows five days and more under the mark of the first increment are never read
+    first_mark = f"(SELECT max(event_time) FROM src WHERE event_time <= {SPLIT} AND event_id % 10 <> 3)"
+    loaded = f"(SELECT * FROM {FILTERED} WHERE event_id % 10 <> 3 OR event_time > {first_mark} - INTERVAL 5 DAY)"
+    once = clean_sql(1 << 60, 1 << 60, f"(SELECT * FROM {loaded})")
+    q["incremental_lateness"] = with_src(f"SELECT * FROM ({once}) UNION ALL SELECT * FROM ({once})")
+    first = clean_sql(1, 4, "(SELECT * FROM b1 WHERE product_id IS NOT NULL)")
+    second = _enriched(f"(SELECT * FROM {_capped(FILTERED, 1, 4)} WHERE event_time > {H1})")
+    q["traffic_cap_history"] = with_src(f"SELECT * FROM ({first}) UNION ALL SELECT * FROM ({second})", SCENARIO_CTES)
     return q
 
 

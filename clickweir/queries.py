@@ -38,6 +38,7 @@ from clickweir.operators import (
     with_minute,
 )
 from clickweir.plans.jobs import (
+    HISTORY_SCOPE,
     Target,
     increment_bounds,
     mark_literal,
@@ -46,7 +47,7 @@ from clickweir.plans.jobs import (
     run_full,
     run_incremental,
 )
-from clickweir.schema import TARGET_SORT
+from clickweir.schema import SOURCE_COLUMNS, TARGET_SORT
 from clickweir.session import work_path
 from clickweir.streaming import start_stream
 from clickweir.sources import (
@@ -236,6 +237,36 @@ def q_incremental_run(spark, sf):
     return target.ledger(spark).runs().select(*LEDGER_COLUMNS)
 
 
+# Residue of event_id whose rows arrive late, after the first
+# increment, and how far under the mark late rows are still loaded.
+LATE_EVERY, LATE_REST = 10, 3
+LATENESS = dt.timedelta(days=5)
+
+
+def q_incremental_lateness(spark, sf):
+    """Late rows: some rows up to SPLIT arrive only after the first increment,
+    every row twice. Those less than LATENESS under its mark are loaded by the
+    second one, once each; the earlier ones never; a third one finds nothing."""
+    view = _view(spark, sf)
+    view = view.unionByName(view)  # repeats are legal and stay
+    late = F.col("event_id") % LATE_EVERY == LATE_REST
+    src = view.select(*SOURCE_COLUMNS)
+    first = view.filter(~late & (F.col("event_time") <= mark_literal(SPLIT, _NTZ))).select(*SOURCE_COLUMNS)
+    target = Target(work_path(spark, "lateness"))
+    for rows in (first, src, src):
+        run_incremental(spark, rows, target, UNCAPPED, lateness=LATENESS)
+    return read_table(spark, target)
+
+
+def q_traffic_cap_history(spark, sf):
+    """F3 over all batches: two increments whose caps count both."""
+    src = _src(spark, sf)
+    target = Target(work_path(spark, "cap-history"))
+    run_incremental(spark, _as_of(src, SPLIT), target, TEST_CAPS, scope=HISTORY_SCOPE)
+    run_incremental(spark, src, target, TEST_CAPS, scope=HISTORY_SCOPE)
+    return read_table(spark, target)
+
+
 def q_incremental_empty(spark, sf):
     """A second run over an unchanged source: zero counts, nothing written."""
     src = _src(spark, sf)
