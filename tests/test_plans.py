@@ -84,6 +84,31 @@ def test_violator_plan_without_broadcast_falls_back_to_shuffle_join(spark, sourc
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "SortMergeJoin" in text or "ShuffledHashJoin" in text
+    sure, maybe = union_branches(text)
+    # rows the Bloom filter excludes meet no exchange; only possible matches are shuffled
+    assert "Scan parquet" in sure and "BroadcastHashJoin" in sure and "Exchange" not in sure and "ShuffleQueryStage" not in sure
+    assert "SortMergeJoin" in maybe and "Exchange hashpartitioning" in maybe
+
+
+def union_branches(text):
+    """The branches of the plan's union, without what is broadcast."""
+    lines = text.splitlines()
+    at = next(i for i, x in enumerate(lines) if x.lstrip(" :+-").startswith("Union"))
+    depth, branches, skip = None, [], None
+    for x in lines[at + 1 :]:
+        level = len(x) - len(x.lstrip(" :+-"))
+        depth = level if depth is None else depth
+        if level < depth:
+            break
+        if level == depth:
+            branches.append([])
+            skip = None
+        if skip is not None and level > skip:
+            continue
+        skip = level if "BroadcastQueryStage" in x or "BroadcastExchange" in x else None
+        if skip is None:
+            branches[-1].append(x)
+    return ["\n".join(b) for b in branches]
 
 
 def test_no_violators_means_no_join(spark, source_table):

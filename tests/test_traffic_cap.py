@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from clickweir.operators import Caps, cap_traffic, clean_events, drop_violators, find_violators, with_minute
 from clickweir import fs
-from clickweir.operators.traffic_cap import MINUTE_ENTRY, SESSION_ENTRY
+from clickweir.operators.traffic_cap import MINUTE_ENTRY, SESSION_ENTRY, VIOLATOR_SCHEMA, possible_matches
 from clickweir.schema import SOURCE_SCHEMA
 from clickweir.sources import clickstream_source
-from conftest import SF_LARGE, SF_MID
+from conftest import SF_LARGE, SF_MID, SF_SMALL
 
 T0 = dt.datetime(2024, 1, 1, 10, 0, 0)
 
@@ -134,3 +134,20 @@ def test_lazy_scratch_is_deleted(spark):
     assert paths and all(fs.path_exists(spark, p) for p in paths)
     fs.drop_scratch()
     assert not any(fs.path_exists(spark, p) for p in paths) and fs._scratch == []
+
+
+def test_bloom_split_excludes_no_violator(spark):
+    """Whatever the size of the filter, the same rows are left; rows it
+    excludes meet no exchange."""
+    df = clickstream_source(spark, SF_SMALL)
+    caps = Caps(1, 4)
+    v = find_violators(df, caps)
+    want = sorted(map(str, drop_violators(df, v).collect()))
+    for words in (1, 64, 1 << 18):
+        out = drop_violators(df, v, broadcast_bytes=0, bloom_words=words)
+        assert sorted(map(str, out.collect())) == want
+    keys = spark.read.schema(VIOLATOR_SCHEMA).parquet(v.path).filter("by_minute = 0")
+    marked = possible_matches(df, keys, ("user_session",), "maybe")
+    share = marked.join(keys.select("user_session"), marked["user_session"].eqNullSafe(keys["user_session"]), "left_semi").filter("NOT maybe").count()
+    assert share == 0
+    assert marked.filter("NOT maybe").count() > 0
