@@ -8,15 +8,18 @@ in parallel splits, also where fields hold line breaks (see ``csv_records``).
 
 from __future__ import annotations
 
+import datetime as dt
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickweir.fs import delete_at_exit
 from clickweir.functions import parse_event_time, parse_long, parse_price
 from clickweir.observe import observed
 from clickweir.schema import SOURCE_COLUMNS
+from clickweir.session import work_path
 from clickweir.sources.csv_records import has_open_lines, read_records
 
 # Text a CSV reader of the reference's stack (pandas
@@ -80,10 +83,70 @@ def normalize(raw: DataFrame, *extra: Column) -> DataFrame:
     )
 
 
+def _numbered(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` written and read again, with their place ``__at``: the task's
+    number and the row's in the order they stand in."""
+    path = work_path(rows.sparkSession, name)
+    delete_at_exit(rows.sparkSession, path)
+    rows = rows.withColumn("__at", F.monotonically_increasing_id())
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _boundary(column: DataFrame, wanted: int):
+    """(value, rows below it, rows of it) of the one column of ``column``, nulls last:
+    the value at which the first ``wanted`` rows end. Values are counted, ranges of
+    values sorted and summed apart; one range alone is looked into."""
+    (name,) = column.columns
+    order = F.col(name).asc_nulls_last()
+    counts = column.groupBy(name).agg(F.count(F.lit(1)).alias("__n")).repartitionByRange(order).sortWithinPartitions(order)
+    ranges = _numbered(counts, "limit-counts")
+    task = F.shiftrightunsigned("__at", 33)
+    below = 0
+    for r in ranges.groupBy(task.alias("t")).agg(F.sum("__n").alias("n")).orderBy("t").collect():  # one row a range
+        if below + r["n"] >= wanted:
+            inside = ranges.filter(task == r["t"]).withColumn("__to", F.sum("__n").over(Window.orderBy("__at")))
+            last = inside.filter(F.col("__to") >= wanted - below).orderBy("__at").first()
+            return last[name], below + last["__to"] - last["__n"], last["__n"]
+        below += r["n"]
+    return None
+
+
+def _value(value, dtype: T.DataType) -> Column:
+    """A collected value as a literal of its column's type."""
+    if isinstance(value, dt.datetime):
+        value = value.isoformat(sep=" ")
+    return F.lit(None if value is None else value if isinstance(dtype, T.StringType) else str(value)).cast(dtype)
+
+
 def limit_rows(df: DataFrame, limit: int, order_by: tuple[str, ...] = SOURCE_COLUMNS) -> DataFrame:
-    """The first ``limit`` rows in a stated order (Spark has no file order;
-    ``limit`` alone would pick arbitrary rows)."""
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in order_by]).limit(limit)
+    """The first ``limit`` rows in a stated order, nulls last (Spark has no file
+    order; ``limit`` alone would pick arbitrary rows).
+
+    No task merges the rows. They are copied once; column by column, the value at which
+    the limit falls is found by counting, among the rows that tie so far. Rows below it are
+    kept as they stand, and of those that tie in all columns as many as are missing."""
+    rows = _numbered(df, "limit-rows")
+    keep, tied, wanted = F.lit(False), F.lit(True), limit
+    for name in order_by:
+        found = _boundary(rows.filter(tied).select(name), wanted) if wanted > 0 else None
+        if found is None:  # all that tie are wanted, or none
+            break
+        value, below, equal = found
+        own = F.col(name)
+        less = own.isNotNull() if value is None else own < _value(value, rows.schema[name].dataType)
+        keep = keep | (tied & F.coalesce(less, F.lit(False)))
+        tied = tied & (own.isNull() if value is None else own.eqNullSafe(_value(value, rows.schema[name].dataType)))
+        wanted -= below
+        if wanted == equal:
+            return rows.filter(keep | tied).drop("__at")
+    task = F.shiftrightunsigned("__at", 33)
+    for r in rows.filter(tied).groupBy(task.alias("t")).agg(F.count(F.lit(1)).alias("n")).orderBy("t").collect() if wanted > 0 else []:
+        if r["n"] >= wanted:
+            last = rows.filter(tied & (task == r["t"])).select("__at").orderBy("__at").limit(wanted).agg(F.max("__at")).first()[0]
+            return rows.filter(keep | (tied & (F.col("__at") <= last))).drop("__at")
+        wanted -= r["n"]
+    return rows.filter(keep | tied if wanted > 0 else keep).drop("__at")
 
 
 class Ingested(NamedTuple):

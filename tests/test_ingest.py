@@ -84,3 +84,23 @@ def test_default_ingest_keeps_every_row(spark):
     table = work_path(spark, "test-ingest-large")
     assert ingest_csv(spark, csv, table) == (n, 0)
     assert spark.read.parquet(table).count() == n
+
+
+def test_limit_equals_sorting(spark):
+    """Nulls last, ties cut anywhere, any limit; no global sort of the rows."""
+    import random
+
+    from clickweir.sources.csv_ingest import limit_rows
+
+    rnd = random.Random(1)
+    pick = lambda *xs: rnd.choice(xs)
+    rows = [(pick(None, dt.datetime(2030, 1, 1, rnd.randrange(4), 0, 0, 5)), pick(None, "a", "b"), pick(None, 1, 2), pick(None, Decimal("1.50"), Decimal("-2.00"))) for _ in range(300)]
+    df = spark.createDataFrame(rows, "t timestamp_ntz, s string, i int, d decimal(14,2)").repartition(5)
+    ordered = sorted(rows, key=lambda r: tuple((x is None, "" if x is None else x) for x in r))
+    for limit in (0, 1, 77, 150, 299, 300, 400):
+        got = limit_rows(df, limit, ("t", "s", "i", "d")).collect()
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, ordered[:limit]))
+    got = [r["s"] for r in limit_rows(df, 130, ("s",)).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, sorted((r[1] for r in rows), key=lambda s: (s is None, s or ""))[:130]))
+    text = limit_rows(df, 50, ("t",))._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in text and "GlobalLimit" not in text and "Exchange" not in text
