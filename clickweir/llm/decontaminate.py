@@ -256,7 +256,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id
     windows. Columns of these names are replaced."""
     kept = docs.drop(*OUT)
     sc = docs.sparkSession.sparkContext
-    named = items.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).alias("item_words"))
+    # copies of one item are one, so a block's distinct items are all that is collected
+    named = items.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).alias("item_words")).distinct()
     size = named.agg(F.sum(F.octet_length("item_words"))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))
     schema = T.StructType([*kept.schema.fields, *OUT_FIELDS])
