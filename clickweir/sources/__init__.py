@@ -3,7 +3,6 @@
 from clickweir.sources.csv_ingest import ingest_csv, limit_rows, normalize, read_raw_csv
 from clickweir.sources.fixture import clickstream_source, clickstream_view
 from clickweir.sources.jdbc import (
-    jdbc_bounds,
     jdbc_options,
     read_jdbc,
     read_jdbc_parallel,
@@ -17,7 +16,6 @@ __all__ = [
     "clickstream_source",
     "clickstream_view",
     "ingest_csv",
-    "jdbc_bounds",
     "jdbc_options",
     "limit_rows",
     "normalize",

@@ -1,18 +1,19 @@
 """JDBC source and sink: a relational source table in, a warehouse table out.
 
-Reads are split into parallel range queries when a numeric, date or
-timestamp ``partition_column`` is given; the bounds come from one
-``min/max`` query on the database. Filters and the column list written
+Reads are split into parallel range queries over a numeric, date or
+timestamp ``partition_column``. Where the ranges begin comes from one query on the
+database, which deals the column's values into parts of equal size, so a skewed
+column gives ranges of about equal size too. Filters and the column list written
 on the returned DataFrame are pushed into the JDBC query by Catalyst.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from zoneinfo import ZoneInfo, ZoneInfoNotFoundError
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from clickweir.schema import SOURCE_COLUMNS
 
@@ -75,15 +76,46 @@ def session_wall_clock(spark: SparkSession, value: object) -> object:
     return value.astimezone(zone).replace(tzinfo=None)
 
 
-def jdbc_bounds(spark: SparkSession, options: dict[str, str], column: str) -> tuple[object, object]:
-    """(min, max) of ``column``: one aggregate query computed by the database
-    (``pushDownAggregate``), not a scan of the table through Spark."""
-    row = (
-        read_jdbc(spark, {**options, "pushDownAggregate": "true"})
-        .agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
-        .first()
-    )
-    return session_wall_clock(spark, row["lo"]), session_wall_clock(spark, row["hi"])
+def range_starts_query(table: str, column: str, parts: int) -> str:
+    """Standard SQL for the least value of each of ``parts`` equally large parts of
+    the column; the database sorts the column, or reads an index of it."""
+    dealt = f"SELECT {column} AS v, NTILE({parts}) OVER (ORDER BY {column}) AS part FROM {table} WHERE {column} IS NOT NULL"
+    return f"SELECT MIN(v) AS lo FROM ({dealt}) dealt GROUP BY part"
+
+
+def _query(spark: SparkSession, options: dict[str, str], sql: str) -> list:
+    """First column of a query that the database computes."""
+    opts = {k: v for k, v in options.items() if k != "dbtable"}
+    rows = spark.read.format("jdbc").options(**opts).option("query", sql).load().collect()
+    return [session_wall_clock(spark, r[0]) for r in rows]
+
+
+def sql_literal(value: object) -> str:
+    if isinstance(value, dt.datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, dt.date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, str):
+        raise TypeError("the partition column must be a number, a date or a timestamp")
+    return str(value)
+
+
+def range_predicates(column: str, starts: list) -> list[str]:
+    """Predicates of which every row meets exactly one: from each start to the
+    next. What is under the first start, and nulls, are of the first range,
+    so rows that arrive after the starts were taken are read as well. A value that
+    fills several parts is one range."""
+    cuts = [sql_literal(v) for v in sorted(set(starts))[1:]]
+    if not cuts:
+        return ["1 = 1"]
+    ranges = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    return [f"{column} < {cuts[0]} OR {column} IS NULL", *ranges, f"{column} >= {cuts[-1]}"]
+
+
+def _read_ranges(spark: SparkSession, options: dict[str, str], predicates: list[str]) -> DataFrame:
+    """One task a predicate."""
+    properties = {k: str(v) for k, v in options.items() if k not in ("url", "dbtable")}
+    return spark.read.jdbc(options["url"], options["dbtable"], predicates=predicates, properties=properties)
 
 
 def read_jdbc_parallel(
@@ -93,21 +125,15 @@ def read_jdbc_parallel(
     num_partitions: int,
     columns: tuple[str, ...] | None = SOURCE_COLUMNS,
     fetch_size: int = FETCH_SIZE,
+    query: Callable = _query,
+    read: Callable = _read_ranges,
 ) -> DataFrame:
-    """Read in ``num_partitions`` range queries over ``partition_column``
-    (numeric, date or timestamp) between its current min and max."""
-    lo, hi = jdbc_bounds(spark, options, partition_column)
-    if lo is None:
-        return read_jdbc(spark, options, columns=columns, fetch_size=fetch_size)
-    return read_jdbc(
-        spark,
-        options,
-        columns=columns,
-        fetch_size=fetch_size,
-        partition_column=partition_column,
-        bounds=(lo, hi),
-        num_partitions=num_partitions,
-    )
+    """Read in ``num_partitions`` range queries of about equal size over
+    ``partition_column`` (numeric, date or timestamp). ``query`` and ``read`` reach
+    the database and can be given by the caller."""
+    starts = query(spark, options, range_starts_query(options["dbtable"], partition_column, num_partitions))
+    rows = read(spark, {**options, "fetchsize": str(fetch_size)}, range_predicates(partition_column, starts))
+    return rows.select(*columns) if columns else rows
 
 
 def read_jdbc_source(spark: SparkSession, options: dict[str, str], fetch_size: int = FETCH_SIZE, **kw) -> DataFrame:
