@@ -8,7 +8,7 @@ import numpy as np
 from clickweir.llm import substring_dedup as passages
 from clickweir.llm import suffix_dedup, suffix_sort
 from clickweir.llm.ann import fit_lists, scan_block
-from clickweir.llm.jaccard_join import link_rows, matched_depth, meeting_probability
+from clickweir.llm.jaccard_join import DEPTH, TARGET, TREES, forest_labels, link_rows, matched_depth, meeting_probability, prefixes
 from clickweir.llm.langid import viterbi
 from clickweir.llm.suffix_dedup import find_anchors, merged, repeats_in
 from clickweir.llm.suffix_sort import adjacent_common, suffix_order
@@ -177,7 +177,45 @@ def test_links_against_all_pairs_and_depth_meets_its_target():
     assert sum(parts).tolist() == links.tolist()
     assert all(label[i] == label[j] for i in range(30) for j in range(30) if near[i][j] and i != j)
     depth = matched_depth(0.8, 0.999)
-    assert meeting_probability(0.8, depth, 20) >= 0.999 > meeting_probability(0.8, depth + 1, 20)
+    assert meeting_probability(0.8, depth, TREES) >= 0.999 > meeting_probability(0.8, depth + 1, TREES)
+
+
+def pairs_at(shared, union, n, seed):
+    """``n`` pairs of sets of that similarity, one after another."""
+    rng = np.random.default_rng(seed)
+    sets = []
+    for _ in range(n):
+        x = rng.integers(0, 1 << 62, union).astype(np.uint64)
+        own = (union - shared) // 2
+        sets += [np.unique(x[: shared + own]), np.unique(np.concatenate([x[:shared], x[shared + own :]]))]
+    return sets
+
+
+def test_trees_meet_as_often_as_the_similarity_says():
+    for shared, union in ((80, 100), (90, 100), (50, 100)):
+        sets = pairs_at(shared, union, 1500, shared)
+        labels = forest_labels(np.concatenate(sets), np.array([len(x) for x in sets]))
+        for depth in (2, 5, DEPTH):
+            cut = prefixes(labels, depth)
+            met = (cut[0::2] == cut[1::2]).any(axis=1).mean()
+            want = meeting_probability(shared / union, depth, TREES)
+            assert abs(met - want) < 4 * (want * (1 - want) / 1500) ** 0.5 + 0.01
+    assert meeting_probability(0.8, matched_depth(0.8, TARGET), TREES) >= TARGET
+
+
+def test_prefixes_are_shortened_until_the_links_found_have_the_recall():
+    # one word a set would do: the labels say which pairs meet, and where
+    def tile(similar, labels, target):
+        sets = [np.arange(100, dtype=np.uint64), np.arange(100 - similar, 200 - similar, dtype=np.uint64)]
+        sets += [x + np.uint64(1 << 40) for x in pairs_at(86, 100, 1, 3)]
+        keys = everyone = np.arange(4)
+        return link_rows(keys, np.ones(4, np.int64), labels, sets, everyone, everyone, 0.8, DEPTH - 1, target)[0].tolist()
+
+    whole = np.array([[1], [1], [256], [257]], np.uint64)  # the second pair only meets above the last value
+    assert tile(99, whole, 0.999) == [1, 1, 1, 1]  # one tree: 0.98 ** 8 is too little, so it goes on
+    assert tile(99, whole, 0.5) == [1, 1, 0, 0]  # enough at whole labels
+    apart = np.array([[1], [3 << 16], [256], [257]], np.uint64)
+    assert tile(99, apart, 0.5) == [0, 0, 1, 1]  # nothing found: never an early stop
 
 
 def test_block_scan_finds_the_exact_best():
