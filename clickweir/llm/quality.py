@@ -30,7 +30,7 @@ from clickweir.llm.common import flat_text, starts_to_index, unit_hash, written
 GROUP = 4  # bytes a filter advances by; a filter spans two groups
 CHUNK_GROUPS = 128
 CHUNK_BYTES = GROUP * CHUNK_GROUPS
-SEGMENT_BYTES = 1 << 16
+SCORED = 256  # chunks scored at a time
 FILTERS = 32
 HIDDEN = 16
 RECENT = 64
@@ -71,9 +71,10 @@ def untrained() -> Network:
     return Network(*(np.zeros(s, np.float32) for s in shapes), 0.0)
 
 
-def recency(data: np.ndarray, first: np.ndarray) -> np.ndarray:
+def recency(data: np.ndarray, first: np.ndarray, stop: np.ndarray) -> np.ndarray:
     """1 where the four bytes occurred just before, falling to 0 at
-    ``RECENT`` bytes back; ``first``: start of each byte's own segment."""
+    ``RECENT`` bytes back; ``first``, ``stop``: bounds of each byte's own segment,
+    which the four bytes do not leave."""
     out = np.zeros(len(data), np.float32)
     if len(data) < 5:
         return out
@@ -85,8 +86,9 @@ def recency(data: np.ndarray, first: np.ndarray) -> np.ndarray:
     before = np.full(len(key), -(1 << 40), np.int64)
     same = key[order[1:]] == key[order[:-1]]
     before[order[1:][same]] = order[:-1][same]
-    gap = np.arange(len(key)) - before
-    seen = (gap < RECENT) & (before >= first[: len(key)])
+    at = np.arange(len(key))
+    gap = at - before
+    seen = (gap < RECENT) & (before >= first[: len(key)]) & (at + 3 < stop[: len(key)])
     out[: len(key)][seen] = 1 - gap[seen] / RECENT
     return out
 
@@ -96,20 +98,30 @@ def descriptors(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.n
     groups and followed by one empty group; and groups per segment."""
     groups = -(-lengths // GROUP) + 1
     ends = np.cumsum(lengths)
-    first = np.repeat(ends - lengths, lengths)
+    first, stop = np.repeat(ends - lengths, lengths), np.repeat(ends, lengths)
     padded = np.zeros((int(groups.sum()) * GROUP, WIDTH), np.float32)
     at = starts_to_index((np.cumsum(groups) - groups) * GROUP, lengths)
     padded[at, :-1] = BYTES[data]
-    padded[at, -1] = recency(data, first) * 2
+    padded[at, -1] = recency(data, first, stop) * 2
     return padded.reshape(-1, GROUP * WIDTH), groups
 
 
-def _responses(x: np.ndarray, net: Network) -> np.ndarray:
-    z = x @ net.left
-    z[:-1] += x[1:] @ net.right
-    z += net.bias
+def chunk_peaks(data: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray, bias: np.ndarray):
+    """Filters over chunks, each followed by the group after it (if any), so that
+    filters cross its end: (descriptors, groups per chunk, responses, maxima per
+    chunk, groups of the chunk itself). Training and scoring both use it."""
+    x, groups = descriptors(data, sizes)
+    z = x @ left
+    z[:-1] += x[1:] @ right
+    z += bias
     np.maximum(z, 0, out=z)
-    return z
+    ends = np.cumsum(groups)
+    share = np.minimum(groups - 1, CHUNK_GROUPS)
+    # neither the empty group nor the one after the chunk has a window here
+    z[ends - 1] = 0
+    z[(ends - 2)[groups - 1 > CHUNK_GROUPS]] = 0
+    peak = np.maximum.reduceat(z, ends - groups, axis=0) if len(groups) else np.zeros((0, FILTERS), np.float32)
+    return x, groups, z, peak, share
 
 
 def _head(pooled: np.ndarray, net: Network) -> np.ndarray:
@@ -117,40 +129,23 @@ def _head(pooled: np.ndarray, net: Network) -> np.ndarray:
     return hidden @ net.out + net.out_bias
 
 
-def _segments(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, start) of the segments long rows are cut into."""
-    n = -(-lengths // SEGMENT_BYTES)
-    rows = np.repeat(np.arange(len(lengths)), n)
-    return rows, starts_to_index(np.zeros(len(n), np.int64), n) * SEGMENT_BYTES
-
-
 def score_bytes(data: np.ndarray, offsets: np.ndarray, net: Network) -> np.ndarray:
-    """Probability per row of a flat byte array."""
+    """Probability per row of a flat byte array. A row's score depends on its
+    own bytes only."""
     lengths = np.diff(offsets)
-    rows, starts = _segments(lengths)
+    n = -(-lengths // CHUNK_BYTES)
+    ends = np.cumsum(n)
     total = np.zeros((len(lengths), FILTERS), np.float64)
     weight = np.zeros(len(lengths), np.float64)
-    # a segment also reads the group after it, so filters cross its end
-    stops = np.minimum(starts + SEGMENT_BYTES + GROUP, lengths[rows]) if len(rows) else starts
-    size = stops - starts
-    done = 0
-    while done < len(rows):
-        upto = max(done + 1, int(np.searchsorted(np.cumsum(size[done:]), 2 * SEGMENT_BYTES)) + done)
-        part = slice(done, upto)
-        at = starts_to_index(offsets[rows[part]] + starts[part], size[part])
-        x, groups = descriptors(data[at], size[part])
-        z = _responses(x, net)
-        tops = np.cumsum(groups) - groups
-        z[tops + groups - 1] = 0  # the empty group has no window of its own
-        used = np.minimum(groups - 1, SEGMENT_BYTES // GROUP)
-        chunks = -(-used // CHUNK_GROUPS)
-        inner = starts_to_index(np.zeros(len(chunks), np.int64), chunks) * CHUNK_GROUPS
-        own = np.repeat(np.arange(len(chunks)), chunks)
-        peak = np.maximum.reduceat(z, tops[own] + inner, axis=0)
-        share = np.minimum(CHUNK_GROUPS, used[own] - inner)
-        np.add.at(total, rows[part][own], peak * share[:, None])
-        np.add.at(weight, rows[part][own], share)
-        done = upto
+    for done in range(0, int(n.sum()), SCORED):
+        chunk = np.arange(done, min(done + SCORED, int(n.sum())))
+        rows = np.searchsorted(ends, chunk, side="right")
+        starts = (chunk - (ends - n)[rows]) * CHUNK_BYTES
+        size = np.minimum(CHUNK_BYTES + GROUP, lengths[rows] - starts)
+        part = data[starts_to_index(offsets[rows] + starts, size)]
+        _, _, _, peak, share = chunk_peaks(part, size, net.left, net.right, net.bias)
+        np.add.at(total, rows, peak * share[:, None])
+        np.add.at(weight, rows, share)
     mean = (total / np.maximum(weight, 1)[:, None]).astype(np.float32)
     pooled = np.concatenate([mean, np.log1p(lengths)[:, None].astype(np.float32) / 10], axis=1)
     return 1 / (1 + np.exp(-np.clip(_head(pooled, net), -30, 30).astype(np.float64)))
@@ -171,15 +166,7 @@ def train(chunks: np.ndarray, sizes: np.ndarray, owner: np.ndarray, n_bytes: np.
     span_of = np.arange(chunks.shape[1])[None, :]
 
     def forward(c: np.ndarray):
-        xb, g = descriptors(chunks[place[c]][span_of < sizes[c][:, None]], sizes[c])
-        z = xb @ p[0]
-        z[:-1] += xb[1:] @ p[1]
-        z += p[2]
-        np.maximum(z, 0, out=z)
-        ends = np.cumsum(g)
-        z[ends - 1] = 0
-        peak = np.maximum.reduceat(z, ends - g, axis=0) if len(g) else np.zeros((0, FILTERS), np.float32)
-        return xb, g, z, peak
+        return chunk_peaks(chunks[place[c]][span_of < sizes[c][:, None]], sizes[c], *p[:3])
 
     first_chunk = np.searchsorted(owner, np.arange(len(labels) + 1))
     step = 0
@@ -190,7 +177,7 @@ def train(chunks: np.ndarray, sizes: np.ndarray, owner: np.ndarray, n_bytes: np.
             counts = np.diff(first_chunk)[docs]
             own = np.repeat(np.arange(len(docs)), counts)
             picked = starts_to_index(first_chunk[docs], counts)
-            share = (-(-sizes[picked] // GROUP)).astype(np.float32)
+            share = np.minimum(-(-sizes[picked] // GROUP), CHUNK_GROUPS).astype(np.float32)
             weight = np.maximum(np.bincount(own, share, len(docs)), 1).astype(np.float32)
             share = (share / weight[own])[:, None]
             mean = np.zeros((len(docs), FILTERS), np.float32)
@@ -210,7 +197,7 @@ def train(chunks: np.ndarray, sizes: np.ndarray, owner: np.ndarray, n_bytes: np.
             sel2 = np.zeros((FILTERS, span), np.float32)
             bias = np.zeros(FILTERS, np.float32)
             for part in slices:
-                xb, g, z, peak = held if len(slices) == 1 else forward(picked[part])
+                xb, g, z, peak, _ = held if len(slices) == 1 else forward(picked[part])
                 d_peak = d_mean[own[part]] * share[part]
                 # the gradient reaches only the window that won each pool
                 hit = z == np.repeat(peak, g, axis=0)
