@@ -58,6 +58,7 @@ def _parser() -> argparse.ArgumentParser:
     full = job("full", "full refresh")
     full.add_argument("--set-hwm", action="store_true")
     full.add_argument("--vacuum", action="store_true")
+    full.add_argument("--time-ranges", action="store_true", help="write files that do not overlap in time; reads the source twice")
     sink(full)
     inc = job("incremental", "load rows after the mark")
     inc.add_argument("--lateness-hours", type=float, help="also load rows that arrive late, less than this under the mark")
@@ -124,7 +125,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         src = _source(spark, args)
         if c == "full":
             out = jobs.run_full(spark, src, _target(args), caps, set_hwm=args.set_hwm, time_ordered=args.time_ordered,
-                                stage=args.stage, vacuum_after=args.vacuum)
+                                stage=args.stage, vacuum_after=args.vacuum, time_ranges=args.time_ranges)
         elif c == "incremental":
             late = None if args.lateness_hours is None else dt.timedelta(hours=args.lateness_hours)
             out = jobs.run_incremental(spark, src, _target(args), caps, time_ordered=args.time_ordered, stage=args.stage, lateness=late,

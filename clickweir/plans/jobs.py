@@ -200,12 +200,12 @@ class _Run:
         self.scratch.append(path)
         return find_violators(rows, caps, path)
 
-    def write(self, cleaned: DataFrame, time_ordered: bool) -> int:
+    def write(self, cleaned: DataFrame, time_ordered: bool, time_ranges: bool = False) -> int:
         """Write the run's load; rows written."""
         self.row["load"] = f"{self.row['job_type']}-{self.row['run_id']}"
         self.row["deliver"] = self.target.jdbc is not None
         path = self.target.load_path(self.row["load"])
-        write_clean_table(cleaned, path, mode="errorifexists", time_ordered=time_ordered)
+        write_clean_table(cleaned, path, mode="errorifexists", time_ordered=time_ordered, time_ranges=time_ranges)
         return self.spark.read.schema(TARGET_SCHEMA).parquet(path).count()  # of no column: read from the files' footers
 
     def keep(self, what: str, rows: DataFrame) -> str:
@@ -306,19 +306,20 @@ def run_full(
     time_ordered: bool = False,
     stage: bool = False,
     vacuum_after: bool = False,
+    time_ranges: bool = False,
 ) -> dict:
     """Full refresh: clean the whole source into a new load, then publish
     it by one ledger append. Readers see the previous snapshot until then,
     never an empty table. The mark is left alone unless ``set_hwm``.
-    ``time_ordered``: see ``write_clean_table``; ``stage``: see ``stage_rows``
-    (for database sources); ``vacuum_after`` frees the superseded loads
+    ``time_ordered``, ``time_ranges``: see ``write_clean_table``; ``stage``: see
+    ``stage_rows`` (for database sources); ``vacuum_after`` frees the superseded loads
     once the new snapshot is published (see ``vacuum``)."""
     t = _as_target(target)
     require_utc(source, hwm_column)
     with _Run(spark, t, FULL, hwm_name) as run:
         rows = run.staged(source, stage)
         cleaned = clean_events(rows, caps, violators=run.violators(require_columns(rows), caps))
-        written = run.write(cleaned, time_ordered)
+        written = run.write(cleaned, time_ordered, time_ranges)
         high = rows.agg(F.max(wall_clock(hwm_column))).first()[0] if set_hwm else None
         result = run.commit(_row_count(rows), written, hwm_high=high, sets_mark=set_hwm)
     deliver(spark, t)
@@ -459,12 +460,12 @@ def run_batch(
 
 def merge_loads(spark: SparkSession, target: Target | str) -> dict:
     """Rewrite the published table, a snapshot and the small loads after it,
-    as one load. Rows and marks stay as they are; ``vacuum`` then frees the
-    merged loads."""
+    as one load, whose files of a date do not overlap in time (``time_ranges``).
+    Rows and marks stay as they are; ``vacuum`` then frees the merged loads."""
     t = _as_target(target)
     with _Run(spark, Target(t.root), MERGE) as run:
         rows = read_table(spark, t)
-        written = run.write(rows, time_ordered=False)
+        written = run.write(rows, time_ordered=False, time_ranges=True)
         return run.commit(written, written)
 
 

@@ -2,7 +2,10 @@
 no shuffle of whole rows when the violator set is broadcast."""
 
 import datetime as dt
+import glob
+import itertools
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +13,7 @@ from clickweir.operators import Caps, clean_events, find_violators, drop_violato
 from clickweir.plans.jobs import increment_bounds
 from clickweir.queries import registry
 from clickweir.session import work_path
-from clickweir.sources import clickstream_source, read_events, write_clean_table
+from clickweir.sources import clickstream_source, read_clean_table, read_events, write_clean_table
 from conftest import SF_SMALL
 
 
@@ -159,6 +162,41 @@ def test_time_ordered_source_writes_without_shuffle(spark, source_table):
     assert files == dates  # one scan task over a time-ordered file: one file per date
 
 
+def time_spans(path):
+    """{date folder: (least, greatest event time) of its files by their footers, in order}."""
+    spans = {}
+    for file in glob.glob(f"{path}/event_date=*/*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        at = meta.schema.names.index("event_time")
+        stats = [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+        spans.setdefault(file.split("/")[-2], []).append((min(s.min for s in stats), max(s.max for s in stats)))
+    return {date: sorted(v) for date, v in spans.items()}
+
+
+def one_hot_date(rows):
+    """Two thirds of the rows on one date, 40 times of it, many at the first."""
+    minute = F.when(F.col("user_id") % 4 == 0, 0).otherwise(F.pmod(F.xxhash64("product_id", "user_id", "event_time"), F.lit(40)))
+    time = F.when(F.col("user_id") % 3 != 0, F.make_timestamp_ntz(F.lit(2030), F.lit(1), F.lit(1), F.lit(5), minute.cast("int"), F.lit(0))).otherwise(F.col("event_time"))
+    return rows.withColumn("event_time", time).withColumn("event_date", F.to_date("event_time"))
+
+
+def test_files_of_a_hot_date_do_not_overlap_in_time(spark, source_table):
+    rows = one_hot_date(clean_events(read_events(spark, source_table).repartition(4)))
+    path = work_path(spark, "plan-write-ranges")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_clean_table(rows, path, time_ranges=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spans = time_spans(path)
+    assert len(spans["event_date=2030-01-01"]) >= 4
+    assert all(a[1] <= b[0] for v in spans.values() for a, b in itertools.pairwise(v))
+    back = read_clean_table(spark, path)
+    assert back.exceptAll(rows.select(*back.columns)).count() == 0 and back.count() == rows.count()
+    with pytest.raises(ValueError, match="ranges"):
+        write_clean_table(rows, path, time_ordered=True, time_ranges=True)
+
+
 def test_shuffle_fallback_splits_the_hot_null_session(spark):
     """A third of the rows share the null session; without broadcast the
     anti-join is a sort-merge join and AQE splits that hot partition."""
