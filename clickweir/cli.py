@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from clickweir.operators.traffic_cap import DEFAULT_CAPS, Caps
 from clickweir.plans import jobs
 from clickweir.plans.ledger import HISTORY_DEFAULT
-from clickweir.plans.marts_job import MARTS, load_dates, refresh_marts
+from clickweir.plans.marts_job import MARTS, load_dates, refresh_marts, update_marts
 from clickweir.sources.csv_ingest import ingest_csv
 from clickweir.sources.jdbc import jdbc_options, read_jdbc_parallel, read_jdbc_source
 from clickweir.sources.parquet import read_events
@@ -80,7 +80,9 @@ def _parser() -> argparse.ArgumentParser:
     m = sub.add_parser("marts", help="build the summary tables from the published clean table")
     m.add_argument("--target", required=True)
     m.add_argument("--out", required=True, help="root folder of the summary tables")
-    m.add_argument("--last-load", action="store_true", help="only the dates the latest load wrote")
+    which = m.add_mutually_exclusive_group()
+    which.add_argument("--last-load", action="store_true", help="only the dates the latest load wrote")
+    which.add_argument("--update", action="store_true", help="read only loads the tables do not hold yet, and keep their partial sums")
     i = sub.add_parser("ingest", help="raw CSV -> Parquet source table")
     i.add_argument("--csv", required=True)
     i.add_argument("--table", required=True)
@@ -144,6 +146,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         out = {"delivered": jobs.deliver(spark, _target(args))}
     elif c == "vacuum":
         out = {"deleted": jobs.vacuum(spark, args.target)}
+    elif c == "marts" and args.update:
+        done = update_marts(spark, args.target, args.out)
+        out = {"tables": list(MARTS), "loads": done["loads"], "dates": None if done["dates"] is None else [d.isoformat() for d in done["dates"]]}
     elif c == "marts":
         dates = None
         if args.last_load:

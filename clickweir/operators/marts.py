@@ -31,6 +31,11 @@ def partial_events(clean: DataFrame) -> DataFrame:
     return clean.groupBy(*PARTIAL_KEYS).agg(F.count(F.lit(1)).alias("n_events"), F.sum("price").cast("decimal(24,2)").alias("price_sum"))
 
 
+def merged_partials(parts: DataFrame) -> DataFrame:
+    """One row again for each key, from the partial rows of several loads."""
+    return parts.groupBy(*PARTIAL_KEYS).agg(F.sum("n_events").alias("n_events"), F.sum("price_sum").cast("decimal(24,2)").alias("price_sum"))
+
+
 def _measures(df: DataFrame, event_types: tuple[str, ...], purchase: str) -> list[Column]:
     et = F.col("event_type")
     partial = "n_events" in df.columns

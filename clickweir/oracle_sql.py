@@ -278,8 +278,12 @@ def _measures(types: tuple[str, ...]) -> str:
 
 
 def _mart_queries() -> dict[str, str]:
+    by_loads = _mart_statements(f"({_enriched(FILTERED)})")  # those loads are not capped
+    return _mart_statements(f"({clean_sql(30, 500)})") | {f"{name}_by_loads": sql for name, sql in by_loads.items()}
+
+
+def _mart_statements(clean: str) -> dict[str, str]:
     types = ("view", "click", "purchase")
-    clean = f"({clean_sql(30, 500)})"
     q: dict[str, str] = {}
     q["product_metrics"] = with_src(
         f"SELECT event_date, product_id, {_measures(types)} FROM {clean} GROUP BY event_date, product_id"

@@ -18,7 +18,7 @@ from clickweir.plans.jobs import (
     vacuum,
 )
 from clickweir.plans.ledger import LEDGER_SCHEMA, Ledger
-from clickweir.plans.marts_job import MARTS, load_dates, refresh_marts
+from clickweir.plans.marts_job import MARTS, load_dates, refresh_marts, update_marts
 
 __all__ = [
     "HWM_COLUMN",
@@ -40,5 +40,6 @@ __all__ = [
     "run_full",
     "run_incremental",
     "stage_rows",
+    "update_marts",
     "vacuum",
 ]

@@ -120,7 +120,11 @@ def stage_rows(source: DataFrame) -> tuple[DataFrame, str]:
 def read_table(spark: SparkSession, target: Target | str) -> DataFrame:
     """The published clean table: committed loads only."""
     t = _as_target(target)
-    loads = t.ledger(spark).committed_loads()
+    return read_loads(spark, t, t.ledger(spark).committed_loads())
+
+
+def read_loads(spark: SparkSession, t: Target, loads: list[str]) -> DataFrame:
+    """The rows of some loads."""
     if not loads:
         return spark.createDataFrame([], TARGET_SCHEMA)
     schema = T.StructType(TARGET_SCHEMA.fields + [T.StructField("load", T.StringType())])

@@ -47,6 +47,7 @@ from clickweir.plans.jobs import (
     run_full,
     run_incremental,
 )
+from clickweir.plans.marts_job import update_marts
 from clickweir.schema import SOURCE_COLUMNS, TARGET_SORT
 from clickweir.session import work_path
 from clickweir.streaming import start_stream
@@ -65,6 +66,8 @@ TEST_CAPS = Caps(per_user_minute=1, per_session=4)
 UNCAPPED = Caps(per_user_minute=1 << 60, per_session=1 << 60)
 # The point in time where the test data is split into two increments.
 SPLIT = dt.datetime(2024, 1, 15, 12, 0, 0)
+# Points in time where it is split into four loads for the summary tables.
+LOAD_ENDS = (dt.datetime(2024, 1, 8, 6), SPLIT, dt.datetime(2024, 1, 15, 18))
 # Event vocabulary of the test data, for the summary tables.
 TEST_EVENT_TYPES = ("view", "click", "purchase")
 TEST_FUNNEL = ("view", "click", "purchase")
@@ -532,6 +535,32 @@ def q_funnel_metrics(spark, sf):
     return funnel_metrics(clean_events(_src(spark, sf)), TEST_FUNNEL)
 
 
+def _marts_by_loads(spark, sf) -> str:
+    """Root of summary tables that were brought up to the clean table after
+    each of four loads, two of which share a date, from their partials alone."""
+    src = _src(spark, sf)
+    target, marts = Target(work_path(spark, "by-loads")), work_path(spark, "marts-by-loads")
+    for rows in (*(_as_of(src, end) for end in LOAD_ENDS), src):
+        run_incremental(spark, rows, target, UNCAPPED)
+        update_marts(spark, target, marts, TEST_EVENT_TYPES, TEST_FUNNEL)
+    return marts
+
+
+def q_product_metrics_by_loads(spark, sf):
+    """M1 kept up by loads."""
+    return spark.read.parquet(f"{_marts_by_loads(spark, sf)}/product_metrics")
+
+
+def q_category_metrics_by_loads(spark, sf):
+    """M2 kept up by loads."""
+    return spark.read.parquet(f"{_marts_by_loads(spark, sf)}/category_metrics")
+
+
+def q_funnel_metrics_by_loads(spark, sf):
+    """M3 kept up by loads."""
+    return spark.read.parquet(f"{_marts_by_loads(spark, sf)}/funnel_metrics")
+
+
 def registry() -> dict[str, Query]:
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}
 

@@ -20,6 +20,9 @@ def test_cli_job_cycle(spark, capsys):
     assert main(["marts", "--target", target, "--out", out], spark=spark)["dates"] is None
     # the latest load is the full snapshot (the empty increment wrote none): all 30 dates
     assert len(main(["marts", "--target", target, "--out", out, "--last-load"], spark=spark)["dates"]) == 30
+    kept = work_path(spark, "cli-marts-kept")
+    assert len(main(["marts", "--target", target, "--out", kept, "--update"], spark=spark)["loads"]) == 1
+    assert main(["marts", "--target", target, "--out", kept, "--update"], spark=spark)["dates"] == []
     main(["reset", "--target", target], spark=spark)
     assert main(["incremental", "--source", source, "--target", target], spark=spark)["rows_read"] == 989
     before = read_table(spark, target).count()

@@ -618,3 +618,100 @@ def test_full_refresh_with_rebalance_same_rows_fewer_files(spark):
         return read_table(spark, t).select(F.input_file_name()).distinct().count()
 
     assert files(balanced) == 30 < files(plain)
+
+
+def mart_rows(spark, root, name):
+    rows = spark.read.parquet(f"{root}/{name}")
+    return sorted(map(str, rows.select(*sorted(rows.columns)).collect()))
+
+
+def assert_marts_like_rebuild(spark, target, kept, types):
+    from clickweir.plans.marts_job import MARTS, refresh_marts
+
+    whole = work_path(spark, "test-marts-whole")
+    refresh_marts(spark, target, whole, event_types=types, stages=types)
+    for name in MARTS:
+        assert mart_rows(spark, kept, name) == mart_rows(spark, whole, name)
+
+
+def test_marts_kept_up_by_loads_equal_a_rebuild(spark, monkeypatch):
+    from clickweir.plans import marts_job
+    from clickweir.plans.marts_job import update_marts
+
+    monkeypatch.setattr(marts_job, "PARTS", 2)  # every second load merges parts
+    types = ("view", "click", "purchase")
+    src = clickstream_source(spark, SF_SMALL)
+    target, marts = new_target(spark), work_path(spark, "test-marts-kept")
+    read = []
+    monkeypatch.setattr(marts_job, "read_loads", lambda s, t, loads: read.append(loads) or jobs.read_loads(s, t, loads))
+    ends = [SPLIT, SPLIT + dt.timedelta(hours=9), SPLIT + dt.timedelta(days=3)]
+    for end in ends:
+        run_incremental(spark, src.filter(F.col("event_time") <= ntz(end)), target)
+        done = update_marts(spark, target, marts, types, types)
+        assert len(done["loads"]) == 1
+    # the second load fell on one date, which the first one had rows of, too
+    assert done["dates"] == [SPLIT.date() + dt.timedelta(days=i) for i in range(4)]
+    assert_marts_like_rebuild(spark, target, marts, types)
+    assert update_marts(spark, target, marts, types, types) == {"loads": [], "dates": []}
+    # two loads at once, one of them of a new date; a merge and a vacuum of what is known change nothing
+    run_incremental(spark, src, target)
+    run_incremental(spark, src.unionByName(manual_row(spark, dt.datetime(2030, 1, 1, 8))), target)
+    assert len(update_marts(spark, target, marts, types, types)["loads"]) == 2
+    jobs.merge_loads(spark, target)
+    jobs.vacuum(spark, target)
+    assert update_marts(spark, target, marts, types, types) == {"loads": [], "dates": []}
+    assert_marts_like_rebuild(spark, target, marts, types)
+    assert [x for loads in read for x in loads] == marts_job.original_loads(target.ledger(spark))  # each load once
+    # other stages: rolled up again, no load read
+    n = len(read)
+    done = update_marts(spark, target, marts, types, types[:2])
+    assert done == {"loads": [], "dates": None} and len(read) == n
+    assert spark.read.parquet(f"{marts}/funnel_metrics").columns.count("stage_3_users") == 0
+    # few parts, one state and the one before it
+    assert len(jobs.list_dirs(spark, f"{marts}/_partials")) <= 3
+    assert len(marts_job.list_files(spark, f"{marts}/_state")) == 2
+
+
+def test_marts_after_a_full_refresh_and_unseen_merged_loads(spark):
+    from clickweir.plans.marts_job import update_marts
+
+    types = ("view", "click", "purchase")
+    src = clickstream_source(spark, SF_SMALL)
+    target, marts = new_target(spark), work_path(spark, "test-marts-kept")
+    assert update_marts(spark, target, marts, types, types) == {"loads": [], "dates": None}  # no load yet: empty tables
+    run_full(spark, src, target, set_hwm=True)
+    update_marts(spark, target, marts, types, types)
+    run_full(spark, src.filter(F.col("event_time") <= ntz(SPLIT)), target, set_hwm=True)
+    assert update_marts(spark, target, marts, types, types)["dates"] is None  # dates are gone
+    assert_marts_like_rebuild(spark, target, marts, types)
+    # an increment that is merged and vacuumed before the tables have seen it
+    run_incremental(spark, src, target)
+    jobs.merge_loads(spark, target)
+    jobs.vacuum(spark, target)
+    done = update_marts(spark, target, marts, types, types)
+    assert done["loads"] == target.ledger(spark).committed_loads() and done["dates"] is None
+    assert_marts_like_rebuild(spark, target, marts, types)
+
+
+def test_marts_update_that_crashes_is_done_over(spark, monkeypatch):
+    from clickweir.plans import marts_job
+    from clickweir.plans.marts_job import update_marts
+
+    types = ("view", "click", "purchase")
+    src = clickstream_source(spark, SF_SMALL)
+    target, marts = new_target(spark), work_path(spark, "test-marts-kept")
+    run_incremental(spark, src.filter(F.col("event_time") <= ntz(SPLIT)), target)
+    update_marts(spark, target, marts, types, types)
+    run_incremental(spark, src, target)
+    with monkeypatch.context() as m:
+        m.setattr(marts_job, "put_if_absent", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            update_marts(spark, target, marts, types, types)
+    assert len(jobs.list_dirs(spark, f"{marts}/_partials")) == 2  # one of them is of no use
+    with monkeypatch.context() as m:
+        m.setattr(marts_job, "put_if_absent", lambda *a: False)
+        with pytest.raises(ConflictingRun):
+            update_marts(spark, target, marts, types, types)
+    assert len(update_marts(spark, target, marts, types, types)["loads"]) == 1
+    assert_marts_like_rebuild(spark, target, marts, types)
+    assert len(jobs.list_dirs(spark, f"{marts}/_partials")) == 2
