@@ -3,9 +3,10 @@ adaptive dimension scan.
 
 A bounded sample fits the list centres and the number of lists to probe (the
 fewest whose recall on the sample reaches ``target``); every vector is put
-into the list of its nearest centre. Lists are cut into blocks of about
-``BLOCK`` vectors, so a list that holds a third of all vectors is many
-blocks. Query blocks are joined to the blocks of the lists they probe. In a
+into the list of its nearest centre. Lists grow in number with the table, one for
+``BLOCK`` vectors, up to one for eight vectors of the sample, which ``sample_rows``
+bounds. Lists are cut into blocks of about ``BLOCK`` vectors, so a list that
+holds a third of all vectors is many blocks. Query blocks are joined to the blocks of the lists they probe. In a
 block, vectors are randomly rotated and scanned by blocks of columns. After
 each one a hypothesis test drops the candidates whose inner product, as the
 columns so far suggest, would not reach the query's bound: the k-th best so
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from clickweir.llm.common import unit_hash, written
 
-LISTS = 64
+LISTS = 64  # at least
 BLOCK = 1536
 QUERY_BLOCK = 256
 SAMPLE_ROWS = 8192
@@ -53,6 +54,11 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
 
 
+def lists_for(rows: int) -> int:
+    """Lists that a table of so many vectors asks for."""
+    return max(LISTS, rows // BLOCK)
+
+
 def fit_lists(ids: np.ndarray, vectors: np.ndarray, k: int, n_lists: int = LISTS, target: float = TARGET, seed: int = 11) -> Lists:
     """Spherical k-means on the sample, and the probes its recall asks for."""
     rng = np.random.default_rng(seed)
@@ -277,18 +283,20 @@ def _scan(shared, k: int, kept_queries: int = 50_000):
     return scan
 
 
-def nearest(rows: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding", n_lists: int = LISTS, target: float = TARGET) -> DataFrame:
+def nearest(rows: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding", n_lists: int | None = None, target: float = TARGET, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of every row
-    for which ``is_query`` (over ``vec_id``) holds, its own row left out."""
+    for which ``is_query`` (over ``vec_id``) holds, its own row left out.
+    ``n_lists``: as many as the table asks for (None), or that many at most."""
     spark = rows.sparkSession
     vectors = usable_vectors(rows, vec_id, vector)
     shape = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dims")).first()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not shape["n"]:
         return empty
-    wanted = max(1, min(SAMPLE_ROWS, SAMPLE_CELLS // shape["dims"]))
+    wanted = max(1, min(sample_rows, SAMPLE_CELLS // shape["dims"]))
     drawn = vectors.filter(unit_hash("vec_id") < wanted / shape["n"]).collect() or vectors.limit(1).collect()
     drawn.sort(key=lambda r: r["vec_id"])
+    n_lists = n_lists or lists_for(shape["n"])
     lists = fit_lists(np.array([r["vec_id"] for r in drawn], np.int64), np.array([r["v"] for r in drawn], float), k, n_lists, target)
     shared = spark.sparkContext.broadcast(lists)  # bounded by the sample
     placed = written(vectors.mapInArrow(_assign(shared), "vec_id long, list int, raw binary"), "ann-lists")

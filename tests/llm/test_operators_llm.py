@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from clickweir.llm import html_extract as html
-from clickweir.llm import langid
+from clickweir.llm import ann, langid
 from clickweir.llm.ann import nearest
 from clickweir.llm.common import id_mod
 from clickweir.llm.components import connected_components
@@ -373,5 +373,22 @@ def test_recall_on_the_test_data(spark):
     assert len(got) == len(want) and len(got & want) >= 0.9 * len(want)
 
 
+def test_more_lists_for_more_vectors(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LISTS", 4)
+    monkeypatch.setattr(ann, "BLOCK", 32)
+    assert [ann.lists_for(n) for n in (1, 128, 6400)] == [4, 4, 200]
+    rng = np.random.default_rng(5)
+    middle = rng.normal(size=(60, 16)) * 3
+    rows = [(i, (middle[i % 60] + rng.normal(size=16)).tolist()) for i in range(3000)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    fitted = []
+    fit = ann.fit_lists
+    monkeypatch.setattr(ann, "fit_lists", lambda *a: fitted.append(fit(*a)) or fitted[-1])
+    got = {(r["query_id"], r["vec_id"]) for r in nearest(table, F.col("vec_id") % 20 == 0).collect()}
+    want = {(q, i) for q, _, i in brute_nearest(rows, 20)}
+    assert len(fitted[0].centres) == 93 and fitted[0].probes < 60  # most lists of clustered vectors are left out
+    assert len(got) == len(want) and len(got & want) >= 0.9 * len(want)
+
+
 def test_words_helper_is_the_pattern_of_the_contract():
     assert words("It's 3 Äpfel—ok_x") == ["it", "s", "3", "Äpfel—ok", "x"]
