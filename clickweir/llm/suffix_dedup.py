@@ -41,7 +41,7 @@ BLOCK = 1 << 19
 HOT = 700
 CELLS = (96, 24, 6, 1)  # start places a cell, step by step
 PLACE_BITS = np.uint64(21)
-PIECE = (1 << 21) - (1 << 16)
+PIECE = 1 << 19  # bytes routed at once: their hashes and places take some twenty times as much
 DOWN = np.uint64(pow(int(BASE), -1, 1 << 64))
 
 
