@@ -1,17 +1,19 @@
 """Approximate nearest neighbours by inner product: inverted lists with an
 adaptive dimension scan.
 
-A bounded sample fits the list centres and the number of lists to probe (the
-fewest whose recall on the sample reaches ``target``); every vector is put
-into the list of its nearest centre. Lists grow in number with the table, one for
+A bounded sample fits the list centres; every vector is put
+into the list of its nearest centre. How many lists are probed is measured: for up to
+``ASKED`` of the queries the truly nearest of all rows are found by brute force, and the
+probes are the fewest whose recall on them reaches ``target``. Lists grow in number with the table, one for
 ``BLOCK`` vectors, up to one for eight vectors of the sample, which ``sample_rows``
 bounds. Lists are cut into blocks of about ``BLOCK`` vectors, so a list that
 holds a third of all vectors is many blocks. Query blocks are joined to the blocks of the lists they probe. In a
-block, vectors are randomly rotated and scanned by blocks of columns. After
-each one a hypothesis test drops the candidates whose inner product, as the
-columns so far suggest, would not reach the query's bound: the k-th best so
-far, at first among the sample. Survivors get their exact inner product in
-double precision on the original vectors.
+block, directions are randomly rotated and scanned by blocks of columns. After
+each one a hypothesis test drops the candidates whose distance in direction, as the
+columns so far suggest, is too large for the query's bound: the k-th best inner product
+so far, at first among the sample. (The test is about the difference of the two, which a
+random rotation spreads evenly over the columns however alike they are.) Survivors get
+their exact inner product in double precision on the original vectors.
 
 Vectors that are null, zero, of another length than most, or that hold null or
 non-finite components take no part, nor do rows with a null id. A repeated
@@ -39,6 +41,8 @@ TARGET = 0.96
 COLUMNS = 16
 HITS = "query_id long, ids array<long>, scores array<double>"
 ERROR = 3.5  # standard deviations a dropped candidate falls short by
+ROUNDING = 1e-9  # of inner products of unit vectors
+ASKED = 256  # queries whose true neighbours tell how many lists to probe
 
 
 @dataclass
@@ -201,8 +205,7 @@ def _ask(shared, k: int):
             seen[ids[:, None] == lists.sample_ids[None, :]] = -np.inf
             bound = np.full(len(ids), -np.inf)
             if seen.shape[1] >= k:
-                # a hair lower: rounding here must not cost a neighbour
-                bound = -np.partition(-seen, k - 1, axis=1)[:, k - 1] - 1e-9
+                bound = -np.partition(-seen, k - 1, axis=1)[:, k - 1]
             order = np.argsort(-(x @ lists.centres.T), axis=1, kind="stable")[:, : lists.probes]
             for one in np.unique(order):
                 q = np.flatnonzero((order == one).any(axis=1))
@@ -218,28 +221,31 @@ def scan_block(q_ids, q, bound, ids, x, rotation, k: int):
     """The ``k`` best of a block for each query: (query row, ids, scores).
     ``ids`` are ascending, so stable sorting breaks ties as wanted."""
     dims = q.shape[1]
-    xr, qr = x @ rotation, q @ rotation
+    x_norm, q_norm = (np.maximum(np.linalg.norm(m, axis=1), 1e-300) for m in (x, q))
+    xr, qr = (x / x_norm[:, None]) @ rotation, (q / q_norm[:, None]) @ rotation
     edges = [*range(0, dims, COLUMNS), dims]
-    x_rest = np.sqrt(np.maximum(np.cumsum((xr**2)[:, ::-1], axis=1)[:, ::-1], 0))
-    q_rest = np.sqrt(np.maximum(np.cumsum((qr**2)[:, ::-1], axis=1)[:, ::-1], 0))
+    x_seen, q_seen = np.cumsum(xr**2, axis=1), np.cumsum(qr**2, axis=1)
     first = qr[:, : edges[1]] @ xr[:, : edges[1]].T
     for i in range(len(q)):
         live, part, low = np.arange(len(x)), first[i], bound[i]
         if low == -np.inf and len(x) > k:
             # the block's own k-th best among the most promising bounds the rest
-            head = np.argpartition(-part, k)[: 2 * k]
+            head = np.argpartition(-part * x_norm, k)[: 2 * k]
             low = np.sort(x[head[ids[head] != q_ids[i]]] @ q[i])[::-1][k - 1 : k]
-            low = low[0] - 1e-9 if len(low) else -np.inf
+            low = low[0] if len(low) else -np.inf
+        # the cosine a candidate needs; beyond 1 it cannot reach the bound
+        need = low / (q_norm[i] * x_norm) - ROUNDING
         for a, b in zip(edges[1:], [*edges[2:], None], strict=True):
             if b is None:
                 break
-            slack = ERROR * q_rest[i, a] * x_rest[live, a] / np.sqrt(dims - a)
-            keep = part + slack >= low
+            apart = q_seen[i, a - 1] + x_seen[live, a - 1] - 2 * part
+            spread = np.sqrt((dims - a) / (2 * a * (dims + 2)))  # of its root, relative
+            keep = apart <= min(1.0, a / dims * (1 + ERROR * spread) ** 2) * (2 - 2 * need[live]) + ROUNDING
             live, part = live[keep], part[keep]
             if not len(live):
                 break
             part = part + xr[live, a:b] @ qr[i, a:b]
-        live = live[(part >= low - 1e-6 * (1 + abs(low))) if np.isfinite(low) else np.ones(len(live), bool)] if len(live) else live
+        live = live[part >= need[live]]
         live = live[ids[live] != q_ids[i]]
         if not len(live):
             continue
@@ -266,7 +272,7 @@ def _scan(shared, k: int, kept_queries: int = 50_000):
                 q_ids, bound = np.frombuffer(raw_q, np.int64), np.frombuffer(raw_bound).copy()
                 for r, one in enumerate(q_ids.tolist()):
                     if one in best and len(best[one][0]) >= k:
-                        bound[r] = max(bound[r], best[one][1][-1] - 1e-9)
+                        bound[r] = max(bound[r], best[one][1][-1])
                 q, x = np.frombuffer(raw_x).reshape(-1, dims), np.frombuffer(raw_v).reshape(-1, dims)
                 for i, ids, scores in scan_block(q_ids, q, bound, np.frombuffer(raw_ids, np.int64), x, rotation, k):
                     one = int(q_ids[i])
@@ -283,6 +289,64 @@ def _scan(shared, k: int, kept_queries: int = 50_000):
     return scan
 
 
+def _true_hits(shared, k: int):
+    """The ``k`` best of a task's vectors for each asked query, and their lists."""
+
+    def hits(batches):
+        ids, vectors = shared.value
+        dims = vectors.shape[1]
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0))] * len(ids)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own, lists = batch.column("vec_id").to_numpy(), batch.column("list").to_numpy()
+            x = np.frombuffer(b"".join(batch.column("raw").to_pylist())).reshape(-1, dims)
+            scores = vectors @ x.T
+            scores[ids[:, None] == own[None, :]] = -np.inf
+            top = np.argpartition(-scores, k - 1, axis=1)[:, :k] if len(own) > k else np.broadcast_to(np.arange(len(own)), (len(ids), len(own)))
+            for q, t in enumerate(top):
+                t = t[scores[q, t] > -np.inf]
+                both = [np.concatenate(pair) for pair in zip(found[q], (own[t], lists[t], scores[q, t]), strict=True)]
+                best = np.lexsort((both[0], -both[2]))[:k]
+                found[q] = tuple(c[best] for c in both)
+        if any(len(f[0]) for f in found):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(ids, [len(f[0]) for f in found])), *(pa.array(np.concatenate(c)) for c in zip(*found, strict=True))],
+                names=["query_id", "vec_id", "list", "score"],
+            )
+
+    return hits
+
+
+def probes_needed(asked: np.ndarray, found: list[np.ndarray], centres: np.ndarray, target: float) -> int:
+    """The fewest lists to probe for a mean recall of ``target``, and for one of 0.9
+    in nine of ten queries. ``found``: the lists of each query's true neighbours."""
+    order = np.argsort(-(asked @ centres.T), axis=1, kind="stable")
+    rank = np.empty_like(order)
+    np.put_along_axis(rank, order, np.arange(len(centres))[None, :], axis=1)
+    places = [rank[q, lists] for q, lists in enumerate(found)]
+    for probes in range(1, len(centres)):
+        recall = np.array([(p < probes).mean() if len(p) else 1.0 for p in places])
+        if recall.mean() >= target and (recall >= 0.9).mean() >= 0.9:
+            return probes
+    return len(centres)
+
+
+def measured_probes(placed: DataFrame, queries: DataFrame, n_queries: int, lists: Lists, k: int, target: float) -> int:
+    """``probes_needed`` by at most some ``ASKED`` queries against all rows: one pass
+    over the vectors, whose result is ``k`` rows a query."""
+    drawn = queries.filter(unit_hash(F.lit(3), "vec_id") < ASKED / n_queries).select("vec_id", "raw").collect() or queries.select("vec_id", "raw").limit(1).collect()
+    ids = np.array([r["vec_id"] for r in drawn], np.int64)
+    vectors = np.frombuffer(b"".join(bytes(r["raw"]) for r in drawn)).reshape(len(ids), -1)
+    shared = placed.sparkSession.sparkContext.broadcast((ids, vectors))
+    hits = placed.mapInArrow(_true_hits(shared, k), "query_id long, vec_id long, list int, score double")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    nearest_lists = {i: [] for i in ids.tolist()}
+    for r in hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "list").collect():
+        nearest_lists[r["query_id"]].append(r["list"])
+    return probes_needed(vectors, [np.array(nearest_lists[i], int) for i in ids.tolist()], lists.centres, target)
+
+
 def nearest(rows: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding", n_lists: int | None = None, target: float = TARGET, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of every row
     for which ``is_query`` (over ``vec_id``) holds, its own row left out.
@@ -300,6 +364,12 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_i
     lists = fit_lists(np.array([r["vec_id"] for r in drawn], np.int64), np.array([r["v"] for r in drawn], float), k, n_lists, target)
     shared = spark.sparkContext.broadcast(lists)  # bounded by the sample
     placed = written(vectors.mapInArrow(_assign(shared), "vec_id long, list int, raw binary"), "ann-lists")
+    queries = placed.filter(is_query)
+    n_queries = queries.count()
+    if not n_queries:
+        return empty
+    lists.probes = measured_probes(placed, queries, n_queries, lists, k, target)
+    shared = spark.sparkContext.broadcast(lists)
     sizes = {r["list"]: r["n"] for r in placed.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a list
     blocks = F.element_at(F.array(*[F.lit(-(-sizes.get(i, 1) // BLOCK)) for i in range(len(lists.centres))]), F.col("list") + 1)
     total = sum(-(-n // BLOCK) for n in sizes.values())
@@ -309,10 +379,6 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_i
         .sortWithinPartitions("list", "block")
         .mapInArrow(_pack, "list int, block int, ids binary, vectors binary")
     )
-    queries = placed.filter(is_query)
-    n_queries = queries.count()
-    if not n_queries:
-        return empty
     asked = (
         queries.withColumn("query_block", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, n_queries // QUERY_BLOCK))).cast("int"))
         .repartition(max(1, n_queries // (4 * QUERY_BLOCK)), "query_block")

@@ -232,6 +232,17 @@ def test_block_scan_finds_the_exact_best():
     assert hits >= 27
 
 
+def test_block_scan_keeps_what_is_alike():
+    rng = np.random.default_rng(3)
+    q = rng.normal(size=(5, 64))
+    x = np.concatenate([q + 0.2 * rng.normal(size=(40, 5, 64))[i] for i in range(40)] + [rng.normal(size=(300, 64))])
+    rotation = np.linalg.qr(rng.normal(size=(64, 64)))[0]
+    exact = x @ q.T
+    bound = np.sort(exact, axis=0)[-10]
+    got = {i: ids.tolist() for i, ids, _ in scan_block(np.full(5, -1), q, bound, np.arange(500), x, rotation, 10)}
+    assert [set(got[i]) for i in range(5)] == [set(np.argsort(-exact[:, i])[:10].tolist()) for i in range(5)]
+
+
 def test_cuts_of_a_long_row_keep_every_start_place():
     rnd = random.Random(12)
     data = np.array([rnd.choice(b"abc ") for _ in range(5000)], np.uint8)

@@ -390,5 +390,38 @@ def test_more_lists_for_more_vectors(spark, monkeypatch):
     assert len(got) == len(want) and len(got & want) >= 0.9 * len(want)
 
 
+def clustered(rng):
+    middle = rng.normal(size=(40, 64))
+    return middle[rng.integers(0, 40, 3000)] + 0.3 * rng.normal(size=(3000, 64))
+
+
+def queries_elsewhere(rng):
+    x = clustered(rng)
+    x[::20] = rng.normal(size=(150, 64))
+    return x
+
+
+def common_direction(rng):
+    return rng.normal(size=64) + 0.3 * rng.normal(size=(3000, 64))
+
+
+def few_long(rng):
+    x = 1e6 * rng.normal(size=(3000, 64))
+    x[::70] *= 20
+    return x
+
+
+@pytest.mark.parametrize("make", [clustered, queries_elsewhere, common_direction, few_long])
+def test_recall_whatever_the_rows_are_like(spark, make):
+    rows = [(i, v.tolist()) for i, v in enumerate(make(np.random.default_rng(2)))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r["query_id"], r["vec_id"]) for r in nearest(table, F.col("vec_id") % 20 == 0, sample_rows=400).collect()}
+    x = np.array([v for _, v in rows])
+    seen = x[::20] @ x.T
+    seen[np.arange(150), np.arange(0, 3000, 20)] = -np.inf
+    want = {(20 * q, int(i)) for q, top in enumerate(np.argsort(-seen, axis=1, kind="stable")[:, :20]) for i in top}
+    assert len(got) == len(want) and len(got & want) >= 0.93 * len(want)
+
+
 def test_words_helper_is_the_pattern_of_the_contract():
     assert words("It's 3 Äpfel—ok_x") == ["it", "s", "3", "Äpfel—ok", "x"]
