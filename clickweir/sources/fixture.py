@@ -32,7 +32,9 @@ def clickstream_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_partkey", "p_name", "p_brand", "p_type", "p_size"
     )
     k = F.get_json_object("props", "$.k").try_cast("bigint")
-    joined = events.join(part, k == part.p_partkey, "left")
+    # the size of Parquet files says little of their rows': by it ``part`` would be collected and
+    # broadcast in every pass while it has millions of rows
+    joined = events.join(part.hint("merge"), k == part.p_partkey, "left")
     ptype = F.lower("p_type")
     slot = F.col("event_id") % CATEGORY_CYCLE
     category = (

@@ -48,6 +48,14 @@ def test_no_python_udfs(spark, key):
         assert "EvalPython" not in text and "InPandas" not in text and "InArrow" not in text
 
 
+def test_the_parts_are_not_collected_for_a_broadcast(spark):
+    """Their files look small, so their size on disk does not keep them from the driver."""
+    view = clickstream_source(spark, SF_SMALL)
+    view.collect()
+    text = view._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in text and "SortMergeJoin" in text
+
+
 def test_required_filters_reach_the_scan(spark, source_table):
     df = require_columns(read_events(spark, source_table))
     text = df._jdf.queryExecution().executedPlan().toString()
