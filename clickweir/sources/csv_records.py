@@ -64,13 +64,21 @@ def has_open_lines(spark: SparkSession, path: str) -> bool:
     return not _lines(spark, path).filter("to.outside").isEmpty()
 
 
+def _copied(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` written once to the shared folder, for steps that read them several times."""
+    path = work_path(rows.sparkSession, name)
+    delete_at_exit(rows.sparkSession, path)  # the result reads it until then
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _split_starts(lines: DataFrame) -> DataFrame:
     """(file, start, begins, opener): the state each split begins in, and, if
     that is inside of quotes, where the record began that is still open. Only
     quoted lines that change some state are moved, without their text."""
     acts = lines.filter("to.outside OR NOT to.inside").select(*SPLIT, "id", "to")
     order = Window.partitionBy(*SPLIT).orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
-    known = _composed(acts, order)
+    known = _copied(_composed(acts, order), "csv-acts")
     # the map of a whole split, then the composition over a file's splits
     ends = known.groupBy(*SPLIT).agg(F.max_by(F.struct("fixed", "turned"), "id").alias("end"))
     splits = lines.select(*SPLIT).distinct().join(ends, list(SPLIT), "left")
@@ -84,7 +92,7 @@ def _split_starts(lines: DataFrame) -> DataFrame:
     by_file = Window.partitionBy("file").orderBy("start")
     through = _composed(whole, by_file.rowsBetween(Window.unboundedPreceding, 0))
     state = F.coalesce("fixed", F.col("turned") % 2 == 1)
-    begins = through.select(*SPLIT, F.coalesce(F.lag(state).over(by_file), F.lit(False)).alias("begins"))
+    begins = _copied(through.select(*SPLIT, F.coalesce(F.lag(state).over(by_file), F.lit(False)).alias("begins")), "csv-begins")  # one row a split
     # the line that opened what is open at the end of a split
     seen = known.join(begins, list(SPLIT)).withColumn("inside", F.coalesce("fixed", F.col("begins") != (F.col("turned") % 2 == 1)))
     was = F.coalesce(F.lag("inside").over(Window.partitionBy(*SPLIT).orderBy("id")), F.col("begins"))
@@ -108,13 +116,10 @@ def _composed(maps: DataFrame, window) -> DataFrame:
 def read_records(spark: SparkSession, path: str, max_record_bytes: int = MAX_RECORD_BYTES) -> DataFrame:
     """(file, record): the records of all files below ``path`` but each file's
     first, its header. Blank lines outside of quotes are no records. The
-    lines are copied once to the shared folder, so that all steps see the same splits."""
-    copy = work_path(spark, "csv-lines")
-    delete_at_exit(spark, copy)  # the result reads it until then
-    shape = _lines(spark, path)
-    shape.write.parquet(copy)
-    lines = spark.read.schema(shape.schema).parquet(copy)
-    starts = _split_starts(lines)
+    lines are copied once to the shared folder, so that all steps see the same splits, and
+    once more with the state of each."""
+    lines = _copied(_lines(spark, path), "csv-lines")
+    starts = _copied(_split_starts(lines), "csv-starts")  # one row a split
     order = Window.partitionBy(*SPLIT).orderBy("id")
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
     states = _composed(lines, so_far).join(starts, list(SPLIT))
@@ -124,7 +129,8 @@ def read_records(spark: SparkSession, path: str, max_record_bytes: int = MAX_REC
     opener = F.coalesce(F.last(F.when(~F.col("before"), own), ignorenulls=True).over(so_far), F.col("opener"))
     placed = states.select("file", "start", "id", "line", "before", "after", opener.alias("opener"))
     header = lines.filter(F.trim(F.regexp_replace("line", "\r$", "")) != "").groupBy("file").agg(F.min(F.struct("start", "id")).alias("header"))
-    placed = placed.join(header, "file").filter(F.col("opener") != F.col("header")).drop("header")
+    # the windows over all lines run once, for the records of one line, the sizes and the longer records
+    placed = _copied(placed.join(header, "file").filter(F.col("opener") != F.col("header")).drop("header"), "csv-placed")
     alone = placed.filter(~F.col("before") & ~F.col("after")).select("file", F.col("line").alias("record"))
     pieces = placed.filter(F.col("before") | F.col("after"))
     sizes = pieces.groupBy("file", "opener").agg(F.sum(F.octet_length("line") + 1).alias("bytes"), F.max_by("after", F.struct("start", "id")).alias("open"))

@@ -116,3 +116,14 @@ def test_states_of_lines(spark):
     rows = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, line string").select("i", line_states(F.col("line")).alias("to")).orderBy("i").collect()
     got = [(r["to"]["outside"], r["to"]["inside"]) for r in rows]
     assert [x for x, g, w in zip(lines, got, want, strict=True) if g != w] == [], got
+
+
+def test_no_step_of_the_reading_runs_twice(spark):
+    path = write_csv(spark, 'h1,h2\n1,"a\nb"\n2,c\n')
+    plan = read_records(spark, path)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan
+
+
+def test_carriage_returns_at_ends_of_lines_and_inside_of_them(spark):
+    path = write_csv(spark, 'h1,h2\r\n1,a\rb\r\n2,"c\r\nd"\r\n3,e\n')
+    assert sorted(r["record"] for r in read_records(spark, path).collect()) == ["1,a\rb", '2,"c\r\nd"', "3,e"]
