@@ -100,3 +100,43 @@ def test_long_rows_are_cut_and_none_of_their_passages_lost(monkeypatch, bits):
                 got.update((w["key"], s) for s in range(first, first + w["starts"]))
     # each passage lies in one window of each hash function
     assert got == {(k, s): hashes for k, t in enumerate(texts) for s in range(len(words(t)) - n_words + 1)}
+
+
+@pytest.mark.parametrize("rows", [1, 3, 1000])
+def test_windows_of_values_in_several_texts(rows):
+    rng = np.random.default_rng(rows)
+    values = np.sort(rng.integers(0, 60, 300))
+    keys = np.where(values % 3 == 0, values, rng.integers(0, 3, 300))  # a third of the values in one text each, all repeated
+    other = np.ones(300, np.int64)
+    table = pa.table([pa.array(values), pa.array(other), pa.array(keys), pa.array(other), pa.array(other), pa.array(other.astype(np.int32)), pa.array(other.astype(np.int32))], names=passages.WINDOWS.names)
+    got = {(r["value"], r["key"]) for out in passages._in_several_texts(table.to_batches(rows)) for r in out.to_pylist()}
+    texts = {v: set(keys[values == v].tolist()) for v in values.tolist()}
+    assert got == {(v, k) for v, ks in texts.items() if len(ks) > 1 for k in ks}
+
+
+@pytest.mark.parametrize("blocks", [1, 2])
+def test_tiles_of_a_frequent_shingle_compare_few_pairs(monkeypatch, blocks):
+    rnd = random.Random(4)
+    size, n_words, n = 3, 12, 400
+    line = ["the", "common", "line"]
+    texts = []
+    for k in range(n):
+        if k % 20 == 1:  # one word of the text before changed
+            texts.append([*texts[-1][:-1], "changed"])
+        else:
+            texts.append([f"a{rnd.randrange(10**6)}" for _ in range(5)] + line + [f"b{rnd.randrange(10**6)}" for _ in range(6)])
+    sets = [[{tuple(t[i : i + size]) for i in range(s, s + n_words - size + 1)} for s in range(len(t) - n_words + 1)] for t in texts]
+    block = np.arange(n) % blocks
+    want = {
+        (i, s)
+        for i in range(n) for s, a in enumerate(sets[i])
+        if any(5 * len(a & b) >= 4 * len(a | b) for j in (i - 1, i + 1) if 0 <= j < n for b in sets[j])
+    }
+    compared = []
+    table = passages.Members._table
+    monkeypatch.setattr(passages.Members, "_table", lambda self, i, *rest: (compared.append(len(i)), table(self, i, *rest)))
+    starts = np.array([len(t) - n_words + 1 for t in texts])
+    left, right = (np.flatnonzero(block == b) for b in (0, blocks - 1))
+    runs = passages.verify_tile([" ".join(t).encode() for t in texts], np.arange(n), np.zeros(n, bool), starts, np.full(n, 5), left, right, n_words, size, 0.8)
+    assert {(m, s) for m, a, b in runs for s in range(a, b + 1)} == want
+    assert want and sum(compared) <= n // 20  # of some 80,000 pairs
