@@ -1,6 +1,7 @@
 """Near-duplicate passages against all pairs of passages."""
 
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -140,3 +141,76 @@ def test_tiles_of_a_frequent_shingle_compare_few_pairs(monkeypatch, blocks):
     runs = passages.verify_tile([" ".join(t).encode() for t in texts], np.arange(n), np.zeros(n, bool), starts, np.full(n, 5), left, right, n_words, size, 0.8)
     assert {(m, s) for m, a, b in runs for s in range(a, b + 1)} == want
     assert want and sum(compared) <= n // 20  # of some 80,000 pairs
+
+
+@pytest.mark.parametrize("bits", [4, 16])
+def test_passages_left_out_by_their_shingles_have_no_near_duplicate(monkeypatch, bits):
+    monkeypatch.setattr(passages, "SPAN_BITS", bits)
+    monkeypatch.setattr(passages, "BUCKET_BITS", 3)
+    monkeypatch.setattr(passages, "PIECE", 400)
+    rng = np.random.default_rng(bits)
+    size, n_words = 3, 12
+    texts = [None, "", "few words", "x" * 2000]
+    for case in range(30):
+        base = [str(x) for x in rng.integers(0, int(rng.choice([4, 9, 60, 100000])), int(rng.integers(10, 60)))]
+        if case % 3 == 0:  # words that come again and again: passages of few shingles
+            base = (base[: int(rng.integers(1, 9))] * 30)[: len(base)]
+        texts.append(" ".join(base))
+        for _ in range(2):
+            k = int(rng.integers(0, len(base)))
+            texts.append(" ".join([*base[:k], *rng.choice(["new", "more", base[0]], int(rng.integers(0, 3))).tolist(), *base[k + int(rng.integers(0, 3)) :]]))
+    texts += [" ".join(str(x) for x in rng.integers(0, 10**9, n)) for n in (300, 60)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[a : a + 50]), pa.array(range(a, a + len(texts[a : a + 50])), pa.int64()), pa.array(range(a, a + len(texts[a : a + 50])), pa.int64())], names=["text", "key", "id"]) for a in range(0, len(texts), 50)]
+
+    def dealt(found, column):
+        return pa.Table.from_batches(found).sort_by(column).to_batches(7)
+
+    shingles = dealt(passages._shingle_rows(n_words, size)(batches), "bucket")
+    places = dealt(passages._shared_places(shingles), "piece")
+    got = {(r["key"], s) for out in passages._hopeful(n_words, size, 0.8)(places) for r in out.to_pylist() for s in range(r["first"], r["last"] + 1)}
+    cut = [[frozenset(tuple(w[i : i + size]) for i in range(s, s + n_words - size + 1)) for s in range(len(w) - n_words + 1)] for w in map(words, texts)]
+    near = {(k, s) for k, own in enumerate(cut) for s, a in enumerate(own) if any(5 * len(a & b) >= 4 * len(a | b) for j, theirs in enumerate(cut) if j != k for b in theirs)}
+    assert len(near) > 200 and near <= got
+    assert not any(k == len(texts) - 1 for k, _ in got)  # words that no other text has
+    with pytest.raises(RuntimeError):
+        lost = [r for b in places for r in b.to_pylist()]
+        lost.remove(next(r for r in lost if r["span"] == 0))
+        list(passages._hopeful(n_words, size, 0.8)([pa.RecordBatch.from_pylist(lost, places[0].schema)]))
+
+
+def test_shuffles_of_steps_that_are_done_are_removed(spark):
+    rnd = random.Random(13)
+    common = prose(rnd, 60)
+    docs = documents(spark, [(k, f"{prose(rnd, 200)} {common if k % 9 == 0 else ''}") for k in range(200)])
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = manager.getAllBlocks()
+        return {name for name in (files.apply(k).name() for k in range(files.size())) if name.startswith("shuffle_")}
+
+    before = shuffles()
+    runs = passages.passage_runs(docs)
+    for _ in range(50):  # they go in the background
+        if not shuffles() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert runs.count() == 23
+    assert spark.conf.get(passages.CLEANUP) == "false"
+
+
+def test_pairs_of_alike_windows_are_compared_until_their_passages_are_found(monkeypatch):
+    rnd = random.Random(5)
+    base = prose(rnd, 24).split()
+    texts = []
+    for k in range(300):
+        x = list(base)
+        x[k % 2 * 23] = f"own{k}"  # near duplicates of many others
+        texts.append(" ".join(x))
+    compared = []
+    table = passages.Members._table
+    monkeypatch.setattr(passages.Members, "_table", lambda self, i, *rest: (compared.append(len(i)), table(self, i, *rest)))
+    n = len(texts)
+    runs = passages.verify_tile([t.encode() for t in texts], np.arange(n), np.zeros(n, bool), np.full(n, 3), np.full(n, 5), np.arange(n), np.arange(n), 22, 3, 0.8)
+    assert {(m, s) for m, a, b in runs for s in range(a, b + 1)} == {(k, s) for k in range(n) for s in range(3)}
+    assert sum(compared) < 10 * n  # of 44,850 pairs
